@@ -1,0 +1,134 @@
+"""Exact band power of epochs too long for one task.
+
+The discrete Fourier transform of any length is written as a convolution of power-of-two length
+(Bluestein), and each power-of-two transform of length M runs as two grouped passes over about
+sqrt(M) groups of about sqrt(M) values. No group or row ever holds a whole epoch.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from epochloom.constants import BANDS, SAMPLING_HZ
+from epochloom.operators.ordering import number_rows
+from epochloom.shared import materialise
+
+
+def _power_of_two(exponent: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), exponent.cast("int"))
+
+
+def _grouped_pass(df: DataFrame, ids: Sequence[str], twiddle: bool) -> DataFrame:
+    """Transform each (ids, lane) group over ``slot``; the output slot is the frequency."""
+    columns = [*ids, "size", "rows", "lane", "slot", "re", "im"]
+    schema = T.StructType([df.schema[name] for name in columns])
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        size, rows, lane = int(pdf["size"].iat[0]), int(pdf["rows"].iat[0]), int(pdf["lane"].iat[0])
+        length = rows if twiddle else size // rows
+        signal = np.zeros(length, dtype=complex)
+        signal[pdf["slot"].to_numpy()] = pdf["re"].to_numpy() + 1j * pdf["im"].to_numpy()
+        out = np.fft.fft(signal)
+        slots = np.arange(length)
+        if twiddle:
+            out *= np.exp(-2j * np.pi * ((lane * slots) % size) / size)
+        result = {name: pdf[name].iat[0] for name in (*ids, "size", "rows", "lane")}
+        return pd.DataFrame({**result, "slot": slots, "re": out.real, "im": out.imag})[columns]
+
+    return df.select(*columns).groupBy(*ids, "lane").applyInPandas(run, schema)
+
+
+def _transform(df: DataFrame, ids: Sequence[str]) -> DataFrame:
+    """Forward transform of sparse rows ``(ids, size, at, re, im)`` with ``size`` a power of two."""
+    rows = _power_of_two(F.floor(F.round(F.log2("size")) / 2))
+    lanes = F.expr("size div rows")
+    first = (
+        df.withColumn("rows", rows)
+        .withColumn("lane", F.col("at") % lanes)
+        .withColumn("slot", F.floor(F.col("at") / lanes))
+    )
+    second = _grouped_pass(first, ids, True).withColumnsRenamed({"lane": "slot", "slot": "lane"})
+    done = _grouped_pass(second, ids, False)
+    return done.select(
+        *ids, "size", (F.col("lane") + F.col("rows") * F.col("slot")).alias("at"), "re", "im"
+    )
+
+
+def _chirp_phase(at: Column, length: Column) -> Column:
+    """pi * at**2 / length, reduced exactly before it becomes a double."""
+    wide = at.cast("decimal(19,0)")
+    return F.lit(np.pi) * F.pmod(wide * wide, (length * 2).cast("decimal(38,0)")).cast("double") / length
+
+
+def long_band_powers(
+    df: DataFrame,
+    channels: Sequence[str],
+    order: Sequence[str],
+    keys: Sequence[str],
+    fs: float = SAMPLING_HZ,
+    bands: Mapping[str, tuple[float, float]] = BANDS,
+) -> DataFrame:
+    """``keys`` plus ``<channel>_<band>`` for every epoch in ``df``, whatever its length."""
+    numbered = number_rows(df.select(*keys, *order, *channels), order, keys, "at", total="length")
+    numbered = materialise(numbered.select(*keys, "at", "length", *channels), "long-epochs")
+    ids = [*keys, "length", "channel"]
+    long = numbered.select(
+        *keys, "length", "at",
+        F.explode(F.array(*[
+            F.struct(F.lit(name).alias("channel"), F.col(name).cast("double").alias("x"))
+            for name in channels
+        ])).alias("c"),
+    )
+    size = _power_of_two(F.ceil(F.log2(2.0 * F.col("length") - 1.5)))
+    phase = _chirp_phase(F.col("at"), F.col("length"))
+    value = F.coalesce(F.col("c.x"), F.lit(float("nan")))
+    chirped = long.select(
+        *keys, "length", F.col("c.channel").alias("channel"), size.alias("size"), "at",
+        (value * F.cos(phase)).alias("re"), (-value * F.sin(phase)).alias("im"),
+    )
+
+    lengths = numbered.groupBy("length").agg(F.count(F.lit(1)).alias("_n"))
+    span = lengths.select("length", size.alias("size")).withColumn(
+        "part", F.explode(F.sequence(F.lit(0).cast("long"), F.expr("length div 65536")))
+    )
+    offsets = F.sequence(
+        F.col("part") * 65536, F.least(F.col("part") * 65536 + 65535, F.col("length") - 1)
+    )
+    kernel = span.where(F.col("part") * 65536 < F.col("length")).withColumn("m", F.explode(offsets))
+    phase = _chirp_phase(F.col("m"), F.col("length"))
+    places = F.array_distinct(F.array(F.col("m"), (F.col("size") - F.col("m")) % F.col("size")))
+    kernel = kernel.select(
+        "length", "size", F.explode(places).alias("at"), F.cos(phase).alias("re"), F.sin(phase).alias("im")
+    )
+
+    signal = _transform(chirped, ids)
+    kernel = _transform(kernel, ["length"]).select(
+        "length", "at", F.col("re").alias("kr"), F.col("im").alias("ki")
+    )
+    product = signal.join(kernel, ["length", "at"]).select(
+        *ids, "size", "at",
+        (F.col("re") * F.col("kr") - F.col("im") * F.col("ki")).alias("re"),
+        (-(F.col("re") * F.col("ki") + F.col("im") * F.col("kr"))).alias("im"),
+    )
+    # The inverse transform is the conjugate of the forward transform of the conjugate; the final
+    # chirp has modulus one and does not change the power.
+    spectrum = _transform(product, ids)
+    power = (F.col("re") ** 2 + F.col("im") ** 2) / (F.col("size").cast("double") ** 2)
+    frequency = F.col("at") * (F.lit(1.0) / (F.col("length") * F.lit(1.0 / fs)))
+    usable = spectrum.where(F.col("at") <= F.expr("length div 2"))
+    per_channel = usable.groupBy(*keys, "channel").agg(*[
+        F.coalesce(
+            F.avg(F.when((frequency >= float(low)) & (frequency < float(high)), power)), F.lit(0.0)
+        ).alias(band)
+        for band, (low, high) in bands.items()
+    ])
+    return per_channel.groupBy(*keys).agg(*[
+        F.max(F.when(F.col("channel") == name, F.col(band))).alias(f"{name}_{band}")
+        for name in channels for band in bands
+    ])
