@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from epochloom.constants import REST_CLASS
+from epochloom.functions.columns import column
 from epochloom.operators.ordering import carry_forward, number_rows
 
 
@@ -96,12 +97,12 @@ def label_by_interval(
     turn_of_sample = F.lit((1 << 63) - 1)
     rows = samples.withColumns({"_t": F.col(time), "_turn": turn_of_sample})
     both = rows.withColumn("_sample", F.lit(True)).unionByName(marks, allowMissingColumns=True)
-    tie_break = F.xxhash64(*[F.col(f"`{column}`") for column in samples.columns])
+    tie_break = F.xxhash64(*map(column, samples.columns))
     merged = carry_forward(
         both.withColumn("_tie", tie_break), "_piece", ["_t", "_turn", "_tie"], keys, "_current"
     )
-    kept = [column for column in samples.columns if column != name]
+    kept = [column(other) for other in samples.columns if other != name]
     return merged.where("_sample").select(
-        *[F.col(f"`{column}`") for column in kept],
+        *kept,
         F.coalesce(F.col("_current._label"), F.lit(default)).alias(name),
     )

@@ -53,7 +53,9 @@ def _transform(df: DataFrame, ids: Sequence[str]) -> DataFrame:
         .withColumn("lane", F.col("at") % lanes)
         .withColumn("slot", F.floor(F.col("at") / lanes))
     )
-    second = _grouped_pass(first, ids, True).withColumnsRenamed({"lane": "slot", "slot": "lane"})
+    second = _grouped_pass(first, ids, True).select(
+        *ids, "size", "rows", F.col("slot").alias("lane"), F.col("lane").alias("slot"), "re", "im"
+    )
     done = _grouped_pass(second, ids, False)
     return done.select(
         *ids, "size", (F.col("lane") + F.col("rows") * F.col("slot")).alias("at"), "re", "im"

@@ -13,12 +13,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from epochloom.functions.columns import column
 from epochloom.shared import materialise
 
 _OFFSET_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
 BLOCK_ROWS = 100_000
 
 
+def _every(df: DataFrame) -> list[Column]:
+    return [column(name) for name in df.columns]
+
+
 def _sort_columns(names: Sequence) -> list[Column]:
     return [F.col(name) if isinstance(name, str) else name for name in names]
 
@@ -32,7 +37,7 @@ def _sorted_partitions(df: DataFrame, keys: Sequence[str], order: Sequence) -> D
         .withColumn("_at", F.monotonically_increasing_id())
     )
     return materialise(ranged, "ranges").select(
-        *df.columns,
+        *_every(df),
         F.shiftright("_at", _OFFSET_BITS).alias("_part"),
         F.col("_at").bitwiseAND(F.lit((1 << _OFFSET_BITS) - 1)).alias("_pos"),
     )
@@ -73,7 +78,7 @@ def number_rows(
         F.sum("_rows").over(within).alias("_total"),
     )
     numbered = _join_parts(ranged, parts, keys)
-    columns = [*df.columns, (F.col("_pos") - F.col("_first") + F.col("_before")).alias(name)]
+    columns = [*_every(df), (F.col("_pos") - F.col("_first") + F.col("_before")).alias(name)]
     if total:
         columns.append(F.col("_total").alias(total))
     return numbered.select(*columns)
@@ -93,7 +98,7 @@ def carry_forward(
     inside = Window.partitionBy(*keys, "_part").orderBy("_pos")
     filled = ranged.withColumn("_inside", F.last(value, ignorenulls=True).over(inside))
     return _join_parts(filled, parts, keys).select(
-        *df.columns, F.coalesce("_inside", "_carried").alias(name)
+        *_every(df), F.coalesce("_inside", "_carried").alias(name)
     )
 
 
@@ -124,7 +129,7 @@ def rolling_mean(
     return (
         copies.withColumn(name, F.avg(value).over(span))
         .where("_block = _own")
-        .select(*df.columns, index, name)
+        .select(*_every(df), index, name)
     )
 
 

@@ -29,8 +29,14 @@ def replay(samples: DataFrame, channels: Sequence[str], path: str, keys: Sequenc
     spread.write.mode("append").parquet(path)
 
 
-def land_in_order(df: DataFrame, time: str, path: str, steps: int = 4) -> None:
-    """Append ``df`` in ``steps`` slices of rising time, so file age follows event time."""
+def land_in_order(
+    df: DataFrame, time: str, path: str, steps: int = 4, files: int | None = None
+) -> None:
+    """Append ``df`` in ``steps`` slices of rising time, so file age follows event time.
+
+    Within a slice the files have no order: a reader with a watermark takes at least a slice per
+    trigger, or allows for a slice's span as delay. ``files`` limits the files per slice.
+    """
     at = F.unix_micros(F.col(time).cast("timestamp"))
     cuts = df.agg(
         F.percentile_approx(at, [i / steps for i in range(1, steps)], 10_000).alias("c")
@@ -42,7 +48,7 @@ def land_in_order(df: DataFrame, time: str, path: str, steps: int = 4) -> None:
             part = part.where(at > low)
         if high is not None:
             part = part.where(at <= high)
-        part.write.mode("append").parquet(path)
+        (part.coalesce(files) if files else part).write.mode("append").parquet(path)
 
 
 def sample_stream(
@@ -152,10 +158,11 @@ def run_available(writer: DataStreamWriter) -> StreamingQuery:
 
 
 def run_statistics(query: StreamingQuery) -> dict:
+    """Batches run and rows read; a batch sink reads its batch once per action on it."""
     progress = query.recentProgress
     return {
         "batches": len({p.batchId for p in progress}),
-        "input_rows": sum(p.numInputRows for p in progress),
+        "rows_read": sum(p.numInputRows for p in progress),
     }
 
 
