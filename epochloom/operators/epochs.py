@@ -34,12 +34,15 @@ def epochs_by_count(
     keys: Sequence[str] = RECORDING,
     samples: int = SAMPLES_PER_EPOCH,
 ) -> DataFrame:
-    """Consecutive chunks of ``samples`` rows per recording; an incomplete last chunk is not an epoch."""
+    """Consecutive chunks of ``samples`` rows per recording; an incomplete last chunk is not an epoch.
+
+    ``sample_no`` is the row's place in its epoch, from 0.
+    """
     numbered = number_rows(df, order, keys, "_no", total="_rows")
-    chunk = F.floor(F.col("_no") / samples)
     return (
-        numbered.withColumn("epoch_id", chunk.cast("long"))
+        numbered.withColumn("epoch_id", F.floor(F.col("_no") / samples))
         .where(F.col("epoch_id") < F.floor(F.col("_rows") / samples))
+        .withColumn("sample_no", (F.col("_no") % samples).cast("int"))
         .drop("_no", "_rows")
     )
 
@@ -72,7 +75,7 @@ def _match(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str) -> Da
 def collect_samples(channels: Sequence[str], order: Sequence[str]) -> Column:
     """Aggregate: samples in time order as one array of structs, shared by all channels."""
     sample = F.struct(F.struct(*order).alias("at"), F.struct(*channels).alias("v"))
-    return F.transform(F.array_sort(F.collect_list(sample)), lambda s: s["v"])
+    return F.sort_array(F.collect_list(sample)).getField("v")
 
 
 def epoch_signals(

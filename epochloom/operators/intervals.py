@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from epochloom.constants import REST_CLASS
 from epochloom.functions.columns import column
 from epochloom.operators.ordering import carry_forward, number_rows
 
+# Up to these sizes the pieces are broadcast and the samples do not move.
+BROADCAST_INTERVALS = 200_000
+INTERVALS_PER_KEY = 1_000
+
 
 def _shift(value: Column, bits: Column, how: str = "shiftright") -> Column:
     return F.call_function(how, value, bits)
@@ -68,6 +72,37 @@ def _disjoint_pieces(intervals: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def _is_small(intervals: DataFrame, keys: Sequence[str], total: int, per_key: int) -> bool:
+    sizes = intervals.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    row = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("all"), F.coalesce(F.max("n"), F.lit(0)).alias("most")).first()
+    return row["all"] <= total and row["most"] <= per_key
+
+
+def _by_broadcast(samples: DataFrame, pieces: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
+    """Attach ``_piece`` with a hash join on the keys; pieces are disjoint, so at most one matches."""
+    following = Window.partitionBy(*keys).orderBy("_p")
+    spans = pieces.withColumn("_until", F.lead("_t").over(following)).where("_t < _until").select(
+        *[F.col(key).alias(f"_k{i}") for i, key in enumerate(keys)], "_t", "_until", "_piece"
+    )
+    match = (F.col("_t") <= F.col(time)) & (F.col(time) < F.col("_until"))
+    for i, key in enumerate(keys):
+        match = match & (F.col(key) == F.col(f"_k{i}"))
+    return samples.join(F.broadcast(spans), match, "left").withColumnRenamed("_piece", "_current")
+
+
+def _by_sweep(samples: DataFrame, pieces: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
+    """Attach the piece that began last, by carrying it forward along each key's time line."""
+    # A piece sorts before the samples at its own instant, and later pieces after earlier ones.
+    marks = pieces.select(*keys, "_t", F.col("_p").alias("_turn"), "_piece")
+    rows = samples.withColumns({
+        "_t": F.col(time), "_turn": F.lit((1 << 63) - 1), "_sample": F.lit(True),
+        "_tie": F.xxhash64(*map(column, samples.columns)),
+    })
+    both = rows.unionByName(marks, allowMissingColumns=True)
+    merged = carry_forward(both, "_piece", ["_t", "_turn", "_tie"], keys, "_current")
+    return merged.where("_sample")
+
+
 def label_by_interval(
     samples: DataFrame,
     intervals: DataFrame,
@@ -79,11 +114,16 @@ def label_by_interval(
     label: str = "description",
     name: str = "task_label",
     default: str = REST_CLASS,
+    broadcast_intervals: int = BROADCAST_INTERVALS,
+    intervals_per_key: int = INTERVALS_PER_KEY,
 ) -> DataFrame:
     """Label of the interval ``onset <= time < end`` of the same recording.
 
     Where intervals overlap the one with the greatest ``rank`` wins; a sample that none covers
     gets ``default``. ``end`` defaults to ``onset + duration``; (keys, rank) must be unique.
+
+    The intervals are counted first. Few of them are broadcast, so the samples keep their
+    partitions; otherwise samples and pieces are merged along time, which needs no bound.
     """
     finish = (F.col(onset) + F.col("duration")) if end is None else end
     known = intervals.select(
@@ -91,18 +131,8 @@ def label_by_interval(
         F.col(rank).alias("_rank"), F.col(label).alias("_label"),
     ).where("_onset < _end").dropna(subset=[*keys])
     pieces = _disjoint_pieces(known, keys)
-
-    # A piece sorts before the samples at its own instant, and later pieces after earlier ones.
-    marks = pieces.select(*keys, "_t", F.col("_p").alias("_turn"), "_piece")
-    turn_of_sample = F.lit((1 << 63) - 1)
-    rows = samples.withColumns({"_t": F.col(time), "_turn": turn_of_sample})
-    both = rows.withColumn("_sample", F.lit(True)).unionByName(marks, allowMissingColumns=True)
-    tie_break = F.xxhash64(*map(column, samples.columns))
-    merged = carry_forward(
-        both.withColumn("_tie", tie_break), "_piece", ["_t", "_turn", "_tie"], keys, "_current"
-    )
+    attach = _by_broadcast if _is_small(known, keys, broadcast_intervals, intervals_per_key) else _by_sweep
     kept = [column(other) for other in samples.columns if other != name]
-    return merged.where("_sample").select(
-        *kept,
-        F.coalesce(F.col("_current._label"), F.lit(default)).alias(name),
+    return attach(samples, pieces, keys, time).select(
+        *kept, F.coalesce(F.col("_current._label"), F.lit(default)).alias(name)
     )

@@ -35,7 +35,10 @@ CHANNELS = ("C3", "Cz", "C4")
 RAW_CHANNELS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 LINE_KEYS = ("l_orderkey", "l_linenumber", "l_partkey")
 LINE_ORDER = ("time", *LINE_KEYS, "l_extendedprice", *CHANNELS)
-LINE_META = ("subject_id", "run_id", "epoch_id", "time", "task_label", *LINE_KEYS, "l_extendedprice")
+LINE_META = (
+    "subject_id", "run_id", "epoch_id", "sample_no", "time", "task_label", *LINE_KEYS, "l_extendedprice",
+)
+PLACE = ("sample_no",)
 EVENT_ORDER = ("ts", "event_id")
 HOUR, WEEK = 3600, 7 * 86400
 ANCHORS = ("E10", "E30", "E50")
@@ -71,14 +74,14 @@ def line_epochs(spark, sf) -> DataFrame:
 
 def line_features(spark, sf, quality: bool = False) -> DataFrame:
     return FE.epoch_features(
-        line_epochs(spark, sf), CHANNELS, BANDS, FS, LINE_ORDER, label_rule="majority",
+        line_epochs(spark, sf), CHANNELS, BANDS, FS, PLACE, label_rule="majority",
         max_samples=None, quality=quality,
     )
 
 
 def line_normalised(spark, sf) -> DataFrame:
     return batch.normalised_features(
-        line_epochs(spark, sf), CHANNELS, BANDS, FS, LINE_ORDER, REST, label_rule="majority",
+        line_epochs(spark, sf), CHANNELS, BANDS, FS, PLACE, REST, label_rule="majority",
         max_samples=None,
     )
 
@@ -165,7 +168,7 @@ def lateralization(spark, sf):
 def alpha_by_channel(spark, sf):
     epochs = line_epochs(spark, sf)
     found = C.channel_columns(epochs, LINE_META)
-    return rounded(FE.alpha_by_channel(epochs, found, FS, order=LINE_ORDER, max_samples=None), 4)
+    return rounded(FE.alpha_by_channel(epochs, found, FS, order=PLACE, max_samples=None), 4)
 
 
 def log_features(spark, sf):
@@ -517,7 +520,7 @@ def write_recordings(spark, sf, seconds: int = 8) -> str:
         from epochloom.sources.edf_write import encode_recording
         from epochloom.sources.files import write_bytes
 
-        group = group.sort_values(list(LINE_ORDER))
+        group = group.sort_values("sample_no")
         subject, run = f"S{key[0]:06d}", f"R{key[1]:02d}"
         half = seconds // 2
         marks = [(0, half, str(group["task_label"].iat[0])), (half - 1, 2, "T9")]
@@ -680,9 +683,9 @@ def _landed_epochs(spark, sf) -> str:
         "event_time", F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     )
     rows = epochs.join(labels, ["subject_id", "run_id", "epoch_id"]).select(
-        F.col("subject_id").cast("string").alias("subject_id"), "run_id", "time", "task_label",
-        "epoch_id", "epoch_label", "event_time", F.lit(None).cast("long").alias("run_seq"),
-        *CHANNELS, *[F.col(name).cast("double").alias(name) for name in (*LINE_KEYS, "l_extendedprice")],
+        F.col("subject_id").cast("string").alias("subject_id"), "run_id",
+        (F.col("epoch_id") * 1.0 + F.col("sample_no") / FS).alias("time"), "task_label",
+        "epoch_id", "epoch_label", "event_time", F.lit(None).cast("long").alias("run_seq"), *CHANNELS,
     )
     path = shared_path(spark, "live-input")
     live.replay(rows, CHANNELS, path, files=4)
@@ -692,7 +695,7 @@ def _landed_epochs(spark, sf) -> str:
 def _sample_stream(spark, path: str) -> tuple[DataFrame, list[str]]:
     channels = C.landed_channels(spark, path)
     stream = live.sample_stream(spark, path, C.live_schema(channels), files_per_trigger=1)
-    return stream, [c for c in channels if c in CHANNELS]
+    return stream, channels
 
 
 def replay_epochs(spark, sf):
@@ -716,8 +719,7 @@ def _score_stream(spark, sf, model=None, scorer=None) -> str:
 
     def process(samples: DataFrame) -> DataFrame:
         return live.scored_epochs(
-            samples, model, channels, CHANNELS, fs=FS, order=LINE_ORDER, classes=CLASSES,
-            max_samples=None, scorer=scorer,
+            samples, model, channels, CHANNELS, fs=FS, classes=CLASSES, max_samples=None, scorer=scorer,
         )
 
     outputs = {"predictions": live.predictions_of, "topomap": live.topomap_of}
@@ -747,8 +749,7 @@ def stream_score(spark, sf):
 def topomap_explode(spark, sf):
     samples = spark.read.parquet(_landed_epochs(spark, sf))
     scored = live.scored_epochs(
-        samples, None, CHANNELS, CHANNELS, fs=FS, order=LINE_ORDER, classes=CLASSES,
-        max_samples=None, scorer=rule_scorer,
+        samples, None, CHANNELS, CHANNELS, fs=FS, classes=CLASSES, max_samples=None, scorer=rule_scorer,
     )
     return rounded(live.topomap_of(scored).select(
         F.col("subject_id").cast("long").alias("subject_id"), "run_id", "epoch_id", "channel",

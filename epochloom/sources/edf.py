@@ -24,6 +24,8 @@ from epochloom.sources.files import read_range
 
 ANNOTATIONS = "EDF Annotations"
 RECORDS_BYTES = 8 << 20
+RANGES_PER_TASK = 16
+FILES_PER_TASK = 1_000
 # Header values are scaled to volts.
 UNIT_SCALE = {"uV": 1e-6, "µV": 1e-6, "mV": 1e-3}
 
@@ -106,6 +108,14 @@ def annotations_of(block: bytes) -> Iterator[tuple[float, float, str]]:
                 yield float(onset), float(duration or 0), text.decode("utf-8")
 
 
+def _spread(df: DataFrame, *keys: str, rows_per_task: int) -> DataFrame:
+    """Spread rows that are small but stand for much work; a fixed count is not merged back."""
+    rows = df.count()
+    parallel = df.sparkSession.sparkContext.defaultParallelism
+    tasks = max(min(rows, 2 * parallel), -(-rows // rows_per_task), 1)
+    return df.repartition(tasks, *keys)
+
+
 def plan_records(files: DataFrame, range_bytes: int = RECORDS_BYTES) -> DataFrame:
     """Record ranges of every readable file; an unreadable file yields one row with its error."""
 
@@ -127,7 +137,8 @@ def plan_records(files: DataFrame, range_bytes: int = RECORDS_BYTES) -> DataFram
                                  max(min(step, header.records - first), 0)))
             yield pd.DataFrame(rows, columns=list(PLAN_COLUMNS))
 
-    spread = files.select("path", "length", "subject_id", "run_id").repartition("path")
+    listed = files.select("path", "length", "subject_id", "run_id")
+    spread = _spread(listed, "path", rows_per_task=FILES_PER_TASK)
     return spread.mapInPandas(plan, _ddl(PLAN_COLUMNS))
 
 
@@ -166,7 +177,8 @@ def decode_samples(ranges: DataFrame, channels: Sequence[str]) -> DataFrame:
                     names=["subject_id", "run_id", "time", *channels],
                 )
 
-    return ranges.repartition("path", "first_record").mapInArrow(decode, schema)
+    spread = _spread(ranges, "path", "first_record", rows_per_task=RANGES_PER_TASK)
+    return spread.mapInArrow(decode, schema)
 
 
 def decode_annotations(ranges: DataFrame) -> DataFrame:
@@ -184,7 +196,8 @@ def decode_annotations(ranges: DataFrame) -> DataFrame:
                         rows.append((row.subject_id, row.run_id, onset, duration, text, place))
                 yield pd.DataFrame(rows, columns=list(ANNOTATION_COLUMNS))
 
-    return ranges.repartition("path", "first_record").mapInPandas(decode, _ddl(ANNOTATION_COLUMNS))
+    spread = _spread(ranges, "path", "first_record", rows_per_task=RANGES_PER_TASK)
+    return spread.mapInPandas(decode, _ddl(ANNOTATION_COLUMNS))
 
 
 def decode_recordings(
@@ -203,6 +216,6 @@ def decode_recordings(
         found = ranges.select(F.explode("channels").alias("c")).distinct()
         channels = sorted(row.c for row in found.collect())  # a file names at most 9999 signals
     samples = decode_samples(ranges, channels)
-    annotations = decode_annotations(ranges)
+    annotations = materialise(decode_annotations(ranges), "edf-annotations")
     labelled = label_by_interval(samples, annotations, rank="place", default=default)
     return labelled, status

@@ -71,8 +71,9 @@ def test_no_annotations_at_all(spark):
     assert label_by_interval(samples, spark.createDataFrame([], NOTES)).first().task_label == "T0"
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_intervals_match_brute_force(spark, many_partitions, seed):
+@pytest.mark.parametrize("seed, broadcast", [(1, 0), (2, 0), (2, 1000)])
+def test_intervals_match_brute_force(spark, many_partitions, seed, broadcast):
+    """Both ways of attaching the pieces, with one key that owns most samples and intervals."""
     rng = random.Random(seed)
     keys = ["hot"] * 5 + ["a", "b"]
     notes = [
@@ -86,7 +87,7 @@ def test_intervals_match_brute_force(spark, many_partitions, seed):
     notes = [(*n[:5], rank) for n, rank in zip(notes, ranks)]
     got = label_by_interval(
         spark.createDataFrame(samples, SAMPLES + ", id int").repartition(8),
-        spark.createDataFrame(notes, NOTES).repartition(8),
+        spark.createDataFrame(notes, NOTES).repartition(8), broadcast_intervals=broadcast,
     ).collect()
     assert len(got) == len(samples)
     labels = {r.id: r.task_label for r in got}
