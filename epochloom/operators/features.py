@@ -103,7 +103,8 @@ def alpha_by_channel(
 
 def explode_channels(df: DataFrame, keys: Sequence[str], powers: str = "_powers") -> DataFrame:
     """One row per element of an array of ``(channel, power)`` structs."""
-    return df.select(*keys, F.explode(powers).alias("_p")).select(
+    # A plain explode adds a filter on the array's size, which would compute the powers twice.
+    return df.select(*keys, F.explode_outer(powers).alias("_p")).select(
         *keys, F.col("_p.channel").alias("channel"), F.col("_p.power").alias("alpha_power")
     )
 

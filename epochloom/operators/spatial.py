@@ -66,40 +66,31 @@ def _as_array(rows: DataFrame, columns: Sequence[str], limit: int = MAX_MAP_ELEC
     return kept.select(checked).scalar()
 
 
-def _weighted_sum(entries: Column, weight, value) -> tuple[Column, Column]:
-    total = F.aggregate(entries, F.lit(0.0), lambda a, e: a + weight(e))
-    mass = F.aggregate(entries, F.lit(0.0), lambda a, e: a + weight(e) * value(e))
-    return mass, total
-
-
 def scalp_interpolate(
     electrodes: DataFrame,
     anchors: DataFrame,
+    values: DataFrame,
     keys: Sequence[str] = (),
     value: str = "value",
     sigma: float = SCALP_SIGMA,
 ) -> DataFrame:
-    """Value at every electrode from a few anchor electrodes, per key.
+    """Value at every electrode from a few anchor electrodes, per key: ``(keys, name, value)``.
 
     Weights are ``exp(-d**2 / (2 sigma**2))`` of the distance in space; where all vanish the plain
-    mean of the anchors stands in. ``anchors`` holds ``keys, name, x, y, z, value``; each electrode
-    is attached to the anchors' per-key array, so nothing is paired row by row.
+    mean of the anchors stands in. ``electrodes`` and ``anchors`` hold ``name, x, y, z``;
+    ``values`` holds one row per (keys, anchor name). The weights depend on the montage alone.
     """
-    per_key = anchors.where(F.col(value).isNotNull()).groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("name", "x", "y", "z", F.col(value).alias("v")))).alias("_a")
+    d2 = sum((F.col(f"_a.{axis}") - F.col(axis)) ** 2 for axis in ("x", "y", "z"))
+    weights = electrodes.withColumn("_a", F.explode(_as_array(anchors, ["name", "x", "y", "z"]))).select(
+        F.col("name").alias("_site"), F.col("_a.name").alias("name"), F.exp(-d2 / (2.0 * sigma * sigma)).alias("_w")
+    )
+    known = values.where(F.col(value).isNotNull())
+    sums = known.join(weights, "name").groupBy(*keys, "_site").agg(
+        F.sum(F.col("_w") * F.col(value)).alias("_mass"), F.sum("_w").alias("_total"), F.avg(value).alias("_mean")
     )
-    sites = _as_array(electrodes, ["name", "x", "y", "z"])
-    placed = per_key.select(*keys, "_a", F.explode(sites).alias("_e"))
-
-    def weight(a):
-        d2 = sum((a[axis] - F.col(f"_e.{axis}")) ** 2 for axis in ("x", "y", "z"))
-        return F.exp(-d2 / (2.0 * sigma * sigma))
-
-    mass, total = _weighted_sum(F.col("_a"), weight, lambda a: a["v"])
-    plain = F.aggregate("_a", F.lit(0.0), lambda s, a: s + a["v"]) / F.size("_a")
-    return placed.select(
-        *keys, F.col("_e.name").alias("name"),
-        F.when(total < 1e-9, plain).otherwise(mass / total).alias(value),
+    return sums.select(
+        *keys, F.col("_site").alias("name"),
+        F.when(F.col("_total") < 1e-9, F.col("_mean")).otherwise(F.col("_mass") / F.col("_total")).alias(value),
     )
 
 

@@ -409,11 +409,12 @@ def electrode_projection(spark, sf):
 
 
 def scalp_interpolate(spark, sf):
-    sites = electrodes(spark, sf)
+    sites = materialise(electrodes(spark, sf), "montage")
     values = vector_channels(spark, sf).select(
         "task_label", F.concat(F.lit("E"), "pos").alias("name"), "value"
     ).where(F.col("name").isin(*ANCHORS))
-    return rounded(SP.scalp_interpolate(sites, values.join(sites, "name"), ["task_label"]))
+    anchors = sites.where(F.col("name").isin(*ANCHORS))
+    return rounded(SP.scalp_interpolate(sites, anchors, values, ["task_label"]))
 
 
 def topomap_grid(spark, sf):

@@ -106,7 +106,8 @@ def predictions_of(scored: DataFrame) -> DataFrame:
 
 
 def topomap_of(scored: DataFrame) -> DataFrame:
-    return scored.select(F.explode("topomaps").alias("t")).select("t.*")
+    # A plain explode adds a filter on the array's size, which would score twice.
+    return scored.select(F.explode_outer("topomaps").alias("t")).select("t.*")
 
 
 def batch_sink(

@@ -168,10 +168,11 @@ def test_lookup_ignores_case(spark, sphere):
 
 
 def test_interpolation_and_fallback(spark, sphere):
-    anchors = sphere.where("name in ('E1', 'E20', 'E40')").withColumn("value", F.expr("cast(substring(name, 2) as double)"))
-    values = {r.name: r.value for r in SP.scalp_interpolate(sphere, anchors).collect()}
+    anchors = sphere.where("name in ('E1', 'E20', 'E40')")
+    given = anchors.select("name", F.expr("cast(substring(name, 2) as double)").alias("value"))
+    values = {r.name: r.value for r in SP.scalp_interpolate(sphere, anchors, given).collect()}
     assert len(values) == 64 and all(1.0 <= v <= 40.0 for v in values.values())
-    far = {r.name: r.value for r in SP.scalp_interpolate(sphere, anchors, sigma=1e-4).collect()}
+    far = {r.name: r.value for r in SP.scalp_interpolate(sphere, anchors, given, sigma=1e-4).collect()}
     assert far["E20"] == pytest.approx(20.0) and far["E63"] == pytest.approx(61 / 3)
 
 
