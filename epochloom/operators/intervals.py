@@ -14,6 +14,8 @@ from epochloom.operators.ordering import carry_forward, number_rows
 # Up to these sizes the pieces are broadcast and the samples do not move.
 BROADCAST_INTERVALS = 200_000
 INTERVALS_PER_KEY = 1_000
+# A tree node that covers more end points than 2**BLOCK_BITS is stored once per block of that many.
+BLOCK_BITS = 12
 
 
 def _shift(value: Column, bits: Column, how: str = "shiftright") -> Column:
@@ -26,7 +28,8 @@ def _disjoint_pieces(intervals: DataFrame, keys: Sequence[str]) -> DataFrame:
     ``_piece`` is the struct of the covering interval with the greatest ``_rank``, with a NULL
     label where none covers. All end points are numbered; an interval then spans a range of
     numbers, which a binary tree covers with a few aligned nodes. Only the greatest rank is kept
-    per node, and each end point looks up its own ancestors, so overlaps are never paired.
+    per node, and each end point looks up its own ancestors, so overlaps are never paired and no
+    join key meets more than ``2**BLOCK_BITS`` end points.
     """
     ends = intervals.select(
         *keys, "_rank", "_label",
@@ -57,11 +60,14 @@ def _disjoint_pieces(intervals: DataFrame, keys: Sequence[str]) -> DataFrame:
         .agg(F.max_by("_piece", "_piece._rank").alias("_piece"))
     )
     top = F.coalesce(nodes.agg(F.max("_j")).scalar(), F.lit(0))
+    above = F.greatest(F.col("_j") - BLOCK_BITS, F.lit(0))
+    first, last = (_shift(n, above, "shiftleft") for n in (F.col("_node"), F.col("_node") + 1))
+    blocks = nodes.select("_j", "_piece", F.explode(F.sequence(first, last - 1)).alias("_block"))
     ancestors = points.select("_p", F.explode(F.sequence(F.lit(0), top)).alias("_j")).withColumn(
-        "_node", _shift(F.col("_p"), F.col("_j"))
+        "_block", _shift(F.col("_p"), F.least(F.col("_j"), F.lit(BLOCK_BITS)))
     )
     covering = (
-        ancestors.join(nodes, ["_j", "_node"])
+        ancestors.join(blocks, ["_j", "_block"])
         .groupBy("_p")
         .agg(F.max_by("_piece", "_piece._rank").alias("_piece"))
     )

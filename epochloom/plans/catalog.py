@@ -425,6 +425,31 @@ def topomap_grid(spark, sf):
     return rounded(SP.topomap_grid(flat, values, ["task_label"]))
 
 
+def difference_map(spark, sf):
+    """Class difference T2 - T1 at every electrode, from its anchors, with the symmetric range."""
+    sites = materialise(electrodes(spark, sf), "montage")
+    anchors = sites.where(F.col("name").isin(*ANCHORS))
+    wide = table(spark, sf, "embeddings").select(
+        F.concat(F.lit("T"), F.col("label") % 3).alias("task_label"),
+        *[F.col("embedding")[int(name[1:])].cast("double").alias(name) for name in ANCHORS],
+    )
+    difference = FE.class_difference(wide, ANCHORS, "T2", "T1")
+    mapped = SP.scalp_interpolate(sites, anchors, difference, (), "difference")
+    limits = FE.symmetric_range(mapped, "difference", [])
+    return rounded(mapped.select(
+        "name", "difference", limits.select("vmin").scalar().alias("vmin"),
+        limits.select("vmax").scalar().alias("vmax"),
+    ))
+
+
+def live_map_range(spark, sf):
+    """Colour range of the live map of every event type's hourly levels."""
+    levels = event_predictions(spark, sf).groupBy("true_label", "epoch_id").agg(
+        F.avg(F.col("correct").cast("double")).alias("level")
+    )
+    return rounded(FE.live_range(levels, "level", ["epoch_id"]))
+
+
 # -- sources and sinks ----------------------------------------------------------------------
 
 def signal_sample(spark, sf):
@@ -675,19 +700,8 @@ def stream_dedup(spark, sf):
 
 def _landed_epochs(spark, sf) -> str:
     """Epochs in the layout of a live input folder, with whole epochs per file."""
-    epochs = line_epochs(spark, sf)
-    labels = epochs.groupBy("subject_id", "run_id", "epoch_id").agg(
-        EP.majority_label("task_label").alias("epoch_label")
-    )
     start = F.lit("2026-01-01 00:00:00").cast("timestamp")
-    labels = EP.event_times(labels, start).withColumn(
-        "event_time", F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    )
-    rows = epochs.join(labels, ["subject_id", "run_id", "epoch_id"]).select(
-        F.col("subject_id").cast("string").alias("subject_id"), "run_id",
-        (F.col("epoch_id") * 1.0 + F.col("sample_no") / FS).alias("time"), "task_label",
-        "epoch_id", "epoch_label", "event_time", F.lit(None).cast("long").alias("run_seq"), *CHANNELS,
-    )
+    rows = live.live_epochs(line_samples(spark, sf), CHANNELS, start, LINE_ORDER, FS, clock_hz=FS)
     path = shared_path(spark, "live-input")
     live.replay(rows, CHANNELS, path, files=4)
     return path
@@ -769,7 +783,8 @@ QUERIES = {
         subject_accuracy, subject_tiers, decode_labels, score_flags, kpi_summary,
         prediction_columns, rolling_accuracy, prediction_timeline, dedup_latest, tail_100,
         latest_snapshot, live_kpis, event_time_axis, loop_replay, latest_batches, union_batches,
-        electrode_lookup, electrode_projection, scalp_interpolate, topomap_grid, signal_sample,
+        electrode_lookup, electrode_projection, scalp_interpolate, topomap_grid, difference_map,
+        live_map_range, signal_sample,
         clean_columns, partitioned_roundtrip, merged_scan, metrics_json, ingest_pending,
         manifest_missing, ingest_outcomes, scoring_defaults, decode_recordings, compare_runs,
         run_log, rf_predictions, rf_metrics, cv_grid, feature_importance, live_rf,

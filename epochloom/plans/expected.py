@@ -330,6 +330,22 @@ mapped AS (
 frame AS (SELECT DISTINCT task_label FROM means)
 SELECT f.task_label, c.gx, c.gy, round(m.value, 6) AS value
 FROM frame f CROSS JOIN cells2 c LEFT JOIN mapped m USING (task_label, gx, gy)""",
+    "difference_map": f"""WITH {_SITES}, anchors AS (
+  SELECT name, x, y, z, max(value) FILTER (WHERE task_label = 'T2') - max(value) FILTER (WHERE task_label = 'T1') AS d
+  FROM means JOIN sites ON name = 'E' || pos WHERE name IN ('E10', 'E30', 'E50') GROUP BY name, x, y, z),
+weights AS (
+  SELECT s.name, d, exp(-(power(a.x - s.x, 2) + power(a.y - s.y, 2) + power(a.z - s.z, 2)) / (2 * 0.1 * 0.1)) AS w
+  FROM anchors a, sites s),
+mapped AS (
+  SELECT name, CASE WHEN sum(w) < 1e-9 THEN avg(d) ELSE sum(w * d) / sum(w) END AS difference
+  FROM weights GROUP BY name),
+reach AS (SELECT greatest(max(abs(difference)) * 1.1, 1e-9) AS v FROM mapped)
+SELECT name, round(difference, 6) AS difference, round(-v, 6) AS vmin, round(v, 6) AS vmax FROM mapped, reach""",
+    "live_map_range": f"""WITH {_LIVE}, levels AS (
+  SELECT true_label, epoch_id, avg(correct) AS level FROM live GROUP BY ALL),
+limits AS (SELECT epoch_id, min(level) AS low, max(level) AS high FROM levels GROUP BY epoch_id)
+SELECT epoch_id, round(low - CASE WHEN high - low < 1e-9 THEN 0.1 ELSE 0.0 END, 6) AS vmin,
+       round(high + CASE WHEN high - low < 1e-9 THEN 0.1 ELSE 0.0 END, 6) AS vmax FROM limits""",
     "signal_sample": f"""WITH {_SAMPLES}, longest AS (
   SELECT subject_id, run_id FROM samples GROUP BY ALL ORDER BY count(*) DESC, subject_id, run_id LIMIT 1)
 SELECT time::DOUBLE AS time, {_KEYS}, cz AS "Cz", task_label FROM samples JOIN longest USING (subject_id, run_id)

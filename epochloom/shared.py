@@ -28,9 +28,17 @@ def shared_path(spark: SparkSession, label: str) -> str:
 def materialise(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     """Write ``df`` once and scan the result, which cuts lineage and survives lost executors.
 
-    Columnar storage lets each consumer read only the columns it needs.
+    Columnar storage lets each consumer read only the columns it needs. The table lives as long as
+    the application.
     """
     path = shared_path(df.sparkSession, label)
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     writer.parquet(path)
+    _remove_at_exit(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Let the driver's file system client remove ``path`` when the application ends."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)

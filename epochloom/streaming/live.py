@@ -9,15 +9,48 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from epochloom.constants import BANDS, CLASSES, MOTOR_CHANNELS, SAMPLING_HZ
-from epochloom.functions.columns import as_double, lateralization
-from epochloom.operators.epochs import EPOCH, MAX_SAMPLES
+from epochloom.constants import (
+    BANDS, CLASSES, EPOCH_SECONDS, LIVE_META, MOTOR_CHANNELS, SAMPLES_PER_EPOCH, SAMPLING_HZ,
+)
+from epochloom.functions.columns import as_double, column, lateralization
+from epochloom.operators.epochs import (
+    EPOCH, MAX_SAMPLES, RECORDING, epochs_by_count, event_times, loop_replay, majority_label,
+)
 from epochloom.operators.features import epoch_features
 from epochloom.operators.model import score
 
 TRIGGER = "1 seconds"
 
 
+def live_epochs(
+    samples: DataFrame, channels: Sequence[str], start: Column, order: Sequence[str] = ("time",),
+    size: int = SAMPLES_PER_EPOCH, seconds: float = EPOCH_SECONDS, rate: float | None = None,
+    duration: float | None = None, clock_hz: float | None = None,
+) -> DataFrame:
+    """Stored samples in the layout of a live input: whole epochs, each with label and event time.
+
+    Where stored times repeat, ``clock_hz`` replaces them by the place in the recording.
+    With ``rate`` (epochs per second) and ``duration`` each recording is looped until
+    ``int(duration * rate)`` epochs have played; ``epoch_id`` then counts the played epochs.
+    """
+    cut = epochs_by_count(samples, order, RECORDING, size)
+    if clock_hz:
+        cut = cut.withColumn("time", (F.col("epoch_id") * size + F.col("sample_no")) / clock_hz)
+    epochs = cut.groupBy(*EPOCH).agg(majority_label("task_label").alias("epoch_label"))
+    if rate and duration:
+        epochs = loop_replay(epochs, ["epoch_id"], RECORDING, rate, duration)
+    else:
+        epochs = epochs.withColumn("replay_no", F.col("epoch_id"))
+    timed = event_times(epochs, start, "replay_no", seconds).withColumn(
+        "event_time", F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    )
+    rows = cut.join(timed, list(EPOCH)).withColumn("epoch_id", F.col("replay_no"))
+    rows = rows.withColumns({
+        "run_seq": F.lit(None).cast("long"), "subject_id": F.col("subject_id").cast("string"),
+    })
+    return as_double(rows, ["time", *channels]).select(*LIVE_META, *map(column, channels))
+
+
 def replay(samples: DataFrame, channels: Sequence[str], path: str, keys: Sequence[str] = EPOCH,
            files: int | None = None) -> None:
     """Land epochs for a stream; a file holds whole epochs, so no epoch spans two triggers.

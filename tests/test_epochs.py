@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 import pytest
 
 from epochloom.operators import epochs as EP
+from epochloom.operators import intervals
 from epochloom.operators.intervals import label_by_interval
 
 
@@ -72,8 +73,9 @@ def test_no_annotations_at_all(spark):
 
 
 @pytest.mark.parametrize("seed, broadcast", [(1, 0), (2, 0), (2, 1000)])
-def test_intervals_match_brute_force(spark, many_partitions, seed, broadcast):
+def test_intervals_match_brute_force(spark, many_partitions, monkeypatch, seed, broadcast):
     """Both ways of attaching the pieces, with one key that owns most samples and intervals."""
+    monkeypatch.setattr(intervals, "BLOCK_BITS", 2)
     rng = random.Random(seed)
     keys = ["hot"] * 5 + ["a", "b"]
     notes = [
