@@ -35,12 +35,15 @@ def ingest(
     if runs is not None:
         listed = listed.where(F.col("run_id").isin(*runs))
     listed = materialise(listed, "manifest")
+    if landed is not None:
+        # Stored, because the landing zone grows before the tally is read.
+        landed = materialise(landed.select("subject_id", "run_id").distinct(), "landed")
     todo = listed if landed is None else pending(listed, landed, runs=None)
     samples, status = decode_recordings(todo)
     write_partitioned(samples, landing, mode="append")
     skipped = (
         listed.limit(0) if landed is None
-        else listed.join(landed.select("subject_id", "run_id").distinct(), ["subject_id", "run_id"], "left_semi")
+        else listed.join(landed, ["subject_id", "run_id"], "left_semi")
     )
     return outcomes(status.select("status").unionAll(skipped.select(F.lit(SKIPPED).alias("status"))))
 
@@ -102,7 +105,7 @@ def evaluate_stored(
     """Predictions ``subject_id, task_label, prediction`` and metrics of a stored model."""
     _, test = train_test(features, ratio=ratio)
     predictions, metrics = evaluate(CrossValidatorModel.load(model_path), test, classes=classes)
-    return predictions.select("subject_id", "task_label", "prediction", "pred_label"), metrics
+    return predictions.select("subject_id", "task_label", "prediction"), metrics
 
 
 def export(tables: Mapping[str, DataFrame], root: str) -> None:
