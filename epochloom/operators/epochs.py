@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from epochloom.constants import EPOCH_SECONDS, SAMPLES_PER_EPOCH
-from epochloom.operators.ordering import number_rows
+from epochloom.operators.ordering import number_rows, split_by_size
 
 RECORDING = ("subject_id", "run_id")
 EPOCH = (*RECORDING, "epoch_id")
@@ -52,24 +52,10 @@ def split_long(
 ) -> tuple[DataFrame, DataFrame | None]:
     """Rows of epochs of up to ``max_samples`` rows, and the rows of longer epochs if there are any.
 
-    Epochs hold ``rate * seconds`` samples, so long ones are the exception; a count over the key
-    columns alone finds them. Pass ``None`` where epochs are bounded by construction.
+    Epochs hold ``rate * seconds`` samples, so long ones are the exception. Pass ``None`` where
+    epochs are bounded by construction.
     """
-    if max_samples is None:
-        return df, None
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    long = sizes.where(F.col("_n") > max_samples).drop("_n")
-    if long.isEmpty():
-        return df, None
-    return _match(df, long, keys, "left_anti"), _match(df, long, keys, "left_semi")
-
-
-def _match(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    right = other.select(*[F.col(key).alias(f"_m{i}") for i, key in enumerate(keys)])
-    condition = F.lit(True)
-    for i, key in enumerate(keys):
-        condition = condition & F.col(key).eqNullSafe(F.col(f"_m{i}"))
-    return df.join(right, condition, how)
+    return (df, None) if max_samples is None else split_by_size(df, keys, max_samples)
 
 
 def collect_samples(channels: Sequence[str], order: Sequence[str]) -> Column:

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 import pytest
 
 from epochloom.operators import epochs as EP
-from epochloom.operators import intervals
+from epochloom.operators import intervals, ordering
 from epochloom.operators.intervals import label_by_interval
 
 
@@ -13,7 +13,8 @@ def test_time_epochs_keep_a_partial_tail(spark):
     assert [r.epoch_id for r in EP.epochs_by_time(df).orderBy("time").collect()] == [0, 0, 1, 1, 2]
 
 
-def test_count_epochs_drop_an_incomplete_tail(spark, many_partitions):
+def test_count_epochs_drop_an_incomplete_tail(spark, many_partitions, monkeypatch):
+    monkeypatch.setattr(ordering, "WINDOW_ROWS", 100)
     rows = [(s, "R1", float(i), s * 1000 + i) for s, n in ((1, 2000), (2, 7), (3, 20)) for i in range(n)]
     df = spark.createDataFrame(rows, "subject_id int, run_id string, time double, id int").repartition(8)
     got = EP.epochs_by_count(df, ["time", "id"], samples=10).collect()
@@ -31,7 +32,8 @@ def test_labels(spark):
     assert (row["first"], row["most"]) == ("T2", "T1")
 
 
-def test_long_epochs_come_in_ordered_segments(spark, many_partitions):
+def test_long_epochs_come_in_ordered_segments(spark, many_partitions, monkeypatch):
+    monkeypatch.setattr(ordering, "WINDOW_ROWS", 10)
     rows = [("S1", "R1", 0, float(i), float(i)) for i in range(95)] + [("S1", "R1", 1, 0.5, None), ("S1", "R1", 1, 0.1, 7.0)]
     random.Random(0).shuffle(rows)
     df = spark.createDataFrame(rows, "subject_id string, run_id string, epoch_id int, time double, C3 double").repartition(8)
@@ -76,6 +78,7 @@ def test_no_annotations_at_all(spark):
 def test_intervals_match_brute_force(spark, many_partitions, monkeypatch, seed, broadcast):
     """Both ways of attaching the pieces, with one key that owns most samples and intervals."""
     monkeypatch.setattr(intervals, "BLOCK_BITS", 2)
+    monkeypatch.setattr(ordering, "WINDOW_ROWS", 100)
     rng = random.Random(seed)
     keys = ["hot"] * 5 + ["a", "b"]
     notes = [

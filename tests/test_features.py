@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from epochloom.functions import columns as C
 from epochloom.operators import features as FE
 from epochloom.operators import metrics as ME
+from epochloom.operators import ordering
 from epochloom.operators import spatial as SP
 from epochloom.operators import split as SL
 
@@ -140,7 +141,9 @@ def test_importance_tiers(spark):
 
 # -- split and maps -------------------------------------------------------------------------
 
-def test_split_of_66_subjects(spark, many_partitions):
+@pytest.mark.parametrize("window_rows", [5, 1000])
+def test_split_of_66_subjects(spark, many_partitions, monkeypatch, window_rows):
+    monkeypatch.setattr(ordering, "WINDOW_ROWS", window_rows)
     df = spark.range(6600).select(F.format_string("S%03d", F.col("id") % 66).alias("subject_id"), "id")
     df = df.union(spark.createDataFrame([(None, -1)], "subject_id string, id long"))
     train, test = SL.train_test(df)

@@ -9,6 +9,11 @@ from epochloom.operators import ordering as OR
 pytestmark = pytest.mark.usefixtures("many_partitions")
 
 
+@pytest.fixture(params=[10, 1000, 1_000_000], ids=["all keys large", "one key large", "all keys small"])
+def window_rows(request, monkeypatch):
+    monkeypatch.setattr(OR, "WINDOW_ROWS", request.param)
+
+
 def skewed(rows=5000, seed=1):
     """One key owns most rows; order values repeat and are tied by ``id``."""
     rng = random.Random(seed)
@@ -36,7 +41,7 @@ def by_id(df, column):
     return {r.id: r[column] for r in df.collect()}
 
 
-def test_number_rows_per_key(frame, rows):
+def test_number_rows_per_key(window_rows, frame, rows):
     numbered = OR.number_rows(frame, ["t", "id"], ["k"], "no", total="n")
     got = {r.id: (r.no, r.n) for r in numbered.collect()}
     ordered = rows.sort_values(["t", "id"])
@@ -50,13 +55,13 @@ def test_hot_key_spans_partitions(frame):
     assert parts.count() > 2
 
 
-def test_number_rows_overall_and_descending(frame, rows):
+def test_number_rows_overall_and_descending(window_rows, frame, rows):
     got = by_id(OR.number_rows(frame, [F.col("t").desc(), F.col("id")], (), "no"), "no")
     ordered = rows.sort_values(["t", "id"], ascending=[False, True])["id"]
     assert got == {int(i): n for n, i in enumerate(ordered)}
 
 
-def test_carry_forward(frame, rows):
+def test_carry_forward(window_rows, frame, rows):
     got = by_id(OR.carry_forward(frame, "v", ["t", "id"], ["k"], "last"), "last")
     ordered = rows.sort_values(["t", "id"])
     filled = ordered.groupby("k", dropna=False)["v"].ffill()
@@ -65,7 +70,8 @@ def test_carry_forward(frame, rows):
 
 
 @pytest.mark.parametrize("block", [10, 37, 100_000])
-def test_rolling_mean_is_independent_of_block_size(frame, rows, block):
+def test_rolling_mean_is_independent_of_block_size(frame, rows, block, monkeypatch):
+    monkeypatch.setattr(OR, "WINDOW_ROWS", 1000)
     rolled = OR.rolling_mean(frame.fillna(0.0, ["v"]), "v", ["t", "id"], ["k"], 10, "m", "no", block)
     got = by_id(rolled, "m")
     ordered = rows.fillna({"v": 0.0}).sort_values(["t", "id"])
@@ -77,7 +83,7 @@ def test_rolling_mean_is_independent_of_block_size(frame, rows, block):
         assert got[int(i)] == pytest.approx(mean, abs=1e-9)
 
 
-def test_first_rows_per_key(frame, rows):
+def test_first_rows_per_key(window_rows, frame, rows):
     got = {r.id for r in OR.first_rows(frame, ["t", "id"], 3, ["k"]).collect()}
     want = set(rows.sort_values(["t", "id"]).groupby("k", dropna=False).head(3)["id"])
     assert got == want

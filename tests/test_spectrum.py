@@ -6,6 +6,7 @@ from epochloom.constants import BANDS, MOTOR_CHANNELS
 from epochloom.functions.columns import lateralization
 from epochloom.functions.spectrum import band_bins, band_powers
 from epochloom.operators.features import alpha_by_channel, epoch_features
+from epochloom.operators import ordering
 from epochloom.operators.epochs import EPOCH
 
 FS, SAMPLES = 160, 320
@@ -100,8 +101,9 @@ def test_alpha_of_every_channel(spark):
 
 
 @pytest.mark.parametrize("length", [101, 500])
-def test_long_epochs_are_exact(spark, many_partitions, length):
+def test_long_epochs_are_exact(spark, many_partitions, monkeypatch, length):
     """Epochs beyond the limit take the distributed transform; the others stay on the short path."""
+    monkeypatch.setattr(ordering, "WINDOW_ROWS", 50)
     rng = np.random.default_rng(length)
     epochs = {
         ("S001", "R04", 0): {"C3": rng.standard_normal(length), "C4": rng.standard_normal(length)},
