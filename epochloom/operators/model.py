@@ -45,7 +45,7 @@ def forest_pipeline(
 def tune_forest(
     pipeline: Pipeline, train: DataFrame, trees: Sequence[int] = (50, 100),
     depths: Sequence[int] = (5, 10), folds: int = 3, seed: int = SEED,
-    subject: str = "subject_id", parallelism: int = 2,
+    subject: str = "subject_id", parallelism: int = 4,
 ) -> CrossValidatorModel:
     """Grid search on accuracy; a subject's epochs stay in one fold. The best model is refitted.
 

@@ -11,9 +11,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from epochloom.constants import GRID_SIGMA, GRID_SIZE, HEAD_FRACTION, SCALP_SIGMA
+from epochloom.constants import GRID_SIGMA, GRID_SIZE, HEAD_FRACTION, SCALP_ELECTRODES, SCALP_SIGMA
 
-MAX_MAP_ELECTRODES = 4096
+# Bounds every electrode array and, with the grid size, the broadcast weight table.
+MAX_MAP_ELECTRODES = 400
+
+
+def scalp_sites(montage: DataFrame, names: Sequence[str] = SCALP_ELECTRODES) -> DataFrame:
+    """The montage's rows for the listed electrodes, matched without case and named in upper case."""
+    wanted = [name.lower() for name in names]
+    return montage.where(F.lower("name").isin(wanted)).withColumn("name", F.upper("name"))
 
 
 def electrode_lookup(
@@ -107,20 +114,17 @@ def grid_cells(flat: DataFrame, size: int = GRID_SIZE) -> DataFrame:
 
 
 def grid_weights(flat: DataFrame, size: int = GRID_SIZE, sigma: float = GRID_SIGMA) -> DataFrame:
-    """Data-independent weight table ``(gx, gy, name, w)`` of the cells inside the head.
+    """Weight table ``(name, gx, gy, w)`` of every grid cell; ``w`` is 0.0 outside the head.
 
-    It depends on the montage alone: store it once and reuse it for every map.
+    It depends on the montage alone and has ``size * size`` rows per electrode.
     """
     cells = grid_cells(flat, size)
     inside = F.col("cx") ** 2 + F.col("cy") ** 2 <= (F.col("r") * HEAD_FRACTION) ** 2
-    weight = F.exp(
-        -((F.col("cx") - F.col("_e.px")) ** 2 + (F.col("cy") - F.col("_e.py")) ** 2) / (2.0 * sigma * sigma)
-    )
+    d2 = (F.col("cx") - F.col("_e.px")) ** 2 + (F.col("cy") - F.col("_e.py")) ** 2
+    weight = F.when(inside, F.exp(-d2 / (2.0 * sigma * sigma))).otherwise(F.lit(0.0))
     sites = _as_array(flat, ["name", "px", "py"])
-    return (
-        cells.where(inside)
-        .withColumn("_e", F.explode(sites))
-        .select("gx", "gy", F.col("_e.name").alias("name"), weight.alias("w"))
+    return cells.withColumn("_e", F.explode(sites)).select(
+        F.col("_e.name").alias("name"), "gx", "gy", weight.alias("w")
     )
 
 
@@ -135,18 +139,17 @@ def topomap_grid(
     """Interpolated value of every grid cell, per key: ``(keys, gx, gy, value)``.
 
     ``values`` holds one row per (keys, name). A NULL or NaN channel is skipped; cells outside the
-    head, or too far from every electrode, are NULL.
+    head, or too far from every electrode, are NULL. The values move once, by key; the weight
+    table is broadcast (its size is bounded) and each map is summed where its values are.
     """
-    usable = values.where(F.col(value).isNotNull() & ~F.isnan(value))
-    weighted = usable.join(grid_weights(flat, size, sigma), "name").groupBy(*keys, "gx", "gy").agg(
-        F.sum(F.col("w") * F.col(value)).alias("_mass"), F.sum("w").alias("_w")
-    )
-    inside = F.when(F.col("_w") > 1e-9, F.col("_mass") / F.col("_w"))
-    axis = F.sequence(F.lit(0).cast("long"), F.lit(size - 1).cast("long"))
-    frame = values.select(*keys).distinct() if keys else flat.sparkSession.range(1).select()
-    cells = frame.select(*keys, F.explode(axis).alias("gx")).select(
-        *keys, "gx", F.explode(axis).alias("gy")
+    usable = F.col(value).isNotNull() & ~F.isnan(value)
+    # Small rows stand for whole grids here: a fixed number of partitions is not merged back.
+    tasks = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = values.repartition(tasks, *keys) if keys else values
+    sums = placed.join(F.broadcast(grid_weights(flat, size, sigma)), "name").groupBy(*keys, "gx", "gy").agg(
+        F.sum(F.when(usable, F.col("w") * F.col(value))).alias("_mass"),
+        F.sum(F.when(usable, F.col("w"))).alias("_w"),
     )
-    return cells.join(weighted, [*keys, "gx", "gy"], "left").select(
-        *keys, "gx", "gy", inside.alias(value)
+    return sums.select(
+        *keys, "gx", "gy", F.when(F.col("_w") > 1e-9, F.col("_mass") / F.col("_w")).alias(value)
     )

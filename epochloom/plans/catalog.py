@@ -403,6 +403,15 @@ def electrode_lookup(spark, sf):
     return rounded(SP.electrode_lookup(channels, mounted))
 
 
+def electrode_powers(spark, sf):
+    """Every electrode with the level of the quieter class channels, NULL where none was recorded."""
+    quiet = vector_channels(spark, sf).where("task_label = 'T1' and value > 0").select(
+        F.concat(F.lit("e"), "pos").alias("channel"), "value"
+    )
+    sites = electrodes(spark, sf).select("name", "z")
+    return rounded(SP.electrode_powers(sites, quiet, "value"))
+
+
 def electrode_projection(spark, sf):
     flat = SP.projected(electrodes(spark, sf))
     return rounded(flat.select("name", "px", "py", SP.map_radius(flat).alias("map_radius")))
@@ -783,7 +792,7 @@ QUERIES = {
         subject_accuracy, subject_tiers, decode_labels, score_flags, kpi_summary,
         prediction_columns, rolling_accuracy, prediction_timeline, dedup_latest, tail_100,
         latest_snapshot, live_kpis, event_time_axis, loop_replay, latest_batches, union_batches,
-        electrode_lookup, electrode_projection, scalp_interpolate, topomap_grid, difference_map,
+        electrode_lookup, electrode_powers, electrode_projection, scalp_interpolate, topomap_grid, difference_map,
         live_map_range, signal_sample,
         clean_columns, partitioned_roundtrip, merged_scan, metrics_json, ingest_pending,
         manifest_missing, ingest_outcomes, scoring_defaults, decode_recordings, compare_runs,

@@ -306,6 +306,9 @@ SELECT event_id, user_id, CASE WHEN event_type = 'purchase' THEN value END AS va
 SELECT m.task_label, 'E' || m.pos AS channel, round(m.value, 6) AS value, round(x, 6) AS x, round(y, 6) AS y,
        round(z, 6) AS z
 FROM means m JOIN sites s ON s.name = 'E' || m.pos WHERE s.level > 0""",
+    "electrode_powers": f"""WITH {_SITES}
+SELECT name, round(z, 6) AS z, round(value, 6) AS value FROM sites
+LEFT JOIN (SELECT 'E' || pos AS name, value FROM means WHERE task_label = 'T1' AND value > 0) USING (name)""",
     "electrode_projection": f"""WITH {_SITES}
 SELECT name, round(px, 6) AS px, round(py, 6) AS py, round(r, 6) AS map_radius FROM flat, radius""",
     "scalp_interpolate": f"""WITH {_SITES}, anchors AS (

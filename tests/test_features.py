@@ -170,6 +170,20 @@ def test_lookup_ignores_case(spark, sphere):
     assert sum(r.v is None for r in powers) == 62
 
 
+def test_listed_sites(spark):
+    montage = spark.createDataFrame([("fcz", 1.0), ("CZ", 2.0), ("Nz", 3.0)], "name string, x double")
+    assert {r.name for r in SP.scalp_sites(montage).collect()} == {"FCZ", "CZ"}
+
+
+def test_map_without_usable_channels_is_empty(spark, sphere):
+    flat = SP.projected(sphere)
+    nothing = sphere.select(F.lit("k").alias("k"), "name", F.lit(None).cast("double").alias("value"))
+    some = sphere.select(F.lit("l").alias("k"), "name", F.lit(1.0).alias("value"))
+    cells = SP.topomap_grid(flat, nothing.union(some), ["k"], size=9).collect()
+    assert len(cells) == 162 and all(c.value is None for c in cells if c.k == "k")
+    assert any(c.value == pytest.approx(1.0) for c in cells if c.k == "l")
+
+
 def test_interpolation_and_fallback(spark, sphere):
     anchors = sphere.where("name in ('E1', 'E20', 'E40')")
     given = anchors.select("name", F.expr("cast(substring(name, 2) as double)").alias("value"))

@@ -91,6 +91,12 @@ def test_no_pairing_joins(spark, name):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+@needs_tables
+def test_maps_move_their_values_once(spark):
+    df = catalog.QUERIES["topomap_grid"](spark, SF)
+    assert len(re.findall(r"Exchange \(\d+\)", tree(df).split("BroadcastExchange")[0])) == 1
+
+
 @needs_tables
 def test_metrics_count_before_they_shuffle(spark):
     text = plan(catalog.QUERIES["weighted_metrics"](spark, SF))
