@@ -12,6 +12,7 @@ from epochloom.constants import (
     BANDS, DEFAULT_LIVE_CHANNELS, FEATURE_META, LEFT_CHANNEL, LIVE_META, LOG_FLOOR, REST_CLASS,
     REST_WEIGHT, RIGHT_CHANNEL,
 )
+from epochloom.shared import read_if_landed
 
 
 def column(name: str) -> Column:
@@ -47,14 +48,8 @@ def landed_channels(
     spark: SparkSession, path: str, default: Sequence[str] = DEFAULT_LIVE_CHANNELS
 ) -> list[str]:
     """Channels of a landed Parquet folder, from footers only; ``default`` while it is empty."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        return channel_columns(spark.read.parquet(path))
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return list(default)
-        raise
+    landed = read_if_landed(spark, path)
+    return list(default) if landed is None else channel_columns(landed)
 
 
 def live_schema(channels: Sequence[str]) -> T.StructType:

@@ -10,7 +10,6 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +17,7 @@ from epochloom.constants import CLASSES, LOG_FLOOR, SEED
 from epochloom.functions.columns import agrees, decoded, scoring_defaults
 from epochloom.operators.features import balanced_weights
 from epochloom.operators.metrics import weighted_metrics
+from epochloom.shared import path_exists
 
 FOLD = "_fold"
 
@@ -103,26 +103,13 @@ def fit_live(
     return live_pipeline(features, label, **forest).fit(balanced_weights(usable, label))
 
 
-def load_or_fit(path: str, fit) -> PipelineModel:
+def load_or_fit(spark: SparkSession, path: str, fit) -> PipelineModel:
     """The stored model at ``path``; fitted and stored first where there is none."""
-    try:
-        return PipelineModel.load(path)
-    except Exception as error:  # a missing path surfaces as a different error per file system
-        if not _is_missing(error):
-            raise
-    model = fit()
-    model.write().overwrite().save(path)
+    if not path_exists(spark, f"{path}/metadata"):
+        fit().write().overwrite().save(path)
     return PipelineModel.load(path)
 
 
-def _is_missing(error: Exception) -> bool:
-    text = f"{type(error).__name__} {error}"
-    return isinstance(error, AnalysisException) and "PATH_NOT_FOUND" in text or (
-        "does not exist" in text or "InvalidInputException" in text or "FileNotFound" in text
-        or "empty collection" in text
-    )
-
-
 def model_labels(model) -> list[str]:
     """Class labels in index order."""
     fitted = model.bestModel if isinstance(model, CrossValidatorModel) else model

@@ -209,15 +209,6 @@ def _rolling_blocks(
     )
 
 
-def first_rows(
-    df: DataFrame, order: Sequence, count: int, keys: Sequence[str] = ()
-) -> DataFrame:
-    """First ``count`` rows in ``order``, overall or per key."""
-    if not keys:
-        return df.orderBy(*_sort_columns(order)).limit(count)
-    return number_rows(df, order, keys, "_no").where(F.col("_no") < count).drop("_no")
-
-
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the one with the greatest ``order`` tuple. Copies collapse before the shuffle."""
     rest = [name for name in df.columns if name not in set(keys)]

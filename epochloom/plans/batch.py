@@ -18,7 +18,7 @@ from epochloom.operators.model import evaluate, forest_pipeline, tune_forest
 from epochloom.operators.split import train_test
 from epochloom.shared import materialise
 from epochloom.sources.edf import decode_recordings
-from epochloom.sources.landing import read_merged, write_partitioned, write_table
+from epochloom.sources.landing import write_partitioned, write_table
 from epochloom.sources.manifests import SKIPPED, outcomes, pending, recording_files
 
 
@@ -28,7 +28,7 @@ def ingest(
 ) -> DataFrame:
     """Convert the recordings that have not landed yet; returns the tally of outcomes.
 
-    ``landed`` lists converted recordings. What counts is committed data, so a recording that
+    ``landed`` is the landing zone, if it holds anything yet. What counts is committed data, so a recording that
     failed before is tried again.
     """
     listed = recording_files(spark, recordings)
@@ -48,11 +48,6 @@ def ingest(
     return outcomes(status.select("status").unionAll(skipped.select(F.lit(SKIPPED).alias("status"))))
 
 
-def landed_recordings(spark: SparkSession, landing: str) -> DataFrame:
-    """Recordings with committed rows, from the partition columns."""
-    return read_merged(spark, landing).select("subject_id", "run_id").distinct()
-
-
 def normalised_features(
     epochs: DataFrame,
     channels: Sequence[str] = MOTOR_CHANNELS,

@@ -661,8 +661,8 @@ def model_roundtrip(spark, sf):
     path = shared_path(spark, "live-model")
     names = C.feature_columns(features)
     fit = lambda: MO.fit_live(features, names, trees=10, depth=5)
-    MO.load_or_fit(path, fit)
-    stored = MO.load_or_fit(path, fit)
+    MO.load_or_fit(spark, path, fit)
+    stored = MO.load_or_fit(spark, path, fit)
     return MO.score(stored, features, classes=CLASSES).select(
         "subject_id", "run_id", "epoch_id", "pred_label", "correct"
     )

@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +18,7 @@ from epochloom.operators.metrics import with_importance_tier
 from epochloom.operators.model import feature_importances, fit_live, load_or_fit
 from epochloom.operators.split import split_counts
 from epochloom.plans import batch
-from epochloom.shared import materialise
+from epochloom.shared import materialise, read_if_landed
 from epochloom.sources import landing
 from epochloom.sources.runs import append_runs, run_record
 from epochloom.streaming import live
@@ -33,18 +32,8 @@ def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
-    return True
-
-
 def ingest(spark: SparkSession, recordings: str, landed: str, metrics: str | None = None) -> DataFrame:
-    known = batch.landed_recordings(spark, landed) if _exists(spark, landed) else None
+    known = read_if_landed(spark, landed)
     tally = materialise(batch.ingest(spark, recordings, landed, known), "tally")
     if metrics:
         wide = tally.agg(*[
@@ -153,7 +142,7 @@ def stream(
         training = live_training(without_dots(landing.read_merged(spark, landed)))
         return fit_live(training, feature_columns(training), trees=trees, depth=depth)
 
-    model = load_or_fit(model_path, fit)
+    model = load_or_fit(spark, model_path, fit)
     channels = landed_channels(spark, source)
     samples = live.sample_stream(spark, source, live_schema(channels), files_per_trigger)
     writer = live.batch_sink(

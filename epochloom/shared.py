@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -38,7 +39,28 @@ def materialise(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    context = spark.sparkContext
+    where = context._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(context._jsc.hadoopConfiguration()), where
+
+
 def _remove_at_exit(spark: SparkSession, path: str) -> None:
     """Let the driver's file system client remove ``path`` when the application ends."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    system, where = _file_system(spark, path)
+    system.deleteOnExit(where)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, where = _file_system(spark, path)
+    return system.exists(where)
+
+
+def read_if_landed(spark: SparkSession, path: str, **options) -> DataFrame | None:
+    """The Parquet table at ``path``, or None while the folder is missing or empty."""
+    try:
+        return spark.read.options(**options).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise

@@ -68,7 +68,7 @@ def test_live_model_roundtrip(spark, features):
         fits.append(1)
         return MO.fit_live(features.drop("weight"), ["good", "noise"], trees=5, depth=4)
 
-    first, second = MO.load_or_fit(path, fit), MO.load_or_fit(path, fit)
+    first, second = MO.load_or_fit(spark, path, fit), MO.load_or_fit(spark, path, fit)
     assert len(fits) == 1
     a = MO.score(first, features.drop("weight")).select("epoch_id", "pred_label").orderBy("epoch_id").collect()
     b = MO.score(second, features.drop("weight")).select("epoch_id", "pred_label").orderBy("epoch_id").collect()

@@ -83,12 +83,6 @@ def test_rolling_mean_is_independent_of_block_size(frame, rows, block, monkeypat
         assert got[int(i)] == pytest.approx(mean, abs=1e-9)
 
 
-def test_first_rows_per_key(window_rows, frame, rows):
-    got = {r.id for r in OR.first_rows(frame, ["t", "id"], 3, ["k"]).collect()}
-    want = set(rows.sort_values(["t", "id"]).groupby("k", dropna=False).head(3)["id"])
-    assert got == want
-
-
 def test_latest_per_key_keeps_newest_copy(spark):
     df = spark.createDataFrame(
         [(1, 10, "old"), (1, 12, "new"), (2, 5, "only")] + [(1, 11, "copy")] * 500,

@@ -66,7 +66,7 @@ def test_ingest_is_incremental(spark, root, tmp_path):
     landing_path = str(tmp_path / "landing")
     first = {r.status: r.n for r in batch.ingest(spark, str(path), landing_path).collect()}
     assert first == {"converted": 3, "skipped": 0, "errors": 1}
-    landed = batch.landed_recordings(spark, landing_path)
+    landed = spark.read.parquet(landing_path)
     (path / "S002" / "S002R04.edf").write_bytes((path / "S002" / "S002R03.edf").read_bytes())
     again = {r.status: r.n for r in batch.ingest(spark, str(path), landing_path, landed).collect()}
     assert again == {"converted": 1, "skipped": 3, "errors": 0}
