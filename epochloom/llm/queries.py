@@ -2,19 +2,41 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from epochloom.llm.exact_dedup import exact_groups
+from epochloom.llm.packing import packed_pieces
+from epochloom.llm.simple8b import read_token_files, write_token_files
+from epochloom.shared import shared_path
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_groups(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return exact_groups(_documents(spark, sf_dir))
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "token-files")
+    write_token_files(_documents(spark, sf_dir), path, WORD_BPE)
+    return read_token_files(spark, path, checksum=True)
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_pieces(_documents(spark, sf_dir), WORD_BPE).drop("ids")
 
 
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op5_token_files": op5_token_files,
+    "op7_best_fit_packing": op7_best_fit_packing,
 }
