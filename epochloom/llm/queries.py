@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from epochloom.llm.exact_dedup import exact_groups
 from epochloom.llm.packing import packed_pieces
+from epochloom.llm.quality import quality_scores
+from epochloom.llm.sharding import shuffled_shards
 from epochloom.llm.simple8b import read_token_files, write_token_files
 from epochloom.shared import shared_path
 
@@ -21,6 +24,11 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+def _remainder(n: int) -> Column:
+    """crc32 of the document's number as text, modulo ``n``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_documents(spark, sf_dir))
 
@@ -31,12 +39,29 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path, checksum=True)
 
 
+def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    rows = _documents(spark, sf_dir).select(
+        "doc_id", (F.octet_length(raw) + 16).cast("long").alias("size"), F.crc32(raw).alias("text_crc32")
+    )
+    return shuffled_shards(rows, 40).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_pieces(_documents(spark, sf_dir), WORD_BPE).drop("ids")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"), held_out=_remainder(3) == 1)
+
+
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op5_token_files": op5_token_files,
+    "op6_shards": op6_shards,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op9_quality": op9_quality,
 }
