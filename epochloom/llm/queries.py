@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from epochloom.llm.bpe_codec import bpe_decoded, bpe_encoded
 from epochloom.llm.exact_dedup import exact_groups
 from epochloom.llm.packing import packed_pieces
 from epochloom.llm.quality import quality_scores
@@ -13,6 +14,7 @@ from epochloom.llm.sharding import shuffled_shards
 from epochloom.llm.simple8b import read_token_files, write_token_files
 from epochloom.shared import shared_path
 
+BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -33,6 +35,14 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_documents(spark, sf_dir))
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = bpe_encoded(_documents(spark, sf_dir), BYTE_RANKS, public_tokenizers.PATTERN)
+    return bpe_decoded(tokens, BYTE_RANKS, public_tokenizers.PATTERN).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "token-files")
     write_token_files(_documents(spark, sf_dir), path, WORD_BPE)
@@ -60,6 +70,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_byte_bpe": op3_byte_bpe,
     "op5_token_files": op5_token_files,
     "op6_shards": op6_shards,
     "op7_best_fit_packing": op7_best_fit_packing,

@@ -15,8 +15,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHED_WORDS = 1_000_000
-SLICE_BYTES = 8 << 20
+CACHED_WORDS = 800_000
+SLICE_BYTES = 6 << 20
 _MARKS = ".,!?;:#$%&*|)\"-"
 _encoders: dict = {}
 
@@ -45,15 +45,10 @@ def slices(batch: pa.RecordBatch, text: str, most: int = SLICE_BYTES) -> Iterato
         yield batch.slice(low, high - low)
 
 
-class WordEncoder:
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
+class WordCache:
+    """Ids of the strings met so far in this worker; subclasses say how new ones are encoded."""
 
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
-        vocab = self.library.get_vocab()
-        self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
-        self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
+    def __init__(self) -> None:
         self.known: dict[str, int] = {}
         self._forget()
 
@@ -75,6 +70,33 @@ class WordEncoder:
         self.used += len(ids)
         self.known.update(zip(words, range(first, first + n)))
 
+    def _learn(self, words: list[str]) -> None:
+        """Add the ids of words that are not known yet."""
+        raise NotImplementedError
+
+    def _slots(self, words: pa.Array) -> np.ndarray:
+        listed = words.to_pylist()
+        new = [w for w in dict.fromkeys(listed) if w not in self.known]
+        if new:
+            self._learn(new)
+        known = self.known
+        return np.fromiter((known[w] for w in listed), dtype=np.int64, count=len(listed))
+
+    def _ids(self, slots: np.ndarray) -> np.ndarray:
+        return ragged(self.flat, self.start[slots], self.size[slots].astype(np.int64))
+
+
+class WordEncoder(WordCache):
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        super().__init__()
+        self.library = Tokenizer.from_file(path)
+        self.library.encode_special_tokens = True
+        vocab = self.library.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
+
     def _learn(self, words: list[str]) -> None:
         """Encode words for the first time: runs of plain words in one text, told apart by their last token."""
         plain = [w for w in words if w.isalpha()]
@@ -93,14 +115,6 @@ class WordEncoder:
             sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
             self._add(part, np.array([i for ids in found for i in ids], dtype=np.uint32), sizes)
 
-    def _slots(self, words: pa.Array) -> np.ndarray:
-        listed = words.to_pylist()
-        new = [w for w in dict.fromkeys(listed) if w not in self.known]
-        if new:
-            self._learn(new)
-        known = self.known
-        return np.fromiter((known[w] for w in listed), dtype=np.int64, count=len(listed))
-
     def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the number of ids of each; ``end_id`` closes every text."""
         if len(self.known) > CACHED_WORDS:
@@ -130,7 +144,7 @@ class WordEncoder:
         per_word = sizes.sum(axis=1)
         total = np.concatenate([[0], np.cumsum(per_word)])
         counts = total[offsets[1:]] - total[offsets[:-1]]
-        ids = ragged(self.flat, self.start[pairs.ravel()], sizes.ravel().astype(np.int64))
+        ids = self._ids(pairs.ravel())
         if end_id is not None:
             ids = np.insert(ids, np.cumsum(counts), np.uint32(end_id))
             counts = counts + 1
