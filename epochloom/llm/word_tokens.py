@@ -15,8 +15,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHED_WORDS = 800_000
-SLICE_BYTES = 6 << 20
+CACHED_WORDS = 400_000
+SLICE_BYTES = 4 << 20
 _MARKS = ".,!?;:#$%&*|)\"-"
 _encoders: dict = {}
 
