@@ -1,5 +1,20 @@
 """SQL twins of the queries that SQL can express."""
 
+OP1 = """
+WITH RECURSIVE link AS MATERIALIZED (
+    SELECT a.vec_id AS a, b.vec_id AS b
+    FROM embeddings a JOIN embeddings b
+      ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.95
+), reach(a, b) AS (
+    SELECT vec_id, vec_id FROM embeddings
+  UNION
+    SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+), least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+degree AS (SELECT a, count(*) AS n_links FROM link GROUP BY a)
+SELECT e.vec_id, coalesce(n_links, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN least ON least.a = e.vec_id LEFT JOIN degree ON degree.a = e.vec_id
+"""
+
 OP2 = r"""
 WITH plain AS (
     SELECT doc_id, length(coalesce(text, '')) AS points,
@@ -14,5 +29,6 @@ SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM ranked
 """
 
 EXPECTED = {
+    "op1_lattice_dedup": OP1,
     "op2_exact_dedup": OP2,
 }

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from epochloom.llm.bpe_codec import bpe_decoded, bpe_encoded
+from epochloom.llm.e8_dedup import near_vectors
 from epochloom.llm.exact_dedup import exact_groups
 from epochloom.llm.packing import packed_pieces
 from epochloom.llm.quality import quality_scores
@@ -31,6 +32,10 @@ def _remainder(n: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
 
 
+def op1_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_documents(spark, sf_dir))
 
@@ -69,6 +74,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lattice_dedup": op1_lattice_dedup,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_token_files": op5_token_files,
