@@ -3,10 +3,9 @@
 Every partition works for itself. A text is cut where white space begins, which no match of the pattern
 crosses; Arrow numbers the distinct pieces, the pattern splits them into words, and words not met before
 become rows (word, position, token). A recursive query joins neighbouring tokens with the merge table and
-contracts the pair of least rank in each word until no pair merges. All its occurrences in a word, from the
-left, are contracted in one step. That equals one at a time in a vocabulary whose tokens' own bytes encode
-to them, as a merge then never makes a pair of lower rank; ``sound`` tests this, and another vocabulary
-gets one contraction a step. A query runs ``_steps`` rounds at most, which bounds its rows; unfinished
+contracts the pair of least rank in each word until no pair merges. A step takes all its occurrences, from the
+left, that do not overlap. That equals one at a time in a vocabulary whose tokens' own bytes encode to them,
+as a merge then never makes a pair of lower rank; a vocabulary without this property is refused. A query runs ``_steps`` rounds at most, which bounds its rows; unfinished
 words go into the next. Decoding joins ids to token bytes and aggregates them in order of position.
 
 Behaviour: NULL text counts as empty and has no ids; NULL ids decode to NULL; an id outside the vocabulary
@@ -28,39 +27,56 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from epochloom.functions.columns import column
-from epochloom.llm.word_tokens import CACHED_WORDS, WordCache, slices
+from epochloom.llm.word_tokens import WordCache, slices
 
 #: Bytes of new words in one query, and rows a query may produce.
-QUERY_BYTES, QUERY_ROWS = 1 << 19, 4 << 20
+QUERY_BYTES, QUERY_ROWS = 1 << 18, 2 << 20
+CACHED_WORDS = 600_000
 #: Fixed value: Unicode white space, which is what the blank class of the pattern means.
 SPACES = "\t-\r \x85\xa0  -     　"
 
+#: One step for every live word: the first pair of each run of equal tokens, and every other pair, of least rank.
 _CONTRACT = """
 WITH RECURSIVE state AS (
     SELECT word, pos, tok, 0 AS step, true AS live FROM input
   UNION ALL
-    SELECT word, pos, CASE WHEN taken THEN rank ELSE tok END, step + 1, low IS NOT NULL
+    (WITH pairs AS MATERIALIZED (
+        SELECT s.*, m.rank, p.rank AS before
+        FROM (
+            SELECT *, lead(tok) OVER w AS next, lag(tok) OVER w AS prev, lag(tok, 2) OVER w AS prev2
+            FROM state WHERE live AND step < {steps} WINDOW w AS (PARTITION BY word ORDER BY pos)
+        ) s LEFT JOIN merges m ON m.l = tok AND m.r = next LEFT JOIN merges p ON p.l = prev AND p.r = tok
+    ), best AS (SELECT word, min(rank) AS low FROM pairs GROUP BY word)
+    SELECT word, pos, CASE WHEN rank = low AND (tok <> next OR tok IS DISTINCT FROM prev) THEN rank ELSE tok END,
+           step + 1, low IS NOT NULL
+    FROM pairs JOIN best USING (word)
+    WHERE low IS NULL OR before IS DISTINCT FROM low OR (prev = tok AND prev2 IS NOT DISTINCT FROM prev))
+)
+SELECT word, pos, tok, live FROM state WHERE NOT live OR step = {steps} ORDER BY word, pos
+"""
+#: The same with every second pair of a run, for long words, whose runs may be long.
+_CONTRACT_RUNS = """
+WITH RECURSIVE state AS (
+    SELECT word, pos, tok, 0 AS step, true AS live FROM input
+  UNION ALL
+    SELECT word, pos, CASE WHEN rank = low AND (tok <> next OR (place - run) % 2 = 0) THEN rank ELSE tok END,
+           step + 1, low IS NOT NULL
     FROM (
-        SELECT *, lag(taken, 1, false) OVER (PARTITION BY word ORDER BY pos) AS gone
+        SELECT *, min(rank) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS low,
+               max(CASE WHEN prev = tok THEN NULL ELSE place END) OVER w AS run
         FROM (
-            SELECT *, coalesce(rank = low AND {chosen}, false) AS taken
+            SELECT s.*, m.rank, p.rank AS before
             FROM (
-                SELECT pair.*, rank, min(rank) OVER (PARTITION BY word) AS low,
-                       row_number() OVER (PARTITION BY word ORDER BY pos) AS place
-                FROM (
-                    SELECT *, lead(tok) OVER (PARTITION BY word ORDER BY pos) AS next
-                    FROM state WHERE live AND step < {steps}
-                ) pair LEFT JOIN merges ON l = tok AND r = next
-            )
-        )
+                SELECT *, lead(tok) OVER w AS next, lag(tok) OVER w AS prev, row_number() OVER w AS place
+                FROM state WHERE live AND step < {steps} WINDOW w AS (PARTITION BY word ORDER BY pos)
+            ) s LEFT JOIN merges m ON m.l = tok AND m.r = next LEFT JOIN merges p ON p.l = prev AND p.r = tok
+        ) WINDOW w AS (PARTITION BY word ORDER BY pos)
     )
-    WHERE NOT gone
+    WHERE low IS NULL OR before IS DISTINCT FROM low OR (prev = tok AND (place - run) % 2 = 0)
 )
 SELECT word, pos, tok, live FROM state WHERE NOT live OR step = {steps} ORDER BY word, pos
 """
-#: Every second place of a run of equal pairs, or the first of all.
-_ALL = "(place - coalesce(max(CASE WHEN rank = low THEN NULL ELSE place END) OVER (PARTITION BY word ORDER BY pos), 0)) % 2 = 1"
-_FIRST = "place = min(CASE WHEN rank = low THEN place END) OVER (PARTITION BY word)"
+LONG_WORD = 64
 
 _DECODE = "SELECT doc, list(piece ORDER BY pos) AS pieces FROM ids JOIN vocab USING (tok) GROUP BY doc ORDER BY doc"
 
@@ -111,7 +127,7 @@ class Coder(WordCache):
         pattern = pattern.replace("[^\\s", "[^" + SPACES).replace("\\s", f"[{SPACES}]").replace("\\S", f"[^{SPACES}]")
         self.split = regex.compile(pattern).findall
         self.bytes = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
-        self.sql = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.sql = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
         merges = np.array(
             [(ranks[t[:i]], ranks[t[i:]], rank) for t, rank in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks],
             dtype=np.int32,
@@ -120,43 +136,46 @@ class Coder(WordCache):
         self._load("vocab", tok=pa.array(ranks.values(), pa.int32()), piece=pa.array(ranks.keys(), pa.binary()))
         self.valid = np.zeros(max(ranks.values()) + 1, dtype=bool)
         self.valid[list(ranks.values())] = True
-        self.chosen = _ALL
-        self.sound = bool((self._contract(list(ranks))[1] == 1).all())
-        if not self.sound:
-            self.chosen = _FIRST
+        if (self._contracted(list(ranks), _CONTRACT_RUNS)[1] != 1).any():
+            raise ValueError(f"{path}: some tokens cannot be reached from their own bytes")
 
     def _load(self, name: str, **columns) -> None:
         self.sql.register("source", pa.table(columns))
         self.sql.execute(f"CREATE TABLE {name} AS FROM source")
         self.sql.unregister("source")
 
-    def _contract(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def _contracted(self, words: list[bytes], query: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in a row, and the number of ids of each."""
         lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         word = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
         pos = (np.arange(len(word)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
         tok = self.bytes[np.frombuffer(b"".join(words), dtype=np.uint8)]
-        done = []
+        done = [(np.zeros(0, np.int32), np.zeros(0, np.int32))]
         while len(word):
             self.sql.register("input", pa.table({"word": word, "pos": pos, "tok": tok}))
             steps = max(1, min(32, QUERY_ROWS // len(word)))
-            rows = self.sql.sql(_CONTRACT.format(chosen=self.chosen, steps=steps)).to_arrow_table()
+            rows = self.sql.sql(query.format(steps=steps)).to_arrow_table()
             word, pos, tok, live = (rows.column(c).to_numpy() for c in ("word", "pos", "tok", "live"))
             done.append((word[~live], tok[~live]))
             word, pos, tok = word[live], pos[live], tok[live]
-        word, tok = (np.concatenate(x) for x in zip(*done)) if done else (np.zeros(0, np.int32), np.zeros(0, np.int32))
+        word, tok = (np.concatenate(x) for x in zip(*done))
         order = np.argsort(word, kind="stable")
         return tok[order].astype(np.uint32), np.bincount(word, minlength=len(words))
 
-    def _learn(self, words: list[str]) -> None:
-        found = [self.split(w) for w in words]
-        new = [p for p in dict.fromkeys(p for pieces in found for p in pieces) if p not in self.known]
-        raw = [p.encode() for p in new]
+    def _encode_words(self, words: list[str]) -> None:
+        raw = [w.encode() for w in words]
         block = np.cumsum([0, *map(len, raw)]) // QUERY_BYTES
         edges = [0, *(np.flatnonzero(np.diff(block[:-1])) + 1).tolist(), len(raw)]
         for low, high in zip(edges, edges[1:]):
-            if low < high:
-                self._add(new[low:high], *self._contract(raw[low:high]))
+            for query, chosen in ((_CONTRACT, False), (_CONTRACT_RUNS, True)):
+                some = [i for i in range(low, high) if (len(raw[i]) > LONG_WORD) == chosen]
+                if some:
+                    self._add([words[i] for i in some], *self._contracted([raw[i] for i in some], query))
+
+    def _learn(self, words: list[str]) -> None:
+        found = [self.split(w) for w in words]
+        new = [p for p in dict.fromkeys(p for pieces in found for p in pieces) if p not in self.known]
+        self._encode_words(new)
         several = [(w, pieces) for w, pieces in zip(words, found) if w not in self.known]
         if several:
             slots = np.array([self.known[p] for _, pieces in several for p in pieces], dtype=np.int64)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from epochloom.llm.bpe_codec import bpe_decoded, bpe_encoded
 from epochloom.llm.e8_dedup import near_vectors
 from epochloom.llm.exact_dedup import exact_groups
+from epochloom.llm.minhash_dedup import near_documents
 from epochloom.llm.packing import packed_pieces
 from epochloom.llm.quality import quality_scores
 from epochloom.llm.sharding import shuffled_shards
@@ -48,6 +49,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_documents(_documents(spark, sf_dir), words_each=4, percent=80)
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "token-files")
     write_token_files(_documents(spark, sf_dir), path, WORD_BPE)
@@ -77,6 +82,7 @@ QUERIES = {
     "op1_lattice_dedup": op1_lattice_dedup,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_superminhash": op4_superminhash,
     "op5_token_files": op5_token_files,
     "op6_shards": op6_shards,
     "op7_best_fit_packing": op7_best_fit_packing,

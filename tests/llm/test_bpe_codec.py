@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 import tiktoken
 
-from epochloom.llm.bpe_codec import _FIRST, bpe_decoded, bpe_encoded, coder
+from epochloom.llm.bpe_codec import _CONTRACT, _CONTRACT_RUNS, bpe_decoded, bpe_encoded, coder
 
 PATH, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 SPACES = " \n\t\r\x0b\x0c\x1c\x1f\x85\xa0 　"
@@ -44,16 +44,25 @@ def test_ids_and_round_trip(spark, library):
         assert bytes(r.decoded) == text.encode()
 
 
-def test_one_contraction_at_a_time_is_the_same(library):
-    """The literal rule, which a vocabulary with unreachable tokens falls back to."""
-    assert coder(PATH, PATTERN).sound
-    words = [t.encode() for t in random_texts(60) if t] + [b"a" * 40]
-    by = coder(PATH, PATTERN)
-    together = by._contract(words)
-    by.chosen, before = _FIRST, by.chosen
-    single = by._contract(words)
-    by.chosen = before
-    assert together[0].tolist() == single[0].tolist() and together[1].tolist() == single[1].tolist()
+def contracted_one_by_one(ranks, word):
+    tokens = [bytes([b]) for b in word]
+    while True:
+        found = [(ranks[a + b], i) for i, (a, b) in enumerate(zip(tokens, tokens[1:])) if a + b in ranks]
+        if not found:
+            return [ranks[t] for t in tokens]
+        i = min(found)[1]
+        tokens[i : i + 2] = [tokens[i] + tokens[i + 1]]
+
+
+@pytest.mark.parametrize("query", [_CONTRACT, _CONTRACT_RUNS])
+def test_steps_equal_one_contraction_at_a_time(query):
+    with open(PATH, "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    words = [t.encode() for t in random_texts(80) if t]
+    words += [b"a" * 40, b"ab" * 33, b"aaabaaab" * 9, b"***", b"334", "éé".encode() * 20, b"x"]
+    ids, counts = coder(PATH, PATTERN)._contracted(words, query)
+    want = [contracted_one_by_one(ranks, w) for w in words]
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == sum(want, [])
 
 
 def test_null_and_unknown_ids(spark):
