@@ -14,6 +14,7 @@ from epochloom.llm.packing import packed_pieces
 from epochloom.llm.quality import quality_scores
 from epochloom.llm.sharding import shuffled_shards
 from epochloom.llm.simple8b import read_token_files, write_token_files
+from epochloom.llm.suffix_dedup import repeats_removed
 from epochloom.shared import shared_path
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -74,6 +75,10 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_pieces(_documents(spark, sf_dir), WORD_BPE).drop("ids")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats_removed(_documents(spark, sf_dir))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"), held_out=_remainder(3) == 1)
 
@@ -86,5 +91,6 @@ QUERIES = {
     "op5_token_files": op5_token_files,
     "op6_shards": op6_shards,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_quality": op9_quality,
 }
