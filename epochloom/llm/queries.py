@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from epochloom.llm.bpe_codec import bpe_decoded, bpe_encoded
 from epochloom.llm.e8_dedup import near_vectors
 from epochloom.llm.exact_dedup import exact_groups
+from epochloom.llm.gru_lm import document_scores
 from epochloom.llm.minhash_dedup import near_documents
 from epochloom.llm.packing import packed_pieces
 from epochloom.llm.quality import quality_scores
@@ -83,6 +84,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"), held_out=_remainder(3) == 1)
 
 
+def op10_gru_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_scores(_documents(spark, sf_dir), held_out=_remainder(5) == 1)
+
+
 QUERIES = {
     "op1_lattice_dedup": op1_lattice_dedup,
     "op2_exact_dedup": op2_exact_dedup,
@@ -93,4 +98,5 @@ QUERIES = {
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_quality": op9_quality,
+    "op10_gru_scores": op10_gru_scores,
 }
