@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from epochloom.functions.columns import column
+from epochloom.llm.stages import row_key
 from epochloom.shared import materialise
 
 FAN_IN = 8
@@ -43,7 +44,7 @@ def digest_runs(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         plain.select(
             "_id", F.unhex(F.sha2("_plain", 256)).alias("_sha"), F.octet_length("_plain").alias("_bytes"),
             F.xxhash64("_plain").alias("_check"), F.char_length("_text").alias("_points"),
-            F.spark_partition_id().alias("_run"), F.monotonically_increasing_id().alias("_row"),
+            row_key(F.col("_id"), F.col("_text")).alias("row_key"), F.spark_partition_id().alias("_run"), F.monotonically_increasing_id().alias("_row"),
         ).sortWithinPartitions("_sha"),
         "digest-runs",
     )
@@ -56,7 +57,7 @@ def _merged(rows: DataFrame, run: Column) -> DataFrame:
 
 
 def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: doc_id, keep_id, group_size, kept, text_sha256.
+    """Per document: doc_id, keep_id, group_size, kept, text_sha256, row_key.
 
     The row with the most code points, then the smallest identifier, is the one kept.
     """
@@ -78,4 +79,5 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     return runs.join(answer, [*_KEY, "_run"]).select(
         F.col("_id").alias("doc_id"), F.col("_best.id").alias("keep_id"), F.col("_rows").alias("group_size"),
         (F.col("_row") == F.col("_best.r")).alias("kept"), F.lower(F.hex("_sha")).alias("text_sha256"),
+        "row_key",
     )

@@ -137,9 +137,15 @@ class Vocabulary:
     tokens: int
     words: int
     top: np.ndarray
+    top_tokens: np.ndarray
     band_tokens: np.ndarray
     once_share: float
 
+    def log_shares(self) -> np.ndarray:
+        """Log share of each class among the training tokens, smoothed: the output bias to start from."""
+        tokens = np.concatenate([self.band_tokens, self.top_tokens, np.zeros(FREQUENT - len(self.top_tokens))]) + 0.1
+        return np.log(tokens / tokens.sum()).astype(np.float32)
+
     def classes(self, hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Class of each word and log10 of its probability there."""
         place = np.searchsorted(self.top, hashes)
@@ -169,8 +175,11 @@ def _vocabulary(summed: DataFrame) -> Vocabulary:
     once, twice = int(tokens[0]), int(tokens[1])
     # tokens of a new text that are seen once, against those unseen, as the counts of counts foretell
     share = 2 * (twice // 3) / max(1, once + 2 * (twice // 3)) if once else 0.0
+    frequent = np.array([r.top for r in top], dtype=np.int64).view(np.uint64)
+    order = np.argsort(frequent)
     return Vocabulary(
-        int(tokens.sum()), int(words.sum()), np.sort(np.array([r.top for r in top], dtype=np.int64).view(np.uint64)), band_tokens,
+        int(tokens.sum()), int(words.sum()), frequent[order],
+        np.array([r.top_counts for r in top], dtype=np.int64)[order], band_tokens,
         min(max(share, 0.0 if not once else 0.05), 0.95),
     )
 
@@ -417,7 +426,7 @@ def document_scores(
             *[T.StructField(n, T.BinaryType()) for n in ("held", "lengths", "classes", "base", "inner", "known")],
         ])), "class-chunks",
     )
-    weights = fresh_weights()
+    weights = fresh_weights() | {"bias": vocabulary.log_shares()}
     shapes = {k: weights[k].shape for k in sorted(weights)}
     for turn in range(ROUNDS):
         mine = classed.where(F.pmod(F.xxhash64("chunk"), F.lit(ROUNDS)) == turn).repartition("chunk")

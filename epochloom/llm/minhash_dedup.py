@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from epochloom.functions.columns import column
 from epochloom.llm.components import components
 from epochloom.llm.grouped import runs
+from epochloom.llm.stages import row_key
 from epochloom.llm.word_tokens import ragged, slices
 from epochloom.shared import materialise
 
@@ -130,13 +131,13 @@ def _signed(words_each: int) -> Callable:
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        piece.column("_id"), pa.array(counts.astype(np.int64)), pa.array(names, pa.binary()),
+                        piece.column("_id"), piece.column("_row"), pa.array(counts.astype(np.int64)), pa.array(names, pa.binary()),
                         pa.ListArray.from_arrays(
                             pa.array(np.arange(len(counts) + 1) * BANDS, pa.int32()), pa.array(band.view(np.int64).ravel())
                         ),
                         pa.array([row.tobytes() for row in short], pa.binary()),
                     ],
-                    names=["_id", "n_shingles", "_set", "_bands", "_short"],
+                    names=["_id", "_row", "n_shingles", "_set", "_bands", "_short"],
                 )
 
     return sign
@@ -300,13 +301,14 @@ def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words_each: i
 def near_documents(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words_each: int = 5, percent: int = 80
 ) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id, kept. Identifiers are integers.
+    """Per document: doc_id, n_shingles, component_id, kept, row_key. Identifiers are integers.
 
     Linked are documents whose sets of ``words_each``-word shingles share ``percent`` per cent of their union.
     """
     rows = docs.select(column(doc_id).cast("long").alias("_id"), column(text).alias("_text"))
+    named = rows.withColumn("_row", row_key(F.col("_id"), F.col("_text")))
     signed = materialise(
-        rows.mapInArrow(_signed(words_each), "_id long, n_shingles long, _set binary, _bands array<long>, _short binary"), "signatures"
+        named.mapInArrow(_signed(words_each), "_id long, _row long, n_shingles long, _set binary, _bands array<long>, _short binary"), "signatures"
     )
     usable = signed.where("_id IS NOT NULL AND _set IS NOT NULL")
     classes = materialise(
@@ -351,9 +353,14 @@ def near_documents(
         joined = components(links.union(more), "pivot", "rep")
 
     answer = classes.join(joined, F.col("rep") == F.col("node"), "left").select("_set", F.coalesce("component", "rep").alias("component_id"))
-    linked = usable.select("_id", "n_shingles", "_set").join(answer, "_set").select("_id", "n_shingles", "component_id")
-    alone = signed.where("_id IS NULL OR _set IS NULL").select("_id", "n_shingles", F.col("_id").alias("component_id"))
+    linked = usable.select("_id", "_row", "n_shingles", "_set").join(answer, "_set").select(
+        "_id", "_row", "n_shingles", "component_id"
+    )
+    alone = signed.where("_id IS NULL OR _set IS NULL").select(
+        "_id", "_row", "n_shingles", F.col("_id").alias("component_id")
+    )
     return linked.union(alone).select(
         F.col("_id").alias("doc_id"), "n_shingles", "component_id",
         F.coalesce(F.col("_id") == F.col("component_id"), F.lit(True)).alias("kept"),
+        F.col("_row").alias("row_key"),
     )

@@ -40,7 +40,7 @@ def op1_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_groups(_documents(spark, sf_dir))
+    return exact_groups(_documents(spark, sf_dir)).drop("row_key")
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +52,7 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_documents(_documents(spark, sf_dir), words_each=4, percent=80)
+    return near_documents(_documents(spark, sf_dir), words_each=4, percent=80).drop("row_key")
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

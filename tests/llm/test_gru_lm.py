@@ -50,7 +50,7 @@ def test_model_beats_single_words_on_held_out_text(scored):
 
 def test_state_carries_over_windows_and_stops_at_documents():
     rng = np.random.default_rng(0)
-    w = {k: (v * 8 if k != "bias" else rng.normal(size=CLASSES).astype(np.float32)) for k, v in fresh_weights(3).items()}
+    w = {k: (v * 3 if k != "bias" else rng.normal(size=CLASSES).astype(np.float32)) for k, v in fresh_weights(3).items()}
     docs = [rng.integers(0, CLASSES, n) for n in (1, 5, 40, 100, 3)]
     lengths = np.array([len(d) for d in docs])
     got = log10_likelihoods(w, Streams(np.concatenate(docs), np.cumsum(lengths) - lengths, lengths), len(docs))
@@ -91,7 +91,7 @@ def test_words_of_a_class_share_probability_one():
     hashes = np.arange(1, 9, dtype=np.uint64)
     for c in counts[:-1]:
         tokens[gru_lm._band(np.array([c]))[0]] += c
-    vocabulary = Vocabulary(919, 8, hashes[-1:], tokens, 0.4)
+    vocabulary = Vocabulary(919, 8, hashes[-1:], counts[-1:], tokens, 0.4)
     kind, inner = vocabulary.classes(np.append(hashes, np.uint64(99)), np.append(counts, 0))
     for k in np.unique(kind):
         assert math.isclose((10.0 ** inner[kind == k]).sum(), 1.0)
