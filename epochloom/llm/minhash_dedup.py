@@ -285,10 +285,11 @@ def _sets(words_each: int) -> Callable:
 
 
 def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words_each: int, percent: int) -> DataFrame:
-    """The pairs (pivot, rep) whose full sets are similar. A pivot's text goes once to each part of its members."""
-    part = F.pmod(F.xxhash64("rep"), F.ceil(F.col("n") / PIVOT_ROWS)).cast("int")
-    sizes = pairs.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"))
-    members = pairs.join(sizes, "pivot").select("pivot", part.alias("part"), "rep", F.lit(False).alias("is_pivot"))
+    """The pairs (pivot, rep, rows of their bucket) whose full sets are similar. A pivot's text goes once to each part of its members."""
+    # as many parts as the bucket's size asks for, to a power of two
+    parts = F.pow(F.lit(2), F.ceil(F.log2(F.col("rows") / PIVOT_ROWS + 1))).cast("long")
+    part = parts * (1 << 31) + F.pmod(F.xxhash64("rep"), parts)
+    members = pairs.select("pivot", part.alias("part"), "rep", F.lit(False).alias("is_pivot"))
     pivots = members.select("pivot", "part").distinct().select("pivot", "part", F.col("pivot").alias("rep"), F.lit(True).alias("is_pivot"))
     wanted = members.union(pivots).join(classes.select("rep", "_set"), "rep")
     rows = wanted.join(texts.withColumnRenamed("_id", "rep"), "rep")
@@ -321,11 +322,11 @@ def near_documents(
     entered = classes.select(F.explode("_bands").alias("key"), "rep", "n")
     pivots = entered.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min(F.struct("rep", "n")).alias("pivot")).where("rows > 1")
     crowded = materialise(
-        entered.join(pivots, "key").select("key", "rep", "n", F.col("pivot.rep").alias("pivot"), F.col("pivot.n").alias("pivot_n")),
+        entered.join(pivots, "key").select("key", "rep", "n", "rows", F.col("pivot.rep").alias("pivot"), F.col("pivot.n").alias("pivot_n")),
         "buckets",
     )
     alike = F.greatest("n", "pivot_n") * percent <= F.least("n", "pivot_n") * 100
-    pairs = materialise(crowded.where((F.col("rep") != F.col("pivot")) & alike).select("pivot", "rep").distinct(), "pairs")
+    pairs = materialise(crowded.where((F.col("rep") != F.col("pivot")) & alike).groupBy("pivot", "rep").agg(F.max("rows").alias("rows")), "pairs")
     links = materialise(_links(pairs, classes, rows, words_each, percent), "document-links")
     joined = components(links, "pivot", "rep")
 
