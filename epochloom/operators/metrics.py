@@ -57,12 +57,16 @@ def _prf(tp: Column, fp: Column, fn: Column) -> tuple[Column, Column, Column]:
 
 
 def class_counts(
-    df: DataFrame, truth: str, predicted: str, classes: Sequence[str] = CLASSES,
+    df: DataFrame, truth: str, predicted: str, classes: Sequence[str] | None = CLASSES,
     keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Per class: true positives, false positives, false negatives."""
+    """Per class: true positives, false positives, false negatives.
+
+    Without ``classes`` every label found in truth or prediction is a class.
+    """
     counts = confusion_counts(df, truth, predicted, keys)
-    listed = F.array(*map(F.lit, classes))
+    found = F.array_compact(F.array_distinct(F.array("truth", "predicted")))
+    listed = found if classes is None else F.array(*map(F.lit, classes))
     per_class = counts.withColumn("label", F.explode(listed))
     is_truth = F.coalesce(F.col("truth") == F.col("label"), F.lit(False))
     is_predicted = F.coalesce(F.col("predicted") == F.col("label"), F.lit(False))
@@ -109,10 +113,13 @@ def macro_f1(
 
 
 def weighted_metrics(
-    df: DataFrame, truth: str, predicted: str, classes: Sequence[str] = CLASSES,
+    df: DataFrame, truth: str, predicted: str, classes: Sequence[str] | None = None,
     keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Accuracy with support-weighted F1, precision and recall, all from one pass."""
+    """Accuracy with support-weighted F1, precision and recall, all from one pass.
+
+    Every row with a true label counts, whatever the label; ``classes`` limits them to a list.
+    """
     precision, recall, f1 = _prf(F.col("tp"), F.col("fp"), F.col("fn"))
     support = F.col("tp") + F.col("fn")
     scores = class_counts(df, truth, predicted, classes, keys).select(

@@ -17,6 +17,7 @@ from epochloom.constants import CLASSES, LOG_FLOOR, SEED
 from epochloom.functions.columns import agrees, decoded, scoring_defaults
 from epochloom.operators.features import balanced_weights
 from epochloom.operators.metrics import weighted_metrics
+from epochloom.operators.ordering import number_rows
 from epochloom.shared import path_exists
 
 FOLD = "_fold"
@@ -54,7 +55,13 @@ def tune_forest(
     forest = pipeline.getStages()[-1]
     grid = ParamGridBuilder().addGrid(forest.numTrees, list(trees)).addGrid(forest.maxDepth, list(depths))
     inputs = pipeline.getStages()[1].getInputCols()
-    folded = train.dropna(subset=[*inputs, pipeline.getStages()[0].getInputCol()]).withColumn(FOLD, F.pmod(F.xxhash64(subject), F.lit(folds)).cast("int"))
+    usable = train.dropna(subset=[*inputs, pipeline.getStages()[0].getInputCol()])
+    # subjects in a fixed random order take the folds in turn, so no fold is empty
+    numbered = number_rows(
+        usable.select(F.col(subject).alias("_subject")).distinct().withColumn("_turn", F.xxhash64("_subject")),
+        ["_turn", "_subject"], (), "_no",
+    ).select("_subject", (F.col("_no") % folds).cast("int").alias(FOLD))
+    folded = usable.join(numbered, usable[subject].eqNullSafe(F.col("_subject"))).drop("_subject")
     search = CrossValidator(
         estimator=pipeline, estimatorParamMaps=grid.build(), numFolds=folds, foldCol=FOLD, seed=seed,
         evaluator=MulticlassClassificationEvaluator(metricName="accuracy"),
@@ -81,7 +88,11 @@ def live_pipeline(
     seed: int = SEED,
 ) -> Pipeline:
     """log10 with a floor, standard scaling and a forest on class-balanced weights."""
-    logs = ", ".join(f"log10(greatest(`{name}`, {LOG_FLOOR!r}D)) AS `log_{name}`" for name in features)
+    # A NULL stays NULL, as in ``functions.columns.log_compressed``: greatest() alone would skip it.
+    logs = ", ".join(
+        f"CASE WHEN `{name}` IS NOT NULL THEN log10(greatest(`{name}`, {LOG_FLOOR!r}D)) END AS `log_{name}`"
+        for name in features
+    )
     stages = [
         _indexer(label),
         SQLTransformer(statement=f"SELECT *, {logs} FROM __THIS__"),
@@ -146,7 +157,7 @@ def evaluate(
 ) -> tuple[DataFrame, DataFrame]:
     """Predictions and their accuracy, F1, precision and recall (one confusion count)."""
     predictions = score(model, test, label, classes)
-    return predictions, weighted_metrics(predictions, label, "pred_label", classes)
+    return predictions, weighted_metrics(predictions, label, "pred_label")
 
 
 def feature_importances(spark: SparkSession, model, features: Sequence[str]) -> DataFrame:

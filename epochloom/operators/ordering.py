@@ -1,10 +1,9 @@
 """Row numbers, rolling means and fill-forward that hold when one key owns most of the rows.
 
-A plain window sorts all rows of a key in one task. The keys are counted first, and only those of
-up to ``WINDOW_ROWS`` rows go that way. The rows of larger keys are range-partitioned on
-(key, order), so a hot key is spread over many tasks, and the partitions are stitched together with
-one small row per (key, partition). The order must be total over ``keys + order``; rows that tie on
-it keep an arbitrary order.
+A plain window sorts all rows of a key in one task. Here all rows are range-partitioned on (key, order)
+whatever their number, so a hot key is spread over many tasks, and the partitions are stitched together
+with one small row per (key, partition). The ranges are stored, as both steps must see the same ones. The
+order must be total over ``keys + order``; rows that tie on it keep an arbitrary order.
 """
 
 from __future__ import annotations
@@ -19,7 +18,6 @@ from epochloom.shared import materialise
 
 _OFFSET_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
 BLOCK_ROWS = 100_000
-WINDOW_ROWS = 500_000
 
 
 def _every(df: DataFrame) -> list[Column]:
@@ -55,11 +53,6 @@ def split_by_size(
     return match_keys(df, large, keys, "left_anti"), match_keys(df, large, keys, "left_semi")
 
 
-def _both(parts: Sequence[DataFrame | None]) -> DataFrame:
-    found = [part for part in parts if part is not None]
-    return found[0] if len(found) == 1 else found[0].unionByName(found[1])
-
-
 def _sorted_partitions(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
     """Stored copy of ``df`` with ``_part`` and ``_pos``: consecutive ranges of (keys, order)."""
     sorts = _sort_columns([*keys, *order])
@@ -98,21 +91,6 @@ def number_rows(
     total: str | None = None,
 ) -> DataFrame:
     """Zero-based row number per key in ``order``; ``total`` names a column for the key's row count."""
-    small, large = split_by_size(df, keys, WINDOW_ROWS)
-    if small is not None:
-        place = Window.partitionBy(*keys).orderBy(*_sort_columns(order))
-        added = {name: F.row_number().over(place).cast("long") - 1}
-        if total:
-            added[total] = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-        small = small.withColumns(added)
-    if large is not None:
-        large = _number_ranges(large, order, keys, name, total)
-    return _both([small, large])
-
-
-def _number_ranges(
-    df: DataFrame, order: Sequence, keys: Sequence[str], name: str, total: str | None
-) -> DataFrame:
     ranged = _sorted_partitions(df, keys, order)
     within = Window.partitionBy(*keys)
     earlier = within.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -135,20 +113,6 @@ def carry_forward(
     df: DataFrame, value: str, order: Sequence, keys: Sequence[str], name: str
 ) -> DataFrame:
     """Last non-null ``value`` at or before each row of its key, in ``order``."""
-    small, large = split_by_size(df, keys, WINDOW_ROWS)
-    if small is not None:
-        so_far = Window.partitionBy(*keys).orderBy(*_sort_columns(order)).rowsBetween(
-            Window.unboundedPreceding, 0
-        )
-        small = small.withColumn(name, F.last(value, ignorenulls=True).over(so_far))
-    if large is not None:
-        large = _carry_ranges(large, value, order, keys, name)
-    return _both([small, large])
-
-
-def _carry_ranges(
-    df: DataFrame, value: str, order: Sequence, keys: Sequence[str], name: str
-) -> DataFrame:
     ranged = _sorted_partitions(df, keys, order)
     seen = F.when(F.col(value).isNotNull(), F.col("_pos"))
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -175,26 +139,11 @@ def rolling_mean(
 ) -> DataFrame:
     """Mean of ``value`` over the current and up to ``size - 1`` preceding rows of a key.
 
-    A large key is cut into blocks of ``block_rows``. The last ``size - 1`` rows of a block are
+    A key is cut into blocks of ``block_rows``. The last ``size - 1`` rows of a block are
     copied to the next one, which makes every block independent of the others.
     """
-    small, large = split_by_size(df, keys, WINDOW_ROWS)
-    if small is not None:
-        place = Window.partitionBy(*keys).orderBy(*_sort_columns(order))
-        small = small.withColumns({
-            index: F.row_number().over(place).cast("long") - 1,
-            name: F.avg(value).over(place.rowsBetween(1 - size, 0)),
-        })
-    if large is not None:
-        large = _rolling_blocks(large, value, order, keys, size, name, index, max(block_rows, size))
-    return _both([small, large])
-
-
-def _rolling_blocks(
-    df: DataFrame, value: str, order: Sequence, keys: Sequence[str], size: int, name: str, index: str,
-    block_rows: int,
-) -> DataFrame:
-    numbered = _number_ranges(df, order, keys, index, None)
+    block_rows = max(block_rows, size)
+    numbered = number_rows(df, order, keys, index)
     own = F.floor(F.col(index) / block_rows)
     tail = F.col(index) % block_rows > block_rows - size
     copies = numbered.withColumn("_own", own).withColumn(

@@ -300,7 +300,12 @@ def macro_f1(spark, sf):
 
 
 def weighted_metrics(spark, sf):
-    return rounded(ME.weighted_metrics(line_predictions(spark, sf), "task_label", "pred_label", CLASSES))
+    return rounded(ME.weighted_metrics(line_predictions(spark, sf), "task_label", "pred_label"))
+
+
+def weighted_metrics_all(spark, sf):
+    """Five event types as true labels, of which two are never predicted."""
+    return rounded(ME.weighted_metrics(event_predictions(spark, sf), "true_label", "pred_label", keys=["user_id"]))
 
 
 def subject_accuracy(spark, sf):
@@ -376,6 +381,15 @@ def loop_replay(spark, sf):
     return EP.loop_replay(_epoch_list(spark, sf), ["epoch_id"], ["subject_id", "run_id"], 0.5, 30)
 
 
+def latest_files(spark, sf):
+    """Rows of the two files written last, of four that hold a quarter of the users each."""
+    path = shared_path(spark, "newest")
+    events = table(spark, sf, "events").select("event_id", "user_id")
+    for quarter in range(4):
+        events.where(F.col("user_id") % 4 == quarter).coalesce(1).write.mode("append").parquet(path)
+    return landing.latest_files(spark, path, 2)
+
+
 def latest_batches(spark, sf):
     days = event_predictions(spark, sf).withColumn("batch_id", F.floor(F.col("epoch_id") / 24))
     path = shared_path(spark, "batches")
@@ -501,7 +515,7 @@ def merged_scan(spark, sf):
 
 def metrics_json(spark, sf):
     path = shared_path(spark, "metrics")
-    metrics = ME.weighted_metrics(line_predictions(spark, sf), "task_label", "pred_label", CLASSES)
+    metrics = ME.weighted_metrics(line_predictions(spark, sf), "task_label", "pred_label")
     landing.write_metrics(metrics, path)
     return rounded(landing.read_metrics(spark, path, metrics.schema))
 
@@ -582,7 +596,7 @@ def decode_recordings(spark, sf):
 def compare_runs(spark, sf):
     """Every order is a run whose metrics come from its own lines."""
     scored = line_predictions(spark, sf).withColumnRenamed("l_orderkey", "run")
-    metrics = ME.weighted_metrics(scored, "task_label", "pred_label", CLASSES, ["run"])
+    metrics = ME.weighted_metrics(scored, "task_label", "pred_label", keys=["run"])
     lines = scored.groupBy("run").agg(F.count(F.lit(1)).alias("n_lines"))
     metrics = metrics.join(lines, "run").withColumn("f1", F.when(F.col("n_lines") > 2, F.col("f1")))
     orders = table(spark, sf, "orders")
@@ -597,7 +611,7 @@ def compare_runs(spark, sf):
 def run_log(spark, sf):
     path = shared_path(spark, "runs")
     for name, (low, high) in RULES.items():
-        metrics = ME.weighted_metrics(line_predictions(spark, sf, name), "task_label", "pred_label", CLASSES)
+        metrics = ME.weighted_metrics(line_predictions(spark, sf, name), "task_label", "pred_label")
         record = runs.run_record(
             metrics, F.lit(name), F.lit("2026-01-01").cast("timestamp"),
             {"low": F.lit(low), "high": F.lit(high)},
@@ -767,7 +781,7 @@ def stream_score(spark, sf):
     features = _live_training(spark, sf)
     model: PipelineModel = MO.fit_live(features, C.feature_columns(features), trees=10, depth=5)
     path = _score_stream(spark, sf, model)
-    return spark.read.parquet(f"{path}/predictions").drop("batch_id")
+    return spark.read.parquet(f"{path}/predictions").drop("query_id", "batch_id")
 
 
 def topomap_explode(spark, sf):
@@ -788,10 +802,10 @@ QUERIES = {
         epochs_by_time, epoch_signals, epoch_first_label, epoch_majority_label, epochs_by_count,
         interval_label, subject_stats, zscore_by_subject, class_weight, balanced_weights,
         class_band_means, class_lateralization, class_difference, band_ranges, split_train,
-        split_test, split_counts, confusion_matrix, class_prf, macro_f1, weighted_metrics,
+        split_test, split_counts, confusion_matrix, class_prf, macro_f1, weighted_metrics, weighted_metrics_all,
         subject_accuracy, subject_tiers, decode_labels, score_flags, kpi_summary,
         prediction_columns, rolling_accuracy, prediction_timeline, dedup_latest, tail_100,
-        latest_snapshot, live_kpis, event_time_axis, loop_replay, latest_batches, union_batches,
+        latest_snapshot, live_kpis, event_time_axis, loop_replay, latest_batches, latest_files, union_batches,
         electrode_lookup, electrode_powers, electrode_projection, scalp_interpolate, topomap_grid, difference_map,
         live_map_range, signal_sample,
         clean_columns, partitioned_roundtrip, merged_scan, metrics_json, ingest_pending,

@@ -269,6 +269,22 @@ SELECT subject_id, round(accuracy, 6) AS accuracy,
             WHEN accuracy >= 0.33 THEN 'low' ELSE 'poor' END AS tier FROM a""",
     "decode_labels": f"WITH {_predictions()} SELECT {_KEYS}, prediction, pred_label FROM predictions",
     "score_flags": f"WITH {_predictions()} SELECT {_KEYS}, (task_label = pred_label)::BIGINT AS correct FROM predictions",
+    "weighted_metrics_all": f"""WITH {_LIVE}, cells AS (
+  SELECT user_id, true_label, pred_label, count(*) AS n FROM live GROUP BY ALL),
+labels AS (SELECT user_id, true_label AS label FROM cells UNION SELECT user_id, pred_label FROM cells),
+counts AS (
+  SELECT l.user_id, label, coalesce(sum(n) FILTER (WHERE true_label = label AND pred_label = label), 0) AS tp,
+         coalesce(sum(n) FILTER (WHERE true_label <> label AND pred_label = label), 0) AS fp,
+         coalesce(sum(n) FILTER (WHERE true_label = label AND pred_label <> label), 0) AS fn
+  FROM labels l JOIN cells c ON l.user_id = c.user_id GROUP BY ALL),
+rates AS (
+  SELECT *, coalesce(tp::DOUBLE / nullif(tp + fp, 0), 0) AS p, coalesce(tp::DOUBLE / nullif(tp + fn, 0), 0) AS r FROM counts)
+SELECT user_id, round(sum(tp)::DOUBLE / sum(tp + fn), 6) AS accuracy,
+       round(sum((tp + fn) * coalesce(2 * p * r / nullif(p + r, 0), 0)) / sum(tp + fn), 6) AS f1,
+       round(sum((tp + fn) * p) / sum(tp + fn), 6) AS precision_weighted,
+       round(sum((tp + fn) * r) / sum(tp + fn), 6) AS recall_weighted
+FROM rates GROUP BY user_id""",
+    "latest_files": "SELECT event_id, user_id FROM events WHERE user_id % 4 >= 2",
     "kpi_summary": f"""WITH {_predictions()}, a AS (
   SELECT avg((task_label = pred_label)::INT) AS accuracy, count(*) AS n_rows, count(DISTINCT subject_id) AS n_subjects
   FROM predictions)
@@ -373,7 +389,7 @@ WITH bad AS (SELECT l_orderkey, count(*) FILTER (WHERE l_linestatus = 'F') AS ba
 o AS (
   SELECT CASE WHEN bad IS NULL THEN 'skipped' WHEN bad > 2 THEN 'errors' ELSE 'converted' END AS status
   FROM orders LEFT JOIN bad ON l_orderkey = o_orderkey)
-SELECT s.status, count(o.status) AS n FROM (VALUES ('converted'), ('skipped'), ('errors')) AS s(status)
+SELECT s.status, count(o.status) AS n FROM (VALUES ('converted'), ('skipped'), ('errors'), ('truncated')) AS s(status)
 LEFT JOIN o ON o.status = s.status GROUP BY s.status""",
     "scoring_defaults": """
 SELECT d.doc_id, coalesce(CASE WHEN quality = 1 THEN source END, '?') AS run_id,

@@ -43,6 +43,10 @@ def _ddl(columns: dict[str, str]) -> str:
     return ", ".join(f"{name} {kind}" for name, kind in columns.items())
 
 
+class Truncated(ValueError):
+    """A file that ends before the records its header states."""
+
+
 @dataclass(frozen=True)
 class Header:
     signals: list[str]
@@ -84,8 +88,10 @@ def parse_header(raw: bytes, file_bytes: int) -> Header:
     header_bytes, record_bytes = int(raw[184:192]), int(samples.sum()) * 2
     present = (file_bytes - header_bytes) // record_bytes
     stated = int(raw[236:244])
-    # An unfinished recording states -1 records or more than it holds: what is there counts.
-    records = present if stated < 0 else min(stated, present)
+    # A recording still being written states -1 records: what is there counts.
+    if stated > present:
+        raise Truncated(f"file holds {present} of {stated} records")
+    records = present if stated < 0 else stated
     return Header(fields[0], samples, gain * scale, (low - gain * dlow) * scale, header_bytes,
                   record_bytes, records, float(raw[244:252]))
 
@@ -129,7 +135,8 @@ def plan_records(files: DataFrame, range_bytes: int = RECORDS_BYTES) -> DataFram
                     header = read_header(path, int(size))
                     header.rate  # noqa: B018 - raises for mixed rates
                 except Exception as error:  # one bad file must not fail the job
-                    rows.append((path, subject, run, "errors", f"{type(error).__name__}: {error}", None, 0, 0))
+                    status = "truncated" if isinstance(error, Truncated) else "errors"
+                    rows.append((path, subject, run, status, f"{type(error).__name__}: {error}", None, 0, 0))
                     continue
                 step = max(range_bytes // header.record_bytes, 1)
                 for first in range(0, max(header.records, 1), step):

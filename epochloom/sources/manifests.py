@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from epochloom.constants import MOTOR_RUNS
 
-CONVERTED, SKIPPED, FAILED = "converted", "skipped", "errors"
+CONVERTED, SKIPPED, FAILED, TRUNCATED = "converted", "skipped", "errors", "truncated"
 
 
 def recording_files(spark: SparkSession, root: str) -> DataFrame:
@@ -51,10 +51,13 @@ def missing(remote: DataFrame, landed: DataFrame, key: str = "path", size: str =
 
 
 def outcomes(statuses: DataFrame, status: str = "status") -> DataFrame:
-    """Recordings per outcome, with a row for each of the three outcomes."""
+    """Recordings per outcome, with a row for each of the four outcomes.
+
+    A truncated recording lands nothing, so the next ingest takes it up again.
+    """
     counts = statuses.groupBy(F.col(status).alias("status")).agg(F.count(F.lit(1)).alias("n"))
     listed = statuses.sparkSession.range(1).select(
-        F.explode(F.array(*map(F.lit, (CONVERTED, SKIPPED, FAILED)))).alias("status")
+        F.explode(F.array(*map(F.lit, (CONVERTED, SKIPPED, FAILED, TRUNCATED)))).alias("status")
     )
     return listed.join(counts, "status", "left").select(
         "status", F.coalesce("n", F.lit(0).cast("long")).alias("n")

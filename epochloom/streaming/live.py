@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from epochloom.constants import (
     BANDS, CLASSES, EPOCH_SECONDS, LIVE_META, MOTOR_CHANNELS, SAMPLES_PER_EPOCH, SAMPLING_HZ,
@@ -67,7 +68,7 @@ def land_in_order(
 ) -> None:
     """Append ``df`` in ``steps`` slices of rising time, so file age follows event time.
 
-    Within a slice the files have no order: a reader with a watermark takes at least a slice per
+    Rows without a time come with the first slice. Within a slice the files have no order: a reader with a watermark takes at least a slice per
     trigger, or allows for a slice's span as delay. ``files`` limits the files per slice.
     """
     at = F.unix_micros(F.col(time).cast("timestamp"))
@@ -80,7 +81,8 @@ def land_in_order(
         if low is not None:
             part = part.where(at > low)
         if high is not None:
-            part = part.where(at <= high)
+            inside = at <= high
+            part = part.where(inside | at.isNull() if low is None else inside)
         (part.coalesce(files) if files else part).write.mode("append").parquet(path)
 
 
@@ -147,21 +149,27 @@ def batch_sink(
     stream: DataFrame, process: Callable[[DataFrame], DataFrame],
     outputs: Mapping[str, Callable[[DataFrame], DataFrame]], path: str, checkpoint: str,
 ) -> DataStreamWriter:
-    """Write several outputs of each micro-batch, each to ``<path>/<name>/batch_id=<id>``.
+    """Write several outputs of each micro-batch, each to ``<path>/<name>/query_id=<id>/batch_id=<n>``.
 
-    The processed batch is kept while its outputs are written. A repeated batch overwrites its own
-    folders, so a retry leaves no duplicates. Empty batches are skipped.
+    The query's identifier lives in its checkpoint: a repeated batch overwrites its own folders, so a
+    retry leaves no duplicates, and a query with a new checkpoint adds to what earlier ones wrote. The
+    batch and its result are kept while the outputs are written. Empty batches are
+    skipped.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        done = process(batch).persist()
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        rows = batch.persist()
+        done = process(rows).persist()
         try:
+            if not rows.count():  # fills the cache, so the source is read once
+                return
             for name, project in outputs.items():
-                project(done).write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id}")
+                target = f"{path}/{name}/query_id={query_id}/batch_id={batch_id}"
+                project(done).write.mode("overwrite").parquet(target)
         finally:
             done.unpersist()
+            rows.unpersist()
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
@@ -174,30 +182,60 @@ def table_sink(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWrite
     )
 
 
-def run_live(writer: DataStreamWriter, timeout: float, name: str, interval: str = TRIGGER) -> dict:
-    """Trigger every ``interval`` until ``timeout`` seconds have passed, then stop this query."""
-    query = writer.queryName(name).trigger(processingTime=interval).start()
+class Tally(StreamingQueryListener):
+    """Counts of one query over all its triggers; the query itself remembers the last hundred only."""
+
+    def __init__(self) -> None:
+        self.batches, self.rows_read, self.milliseconds = 0, 0, 0
+        self.ended, self._last = threading.Event(), None
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        if progress.batchId != self._last and progress.numInputRows:
+            self.batches += 1
+            self.milliseconds += progress.batchDuration
+            self.rows_read += progress.numInputRows
+        self._last = progress.batchId
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.set()
+
+
+def _tallied(writer: DataStreamWriter, wait: Callable[[StreamingQuery], None]) -> StreamingQuery:
+    spark, tally = SparkSession.getActiveSession(), Tally()
+    spark.streams.addListener(tally)
     try:
-        query.awaitTermination(timeout)
+        query = writer.start()
+        try:
+            wait(query)
+        finally:
+            query.stop()
+        tally.ended.wait(30)  # its last progress comes before
     finally:
-        query.stop()
+        spark.streams.removeListener(tally)
+    query.tally = tally
+    return query
+
+
+def run_live(writer: DataStreamWriter, timeout: float, name: str, interval: str = TRIGGER) -> dict:
+    """Trigger every ``interval`` until ``timeout`` seconds have passed, then stop this query."""
+    timed = writer.queryName(name).trigger(processingTime=interval)
+    query = _tallied(timed, lambda started: started.awaitTermination(timeout))
     return run_statistics(query) | {"timeout_seconds": timeout}
 
 
 def run_available(writer: DataStreamWriter) -> StreamingQuery:
     """Process everything that has landed, then end."""
-    query = writer.trigger(availableNow=True).start()
-    query.awaitTermination()
-    return query
+    return _tallied(writer.trigger(availableNow=True), lambda started: started.awaitTermination())
 
 
 def run_statistics(query: StreamingQuery) -> dict:
-    """Batches run and rows read; a batch sink reads its batch once per action on it."""
-    progress = query.recentProgress
-    return {
-        "batches": len({p.batchId for p in progress}),
-        "rows_read": sum(p.numInputRows for p in progress),
-    }
+    """Batches with rows, rows read and milliseconds in triggers, over the whole run of a finished query."""
+    tally = query.tally
+    return {"batches": tally.batches, "rows_read": tally.rows_read, "milliseconds": tally.milliseconds}
 
 
 def window_epochs(

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from epochloom.functions import columns as C
 from epochloom.operators import features as FE
 from epochloom.operators import metrics as ME
-from epochloom.operators import ordering
 from epochloom.operators import spatial as SP
 from epochloom.operators import split as SL
 
@@ -139,11 +138,17 @@ def test_importance_tiers(spark):
         "top", "strong", "fair", "weak", "minor"]
 
 
+def test_weighted_metrics_count_every_label(spark):
+    rows = [("T0", "T0"), ("T1", "T1"), ("T3", "T0"), ("T3", "T1"), (None, "T0")]
+    df = spark.createDataFrame(rows, "truth string, predicted string")
+    got = ME.weighted_metrics(df, "truth", "predicted").first()
+    assert got.accuracy == 0.5 and got.recall_weighted == 0.5 and got.precision_weighted == pytest.approx((1 / 3 + 1 / 2) / 4)
+    assert ME.weighted_metrics(df, "truth", "predicted", ("T0", "T1")).first().accuracy == 1.0
+
+
 # -- split and maps -------------------------------------------------------------------------
 
-@pytest.mark.parametrize("window_rows", [5, 1000])
-def test_split_of_66_subjects(spark, many_partitions, monkeypatch, window_rows):
-    monkeypatch.setattr(ordering, "WINDOW_ROWS", window_rows)
+def test_split_of_66_subjects(spark, many_partitions):
     df = spark.range(6600).select(F.format_string("S%03d", F.col("id") % 66).alias("subject_id"), "id")
     df = df.union(spark.createDataFrame([(None, -1)], "subject_id string, id long"))
     train, test = SL.train_test(df)

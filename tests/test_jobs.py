@@ -44,9 +44,9 @@ def test_the_whole_way(spark, root):
         "edf", "landed", "features", "model", "metrics", "runs", "importances", "predictions", "eval", "export",
         "live", "out", "check", "live-model")}
     tally = {r.status: r.n for r in jobs.ingest(spark, at["edf"], at["landed"], at["metrics"]).collect()}
-    assert tally == {"converted": 10, "skipped": 0, "errors": 0}
+    assert tally == {"converted": 10, "skipped": 0, "errors": 0, "truncated": 0}
     tally = {r.status: r.n for r in jobs.ingest(spark, at["edf"], at["landed"]).collect()}
-    assert tally == {"converted": 0, "skipped": 10, "errors": 0}
+    assert tally == {"converted": 0, "skipped": 10, "errors": 0, "truncated": 0}
 
     assert jobs.features(spark, at["landed"], at["features"]) == {"epochs": 120, "features": 16}
     scores = jobs.train(spark, at["features"], at["model"], at["metrics"], at["runs"], at["importances"],

@@ -45,9 +45,18 @@ def test_grid_and_importances(spark, tuned):
     assert ranked[0].feature == "good" and sum(r.importance for r in ranked) == pytest.approx(1.0)
 
 
-def test_folds_keep_subjects_together(features):
-    fold = F.pmod(F.xxhash64("subject_id"), F.lit(3))
-    assert features.groupBy("subject_id").agg(F.countDistinct(fold).alias("n")).where("n > 1").isEmpty()
+@pytest.mark.parametrize("subjects", [3, 4])
+def test_every_fold_has_subjects(features, subjects):
+    few = features.where(F.col("subject_id").isin(*[f"S{i:02d}" for i in range(subjects)]))
+    model = MO.tune_forest(MO.forest_pipeline(["good", "noise"]), few, [2], [2], folds=3)
+    assert len(model.avgMetrics) == 1
+
+
+def test_live_features_that_are_missing_are_not_scored(spark, features):
+    model = MO.fit_live(features.drop("weight"), ["good", "noise"], trees=3, depth=2)
+    df = spark.createDataFrame([(1, "T1", None, 1.0), (2, "T1", 4.0, 1.0)], "epoch_id int, task_label string, good double, noise double")
+    rows = {r.epoch_id: r for r in MO.score(model, df).collect()}
+    assert (rows[1].pred_label, rows[1].proba_T1) == ("?", 0.0) and rows[2].pred_label != "?"
 
 
 def test_unscorable_and_unknown_rows(spark, tuned):

@@ -42,11 +42,12 @@ def test_dual_sink(spark, landed):
         stream = live.sample_stream(spark, landed, live_schema(CHANNELS), 1)
         return live.run_available(live.batch_sink(stream, process, OUTPUTS, out, check))
     query = start()
-    assert live.run_statistics(query)["rows_read"] >= 192
+    stats = live.run_statistics(query)
+    assert (stats["batches"], stats["rows_read"]) == (3, 192) and stats["milliseconds"] > 0
     predictions = spark.read.parquet(f"{out}/predictions")
     assert predictions.columns == [
         "event_time", "epoch_id", "subject_id", "run_id", "run_seq", "true_label", "pred_label",
-        "proba_T0", "proba_T1", "proba_T2", "correct", "batch_id"]
+        "proba_T0", "proba_T1", "proba_T2", "correct", "query_id", "batch_id"]
     assert predictions.count() == 6 and predictions.select("subject_id", "epoch_id").distinct().count() == 6
     topomap = spark.read.parquet(f"{out}/topomap")
     assert topomap.count() == 18 and topomap.where("alpha_power < 0").isEmpty()
@@ -54,13 +55,33 @@ def test_dual_sink(spark, landed):
     assert spark.read.parquet(f"{out}/predictions").count() == 6
 
 
-def test_a_repeated_batch_leaves_no_duplicates(spark, landed):
-    """A lost checkpoint makes Spark run the same batches again."""
+def test_a_repeated_batch_leaves_no_duplicates(spark, landed, tmp_path):
+    """A batch whose commit was lost runs again under the same query."""
+    out, check = shared_path(spark, "out"), str(tmp_path / "check")
+    for _ in range(2):
+        stream = live.sample_stream(spark, landed, live_schema(CHANNELS), 1)
+        live.run_available(live.batch_sink(stream, process, OUTPUTS, out, check))
+        for commit in (tmp_path / "check" / "commits").glob("*2*"):
+            commit.unlink()
+    assert spark.read.parquet(f"{out}/predictions").count() == 6
+
+
+def test_a_new_checkpoint_adds_to_earlier_output(spark, landed):
     out = shared_path(spark, "out")
     for _ in range(2):
         stream = live.sample_stream(spark, landed, live_schema(CHANNELS), 1)
         live.run_available(live.batch_sink(stream, process, OUTPUTS, out, shared_path(spark, "check")))
-    assert spark.read.parquet(f"{out}/predictions").count() == 6
+    predictions = spark.read.parquet(f"{out}/predictions")
+    assert predictions.count() == 12 and predictions.select("query_id").distinct().count() == 2
+
+
+def test_landing_keeps_rows_without_a_time(spark):
+    path = shared_path(spark, "timed")
+    df = spark.range(100).select("id", F.when(F.col("id") % 5 > 0, F.timestamp_seconds(F.col("id"))).alias("ts"))
+    live.land_in_order(df, "ts", path)
+    assert spark.read.parquet(path).count() == 100
+    live.land_in_order(df.where("ts IS NULL"), "ts", path)
+    assert spark.read.parquet(path).count() == 120
 
 
 def test_bounded_run(spark, landed):
