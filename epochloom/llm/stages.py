@@ -23,3 +23,12 @@ def kept_documents(docs: DataFrame, decisions: DataFrame, doc_id: str = "doc_id"
     joined = docs.withColumn("_key", row_key(column(doc_id), column(text))).join(kept, "_key")
     place = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
     return joined.withColumn("_place", place).where("_place <= _times").select(*[column(c) for c in docs.columns])
+
+
+def discard(stored: DataFrame) -> None:
+    """Remove the files of a table made by ``materialise`` that nothing reads any more."""
+    spark = stored.sparkSession
+    files = stored.inputFiles()
+    if files:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

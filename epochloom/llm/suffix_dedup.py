@@ -1,17 +1,19 @@
 """Removal of repeated 200-byte strings by a distributed merge sort of suffixes that knows common prefixes.
 
 Every window of ``WINDOW`` bytes is named by its anchor, the place in it where the hash of ``GRAM`` bytes is
-least, leftmost on a tie. Equal windows have equal anchors at equal offsets, so only suffixes at anchors
-whose gram occurs again need sorting. Their order is by gram fingerprint, then bytes. Each task sorts its
+least, leftmost on a tie. Equal windows have equal anchors at equal offsets, so only anchors whose gram
+occurs again matter. One range exchange by (gram, surroundings) finds them: anchors with equal surroundings,
+the bytes of all windows they name, are one class, all of whose windows repeat if it has two members. Where a
+gram has several classes, the suffix of one member each is sorted, by gram fingerprint, then bytes. Each task
+sorts its
 suffixes and front-codes them as runs; runs of one fingerprint range meet in a task and a loser tree merges
 them. The tree keeps, with every loser, the prefix it shares with the winner it lost to, so known prefixes
 are never compared again, and the merge yields the common prefix of neighbours. At each offset before an
 anchor, windows are equal where the merged neighbours share what lies right of the anchor and the bytes left
 of it have equal hashes.
 
-Equal whole texts are found by digest first and sorted once. Suffixes with equal surroundings in one run are
-one entry of double weight. A gram with more than ``HOT_ROWS`` anchors does not go to one task: its windows
-are counted by their digests in an aggregation that combines before the shuffle. Texts are kept in a table
+Equal whole texts are found by digest first and enter once, with double weight. A gram with more than
+``HOT_ROWS`` classes does not go to one merging task: its windows are counted by their digests in an aggregation that combines before the shuffle. Texts are kept in a table
 bucketed by a row key, which later steps read without moving texts again.
 
 Behaviour: NULL text counts as empty; texts shorter than a window lose nothing. Repeated rows and NULL
@@ -28,19 +30,21 @@ from hashlib import blake2b, sha256
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from epochloom.functions.columns import column
 from epochloom.llm.grouped import runs
+from epochloom.llm.stages import discard
 from epochloom.llm.word_tokens import slices
 from epochloom.shared import materialise, shared_path
 
-WINDOW, GRAM = 200, 32
+WINDOW, GRAM = 200, 64
 REACH = WINDOW - GRAM
 HOT_ROWS = 50_000
 #: Suffixes in a run, and about as many as a merging task takes.
-RUN_ROWS, RANGE_ROWS = 1 << 16, 50_000
+RUN_ROWS, RANGE_ROWS = 1 << 15, 50_000
 _PLACE = np.uint64((1 << 28) - 1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = np.random.default_rng(5).integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -93,21 +97,85 @@ def anchors(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, ...]:
     return h[place], owner, place - base, starts[first] - base, starts[last] - base
 
 
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the hash base and of its inverse modulo 2**64."""
+    inverse = pow(int(_BASE), -1, 1 << 64)
+    up, down = (np.full(n, np.uint64(x)) for x in (int(_BASE), inverse))
+    up[:1] = down[:1] = 1
+    return np.cumprod(up), np.cumprod(down)
+
+
+def surroundings(data: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Hash of ``data[low:high]`` for each pair."""
+    up, down = _powers(len(data) + 1)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * up[:-1])])
+    return _spread((total[high] - total[low]) * down[low] + (high - low).astype(np.uint64))
+
+
 def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in slices(batch, "_text", 1 << 20):
             raw = [(t or "").encode() for t in piece.column("_text").to_pylist()]
             edges = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
-            h, owner, place, first, last = anchors(np.frombuffer(b"".join(raw), dtype=np.uint8), edges)
+            data = np.frombuffer(b"".join(raw), dtype=np.uint8)
+            h, owner, place, first, last = anchors(data, edges)
+            context = surroundings(data, edges[owner] + first, edges[owner] + last + WINDOW)
+            weight = np.minimum(piece.column("_copies").to_numpy(), 2).astype(np.int8)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(h.view(np.int64)), piece.column("_k").take(pa.array(owner)), pa.array(place, pa.int32()),
-                    pa.array(place - first, pa.int16()), pa.array(place - last, pa.int16()),
+                    pa.array(h.view(np.int64)), pa.array(context.view(np.int64)), piece.column("_k").take(pa.array(owner)),
+                    pa.array(place, pa.int32()), pa.array(place - first, pa.int16()), pa.array(place - last, pa.int16()),
+                    pa.array(weight[owner]),
                 ],
-                names=["h", "_k", "place", "far", "near"],
+                names=["h", "context", "_k", "place", "far", "near", "weight"],
             )
 
 
+_MARKS = "h long, context long, _k long, place int, far short, near short, weight {}"
+
+
+def _classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Anchors of one range, sorted by gram and surroundings, that are not alone with their gram.
+
+    ``weight`` becomes that of the class. The first and the last gram of the range come whole, as marked by
+    ``edge``, because other ranges may have more of them.
+    """
+    part = TaskContext.get().partitionId()
+
+    def classes(table: pa.Table, opening: bool, closing: bool) -> pa.RecordBatch:
+        h, context, weight = (table.column(c).to_numpy() for c in ("h", "context", "weight"))
+        new_gram = np.ones(len(h), dtype=bool)
+        new_gram[1:] = h[1:] != h[:-1]
+        new_class = new_gram.copy()
+        new_class[1:] |= context[1:] != context[:-1]
+        gram, kind = np.cumsum(new_gram) - 1, np.cumsum(new_class) - 1
+        heavy = np.bincount(kind, weights=weight)[kind]
+        several = np.bincount(gram, weights=new_class)[gram] > 1
+        edge = ((gram == 0) & opening) | ((gram == gram[-1]) & closing)
+        some = np.flatnonzero((np.bincount(gram)[gram] > 1) | (heavy > 1) | edge)
+        kept = table.drop_columns(["weight"]).take(pa.array(some))
+        for name, values in (
+            ("weight", heavy.astype(np.int64)), ("several", several), ("leader", new_class), ("edge", edge),
+        ):
+            kept = kept.append_column(name, pa.array(values[some]))
+        return kept.append_column("part", pa.array(np.full(len(some), part, dtype=np.int32)))
+
+    held, opening = None, True
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        table = table if held is None else pa.concat_tables([held, table])
+        h = table.column("h").to_numpy()
+        cut = int(np.searchsorted(h, h[-1]))
+        held = table.slice(cut)
+        if cut:
+            yield from classes(table.slice(0, cut), opening, False).to_batches()
+            opening = False
+    if held is not None:
+        yield from classes(held, opening, True).to_batches()
+
+
 def shared_prefix(a: bytes, b: bytes, known: int) -> int:
     """Length of the common prefix of ``a`` and ``b``, of which ``known`` bytes are known to be equal."""
     end = min(len(a), len(b))
@@ -187,55 +255,42 @@ def merged(coded: list[tuple[list[int], list[bytes]]]) -> tuple[list[tuple[int,
     return order, prefixes
 
 
+_RUN = (
+    ("k", pa.int64(), "bigint"), ("place", pa.int32(), "int"), ("far", pa.int16(), "smallint"), ("near", pa.int16(), "smallint"),
+    ("weight", pa.int64(), "bigint"), ("shared", pa.int32(), "int"), ("rest", pa.binary(), "binary"), ("left", pa.binary(), "binary"),
+)
+
+
 def _runs(ranges: int) -> Callable:
-    """Front-coded runs of the suffixes at anchors, one for each range, and windows settled inside a run."""
+    """Front-coded runs of the suffixes at anchors, one for each range."""
 
-    def emit(held: dict) -> Iterator[pa.RecordBatch]:
-        """``held``: (fingerprint and right side, left side) to anchors."""
+    def emit(held: list[tuple]) -> Iterator[pa.RecordBatch]:
         by_range: dict[int, list] = {}
-        for key in sorted(held):
-            by_range.setdefault(int.from_bytes(key[0][:8], "big") * ranges >> 64, []).append(key)
-        for number, keys in by_range.items():
-            shared, rest = front_coded([right for right, _ in keys])
-            some = [held[key] for key in keys]
-            weight = [min(2, sum(x[4] for x in xs)) for xs in some]
-            columns = [
-                [x[0][0] for x in some], [x[0][1] for x in some], [x[0][2] for x in some], [x[0][3] for x in some], weight,
-                shared.tolist(), rest, [left for _, left in keys],
-            ]
-            kinds = [pa.int64(), pa.int32(), pa.int16(), pa.int16(), pa.int8(), pa.int32(), pa.binary(), pa.binary()]
+        for row in sorted(held):
+            by_range.setdefault(int.from_bytes(row[0][:8], "big") * ranges >> 64, []).append(row)
+        for number, rows in by_range.items():
+            rights, lefts, *columns = (list(c) for c in zip(*rows))
+            shared, rest = front_coded(rights)
+            columns += [shared.tolist(), rest, lefts]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([number], pa.int32()), *[pa.ListArray.from_arrays([0, len(c)], pa.array(c, t)) for c, t in zip(columns, kinds)],
-                 pa.nulls(1, pa.list_(pa.int64()))],
-                names=["range", "k", "place", "far", "near", "weight", "shared", "rest", "left", "settled"],
+                [pa.array([number], pa.int32())]
+                + [pa.ListArray.from_arrays([0, len(c)], pa.array(c, t)) for c, (_, t, _) in zip(columns, _RUN)],
+                names=["range", *[name for name, _, _ in _RUN]],
             )
-        alike = [(x[0], x[1] - x[2], x[1] - x[3]) for xs in held.values() if len(xs) > 1 for x in xs if x[4] == 1]
-        if alike:
-            flat = [n for row in alike for n in row]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([-1], pa.int32())] + [pa.nulls(1, pa.list_(t)) for t in kinds_of_run]
-                + [pa.ListArray.from_arrays([0, len(flat)], pa.array(flat, pa.int64()))],
-                names=["range", "k", "place", "far", "near", "weight", "shared", "rest", "left", "settled"],
-            )
-
-    kinds_of_run = [pa.int64(), pa.int32(), pa.int16(), pa.int16(), pa.int8(), pa.int32(), pa.binary(), pa.binary()]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict = {}
-        rows = 0
+        held: list[tuple] = []
         for batch in batches:
-            columns = [batch.column(n).to_pylist() for n in ("_k", "_text", "_copies", "_anchors")]
-            for k, text, copies, found in zip(*columns):
-                raw, weight = text.encode(), 1 if copies == 1 else 2
-                for a in found:
-                    place = a["place"]
-                    right = (a["h"] & 0xFFFFFFFFFFFFFFFF).to_bytes(8, "big") + raw[place : place + WINDOW]
-                    left = raw[max(0, place - REACH) : place]
-                    held.setdefault((right, left), []).append((k, place, a["far"], a["near"], weight))
-                rows += len(found)
-                if rows >= RUN_ROWS:
+            for piece in slices(batch, "_text", 1 << 20):
+                for k, text, found in zip(*[piece.column(n).to_pylist() for n in ("_k", "_text", "_anchors")]):
+                    raw = text.encode()
+                    for a in found:
+                        place, far, near = a["place"], a["far"], a["near"]
+                        right = (a["h"] & 0xFFFFFFFFFFFFFFFF).to_bytes(8, "big") + raw[place : place + WINDOW - near]
+                        held.append((right, raw[place - far : place], k, place, far, near, a["weight"]))
+                if len(held) >= RUN_ROWS:
                     yield from emit(held)
-                    held, rows = {}, 0
+                    held = []
         yield from emit(held)
 
     return cut
@@ -284,15 +339,16 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for k, text, copies, found in zip(*[batch.column(n).to_pylist() for n in ("_k", "_text", "_copies", "_anchors")]):
+        for k, text, found in zip(*[batch.column(n).to_pylist() for n in ("_k", "_text", "_anchors")]):
             raw = text.encode()
-            starts = [s for a in found for s in range(a["place"] - a["far"], a["place"] - a["near"] + 1)]
+            starts = [(s, a["weight"]) for a in found for s in range(a["place"] - a["far"], a["place"] - a["near"] + 1)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([blake2b(raw[s : s + WINDOW], digest_size=16).digest() for s in starts], pa.binary()),
-                    pa.array([k] * len(starts), pa.int64()), pa.array(starts, pa.int64()), pa.array([copies] * len(starts), pa.int64()),
+                    pa.array([blake2b(raw[s : s + WINDOW], digest_size=16).digest() for s, _ in starts], pa.binary()),
+                    pa.array([k] * len(starts), pa.int64()), pa.array([s for s, _ in starts], pa.int64()),
+                    pa.array([w for _, w in starts], pa.int64()),
                 ],
-                names=["digest", "_k", "start", "copies"],
+                names=["digest", "_k", "start", "weight"],
             )
 
 
@@ -334,40 +390,49 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     found = rows.where(F.octet_length("_text") >= WINDOW).withColumn("_k", F.xxhash64("doc_id", "digest")).join(long, "_k")
     one = found.where("digest = _digest").dropDuplicates(["_k"]).select("_k", "_digest", "_copies", "_text")
     (
-        one.repartition(buckets, "_k").write.format("parquet").bucketBy(buckets, "_k").option("compression", "zstd")
+        one.repartition(buckets, "_k").write.format("parquet").bucketBy(buckets, "_k")
         .option("path", shared_path(spark, "bucketed-texts")).saveAsTable(name)
     )
     stored = spark.table(name)
 
-    marked = materialise(stored.select("_k", "_text").mapInArrow(_anchored, "h long, _k long, place int, far short, near short"), "anchors")
-    counts = marked.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    again = materialise(marked.join(counts, "h"), "repeated-anchors")
-    total = again.count()
-    ranges = -(-total // RANGE_ROWS) or 1
-    each = F.collect_list(F.struct("h", "place", "far", "near")).alias("_anchors")
-    settled = [f"{c} array<{t}>" for c, t in zip(
-        ("k", "place", "far", "near", "weight", "shared", "rest", "left", "settled"),
-        ("bigint", "int", "smallint", "smallint", "tinyint", "int", "binary", "binary", "bigint"),
-    )]
-    surrounded = stored.join(again.where(F.col("n") <= HOT_ROWS).groupBy("_k").agg(each), "_k").select("_k", "_text", "_copies", "_anchors")
-    coded = materialise(surrounded.mapInArrow(_runs(ranges), "range int, " + ", ".join(settled)), "suffix-runs")
-    stretches = (
-        coded.where("range >= 0").repartition(ranges, "range").sortWithinPartitions("range")
-        .mapInArrow(_found, "_k long, first long, last long")
+    marked = materialise(stored.select("_k", "_text", "_copies").mapInArrow(_anchored, _MARKS.format("byte")), "anchors")
+    order = ("h", "context")
+    ranged = materialise(
+        marked.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
+            _classed, _MARKS.format("long") + ", several boolean, leader boolean, edge boolean, part int"
+        ),
+        "repeated-anchors",
     )
-    triples = F.expr("transform(sequence(0, size(settled) - 1, 3), i -> named_struct('k', settled[i], 'first', settled[i + 1], 'last', settled[i + 2]))")
-    alone = coded.where("range < 0").select(F.explode(triples).alias("s")).select(
-        F.col("s.k").alias("_k"), "s.first", "s.last"
+    discard(marked)
+    # grams that lie across ranges: two for each range at most
+    across = ranged.where("edge").groupBy("h").agg(F.countDistinct("part").alias("_parts")).where("_parts > 1").select("h", F.lit(True).alias("across"))
+    again = ranged.join(F.broadcast(across), "h", "left").withColumn("across", F.coalesce("across", F.lit(False)))
+    resolved = again.where("weight > 1").select("_k", (F.col("place") - F.col("far")).alias("first"), (F.col("place") - F.col("near")).alias("last"))
+    leaders = materialise(
+        again.where("leader AND (several OR across)").select("h", "_k", "place", "far", "near", "weight"), "suffixes"
     )
-    stretches = stretches.union(alone)
-    hot = again.where(F.col("n") > HOT_ROWS)
+    sizes = leaders.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    hot = materialise(sizes.where(F.col("n") > HOT_ROWS), "hot-grams")
+    ranges = -(-leaders.count() // RANGE_ROWS) or 1
+    each = F.collect_list(F.struct("h", "place", "far", "near", "weight")).alias("_anchors")
+    cool = leaders.join(hot, "h", "left_anti").groupBy("_k").agg(each)
+    coded = materialise(
+        stored.join(cool, "_k").select("_k", "_text", "_anchors").mapInArrow(
+            _runs(ranges), "range int, " + ", ".join(f"{name} array<{kind}>" for name, _, kind in _RUN)
+        ),
+        "suffix-runs",
+    )
+    merged_runs = coded.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(_found, "_k long, first long, last long")
+    stretches = resolved.union(merged_runs)
     if not hot.isEmpty():
         windows = materialise(
-            stored.join(hot.groupBy("_k").agg(each), "_k").select("_k", "_text", "_copies", "_anchors")
-            .mapInArrow(_windows, "digest binary, _k long, start long, copies long"), "hot-windows",
+            stored.join(leaders.join(hot, "h", "left_semi").groupBy("_k").agg(each), "_k").select("_k", "_text", "_anchors")
+            .mapInArrow(_windows, "digest binary, _k long, start long, weight long"), "hot-windows",
+        )
+        often = windows.groupBy("digest").agg(F.sum("weight").alias("n")).where("n > 1").select("digest")
+        stretches = stretches.union(
+            windows.join(often, "digest").select("_k", F.col("start").alias("first"), F.col("start").alias("last"))
         )
-        often = windows.groupBy("digest").agg(F.sum("copies").alias("n")).where("n > 1").select("digest")
-        stretches = stretches.union(windows.join(often, "digest").select("_k", F.col("start").alias("first"), F.col("start").alias("last")))
     spans = materialise(
         stretches.groupBy("_k").agg(F.collect_list(F.struct("first", "last")).alias("_stretches")), "stretches"
     )
