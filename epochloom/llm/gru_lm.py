@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 
 from epochloom.functions.columns import column
 from epochloom.llm.grouped import runs
+from epochloom.llm.stages import discard
 from epochloom.llm.word_tokens import slices
 from epochloom.shared import materialise
 
@@ -426,10 +427,14 @@ def document_scores(
             *[T.StructField(n, T.BinaryType()) for n in ("held", "lengths", "classes", "base", "inner", "known")],
         ])), "class-chunks",
     )
+    discard(coded)
+    discard(summed)
+    # a task for each chunk: they stand for much work, so none are put together
+    n_chunks = max(1, classed.count())
     weights = fresh_weights() | {"bias": vocabulary.log_shares()}
     shapes = {k: weights[k].shape for k in sorted(weights)}
     for turn in range(ROUNDS):
-        mine = classed.where(F.pmod(F.xxhash64("chunk"), F.lit(ROUNDS)) == turn).repartition("chunk")
+        mine = classed.where(F.pmod(F.xxhash64("chunk"), F.lit(ROUNDS)) == turn).repartition(n_chunks, "chunk")
         # as many rows as the network has weights
         means = mine.mapInArrow(_trained(weights), "place long, value double, tokens double").groupBy("place").agg(
             (F.sum(F.col("value") * F.col("tokens")) / F.sum("tokens")).alias("value")
@@ -445,6 +450,6 @@ def document_scores(
         T.StructField("doc_id", kind), T.StructField("held_out", T.BooleanType()), T.StructField("n_tokens", T.LongType()),
         T.StructField("n_known", T.LongType()), T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType()),
     ])
-    return classed.repartition("chunk").mapInArrow(_scored(weights, names), schema).select(
+    return classed.repartition(n_chunks, "chunk").mapInArrow(_scored(weights, names), schema).select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(vocabulary.tokens).cast("long").alias("train_tokens"), "base_score", "score"
     )
