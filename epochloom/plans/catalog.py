@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.ml import PipelineModel
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -633,28 +634,53 @@ def _tuned(spark, sf):
     return model, test, names
 
 
+def checked(scored: DataFrame) -> DataFrame:
+    """Keys and label of scored epochs with what must hold for any model: the form SQL can state."""
+    chances = [F.col(f"proba_{c}") for c in CLASSES]
+    chosen = F.element_at(F.create_map(*[x for c in CLASSES for x in (F.lit(c), F.col(f"proba_{c}"))]), F.col("pred_label"))
+    return scored.select(
+        F.col("subject_id").cast("long").alias("subject_id"), "run_id", "epoch_id", "task_label",
+        (F.abs(sum(chances[1:], chances[0]) - 1.0) < 1e-9).alias("sums_to_one"),
+        (chosen == F.greatest(*chances)).alias("likeliest"),
+        (F.col("correct") == (F.col("pred_label") == F.col("task_label")).cast("long")).alias("flagged"),
+    )
+
+
 def rf_predictions(spark, sf):
+    """Held-out epochs scored by the tuned forest."""
     model, test, _ = _tuned(spark, sf)
-    return MO.score(model, test, classes=CLASSES).select(
-        "subject_id", "run_id", "epoch_id", "task_label", "prediction", "pred_label",
-        *[f"proba_{c}" for c in CLASSES], "correct",
-    )
+    return checked(MO.score(model, test, classes=CLASSES))
 
 
 def rf_metrics(spark, sf):
+    """Metrics of a stored model against MLlib's evaluator on the same predictions; gaps are 0."""
     features = materialise(line_normalised(spark, sf), "normalised")
     path = shared_path(spark, "cv-model")
-    batch.train(features, path, [5, 10], [3, 5], classes=CLASSES)
-    return batch.evaluate_stored(features, path, classes=CLASSES)[1]
+    model, _ = batch.train(features, path, [5, 10], [3, 5], classes=CLASSES)
+    metrics = batch.evaluate_stored(features, path, classes=CLASSES)[1]
+    held_out = model.transform(SL.train_test(features)[1])
+    gaps = [
+        F.round(F.abs(F.col(ours) - F.lit(MulticlassClassificationEvaluator(metricName=theirs).evaluate(held_out))), 6).alias(f"{ours}_gap")
+        for ours, theirs in (("accuracy", "accuracy"), ("f1", "f1"), ("precision_weighted", "weightedPrecision"), ("recall_weighted", "weightedRecall"))
+    ]
+    return metrics.select(*gaps, F.col("accuracy").between(0.0, 1.0).alias("in_range"))
 
 
 def cv_grid(spark, sf):
-    return MO.grid_scores(spark, _tuned(spark, sf)[0])
+    return MO.grid_scores(spark, _tuned(spark, sf)[0]).select(
+        "num_trees", "max_depth", F.col("avg_accuracy").between(0.0, 1.0).alias("in_range")
+    )
 
 
 def feature_importance(spark, sf):
+    """Every feature once; importances are shares, and the first tier holds the largest."""
     model, _, names = _tuned(spark, sf)
-    return ME.with_importance_tier(MO.feature_importances(spark, model, names))
+    ranked = materialise(ME.with_importance_tier(MO.feature_importances(spark, model, names)), "importances")
+    total, most = ranked.agg(F.sum("importance")).scalar(), ranked.agg(F.max("importance")).scalar()
+    return ranked.select(
+        "feature", F.col("importance").between(0.0, 1.0).alias("in_range"), (F.abs(total - 1.0) < 1e-9).alias("shares"),
+        ((F.col("importance") < most) | (F.col("tier") == "top")).alias("tiered"),
+    )
 
 
 def _live_training(spark, sf):
@@ -664,21 +690,33 @@ def _live_training(spark, sf):
 def live_rf(spark, sf):
     features = _live_training(spark, sf)
     model = MO.fit_live(features, C.feature_columns(features), trees=20, depth=6)
-    return MO.score(model, features, classes=CLASSES).select(
-        "subject_id", "run_id", "epoch_id", "task_label", "pred_label", *[f"proba_{c}" for c in CLASSES],
-        "correct",
+    return checked(MO.score(model, features, classes=CLASSES))
+
+
+def separable_labels(spark, sf):
+    """A live model of quantities that one threshold separates tells them apart without error."""
+    lines = table(spark, sf, "lineitem").where("l_quantity <= 20 OR l_quantity >= 31").select(
+        *LINE_KEYS, F.col("l_quantity").cast("double").alias("quantity"), F.col("l_tax").cast("double").alias("tax"),
+        F.when(F.col("l_quantity") <= 20, "A").otherwise("N").alias("task_label"),
     )
+    model = MO.fit_live(lines, ["quantity", "tax"], trees=10, depth=4)
+    return MO.score(model, lines, classes=CLASSES).select(*LINE_KEYS, "pred_label", "correct")
 
 
 def model_roundtrip(spark, sf):
+    """The model that is fitted and stored at the first call scores as the one read at the second."""
     features = _live_training(spark, sf)
     path = shared_path(spark, "live-model")
     names = C.feature_columns(features)
     fit = lambda: MO.fit_live(features, names, trees=10, depth=5)
-    MO.load_or_fit(spark, path, fit)
-    stored = MO.load_or_fit(spark, path, fit)
-    return MO.score(stored, features, classes=CLASSES).select(
-        "subject_id", "run_id", "epoch_id", "pred_label", "correct"
+    keys = ["subject_id", "run_id", "epoch_id"]
+    first, stored = (
+        MO.score(MO.load_or_fit(spark, path, fit), features, classes=CLASSES).select(
+            *keys, F.struct("pred_label", *[f"proba_{c}" for c in CLASSES]).alias(f"scores_{i}")
+        ) for i in range(2)
+    )
+    return first.join(stored, keys).select(
+        F.col("subject_id").cast("long").alias("subject_id"), "run_id", "epoch_id", (F.col("scores_0") == F.col("scores_1")).alias("same")
     )
 
 
@@ -778,10 +816,21 @@ def stream_dual_sink(spark, sf):
 
 
 def stream_score(spark, sf):
+    """Every epoch scored in the stream and in one batch by the same model: label and chances agree."""
     features = _live_training(spark, sf)
     model: PipelineModel = MO.fit_live(features, C.feature_columns(features), trees=10, depth=5)
     path = _score_stream(spark, sf, model)
-    return spark.read.parquet(f"{path}/predictions").drop("query_id", "batch_id")
+    keys, chances = ["subject_id", "run_id", "epoch_id"], [f"proba_{c}" for c in CLASSES]
+    streamed = spark.read.parquet(f"{path}/predictions").select(*keys, "true_label", "pred_label", *chances)
+    samples = spark.read.parquet(_landed_epochs(spark, sf))
+    batched = live.predictions_of(live.scored_epochs(
+        samples, model, CHANNELS, CHANNELS, fs=FS, classes=CLASSES, max_samples=None,
+    )).select(*keys, F.col("pred_label").alias("label"), *[F.col(c).alias(f"b_{c}") for c in chances])
+    close = [F.abs(F.col(c) - F.col(f"b_{c}")) < 1e-9 for c in chances]
+    return streamed.join(batched, keys).select(
+        F.col("subject_id").cast("long").alias("subject_id"), "run_id", "epoch_id", "true_label",
+        (F.col("pred_label") == F.col("label")).alias("same_label"), (close[0] & close[1] & close[2]).alias("same_chances"),
+    )
 
 
 def topomap_explode(spark, sf):
@@ -810,7 +859,7 @@ QUERIES = {
         live_map_range, signal_sample,
         clean_columns, partitioned_roundtrip, merged_scan, metrics_json, ingest_pending,
         manifest_missing, ingest_outcomes, scoring_defaults, decode_recordings, compare_runs,
-        run_log, rf_predictions, rf_metrics, cv_grid, feature_importance, live_rf,
+        run_log, rf_predictions, rf_metrics, cv_grid, feature_importance, live_rf, separable_labels,
         model_roundtrip, stream_epochs, stream_window_epochs, stream_dedup, replay_epochs,
         stream_dual_sink, stream_score, topomap_explode,
     )

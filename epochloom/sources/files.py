@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
-import re
+from urllib.parse import quote
+
+#: Schemes of Spark's object stores and what the Arrow library calls them.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss", "abfs": "abfs", "abfss": "abfss"}
 
 
 def open_filesystem(path: str):
-    """Arrow file system and inner path of a Spark path; a bare path is local."""
+    """Arrow file system and inner path of a Spark path; a bare path is local, ``dbfs:`` is its mount."""
     from pyarrow import fs
 
-    if "://" not in path:
-        path = "file://" + re.sub(r"^file:", "", path)
-    return fs.FileSystem.from_uri(path)
+    scheme, colon, rest = path.partition(":")
+    if not colon or "/" in scheme:
+        return fs.LocalFileSystem(), path
+    if scheme in ("file", "dbfs"):
+        inner = "/" + rest.lstrip("/")
+        return fs.LocalFileSystem(), inner if scheme == "file" else f"/dbfs{inner}"
+    return fs.FileSystem.from_uri(quote(f"{SCHEMES.get(scheme, scheme)}:{rest}", safe=":/@?=&%+,;"))
 
 
 def read_range(path: str, start: int, length: int) -> bytes:

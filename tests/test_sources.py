@@ -66,6 +66,29 @@ def test_a_truncated_recording_lands_once_it_is_whole(spark, root, tmp_path):
     assert landing.read_merged(spark, landing_path).where("subject_id = 'S001' and run_id = 'R03'").count() == 960
 
 
+def test_a_damaged_annotation_block_stops_only_its_file(spark, root):
+    path, originals = root
+    file = path / "S001" / "S001R03.edf"
+    raw = file.read_bytes()
+    at = raw.index(b"\x14T")
+    file.write_bytes(raw[: at + 1] + b"\xff" + raw[at + 2 :])
+    samples, status = edf.decode_recordings(manifests.recording_files(spark, str(path)))
+    states = {(r.subject_id, r.run_id): r for r in status.collect()}
+    assert states[("S001", "R03")].status == "errors" and "Unicode" in states[("S001", "R03")].error
+    landed = {(r.subject_id, r.run_id) for r in samples.select("subject_id", "run_id").distinct().collect()}
+    assert landed == {k for k, r in states.items() if r.status == "converted"} and landed
+
+
+def test_paths_of_stores_and_names_with_blanks(tmp_path):
+    from epochloom.sources import files
+
+    for path in (f"{tmp_path}/a b%20c.edf", f"file:{tmp_path}/d e.edf", f"file://{tmp_path}/f#g.edf"):
+        files.write_bytes(path, b"0123456789")
+        assert files.read_range(path, 3, 4) == b"3456"
+    assert (tmp_path / "a b%20c.edf").exists() and (tmp_path / "f#g.edf").exists()
+    assert files.open_filesystem("dbfs:/data/x y.edf")[1] == "/dbfs/data/x y.edf"
+
+
 def test_ingest_is_incremental(spark, root, tmp_path):
     path, _ = root
     landing_path = str(tmp_path / "landing")
