@@ -137,8 +137,9 @@ _MARKS = "h long, context long, _k long, place int, far short, near short, weigh
 def _classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Anchors of one range, sorted by gram and surroundings, that are not alone with their gram.
 
-    ``weight`` becomes that of the class. The first and the last gram of the range come whole, as marked by
-    ``edge``, because other ranges may have more of them.
+    ``weight`` becomes that of the class within the range. The first and the last gram of the range come
+    whole, marked by ``edge``, and their outermost classes are marked by ``rim``, because other ranges may
+    have more of them: a gram or class that many texts share fills several ranges.
     """
     part = TaskContext.get().partitionId()
 
@@ -152,10 +153,11 @@ def _classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heavy = np.bincount(kind, weights=weight)[kind]
         several = np.bincount(gram, weights=new_class)[gram] > 1
         edge = ((gram == 0) & opening) | ((gram == gram[-1]) & closing)
+        rim = ((kind == 0) & opening) | ((kind == kind[-1]) & closing)
         some = np.flatnonzero((np.bincount(gram)[gram] > 1) | (heavy > 1) | edge)
         kept = table.drop_columns(["weight"]).take(pa.array(some))
         for name, values in (
-            ("weight", heavy.astype(np.int64)), ("several", several), ("leader", new_class), ("edge", edge),
+            ("weight", heavy.astype(np.int64)), ("several", several), ("leader", new_class), ("edge", edge), ("rim", rim),
         ):
             kept = kept.append_column(name, pa.array(values[some]))
         return kept.append_column("part", pa.array(np.full(len(some), part, dtype=np.int32)))
@@ -396,17 +398,28 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     stored = spark.table(name)
 
     marked = materialise(stored.select("_k", "_text", "_copies").mapInArrow(_anchored, _MARKS.format("byte")), "anchors")
-    order = ("h", "context")
+    order = ("h", "context", "_k")
     ranged = materialise(
         marked.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
-            _classed, _MARKS.format("long") + ", several boolean, leader boolean, edge boolean, part int"
+            _classed, _MARKS.format("long") + ", several boolean, leader boolean, edge boolean, rim boolean, part int"
         ),
         "repeated-anchors",
     )
     discard(marked)
-    # grams that lie across ranges: two for each range at most
-    across = ranged.where("edge").groupBy("h").agg(F.countDistinct("part").alias("_parts")).where("_parts > 1").select("h", F.lit(True).alias("across"))
-    again = ranged.join(F.broadcast(across), "h", "left").withColumn("across", F.coalesce("across", F.lit(False)))
+    # grams and classes that lie across ranges: two of each for every range at most
+    grams = ranged.where("edge").groupBy("h").agg(F.countDistinct("part").alias("_parts")).where("_parts > 1")
+    kinds = (
+        ranged.where("rim").groupBy("h", "context", "part").agg(F.max("weight").alias("_w"))
+        .groupBy("h", "context").agg(F.sum("_w").alias("_whole"), F.min("part").alias("_lead"), F.count(F.lit(1)).alias("_parts"))
+        .where("_parts > 1")
+    )
+    again = (
+        ranged.join(F.broadcast(grams.select("h", F.lit(True).alias("across"))), "h", "left")
+        .join(F.broadcast(kinds.select("h", "context", "_whole", "_lead")), ["h", "context"], "left")
+        .withColumn("across", F.coalesce("across", F.lit(False)))
+        .withColumn("weight", F.coalesce("_whole", "weight"))
+        .withColumn("leader", F.col("leader") & F.coalesce(F.col("part") == F.col("_lead"), F.lit(True)))
+    )
     resolved = again.where("weight > 1").select("_k", (F.col("place") - F.col("far")).alias("first"), (F.col("place") - F.col("near")).alias("last"))
     leaders = materialise(
         again.where("leader AND (several OR across)").select("h", "_k", "place", "far", "near", "weight"), "suffixes"

@@ -41,12 +41,13 @@ def corpus(seed):
     texts += [twice + "," + twice, "x" * 199, "x" * 200, "x" * 201, "y" * 3000, "ab" * 400, noise(50) + "ab" * 300]
     texts += [texts[0]] * 3 + [None, "", noise(199), "short", "short", "é" * 150, noise(30) + "é" * 120, noise(20_000)]
     texts.append(texts[-1][9000:12_000])
+    texts += [passages[6] + noise(30) for _ in range(25)]
     rng.shuffle(texts)
     return list(enumerate(texts))
 
 
 @pytest.mark.parametrize("seed, hot, run, size", [(0, 50_000, 1 << 16, 50_000), (1, 3, 1 << 16, 50_000), (2, 50_000, 40, 100)])
-def test_removed_bytes_match_brute_force(spark, monkeypatch, seed, hot, run, size):
+def test_removed_bytes_match_brute_force(spark, many_partitions, monkeypatch, seed, hot, run, size):
     monkeypatch.setattr(suffix_dedup, "HOT_ROWS", hot)
     monkeypatch.setattr(suffix_dedup, "RUN_ROWS", run)
     monkeypatch.setattr(suffix_dedup, "RANGE_ROWS", size)
