@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a temporary folder only in local mode without one."""
+    """The session's ``spark.checkpoint.dir``; a temporary folder only where driver and tasks are one process."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     root = tempfile.mkdtemp(prefix="epochloom-")
     spark.sparkContext.setCheckpointDir(root)
