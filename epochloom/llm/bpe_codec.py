@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from epochloom.functions.columns import column
+from epochloom.llm.stages import bounded_batches
 from epochloom.llm.word_tokens import WordCache, slices
 
 #: Bytes of new words in one query, and rows a query may produce.
@@ -210,6 +211,7 @@ class Coder(WordCache):
 
 def bpe_encoded(docs: DataFrame, ranks: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: doc_id and ids, as little-endian 32-bit integers in one binary value."""
+    bounded_batches(docs.sparkSession)
     rows = docs.select(column(doc_id).alias("doc_id"), column(text).alias("_text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 from epochloom.functions.columns import column
 from epochloom.llm.grouped import runs
-from epochloom.llm.stages import discard
+from epochloom.llm.stages import bounded_batches, discard
 from epochloom.llm.word_tokens import slices
 from epochloom.shared import materialise
 
@@ -398,6 +398,7 @@ def document_scores(
 
     ``held_out`` is a column over the input; rows for which it holds are scored but not learned from.
     """
+    bounded_batches(docs.sparkSession)
     held = F.lit(False) if held_out is None else F.coalesce(held_out, F.lit(False))
     rows = docs.select(column(doc_id).alias("_id"), column(text).alias("_text"), held.alias("_held"))
     kind = rows.schema["_id"].dataType

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from epochloom.functions.columns import column
 from epochloom.llm.components import components
 from epochloom.llm.grouped import runs
-from epochloom.llm.stages import row_key
+from epochloom.llm.stages import bounded_batches, row_key
 from epochloom.llm.word_tokens import ragged, slices
 from epochloom.shared import materialise
 
@@ -306,6 +306,7 @@ def near_documents(
 
     Linked are documents whose sets of ``words_each``-word shingles share ``percent`` per cent of their union.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select(column(doc_id).cast("long").alias("_id"), column(text).alias("_text"))
     named = rows.withColumn("_row", row_key(F.col("_id"), F.col("_text")))
     signed = materialise(

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from epochloom.functions.columns import column
+from epochloom.llm.stages import bounded_batches
 from epochloom.llm.word_tokens import encoder, slices
 from epochloom.shared import materialise
 
@@ -113,6 +114,7 @@ def packed_pieces(
     capacity: int = CAPACITY,
 ) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids (little-endian 32-bit), ids_crc32, sequence_id, offset."""
+    bounded_batches(docs.sparkSession)
     rows = docs.select(column(doc_id).alias("_id"), column(text).alias("_text"))
     schema = T.StructType([
         T.StructField("doc_id", rows.schema["_id"].dataType), T.StructField("piece", T.IntegerType()),

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from epochloom.functions.columns import column
+from epochloom.llm.stages import bounded_batches
 from epochloom.shared import materialise
 
 FEATURES = 256
@@ -139,6 +140,7 @@ def fit_quality(
     learn: Column | None = None, seed: int = 7,
 ) -> QualityModel | None:
     """Model of ``label`` from the labelled documents for which ``learn``, a column over ``doc_id``, holds."""
+    bounded_batches(docs.sparkSession)
     rows = docs.select(column(doc_id).alias("_id"), column(text).alias("_text"))
     schema = f"_id {rows.schema['_id'].dataType.simpleString()}, " + ", ".join(f"{n} double" for n in STATISTICS)
     known = labels.where(column(label).isNotNull())

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from epochloom.functions.columns import column
+from epochloom.llm.stages import bounded_batches
 from epochloom.llm.word_tokens import encoder, slices
 
 BLOCK = 512
@@ -165,6 +166,7 @@ def write_token_files(
     docs: DataFrame, path: str, vocabulary: str, key: str = "doc_id", text: str = "text", end_id: int | None = 1
 ) -> None:
     """Encode every text and write the ids below ``path`` in ascending order of ``key``."""
+    bounded_batches(docs.sparkSession)
     rows = docs.select(column(key).alias("_key"), column(text).alias("_text"))
     order = [F.col("_key"), F.xxhash64("_text")]
     kind = rows.schema["_key"].dataType

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from epochloom.functions.columns import column
@@ -25,6 +25,15 @@ def kept_documents(docs: DataFrame, decisions: DataFrame, doc_id: str = "doc_id"
     return joined.withColumn("_place", place).where("_place <= _times").select(*[column(c) for c in docs.columns])
 
 
+#: Bytes that Spark hands to a Python task at a time.
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Limit what a Python task holds of its input, however long the texts are, for this session."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def discard(stored: DataFrame) -> None:
     """Remove the files of a table made by ``materialise`` that nothing reads any more."""
     spark = stored.sparkSession

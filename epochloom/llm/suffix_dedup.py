@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from epochloom.functions.columns import column
 from epochloom.llm.grouped import runs
-from epochloom.llm.stages import discard
+from epochloom.llm.stages import bounded_batches, discard
 from epochloom.llm.word_tokens import slices
 from epochloom.shared import materialise, shared_path
 
@@ -380,6 +380,7 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     The second has digest, spans (an array of from and to in bytes), n_removed, n_spans and kept_sha256.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     rows = docs.select(column(doc_id).alias("doc_id"), F.coalesce(column(text), F.lit("")).alias("_text")).withColumn("digest", _digest(F.col("_text")))
     listed = materialise(rows.select("doc_id", "digest", F.octet_length("_text").cast("long").alias("n_bytes")), "digests")
     texts = listed.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("_rep"), F.first("n_bytes").alias("n_bytes"))
