@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from epochloom.constants import CHANCE_LEVEL, CLASSES
-from epochloom.functions.columns import agrees, tier
+from epochloom.functions.columns import agrees, feature_columns, tier
 from epochloom.operators.ordering import number_rows, rolling_mean
 
 SUBJECT_TIERS = ((0.50, "high"), (0.40, "medium"), (0.33, "low"))
@@ -153,17 +153,18 @@ def with_importance_tier(importances: DataFrame) -> DataFrame:
 
 
 def kpi_summary(
-    predictions: DataFrame, truth: str, predicted: str, n_features: int, subject: str = "subject_id",
+    predictions: DataFrame, features: DataFrame, truth: str, predicted: str, subject: str = "subject_id",
     chance: float = CHANCE_LEVEL,
 ) -> DataFrame:
-    """Accuracy, gain over chance in percentage points, rows, subjects and feature count."""
-    return predictions.agg(
-        F.avg(agrees(F.col(predicted), F.col(truth)).cast("double")).alias("accuracy"),
-        F.count(F.lit(1)).alias("n_rows"),
-        F.countDistinct(subject).alias("n_subjects"),
+    """Accuracy of the predictions with its gain over chance in percentage points; epochs, subjects and
+    feature columns of the feature table."""
+    accuracy = predictions.agg(F.avg(agrees(F.col(predicted), F.col(truth)).cast("double")).alias("accuracy"))
+    table = features.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(subject).alias("n_subjects"))
+    n_features = len(feature_columns(features))
+    return table.select(
+        accuracy.scalar().alias("accuracy"), "n_rows", "n_subjects", F.lit(n_features).cast("long").alias("n_features")
     ).select(
-        "accuracy", ((F.col("accuracy") - chance) * 100.0).alias("gain_points"),
-        "n_rows", "n_subjects", F.lit(n_features).cast("long").alias("n_features"),
+        "accuracy", ((F.col("accuracy") - chance) * 100.0).alias("gain_points"), "n_rows", "n_subjects", "n_features"
     )
 
 

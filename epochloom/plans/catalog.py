@@ -329,7 +329,8 @@ def score_flags(spark, sf):
 
 
 def kpi_summary(spark, sf):
-    return rounded(ME.kpi_summary(line_predictions(spark, sf), "task_label", "pred_label", 16))
+    features = C.lateralization(line_features(spark, sf))
+    return rounded(ME.kpi_summary(line_predictions(spark, sf), features, "task_label", "pred_label"))
 
 
 def prediction_columns(spark, sf):

@@ -285,11 +285,12 @@ SELECT user_id, round(sum(tp)::DOUBLE / sum(tp + fn), 6) AS accuracy,
        round(sum((tp + fn) * r) / sum(tp + fn), 6) AS recall_weighted
 FROM rates GROUP BY user_id""",
     "latest_files": "SELECT event_id, user_id FROM events WHERE user_id % 4 >= 2",
-    "kpi_summary": f"""WITH {_predictions()}, a AS (
-  SELECT avg((task_label = pred_label)::INT) AS accuracy, count(*) AS n_rows, count(DISTINCT subject_id) AS n_subjects
-  FROM predictions)
+    "kpi_summary": f"""WITH {_predictions()}, {_EPOCHS}, a AS (
+  SELECT avg((task_label = pred_label)::INT) AS accuracy FROM predictions),
+e AS (SELECT DISTINCT subject_id, run_id, epoch_id FROM epochs),
+t AS (SELECT count(*) AS n_rows, count(DISTINCT subject_id) AS n_subjects FROM e)
 SELECT round(accuracy, 6) AS accuracy, round((accuracy - 0.333) * 100, 6) AS gain_points, n_rows, n_subjects,
-       16::BIGINT AS n_features FROM a""",
+       {(len(_CHANNELS) + 1) * len(BANDS)}::BIGINT AS n_features FROM a, t""",
     "prediction_columns": f"WITH {_predictions()} SELECT subject_id, task_label, prediction FROM predictions",
     "rolling_accuracy": f"""WITH {_LIVE}
 SELECT event_id, row_number() OVER u - 1 AS epoch_idx,
