@@ -116,7 +116,7 @@ def superminhash(shingles: np.ndarray, counts: np.ndarray, slots: int = SLOTS) -
 def _signed(words_each: int) -> Callable:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, "_text", 1 << 20):
+            for piece in slices(batch, "_text", 1 << 19):
                 shingles, counts = shingle_sets(piece.column("_text"), words_each)
                 signature = superminhash(shingles, counts).reshape(len(counts), BANDS, ROWS)
                 short = (signature & np.uint64(0xFF)).astype(np.uint8).reshape(len(counts), SLOTS)
@@ -149,7 +149,7 @@ def _verified(words_each: int, percent: int) -> Callable:
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivot, own, against = None, None, None
         for batch in batches:
-            for piece in slices(batch, "_text", 1 << 20):
+            for piece in slices(batch, "_text", 1 << 19):
                 shingles, counts = shingle_sets(piece.column("_text"), words_each)
                 ends = np.cumsum(counts)
                 columns = {n: piece.column(n).to_pylist() for n in ("pivot", "part", "rep", "is_pivot", "_set")}
@@ -272,7 +272,7 @@ def _meetings(rows: DataFrame, most: int) -> DataFrame:
 def _sets(words_each: int) -> Callable:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, "_text", 1 << 20):
+            for piece in slices(batch, "_text", 1 << 19):
                 shingles, counts = shingle_sets(piece.column("_text"), words_each)
                 raw, ends = shingles.tobytes(), np.cumsum(counts)
                 sets = [raw[8 * (e - n) : 8 * e] for e, n in zip(ends.tolist(), counts.tolist())]

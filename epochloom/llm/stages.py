@@ -26,7 +26,7 @@ def kept_documents(docs: DataFrame, decisions: DataFrame, doc_id: str = "doc_id"
 
 
 #: Bytes that Spark hands to a Python task at a time.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:

@@ -44,7 +44,7 @@ WINDOW, GRAM = 200, 64
 REACH = WINDOW - GRAM
 HOT_ROWS = 50_000
 #: Suffixes in a run, and about as many as a merging task takes.
-RUN_ROWS, RANGE_ROWS = 1 << 15, 50_000
+RUN_ROWS, RANGE_ROWS = 1 << 14, 16_000
 _PLACE = np.uint64((1 << 28) - 1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = np.random.default_rng(5).integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -114,7 +114,7 @@ def surroundings(data: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndar
 
 def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for piece in slices(batch, "_text", 1 << 20):
+        for piece in slices(batch, "_text", 1 << 18):
             raw = [(t or "").encode() for t in piece.column("_text").to_pylist()]
             edges = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
             data = np.frombuffer(b"".join(raw), dtype=np.uint8)
@@ -283,7 +283,7 @@ def _runs(ranges: int) -> Callable:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in batches:
-            for piece in slices(batch, "_text", 1 << 20):
+            for piece in slices(batch, "_text", 1 << 18):
                 for k, text, found in zip(*[piece.column(n).to_pylist() for n in ("_k", "_text", "_anchors")]):
                     raw = text.encode()
                     for a in found:
