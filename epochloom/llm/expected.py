@@ -28,7 +28,32 @@ WITH plain AS (
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM ranked
 """
 
+OP4 = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingle AS MATERIALIZED (
+    SELECT DISTINCT doc_id, list_slice(w, i, i + 3) AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 2))) AS i FROM words WHERE len(w) > 0)
+), size AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+link AS MATERIALIZED (
+    SELECT a, b FROM (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+        FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+    ) JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b
+    WHERE 100 * common >= 80 * (p.n + q.n - common)
+), reach(a, b) AS (
+    SELECT doc_id, doc_id FROM documents
+  UNION
+    SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+)
+SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(b) AS component_id, d.doc_id = min(b) AS kept
+FROM documents d JOIN reach ON reach.a = d.doc_id LEFT JOIN size ON size.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
 EXPECTED = {
     "op1_lattice_dedup": OP1,
     "op2_exact_dedup": OP2,
+    "op4_superminhash": OP4,
 }
