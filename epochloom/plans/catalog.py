@@ -563,9 +563,15 @@ def scoring_defaults(spark, sf):
 
 
 def write_recordings(spark, sf, seconds: int = 8) -> str:
-    """Cut samples into bounded recordings and write each as an EDF+ file from its own group."""
+    """Cut samples into bounded recordings and write each as an EDF+ file from its own group.
+
+    A subject's last, shorter recording is one record, so that no sample is left over.
+    """
     root = shared_path(spark, "recordings")
-    cut = EP.epochs_by_count(line_samples(spark, sf), LINE_ORDER, ["subject_id"], FS * seconds)
+    place, whole = F.col("_no"), FS * seconds
+    cut = OR.number_rows(line_samples(spark, sf), LINE_ORDER, ["subject_id"], "_no").withColumns(
+        {"epoch_id": F.floor(place / whole), "sample_no": (place % whole).cast("int")}
+    ).drop("_no")
 
     def write(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         from epochloom.sources.edf_write import encode_recording
@@ -578,6 +584,7 @@ def write_recordings(spark, sf, seconds: int = 8) -> str:
         data = encode_recording(
             {name: group[name].to_numpy() for name in CHANNELS}, FS,
             {"C3": (-32768, 32767), "Cz": (-327.68, 327.67), "C4": (-327.68, 327.67)}, marks,
+            record_samples=None if len(group) == whole else len(group),
         )
         write_bytes(f"{root}/{subject}/{subject}{run}.edf", data)
         return pd.DataFrame({"n": [len(data)]})

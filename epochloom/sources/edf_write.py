@@ -13,12 +13,14 @@ TAL_BYTES = 128
 
 def encode_recording(
     signals: Mapping[str, np.ndarray], rate: int, physical: Mapping[str, tuple[float, float]],
-    annotations: Sequence[tuple[float, float, str]] = (), unit: str = "V",
+    annotations: Sequence[tuple[float, float, str]] = (), unit: str = "V", record_samples: int | None = None,
 ) -> bytes:
-    """One-second records. Signals must fill whole records; annotations stand in the record of their onset."""
+    """Records of one second, or of ``record_samples``. Signals must fill whole records; annotations stand in the record of their onset."""
+    size = record_samples or rate
+    seconds = size / rate if size % rate else size // rate
     names = [*signals, ANNOTATIONS]
-    records = len(next(iter(signals.values()))) // rate
-    samples = [rate] * len(signals) + [TAL_BYTES // 2]
+    records = len(next(iter(signals.values()))) // size
+    samples = [size] * len(signals) + [TAL_BYTES // 2]
 
     def cell(value, width):
         return str(value)[:width].ljust(width).encode("latin-1")
@@ -26,7 +28,7 @@ def encode_recording(
     ranges = [physical[name] for name in signals] + [(-1, 1)]
     head = cell("0", 8) + cell("X X X X", 80) + cell("Startdate X X X X", 80)
     head += cell("01.01.85", 8) + cell("00.00.00", 8) + cell(256 * (len(names) + 1), 8)
-    head += cell("EDF+C", 44) + cell(records, 8) + cell(1, 8) + cell(len(names), 4)
+    head += cell("EDF+C", 44) + cell(records, 8) + cell(seconds, 8) + cell(len(names), 4)
     blocks = (
         (names, 16), ([""] * len(names), 80), ([unit] * len(signals) + [""], 8),
         ([low for low, _ in ranges], 8), ([high for _, high in ranges], 8),
@@ -39,12 +41,12 @@ def encode_recording(
     for name, values in signals.items():
         low, high = physical[name]
         scaled = (np.asarray(values, dtype=float) - low) * (65535.0 / (high - low)) - 32768
-        digital.append(np.rint(scaled).astype("<i2").reshape(records, rate))
+        digital.append(np.rint(scaled).astype("<i2").reshape(records, size))
     body = []
     for record in range(records):
-        tal = f"+{record}\x14\x14\x00"
+        tal = f"+{record * seconds}\x14\x14\x00"
         for onset, duration, text in annotations:
-            if int(onset) == record:
+            if onset // seconds == record:
                 tal += f"+{onset:g}\x15{duration:g}\x14{text}\x14\x00"
         raw = tal.encode("utf-8")
         if len(raw) > TAL_BYTES:
