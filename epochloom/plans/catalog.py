@@ -730,13 +730,15 @@ def model_roundtrip(spark, sf):
 
 # -- streams --------------------------------------------------------------------------------
 
-def _event_stream(spark, sf, copies: int = 1) -> DataFrame:
+def _event_stream(spark, sf, copies: int = 1, closing_seconds: int | None = None) -> DataFrame:
     events = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     landed = events
     for _ in range(copies - 1):
         landed = landed.unionAll(events)
     path = shared_path(spark, "live-events")
     live.land_in_order(landed, "ts", path)
+    if closing_seconds:
+        live.land_closing_row(landed, "ts", path, closing_seconds)
     return live.sample_stream(spark, path, events.schema)
 
 
@@ -752,8 +754,9 @@ def stream_epochs(spark, sf):
 
 
 def stream_window_epochs(spark, sf):
+    """Every hour of every user: the input ends with a row that moves the watermark past the last hour."""
     stream = live.window_epochs(
-        _event_stream(spark, sf), "ts", ["user_id"], HOUR, "2 hours",
+        _event_stream(spark, sf, closing_seconds=3 * HOUR + 1), "ts", ["user_id"], HOUR, "2 hours",
         [F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"),
          F.min_by("event_type", F.struct("ts", "event_id")).alias("first_type")],
     )

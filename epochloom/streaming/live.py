@@ -86,6 +86,19 @@ def land_in_order(
         (part.coalesce(files) if files else part).write.mode("append").parquet(path)
 
 
+def land_closing_row(df: DataFrame, time: str, path: str, seconds: int) -> None:
+    """Append a row with nothing but a time, ``seconds`` after the newest of ``df``.
+
+    If ``seconds`` is more than an epoch and the reader's delay, the watermark passes the end of every epoch
+    of ``df`` and stays before the end of the closing row's own epoch, which is never emitted.
+    """
+    newest = df.agg(F.max(F.col(time).cast("timestamp")).alias("_newest"))
+    later = F.timestamp_micros(F.unix_micros("_newest") + seconds * 1_000_000)
+    newest.select(*[
+        (later if f.name == time else F.lit(None)).cast(f.dataType).alias(f.name) for f in df.schema
+    ]).write.mode("append").parquet(path)
+
+
 def sample_stream(
     spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None
 ) -> DataFrame:
