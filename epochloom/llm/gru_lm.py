@@ -5,7 +5,11 @@ list. The lists meet in hash buckets, where counts of training tokens are added
 chunks, so no task or driver ever holds the vocabulary. Frequent words are classes of their own, the others
 share a class with words of about the same count; words never seen in training are one more word, in the
 class of those seen once. The model is P(class | history) by a GRU with a softmax over the classes, times
-P(word | class) from the counts. The share of the unseen word in its class follows Good and Turing.
+P(word | class, history): a binary tree over all words of the class, whose every branch is a logistic
+function of the same state. Branches start at the shares of the counts; the share of the unseen word in its
+class starts at that of Good and Turing. A tree is as deep as the logarithm of its class, so it grows with the
+vocabulary and each of its words is a leaf; nodes share ``NODE_ROWS`` rows of weights by hash. The network is fed the class
+of the previous word and, for words that share one, two of ``WORD_ROWS`` rows picked by the word's hash.
 
 Training runs in ``ROUNDS`` rounds, each over another part of the chunks: every task starts from the shared
 weights, learns all training documents of its chunk by truncated backpropagation through windows of
@@ -45,6 +49,11 @@ CHUNK_BYTES = 8 << 20
 FREQUENT, BANDS = 64, 32
 CLASSES = FREQUENT + BANDS
 HIDDEN, STEPS, STREAMS, ROUNDS = 16, 16, 256, 3
+#: Parts of a count band: words of one part have equal counts, or counts within an eighth of the band.
+PARTS = 8
+#: Rows of input weights for words and of output weights for the nodes of the trees.
+WORD_ROWS, NODE_ROWS = 1024, 4096
+BLOCK = 4096
 RATE = 0.01
 _END = np.uint64(0)
 
@@ -104,6 +113,21 @@ def _band(counts: np.ndarray) -> np.ndarray:
     return np.frexp(np.maximum(counts, 1).astype(np.float64))[1].astype(np.int64) - 1
 
 
+def _part(counts: np.ndarray) -> np.ndarray:
+    """Part of words by their count: band times ``PARTS`` plus the place in the band."""
+    share, power = np.frexp(np.maximum(counts, 1).astype(np.float64))
+    return (power.astype(np.int64) - 1) * PARTS + ((share - 0.5) * 2 * PARTS).astype(np.int64)
+
+
+def _ranks(part: np.ndarray) -> np.ndarray:
+    """Place of each word among those of its part."""
+    order = np.argsort(part, kind="stable")
+    size = np.bincount(part)
+    out = np.empty(len(part), dtype=np.int64)
+    out[order] = np.arange(len(part)) - (np.cumsum(size) - size)[part[order]]
+    return out
+
+
 def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of each bucket's words, back to the chunks; and the bucket's sums in a row of chunk -1."""
     for group in runs(batches, ("bucket",)):
@@ -113,7 +137,10 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.bincount(place, weights=learned, minlength=len(listed)).astype(np.int64)
         parts = np.split(counts[place], np.cumsum([len(h) for h in hashes])[:-1])
         known = counts > 0
-        band = _band(counts[known])
+        band, part = _band(counts[known]), _part(counts[known])
+        ranks = np.zeros(len(listed), dtype=np.int64)
+        ranks[known] = _ranks(part)
+        placed = np.split(ranks[place].astype(np.int32), np.cumsum([len(h) for h in hashes])[:-1])
         top = np.argsort(-counts, kind="stable")[:FREQUENT]
         top = top[counts[top] > 1]
         n = len(hashes)
@@ -126,8 +153,12 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([None] * n + [np.bincount(band, minlength=BANDS).tolist()], pa.list_(pa.int64())),
                 pa.array([None] * n + [listed[top].view(np.int64).tolist()], pa.list_(pa.int64())),
                 pa.array([None] * n + [counts[top].tolist()], pa.list_(pa.int64())),
+                pa.array([None] * n + [ranks[top].tolist()], pa.list_(pa.int64())),
+                pa.array([*[p.tobytes() for p in placed], None], pa.binary()),
+                pa.array([None] * n + [np.bincount(part, weights=counts[known], minlength=BANDS * PARTS).astype(np.int64).tobytes()], pa.binary()),
+                pa.array([None] * n + [np.bincount(part, minlength=BANDS * PARTS).astype(np.int64).tobytes()], pa.binary()),
             ],
-            names=["chunk", "bucket", "counts", "tokens", "words", "top", "top_counts"],
+            names=["chunk", "bucket", "counts", "tokens", "words", "top", "top_counts", "top_ranks", "ranks", "part_tokens", "part_words"],
         )
 
 
@@ -162,6 +193,104 @@ class Vocabulary:
         return np.where(own, BANDS + place, band), np.where(own, 0.0, inner)
 
 
+@dataclass(frozen=True)
+class Decisions:
+    """Branches on the way to each word of a chunk: those of word i are at start[i] and size[i] after it."""
+
+    start: np.ndarray
+    size: np.ndarray
+    row: np.ndarray
+    right: np.ndarray
+    prior: np.ndarray
+
+    def of(self, words: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Token, row, side and prior of every branch of a window's tokens, token by token."""
+        size = np.where(real, self.size[words], 0)
+        token = np.repeat(np.arange(len(words)), size)
+        at = np.repeat(self.start[words] - (np.cumsum(size) - size), size) + np.arange(len(token))
+        return token, self.row[at], self.right[at], self.prior[at]
+
+
+@dataclass(frozen=True)
+class Trees:
+    """Words and tokens of each part without the frequent words, and where each bucket's words begin."""
+
+    tokens: np.ndarray
+    words: np.ndarray
+    before: np.ndarray
+    #: Sorted ``part << 40 | place`` of the frequent words.
+    gone: np.ndarray
+    once_share: float
+
+    def places(self, bucket: np.ndarray, part: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        """Number of each word among those of its part in all buckets, frequent words left out."""
+        key = (part << 40) | (self.before[bucket, part] + rank)
+        return (key & ((1 << 40) - 1)) - (np.searchsorted(self.gone, key) - np.searchsorted(self.gone, part << 40))
+
+    def decisions(self, own: np.ndarray, seen: np.ndarray, part: np.ndarray, place: np.ndarray) -> Decisions:
+        """Seen or not, the part of the band, then the bits of the place; one-sided nodes decide nothing."""
+        size = np.where(own | ~seen, 0, self.words[part])
+        depth = np.array([max(0, int(n) - 1).bit_length() for n in self.words])[part]
+        deep = int(depth[size > 0].max()) if (size > 0).any() else 0
+        wide = 1 + (PARTS - 1).bit_length() + deep
+        valid = np.zeros((len(part), wide), dtype=bool)
+        right, row, prior = valid.copy(), np.zeros(valid.shape, np.int16), np.zeros(valid.shape, np.float32)
+        band, piece = part // PARTS, part % PARTS
+
+        def put(at, able, side, low, high, tree, prefix):
+            valid[:, at] = able & (low > 0) & (high > 0)
+            right[:, at] = side
+            prior[:, at] = np.log(np.maximum(high, 1e-9) / np.maximum(low, 1e-9))
+            key = ((tree.astype(np.uint64) * np.uint64(64) + np.uint64(at)) << np.uint64(36)) + prefix.astype(np.uint64)
+            key = (key ^ (key >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+            row[:, at] = (key >> np.uint64(52)).astype(np.int64) % NODE_ROWS
+
+        ones = np.ones(len(part))
+        put(0, ~own & (band == 0), seen, ones * (1 - self.once_share), ones * self.once_share, band, band * 0)
+        sums = np.concatenate([np.zeros((BANDS, 1)), np.cumsum(self.tokens.reshape(BANDS, PARTS), axis=1)], axis=1)
+        for level in range((PARTS - 1).bit_length()):
+            shift = (PARTS - 1).bit_length() - level - 1
+            prefix = piece >> (shift + 1)
+            low, mid, high = (sums[band, (2 * prefix + i) << shift] for i in range(3))
+            put(1 + level, size > 0, (piece >> shift) & 1, mid - low, high - mid, band, prefix)
+        for level in range(deep):
+            shift = depth - level - 1
+            able, shift = (size > 0) & (shift >= 0), np.maximum(shift, 0)
+            prefix = place >> (shift + 1)
+            low, mid, high = (np.minimum((2 * prefix + i) << shift, size) for i in range(3))
+            put(wide - deep + level, able, (place >> shift) & 1, mid - low, high - mid, BANDS + part, prefix)
+        count = valid.sum(axis=1)
+        return Decisions(np.cumsum(count) - count, count, row[valid].astype(np.int32), right[valid], prior[valid])
+
+
+def _trees(summed: DataFrame, vocabulary: Vocabulary, bits: int) -> Trees:
+    """Collects a few sums of each hash bucket."""
+    parts = BANDS * PARTS
+    rows = summed.where("chunk = -1").select("bucket", "part_tokens", "part_words").collect()
+    tokens, held = np.zeros(parts, dtype=np.int64), np.zeros((1 << bits, parts), dtype=np.int64)
+    for r in rows:
+        tokens += np.frombuffer(r.part_tokens, dtype=np.int64)[:parts]
+        held[r.bucket] = np.frombuffer(r.part_words, dtype=np.int64)[:parts]
+    before, words = np.cumsum(held, axis=0) - held, held.sum(axis=0)
+    part = _part(vocabulary.top_tokens)
+    bucket = (vocabulary.top >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(part), np.int64)
+    ranks = {r.top: r.top_ranks for r in summed.where("chunk = -1").select(
+        F.explode(F.arrays_zip("top", "top_ranks"))).select("col.*").where(
+        F.col("top").isin(vocabulary.top.view(np.int64).tolist())).collect()}
+    rank = np.array([ranks[h] for h in vocabulary.top.view(np.int64).tolist()], dtype=np.int64)
+    gone = np.sort((part << 40) | (before[bucket, part] + rank))
+    np.subtract.at(tokens, part, vocabulary.top_tokens)
+    np.subtract.at(words, part, 1)
+    return Trees(tokens, words, before, gone, vocabulary.once_share)
+
+
+def _rows_of_words(hashes: np.ndarray, coded: np.ndarray) -> np.ndarray:
+    """Two input rows of each word, the empty last one for words that have a class of their own or are unseen."""
+    mixed = hashes * np.uint64(0xC2B2AE3D27D4EB4F)
+    picked = np.stack([mixed >> np.uint64(54), (mixed >> np.uint64(40)) & np.uint64(1023)], axis=1).astype(np.int64) % WORD_ROWS
+    return np.where(coded[:, None], picked, WORD_ROWS).astype(np.int16)
+
+
 def _vocabulary(summed: DataFrame) -> Vocabulary:
     sums = summed.where("chunk = -1")
     bands = {r.pos: r for r in sums.select(F.posexplode(F.arrays_zip("tokens", "words"))).groupBy("pos").agg(
@@ -185,16 +314,22 @@ def _vocabulary(summed: DataFrame) -> Vocabulary:
     )
 
 
-def _classed(vocabulary: Vocabulary) -> Callable:
+def _classed(vocabulary: Vocabulary, trees: Trees) -> Callable:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         floor = np.log10(vocabulary.tokens + 0.5 * (vocabulary.words + 1))
         for batch in batches:
             for row in range(batch.num_rows):
                 cell = {n: batch.column(n)[row] for n in batch.schema.names}
-                parts = sorted((p["bucket"], p["counts"], p["hashes"]) for p in cell["parts"].as_py())
-                counts = np.concatenate([np.frombuffer(c, dtype=np.int64) for _, c, _ in parts])
-                hashes = np.concatenate([np.frombuffer(h, dtype=np.uint64) for _, _, h in parts])
-                kind, inner = vocabulary.classes(hashes, counts)
+                parts = sorted((p["bucket"], p["counts"], p["hashes"], p["ranks"]) for p in cell["parts"].as_py())
+                counts = np.concatenate([np.frombuffer(p[1], dtype=np.int64) for p in parts])
+                hashes = np.concatenate([np.frombuffer(p[2], dtype=np.uint64) for p in parts])
+                ranks = np.concatenate([np.frombuffer(p[3], dtype=np.int32) for p in parts]).astype(np.int64)
+                bucket = np.repeat([p[0] for p in parts], [len(p[2]) // 8 for p in parts])
+                kind, _ = vocabulary.classes(hashes, counts)
+                part = np.where(kind < BANDS, _part(counts), 0)
+                inside = (kind < BANDS) & (counts > 0)
+                place = np.zeros(len(part), dtype=np.int64)
+                place[inside] = trees.places(bucket[inside], part[inside], ranks[inside])
                 codes = np.frombuffer(cell["codes"].as_py(), dtype=np.int32)
                 lengths = np.frombuffer(cell["lengths"].as_py(), dtype=np.int64)
                 starts = np.cumsum(lengths) - lengths
@@ -202,13 +337,19 @@ def _classed(vocabulary: Vocabulary) -> Callable:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([cell["chunk"].as_py()]), batch.column("ids").slice(row, 1), batch.column("held").slice(row, 1),
-                        batch.column("lengths").slice(row, 1), pa.array([kind.astype(np.uint8)[codes].tobytes()], pa.binary()),
+                        batch.column("lengths").slice(row, 1), batch.column("codes").slice(row, 1),
+                        *[
+                            pa.array([values.tobytes()], pa.binary())
+                            for values in (
+                                kind.astype(np.uint8), counts > 0, part.astype(np.int16), place, _rows_of_words(hashes, inside),
+                            )
+                        ],
                         *[
                             pa.array([np.add.reduceat(values[codes], starts).astype(np.float64).tobytes()], pa.binary())
-                            for values in (base, inner, (counts > 0).astype(np.float64))
+                            for values in (base, (counts > 0).astype(np.float64))
                         ],
                     ],
-                    names=["chunk", "ids", "held", "lengths", "classes", "base", "inner", "known"],
+                    names=["chunk", "ids", "held", "lengths", "codes", "kinds", "seen", "parts", "places", "rows", "base", "known"],
                 )
 
     return read
@@ -224,13 +365,21 @@ def fresh_weights(seed: int = 1) -> dict[str, np.ndarray]:
         "state": rng.normal(0, 0.25, (HIDDEN, 3 * HIDDEN)).astype(np.float32),
         "output": rng.normal(0, 0.1, (HIDDEN, CLASSES)).astype(np.float32),
         "bias": np.zeros(CLASSES, dtype=np.float32),
+        "words": np.concatenate([rng.normal(0, 0.05, (WORD_ROWS, 3 * HIDDEN)), np.zeros((1, 3 * HIDDEN))]).astype(np.float32),
+        "nodes": np.zeros((NODE_ROWS, HIDDEN + 1), dtype=np.float32),
     }
 
 
 class Streams:
-    """Documents laid one after another in parallel streams, longest stream first."""
+    """Documents laid one after another in parallel streams, longest stream first.
 
-    def __init__(self, classes: np.ndarray, starts: np.ndarray, lengths: np.ndarray):
+    With ``words``, the chunk's word of each token, ``rows`` and ``decisions`` are those of these words.
+    """
+
+    def __init__(
+        self, classes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, words: np.ndarray | None = None,
+        rows: np.ndarray | None = None, decisions: Decisions | None = None,
+    ):
         n = max(1, min(STREAMS, len(lengths)))
         load = [(0, s) for s in range(n)]
         docs: list[list[int]] = [[] for _ in range(n)]
@@ -245,6 +394,10 @@ class Streams:
         self.target = np.zeros((steps, n), dtype=np.int16)
         self.given = np.full((steps, n), CLASSES, dtype=np.int16)
         self.doc = np.zeros((steps, n), dtype=np.int32)
+        self.word = None if words is None else np.zeros((steps, n), dtype=np.int32)
+        self.last = None if words is None else np.full((steps, n), -1, dtype=np.int32)
+        self.rows = None if rows is None else np.concatenate([rows, np.full((1, 2), WORD_ROWS, rows.dtype)])
+        self.decisions = decisions
         for column_, s in enumerate(order):
             chosen = np.array(docs[s], dtype=np.int64)
             if not len(chosen):
@@ -256,26 +409,39 @@ class Streams:
             self.given[1 : len(at), column_] = classes[at[:-1]]
             self.given[ahead, column_] = CLASSES
             self.doc[: len(at), column_] = np.repeat(chosen, size)
-
-    def windows(self, steps: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """given, target, document and whether there is a token, for the streams that still have some."""
+            if words is not None:
+                self.word[: len(at), column_] = words[at]
+                self.last[1 : len(at), column_] = words[at[:-1]]
+                self.last[ahead, column_] = -1
+
+    def windows(self, steps: int) -> Iterator[tuple]:
+        """given, target, document and whether there is a token, for the streams that still have some; then
+        the input rows of the words given and the decisions of the target words, if there are words."""
         for at in range(0, len(self.target), steps):
             live = int((self.size > at).sum())
             stop = min(at + steps, len(self.target))
             some = (slice(at, stop), slice(0, live))
-            yield self.given[some], self.target[some], self.doc[some], np.arange(at, stop)[:, None] < self.size[None, :live]
+            real = np.arange(at, stop)[:, None] < self.size[None, :live]
+            words = (None, None) if self.word is None else (
+                self.rows[self.last[some]], self.decisions.of(self.word[some].ravel(), real.ravel())
+            )
+            yield self.given[some], self.target[some], self.doc[some], real, *words
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
-def forward(w: dict, given: np.ndarray, state: np.ndarray, kept: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+def forward(
+    w: dict, given: np.ndarray, state: np.ndarray, kept: list | None = None, rows: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """States after each step (steps, streams, HIDDEN) and the last one; ``kept`` gathers what training needs."""
     out = np.empty((*given.shape, HIDDEN), dtype=np.float32)
     for t, tokens in enumerate(given):
         state = np.where((tokens == CLASSES)[:, None], np.float32(0), state)
         x, u = w["input"][tokens], state @ w["state"]
+        if rows is not None:
+            x = x + w["words"][rows[t, :, 0]] + w["words"][rows[t, :, 1]]
         gates = _sigmoid(x[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
         z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
         inner = u[:, 2 * HIDDEN :]
@@ -293,19 +459,40 @@ def log_softmax(w: dict, states: np.ndarray) -> np.ndarray:
     return logits - np.log(np.exp(logits).sum(axis=-1, keepdims=True))
 
 
-def gradients(w: dict, given: np.ndarray, target: np.ndarray, real: np.ndarray, state: np.ndarray) -> tuple[dict, np.ndarray, float]:
+def branches(w: dict, states: np.ndarray, decisions: tuple) -> tuple[np.ndarray, ...]:
+    """Log-odds of going right at each branch, and its state and weights."""
+    token, row, _, prior = decisions
+    at, weights = states[token], w["nodes"][row]
+    return prior + np.einsum("ij,ij->i", at, weights[:, :HIDDEN]) + weights[:, HIDDEN], at, weights[:, :HIDDEN]
+
+
+def gradients(
+    w: dict, given: np.ndarray, target: np.ndarray, real: np.ndarray, state: np.ndarray,
+    rows: np.ndarray | None = None, decisions: tuple | None = None,
+) -> tuple[dict, np.ndarray, float]:
     """Gradient of the mean log loss over one window, the state after it, and the summed loss."""
     kept: list = []
-    states, last = forward(w, given, state, kept)
+    states, last = forward(w, given, state, kept, rows)
     flat = states.reshape(-1, HIDDEN)
     logs = log_softmax(w, flat)
-    rows, wanted, mask = np.arange(len(flat)), target.ravel(), real.ravel()
-    loss = -float(logs[rows, wanted][mask].sum())
+    each, wanted, mask = np.arange(len(flat)), target.ravel(), real.ravel()
+    loss = -float(logs[each, wanted][mask].sum())
     slope = np.exp(logs)
-    slope[rows, wanted] -= 1
+    slope[each, wanted] -= 1
     slope *= (mask / max(1, mask.sum()))[:, None].astype(np.float32)
     g = {"output": flat.T @ slope, "bias": slope.sum(axis=0), "state": np.zeros_like(w["state"])}
-    from_output = (slope @ w["output"].T).reshape(states.shape)
+    from_output = slope @ w["output"].T
+    g |= {"words": np.zeros_like(w["words"]), "nodes": np.zeros_like(w["nodes"])}
+    if decisions is not None and len(decisions[0]):
+        token, row, right, _ = decisions
+        odds, at, weights = branches(w, flat, decisions)
+        loss += float(np.logaddexp(0, np.where(right, -odds, odds)).sum())
+        pull = ((_sigmoid(odds) - right) / max(1, mask.sum())).astype(odds.dtype)
+        for k, c in enumerate((*at.T, np.ones(1, dtype=at.dtype))):
+            g["nodes"][:, k] = np.bincount(row, weights=pull * c, minlength=NODE_ROWS)
+        first = np.flatnonzero(np.diff(token, prepend=-1))
+        from_output[token[first]] += np.add.reduceat(pull[:, None] * weights, first, axis=0)
+    from_output = from_output.reshape(states.shape)
     inputs = np.empty((*given.shape, 3 * HIDDEN), dtype=np.float32)
     later = np.zeros_like(last)
     for t in range(len(given) - 1, -1, -1):
@@ -320,6 +507,12 @@ def gradients(w: dict, given: np.ndarray, target: np.ndarray, real: np.ndarray,
         later = np.where((given[t] == CLASSES)[:, None], np.float32(0), d * z + d_state @ w["state"].T)
     places, spread = given.ravel(), inputs.reshape(-1, 3 * HIDDEN)
     g["input"] = np.stack([np.bincount(places, weights=c, minlength=CLASSES + 1) for c in spread.T], axis=1).astype(np.float32)
+    if rows is not None:
+        both = rows.reshape(-1, 2)
+        used = np.flatnonzero(both[:, 0] < WORD_ROWS)
+        places, spread = both[used].T.ravel(), spread[used]
+        for k, c in enumerate(spread.T):
+            g["words"][:, k] = np.bincount(places, weights=np.concatenate([c, c]), minlength=WORD_ROWS + 1)
     return g, last, loss
 
 
@@ -328,8 +521,8 @@ def learn(w: dict, streams: Streams, rate: float = RATE) -> dict:
     w = {k: v.copy() for k, v in w.items()}
     mean, square = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
     state = np.zeros((len(streams.size), HIDDEN), dtype=np.float32)
-    for n, (given, target, _, real) in enumerate(streams.windows(STEPS), 1):
-        g, state, _ = gradients(w, given, target, real, state[: given.shape[1]])
+    for n, (given, target, _, real, rows, decisions) in enumerate(streams.windows(STEPS), 1):
+        g, state, _ = gradients(w, given, target, real, state[: given.shape[1]], rows, decisions)
         share = min(1.0, real.sum() / (STREAMS * STEPS / 4))  # windows of a few long documents weigh less
         for k in w:
             mean[k] += 0.1 * (g[k] - mean[k])
@@ -339,51 +532,74 @@ def learn(w: dict, streams: Streams, rate: float = RATE) -> dict:
 
 
 def log10_likelihoods(w: dict, streams: Streams, n: int) -> np.ndarray:
-    """log10 P(classes) of each whole document."""
+    """log10 P(classes) of each whole document, or log10 P(words) if the streams have words."""
     out = np.zeros(n)
     state = np.zeros((len(streams.size), HIDDEN), dtype=np.float32)
-    for given, target, doc, real in streams.windows(2 * STEPS):
-        states, state = forward(w, given, state[: given.shape[1]])
+    for given, target, doc, real, rows, decisions in streams.windows(2 * STEPS):
+        states, state = forward(w, given, state[: given.shape[1]], None, rows)
         logs = log_softmax(w, states.reshape(-1, HIDDEN))
         values = logs[np.arange(len(logs)), target.ravel()]
         out += np.bincount(doc.ravel(), weights=values * real.ravel(), minlength=n)
+        if decisions is not None:
+            odds = branches(w, states.reshape(-1, HIDDEN), decisions)[0]
+            out -= np.bincount(doc.ravel()[decisions[0]], weights=np.logaddexp(0, np.where(decisions[2], -odds, odds)), minlength=n)
     return out / np.log(10)
 
 
-def _cells(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    cell = {n: batch.column(n)[row].as_py() for n in ("classes", "lengths", "held")}
-    lengths = np.frombuffer(cell["lengths"], dtype=np.int64)
-    return np.frombuffer(cell["classes"], dtype=np.uint8), np.cumsum(lengths) - lengths, lengths, np.frombuffer(cell["held"], dtype=bool)
+def _streams(batch: pa.RecordBatch, row: int, trees: Trees, held: bool) -> tuple[Streams | None, np.ndarray, np.ndarray]:
+    """Streams of a chunk's documents, with or without those held out; their lengths and which are held out."""
+    types = {"codes": np.int32, "kinds": np.uint8, "seen": bool, "parts": np.int16, "places": np.int64, "rows": np.int16, "lengths": np.int64, "held": bool}
+    cell = {n: np.frombuffer(batch.column(n)[row].as_py(), dtype=t) for n, t in types.items()}
+    lengths, out = cell["lengths"], cell["held"]
+    chosen = np.ones(len(lengths), dtype=bool) if held else ~out
+    if not chosen.any():
+        return None, lengths, out
+    decisions = trees.decisions(cell["kinds"] >= BANDS, cell["seen"], cell["parts"].astype(np.int64), cell["places"])
+    starts = np.cumsum(lengths) - lengths
+    classes = cell["kinds"][cell["codes"]]
+    return Streams(classes, starts[chosen], lengths[chosen], cell["codes"], cell["rows"].reshape(-1, 2), decisions), lengths, out
 
 
-def _trained(w: dict) -> Callable:
+def _trained(w: dict, trees: Trees) -> Callable:
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                classes, starts, lengths, held = _cells(batch, row)
-                if held.all():
+                streams, lengths, held = _streams(batch, row, trees, held=False)
+                if streams is None:
                     continue
-                new = learn(w, Streams(classes, starts[~held], lengths[~held]))
-                flat = np.concatenate([new[k].ravel() for k in sorted(new)]).astype(np.float64)
+                new = learn(w, streams)
+                flat = np.concatenate([new[k].ravel() for k in sorted(new)]).astype(np.float32)
+                blocks = [flat[at : at + BLOCK].tobytes() for at in range(0, len(flat), BLOCK)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(len(flat))), pa.array(flat), pa.array(np.full(len(flat), float(lengths[~held].sum())))],
-                    names=["place", "value", "tokens"],
+                    [pa.array(range(len(blocks)), pa.int64()), pa.array(blocks, pa.binary()), pa.array([float(lengths[~held].sum())] * len(blocks))],
+                    names=["block", "values", "tokens"],
                 )
 
     return train
 
 
-def _scored(w: dict, names: list[str]) -> Callable:
+def _averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Means of the weights of each block by tokens."""
+    for group in runs(batches, ("block",)):
+        tokens = np.array(group.column("tokens").to_pylist())
+        mean = sum(np.frombuffer(v, dtype=np.float32) * t for v, t in zip(group.column("values").to_pylist(), tokens)) / tokens.sum()
+        yield pa.RecordBatch.from_arrays(
+            [group.column("block")[:1].combine_chunks() if isinstance(group.column("block"), pa.ChunkedArray) else group.column("block")[:1], pa.array([mean.astype(np.float32).tobytes()], pa.binary())],
+            names=["block", "values"],
+        )
+
+
+def _scored(w: dict, trees: Trees, names: list[str]) -> Callable:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                classes, starts, lengths, held = _cells(batch, row)
-                base, inner, known = (np.frombuffer(batch.column(n)[row].as_py()) for n in ("base", "inner", "known"))
-                logs = log10_likelihoods(w, Streams(classes, starts, lengths), len(lengths))
+                streams, lengths, held = _streams(batch, row, trees, held=True)
+                base, known = (np.frombuffer(batch.column(n)[row].as_py()) for n in ("base", "known"))
+                logs = log10_likelihoods(w, streams, len(lengths))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("ids")[row].values, pa.array(held), pa.array(lengths), pa.array(known.astype(np.int64)),
-                        pa.array(base), pa.array(logs + inner),
+                        pa.array(base), pa.array(logs),
                     ],
                     names=names,
                 )
@@ -414,18 +630,20 @@ def document_scores(
     lists = coded.where("bucket >= 0").select("chunk", "bucket", "hashes", "learned")
     summed = materialise(
         lists.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-            _added, "chunk long, bucket long, counts binary, tokens array<long>, words array<long>, top array<long>, top_counts array<long>"
+            _added, "chunk long, bucket long, counts binary, tokens array<long>, words array<long>, top array<long>, top_counts array<long>,"
+            " top_ranks array<long>, ranks binary, part_tokens binary, part_words binary"
         ), "word-counts",
     )
     vocabulary = _vocabulary(summed)
-    parts = summed.where("chunk >= 0").select("chunk", "bucket", "counts").join(
+    trees = _trees(summed, vocabulary, bits)
+    parts = summed.where("chunk >= 0").select("chunk", "bucket", "counts", "ranks").join(
         lists.select("chunk", "bucket", "hashes"), ["chunk", "bucket"]
-    ).groupBy("chunk").agg(F.collect_list(F.struct("bucket", "counts", "hashes")).alias("parts"))
+    ).groupBy("chunk").agg(F.collect_list(F.struct("bucket", "counts", "hashes", "ranks")).alias("parts"))
     chunks = coded.where("bucket < 0").select("chunk", "ids", "held", "lengths", "codes").join(parts, "chunk")
     classed = materialise(
-        chunks.mapInArrow(_classed(vocabulary), T.StructType([
+        chunks.mapInArrow(_classed(vocabulary, trees), T.StructType([
             T.StructField("chunk", T.LongType()), ids,
-            *[T.StructField(n, T.BinaryType()) for n in ("held", "lengths", "classes", "base", "inner", "known")],
+            *[T.StructField(n, T.BinaryType()) for n in ("held", "lengths", "codes", "kinds", "seen", "parts", "places", "rows", "base", "known")],
         ])), "class-chunks",
     )
     discard(coded)
@@ -436,12 +654,11 @@ def document_scores(
     shapes = {k: weights[k].shape for k in sorted(weights)}
     for turn in range(ROUNDS):
         mine = classed.where(F.pmod(F.xxhash64("chunk"), F.lit(ROUNDS)) == turn).repartition(n_chunks, "chunk")
-        # as many rows as the network has weights
-        means = mine.mapInArrow(_trained(weights), "place long, value double, tokens double").groupBy("place").agg(
-            (F.sum(F.col("value") * F.col("tokens")) / F.sum("tokens")).alias("value")
-        ).orderBy("place").collect()
+        # as many values as the network has weights
+        means = mine.mapInArrow(_trained(weights, trees), "block long, values binary, tokens double").repartition(
+            "block").sortWithinPartitions("block").mapInArrow(_averaged, "block long, values binary").orderBy("block").collect()
         if means:
-            flat, at = np.array([m.value for m in means], dtype=np.float32), 0
+            flat, at = np.concatenate([np.frombuffer(m["values"], dtype=np.float32) for m in means]), 0
             for k, shape in shapes.items():
                 size = int(np.prod(shape))
                 weights[k] = flat[at : at + size].reshape(shape)
@@ -451,6 +668,6 @@ def document_scores(
         T.StructField("doc_id", kind), T.StructField("held_out", T.BooleanType()), T.StructField("n_tokens", T.LongType()),
         T.StructField("n_known", T.LongType()), T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType()),
     ])
-    return classed.repartition(n_chunks, "chunk").mapInArrow(_scored(weights, names), schema).select(
+    return classed.repartition(n_chunks, "chunk").mapInArrow(_scored(weights, trees, names), schema).select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(vocabulary.tokens).cast("long").alias("train_tokens"), "base_score", "score"
     )

@@ -103,3 +103,95 @@ def test_without_training_documents(spark, rows):
     got = document_scores(spark.createDataFrame(rows, SCHEMA), held_out=F.lit(True)).collect()
     assert [(r.n_known, r.train_tokens) for r in got] == [(0, 0)] * len(rows)
     assert all(math.isfinite(r.score) and math.isfinite(r.base_score) for r in got)
+
+
+def _word_trees():
+    """Trees over words of two buckets with two frequent ones left out, and what each word needs."""
+    counts = np.array([1] * 5 + [2, 3, 3, 5, 6, 7, 7, 900, 20, 21, 22, 30] + [1] * 3 + [17, 16, 950])
+    bucket, top = np.arange(len(counts)) % 2, counts > 100
+    part, rank = gru_lm._part(counts), np.zeros(len(counts), dtype=np.int64)
+    held = np.zeros((2, gru_lm.BANDS * gru_lm.PARTS), dtype=np.int64)
+    for b in range(2):
+        rank[bucket == b] = gru_lm._ranks(part[bucket == b])
+        held[b] = np.bincount(part[bucket == b], minlength=held.shape[1])
+    before = np.cumsum(held, axis=0) - held
+    gone = np.sort((part << 40 | (before[bucket, part] + rank))[top])
+    words, tokens = (np.bincount(part[~top], weights=v, minlength=held.shape[1]).astype(np.int64) for v in (None, counts[~top]))
+    trees = gru_lm.Trees(tokens, words, before, gone, 0.4)
+    return trees, counts[~top], part[~top], trees.places(bucket[~top], part[~top], rank[~top])
+
+
+def test_words_of_a_class_share_probability_one_in_every_state():
+    trees, counts, part, place = _word_trees()
+    n = len(counts)
+    assert len({*zip(part, place)}) == n
+    seen, part, place = np.append(np.ones(n, bool), False), np.append(part, 0), np.append(place, 0)
+    decisions = trees.decisions(np.zeros(n + 1, bool), seen, part, place)
+    rng, shares = np.random.default_rng(4), []
+    w = fresh_weights() | {"nodes": rng.normal(size=(gru_lm.NODE_ROWS, HIDDEN + 1)).astype(np.float32)}
+    for state in (np.zeros(HIDDEN), rng.normal(size=HIDDEN), rng.normal(size=HIDDEN)):
+        found = decisions.of(np.arange(n + 1), np.ones(n + 1, bool))
+        odds = gru_lm.branches(w, np.tile(state, (n + 1, 1)), found)[0]
+        shares.append(np.exp(-np.bincount(found[0], weights=np.logaddexp(0, np.where(found[2], -odds, odds)), minlength=n + 1)))
+        for band in np.unique(part // gru_lm.PARTS):
+            assert math.isclose(shares[-1][part // gru_lm.PARTS == band].sum(), 1.0, rel_tol=1e-5)
+    assert abs(shares[1] - shares[2]).max() > 0.05
+
+
+def test_gradients_of_words_match_differences():
+    rng = np.random.default_rng(1)
+    trees, counts, part, place = _word_trees()
+    n = len(counts)
+    decisions = trees.decisions(np.zeros(n, bool), np.ones(n, bool), part, place)
+    w = {k: v.astype(np.float64) for k, v in fresh_weights(2).items()}
+    w["nodes"] = rng.normal(size=w["nodes"].shape)
+    real, rows = rng.random((6, 4)) < 0.8, rng.integers(0, gru_lm.WORD_ROWS, (6, 4, 2))
+    args = (rng.integers(0, CLASSES + 1, (6, 4)), rng.integers(0, CLASSES, (6, 4)), real, rng.normal(size=(4, HIDDEN)),
+            rows, decisions.of(rng.integers(0, n, 24), real.ravel()))
+    g = gradients(w, *args)[0]
+    for k in w:
+        for flat in np.argsort(-np.abs(g[k]).ravel())[:8]:
+            place = np.unravel_index(flat, g[k].shape)
+            old, losses = w[k][place], []
+            for step in (1e-3, -1e-3):
+                w[k][place] = old + step
+                losses.append(gradients(w, *args)[2] / real.sum())
+            w[k][place] = old
+            assert abs((losses[0] - losses[1]) / 2e-3 - g[k][place]) < 2e-4
+
+
+def test_learning_tells_words_of_a_class_apart():
+    """Pairs of equally frequent words of one class: the second of a pair becomes likely after the first."""
+    rng = np.random.default_rng(3)
+    n, part = 16, np.full(16, 3 * gru_lm.PARTS)
+    words = np.zeros(gru_lm.BANDS * gru_lm.PARTS, dtype=np.int64)
+    words[part[0]] = n
+    trees = gru_lm.Trees(words * 8, words, np.zeros((1, len(words)), dtype=np.int64), np.zeros(0, dtype=np.int64), 0.0)
+    decisions = trees.decisions(np.zeros(n, bool), np.ones(n, bool), part, np.arange(n))
+    rows = gru_lm._rows_of_words(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), np.ones(n, bool))
+
+    def streams(pairs):
+        docs = [np.array([w for p in rng.permutation(8) for w in pairs[p]]) for _ in range(2000)]
+        lengths, flat = np.full(len(docs), 16), np.concatenate(docs)
+        return Streams(np.full(len(flat), 3), np.cumsum(lengths) - lengths, lengths, flat, rows, decisions)
+
+    whole, dealt = [(p, 8 + p) for p in range(8)], [(p, 8 + (p + 1) % 8) for p in range(8)]
+    w = fresh_weights()
+    for _ in range(8):
+        w = gru_lm.learn(w, streams(whole))
+    good, bad = (log10_likelihoods(w, streams(p), 2000).mean() for p in (whole, dealt))
+    assert good > bad + 1
+
+
+def test_scores_depend_on_which_words_of_a_class_follow(spark):
+    """Words of one count and a class that they share, whole pairs against pairs dealt anew."""
+    rng = random.Random(5)
+    texts = [" ".join(f"{a}{k}" for k in rng.sample(range(8), 8) for a in ("left", "right")) for _ in range(300)]
+    left, right = texts[0].split()[::2], texts[0].split()[1::2]
+    bad = " ".join(f"{a} {b}" for a, b in zip(left, right[1:] + right[:1]))
+    # 64 more words take the classes of their own, so that the pairs share one class
+    often = [" ".join(f"often{k}" for k in range(64)) for _ in range(400)]
+    rows = [(i, t, "", 0) for i, t in enumerate([texts[0], bad, *texts, *often])]
+    got = {r.doc_id: r.score for r in document_scores(
+        spark.createDataFrame(rows, SCHEMA).coalesce(2), held_out=F.col("doc_id") < 2).collect()}
+    assert abs(got[0] - got[1]) > 1e-3
