@@ -52,8 +52,22 @@ SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(b) AS comp
 FROM documents d JOIN reach ON reach.a = d.doc_id LEFT JOIN size ON size.doc_id = d.doc_id GROUP BY d.doc_id
 """
 
+OP11 = """
+WITH whole AS MATERIALIZED (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS v FROM embeddings
+    WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+    FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, (row_number() OVER best)::INTEGER AS rank, vec_id, score FROM scored
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER best <= 5
+"""
+
 EXPECTED = {
     "op1_lattice_dedup": OP1,
     "op2_exact_dedup": OP2,
     "op4_superminhash": OP4,
+    "op11_bit_sliced_top_k": OP11,
 }

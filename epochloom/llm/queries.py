@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from epochloom.llm.bit_sliced import top_matches
 from epochloom.llm.bpe_codec import bpe_decoded, bpe_encoded
 from epochloom.llm.e8_dedup import near_vectors
 from epochloom.llm.exact_dedup import exact_groups
@@ -88,6 +89,10 @@ def op10_gru_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_scores(_documents(spark, sf_dir), held_out=_remainder(5) == 1)
 
 
+def op11_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_matches(_table(spark, sf_dir, "embeddings"), F.col("_id") % 50 == 0, k=5, scale=256)
+
+
 QUERIES = {
     "op1_lattice_dedup": op1_lattice_dedup,
     "op2_exact_dedup": op2_exact_dedup,
@@ -99,4 +104,5 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_quality": op9_quality,
     "op10_gru_scores": op10_gru_scores,
+    "op11_bit_sliced_top_k": op11_bit_sliced_top_k,
 }
