@@ -14,6 +14,7 @@ from epochloom.llm.gru_lm import document_scores
 from epochloom.llm.minhash_dedup import near_documents
 from epochloom.llm.packing import packed_pieces
 from epochloom.llm.quality import quality_scores
+from epochloom.llm.resampling import resampled
 from epochloom.llm.sharding import shuffled_shards
 from epochloom.llm.simple8b import read_token_files, write_token_files
 from epochloom.llm.suffix_dedup import repeats_removed
@@ -93,6 +94,10 @@ def op11_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_matches(_table(spark, sf_dir, "embeddings"), F.col("_id") % 50 == 0, k=5, scale=256)
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampled(_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark")).drop("n_words")
+
+
 QUERIES = {
     "op1_lattice_dedup": op1_lattice_dedup,
     "op2_exact_dedup": op2_exact_dedup,
@@ -105,4 +110,5 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_gru_scores": op10_gru_scores,
     "op11_bit_sliced_top_k": op11_bit_sliced_top_k,
+    "op12_importance_resampling": op12_importance_resampling,
 }
