@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from epochloom.llm.alignment import aligned_tokens, with_pair_counts
 from epochloom.llm.bit_sliced import top_matches
 from epochloom.llm.bpe_codec import bpe_decoded, bpe_encoded
 from epochloom.llm.e8_dedup import near_vectors
@@ -18,9 +19,11 @@ from epochloom.llm.resampling import resampled
 from epochloom.llm.sharding import shuffled_shards
 from epochloom.llm.simple8b import read_token_files, write_token_files
 from epochloom.llm.suffix_dedup import repeats_removed
-from epochloom.shared import shared_path
+from epochloom.shared import materialise, shared_path
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -98,6 +101,17 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampled(_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark")).drop("n_words")
 
 
+def aligned_digests(docs: DataFrame) -> DataFrame:
+    """Counts of tokens, groups and links of each document, with a digest of its groups."""
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    found = aligned_tokens(docs, BYTE_BPE, PIECE_BPE).withColumn("groups_sha256", digest).drop("groups")
+    return with_pair_counts(materialise(found, "aligned"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned_digests(_documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_lattice_dedup": op1_lattice_dedup,
     "op2_exact_dedup": op2_exact_dedup,
@@ -111,4 +125,5 @@ QUERIES = {
     "op10_gru_scores": op10_gru_scores,
     "op11_bit_sliced_top_k": op11_bit_sliced_top_k,
     "op12_importance_resampling": op12_importance_resampling,
+    "op13_token_alignment": op13_token_alignment,
 }
