@@ -1,31 +1,27 @@
 """Row numbers, rolling means and fill-forward that hold when one key owns most of the rows.
 
-A plain window sorts all rows of a key in one task. Here all rows are range-partitioned on (key, order)
-whatever their number, so a hot key is spread over many tasks, and the partitions are stitched together
-with one small row per (key, partition). The ranges are stored, as both steps must see the same ones. The
-order must be total over ``keys + order``; rows that tie on it keep an arbitrary order.
+A plain window sorts all rows of a key in one task. Here the order is cut into ranges first, by bounds from a
+sorted sample that become literals of the plan, so every use and every retry sees the same ranges. Rows are
+numbered inside (key, range) groups, however hot a key is; counts per group combine before their shuffle, and
+their running sums are added. Nothing is stored: the input is read for its count, the sample, the counts and
+the rows, so store one that is dear to compute. It must be deterministic, and the order total over
+``keys + order``; rows that tie on it keep an arbitrary order. The caller's columns travel under names of
+their own, so none can clash with the names used here.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from epochloom.functions.columns import column
-from epochloom.shared import materialise
 
-_OFFSET_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
 BLOCK_ROWS = 100_000
-
-
-def _every(df: DataFrame) -> list[Column]:
-    return [column(name) for name in df.columns]
-
-
-def _sort_columns(names: Sequence) -> list[Column]:
-    return [F.col(name) if isinstance(name, str) else name for name in names]
+#: Ranges are as many as the session's shuffle partitions, up to this; the sample has ``SAMPLED`` rows for each.
+MOST_RANGES = 4096
+SAMPLED = 32
 
 
 def match_keys(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -53,34 +49,90 @@ def split_by_size(
     return match_keys(df, large, keys, "left_anti"), match_keys(df, large, keys, "left_semi")
 
 
-def _sorted_partitions(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
-    """Stored copy of ``df`` with ``_part`` and ``_pos``: consecutive ranges of (keys, order)."""
-    sorts = _sort_columns([*keys, *order])
-    ranged = (
-        df.repartitionByRange(*sorts)
-        .sortWithinPartitions(*sorts)
-        .withColumn("_at", F.monotonically_increasing_id())
+class _Sort:
+    """One item of an order: its value, direction and place of NULLs."""
+
+    def __init__(self, item):
+        self.value, self.down, self.nulls_first = item, False, True
+        if isinstance(item, str):
+            self.value = column(item)
+        elif item._jc.node().getClass().getSimpleName() == "SortOrder":
+            node = item._jc.node()
+            self.down = "Descending" in node.sortDirection().toString()
+            self.nulls_first = "NullsFirst" in node.nullOrdering().toString()
+            java = SparkSession.active().sparkContext._jvm.org.apache.spark.sql.Column
+            self.value = type(item)(java(node.child()))
+
+    def sorted(self, value: Column) -> Column:
+        if self.down:
+            return value.desc_nulls_first() if self.nulls_first else value.desc_nulls_last()
+        return value.asc_nulls_first() if self.nulls_first else value.asc_nulls_last()
+
+    def before(self, a: Column, b: Column) -> Column:
+        """Whether ``a``, which differs from ``b``, sorts before it."""
+        return F.coalesce(a > b if self.down else a < b, a.isNull() if self.nulls_first else b.isNull())
+
+
+def range_of(df: DataFrame, order: Sequence) -> tuple[Column, int]:
+    """The range of a row of ``df`` in ``order``, and the number of ranges.
+
+    Bounds are drawn now. Equal order values share a range; each range holds about as many rows as any other.
+    """
+    spark, sorts = df.sparkSession, [_Sort(item) for item in order]
+    ranges = min(MOST_RANGES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    values = df.select(F.struct(*[s.value.alias(f"o{i}") for i, s in enumerate(sorts)]).alias("at"))
+    rows = values.count()
+    if not rows or ranges < 2:
+        return F.lit(0), 1
+    share = SAMPLED * ranges / rows
+    drawn = (values.sample(share, seed=1) if share < 1 else values).repartition(1).sortWithinPartitions(
+        *[s.sorted(F.col(f"at.o{i}")) for i, s in enumerate(sorts)]
     )
-    return materialise(ranged, "ranges").select(
-        *_every(df),
-        F.shiftright("_at", _OFFSET_BITS).alias("_part"),
-        F.col("_at").bitwiseAND(F.lit((1 << _OFFSET_BITS) - 1)).alias("_pos"),
+    sample = [r.at for r in drawn.select(F.to_json("at").alias("at")).collect()]  # SAMPLED rows for each range
+    picked = [sample[len(sample) * i // ranges] for i in range(1, ranges)] if sample else []
+    bounds = F.from_json(F.lit("[" + ",".join(picked) + "]"), f"array<{values.schema['at'].dataType.simpleString()}>")
+
+    def reached(bound: Column) -> Column:
+        result = F.lit(True)
+        for i, s in reversed(list(enumerate(sorts))):
+            mine = bound.getField(f"o{i}")
+            result = F.when(mine.eqNullSafe(s.value), result).otherwise(s.before(mine, s.value))
+        return result
+
+    steps = [1 << k for k in reversed(range(len(picked).bit_length()))]
+    if not steps:
+        return F.lit(0), 1
+    place = F.aggregate(
+        F.array(*map(F.lit, steps)), F.lit(0),
+        lambda at, step: F.when(
+            (at + step <= len(picked)) & reached(F.get(bounds, at + step - 1)), at + step
+        ).otherwise(at),
     )
+    return place, ranges
 
 
-def _join_parts(ranged: DataFrame, parts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Attach per-(key, partition) rows. No pair holds more rows than one range partition."""
-    right = parts.select(
-        F.col("_part").alias("_rpart"),
-        *[F.col(key).alias(f"_r{i}") for i, key in enumerate(keys)],
-        *[name for name in parts.columns if name not in {"_part", *keys}],
-    )
-    match = F.col("_part") == F.col("_rpart")
-    for i, key in enumerate(keys):
-        match = match & F.col(key).eqNullSafe(F.col(f"_r{i}"))
-    if not keys:
-        right = F.broadcast(right)  # one row per partition of the range exchange
-    return ranged.join(right, match).drop("_rpart", *[f"_r{i}" for i in range(len(keys))])
+class _Ranged:
+    """``df`` under names of its own: c0, c1, ... with ``key`` (one struct), ``part`` and the order columns."""
+
+    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence):
+        self.names, sorts = df.columns, [_Sort(item) for item in order]
+        part, _ = range_of(df, order)
+        key = F.struct(*[column(k) for k in keys]) if keys else F.struct(F.lit(0))
+        self.rows = df.select(
+            *[column(name).alias(f"c{i}") for i, name in enumerate(self.names)],
+            key.alias("key"), part.alias("part"), *[s.value.alias(f"o{i}") for i, s in enumerate(sorts)],
+        )
+        self.group = Window.partitionBy("key", "part")
+        self.inside = self.group.orderBy(*[s.sorted(F.col(f"o{i}")) for i, s in enumerate(sorts)])
+        self.earlier = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+
+    def own(self, name: str) -> Column:
+        return F.col(f"c{self.names.index(name)}")
+
+    def named(self, df: DataFrame, **more: Column) -> DataFrame:
+        """The caller's columns under their names; those of ``more`` replace or follow them."""
+        kept = [F.col(f"c{i}").alias(n) for i, n in enumerate(self.names) if n not in more]
+        return df.select(*kept, *[value.alias(name) for name, value in more.items()])
 
 
 def number_rows(
@@ -91,40 +143,30 @@ def number_rows(
     total: str | None = None,
 ) -> DataFrame:
     """Zero-based row number per key in ``order``; ``total`` names a column for the key's row count."""
-    ranged = _sorted_partitions(df, keys, order)
-    within = Window.partitionBy(*keys)
-    earlier = within.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = ranged.groupBy(*keys, "_part").agg(
-        F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_rows")
-    )
-    parts = parts.select(
-        *keys, "_part", "_first",
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_rows").over(within).alias("_total"),
+    ranged = _Ranged(df, keys, order)
+    sizes = ranged.rows.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n")).select(
+        "key", "part", F.coalesce(F.sum("n").over(ranged.earlier), F.lit(0)).alias("before"),
+        F.sum("n").over(Window.partitionBy("key")).alias("total"),
     )
-    numbered = _join_parts(ranged, parts, keys)
-    columns = [*_every(df), (F.col("_pos") - F.col("_first") + F.col("_before")).alias(name)]
+    numbered = ranged.rows.withColumn("no", F.row_number().over(ranged.inside).cast("long")).join(sizes, ["key", "part"])
+    more = {name: F.col("no") - 1 + F.col("before")}
     if total:
-        columns.append(F.col("_total").alias(total))
-    return numbered.select(*columns)
+        more[total] = F.col("total")
+    return ranged.named(numbered, **more)
 
 
 def carry_forward(
     df: DataFrame, value: str, order: Sequence, keys: Sequence[str], name: str
 ) -> DataFrame:
     """Last non-null ``value`` at or before each row of its key, in ``order``."""
-    ranged = _sorted_partitions(df, keys, order)
-    seen = F.when(F.col(value).isNotNull(), F.col("_pos"))
-    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = ranged.groupBy(*keys, "_part").agg(F.max_by(value, seen).alias("_last"))
-    parts = parts.select(
-        *keys, "_part", F.last("_last", ignorenulls=True).over(earlier).alias("_carried")
-    )
-    inside = Window.partitionBy(*keys, "_part").orderBy("_pos")
-    filled = ranged.withColumn("_inside", F.last(value, ignorenulls=True).over(inside))
-    return _join_parts(filled, parts, keys).select(
-        *_every(df), F.coalesce("_inside", "_carried").alias(name)
+    ranged = _Ranged(df, keys, order)
+    filled = ranged.rows.withColumns({
+        "filled": F.last(ranged.own(value), ignorenulls=True).over(ranged.inside), "no": F.row_number().over(ranged.inside),
+    })
+    last = filled.groupBy("key", "part").agg(F.max_by("filled", "no").alias("last")).select(
+        "key", "part", F.last("last", ignorenulls=True).over(ranged.earlier).alias("carried")
     )
+    return ranged.named(filled.join(last, ["key", "part"]), **{name: F.coalesce("filled", "carried")})
 
 
 def rolling_mean(
@@ -144,18 +186,16 @@ def rolling_mean(
     """
     block_rows = max(block_rows, size)
     numbered = number_rows(df, order, keys, index)
-    own = F.floor(F.col(index) / block_rows)
-    tail = F.col(index) % block_rows > block_rows - size
-    copies = numbered.withColumn("_own", own).withColumn(
-        "_block",
-        F.explode(F.when(tail, F.array("_own", F.col("_own") + 1)).otherwise(F.array("_own"))),
-    )
-    span = Window.partitionBy(*keys, "_block").orderBy(index).rowsBetween(1 - size, 0)
-    return (
-        copies.withColumn(name, F.avg(value).over(span))
-        .where("_block = _own")
-        .select(*_every(df), index, name)
-    )
+    names = numbered.columns
+    mine = {n: f"c{i}" for i, n in enumerate(names)}
+    at = F.col(mine[index])
+    own = F.floor(at / block_rows)
+    block = F.explode(F.when(at % block_rows > block_rows - size, F.array(own, own + 1)).otherwise(F.array(own)))
+    copies = numbered.toDF(*mine.values()).select("*", block.alias("block"))
+    span = Window.partitionBy(*[mine[k] for k in keys], "block").orderBy(mine[index]).rowsBetween(1 - size, 0)
+    rolled = copies.withColumn("mean", F.avg(mine[value]).over(span)).where(F.col("block") == own)
+    kept = [F.col(c).alias(n) for n, c in mine.items() if n not in (index, name)]
+    return rolled.select(*kept, at.alias(index), F.col("mean").alias(name))
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -46,8 +46,9 @@ def test_number_rows_per_key(frame, rows):
 
 
 def test_hot_key_spans_partitions(frame):
-    parts = OR._sorted_partitions(frame, ["k"], ["t", "id"]).where("k = 'hot'").select("_part").distinct()
-    assert parts.count() > 2
+    part, ranges = OR.range_of(frame, ["t", "id"])
+    sizes = [r["count"] for r in frame.where("k = 'hot'").groupBy(part.alias("part")).count().collect()]
+    assert len(sizes) == ranges == 8 and max(sizes) < 2 * sum(sizes) / ranges
 
 
 def test_number_rows_overall_and_descending(frame, rows):
@@ -93,6 +94,59 @@ def test_tail_and_snapshot(spark):
     assert {r.id for r in OR.latest_snapshot(df, "t").collect()} == {245, 246, 247, 248, 249}
 
 
+@pytest.mark.parametrize("sorts", [
+    lambda: [F.col("t").desc(), "id"], lambda: [F.col("v").asc_nulls_last(), F.col("id").desc()],
+    lambda: [F.col("v").desc_nulls_first(), "t", "id"], lambda: ["s", "id"],
+])
+def test_number_rows_follows_any_order(frame, sorts):
+    sorts = sorts()
+    named = frame.withColumns({"s": F.concat(F.lit("a\"b,"), F.col("t").cast("string"))})
+    got = [r.id for r in OR.number_rows(named, sorts, (), "no").orderBy("no").collect()]
+    assert got == [r.id for r in named.orderBy(*sorts).collect()]
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "decimal(12,3)", "double", "string", "binary"])
+def test_order_columns_of_any_type(spark, kind):
+    raw = spark.range(700).select(((F.col("id") * 7919) % 701).alias("n"))
+    value = {
+        "timestamp": F.timestamp_micros(F.col("n") * 777_777_777), "date": F.date_add(F.lit("2020-01-01"), F.col("n").cast("int")),
+        "double": F.when(F.col("n") == 5, F.lit(float("nan"))).otherwise(F.col("n") / 3), "binary": F.lpad(F.col("n").cast("string"), 5, "0"),
+        "timestamp_ntz": F.timestamp_micros(F.col("n") * 777_777_777),
+    }.get(kind, F.col("n"))
+    df = raw.select(F.when(F.col("n") != 9, value.cast(kind)).alias("o"), "n")
+    got = [r.n for r in OR.number_rows(df, ["o"], (), "no").orderBy("no").collect()]
+    assert got == [r.n for r in df.orderBy("o").collect()]
+
+
+INTERNAL = (
+    "_at _part _pos _first _before _total _rpart _inside _carried _own _block _no _rows _r0 key part at o0 o1 c0 c1 "
+    "n no before total filled last carried mean block row_no"
+).split()
+
+
+def test_no_name_of_the_caller_clashes(spark, frame):
+    """A frame that holds every name used inside comes back unchanged."""
+    wide = frame.select("*", *[(F.col("id") * 10 + 5).alias(n) for n in INTERNAL if n not in frame.columns])
+    want = {tuple(r) for r in wide.drop("row_no").collect()}
+    outputs = [
+        OR.number_rows(wide, ["t", "id"], ["k"], "new", total="new2").drop("new2"),
+        OR.carry_forward(wide, "v", ["t", "id"], ["k"], "new"),
+        OR.rolling_mean(wide, "id", ["t", "id"], ["k"], 3, "new", "row_no"),
+    ]
+    for got in outputs:
+        assert {tuple(r) for r in got.select(*[c for c in wide.columns if c != "row_no"]).collect()} == want
+    numbered = OR.number_rows(wide, ["_at", "part"], ["key"], "n")
+    assert {r.n for r in numbered.collect()} == {0} and numbered.columns.count("n") == 1
+
+
+def test_nothing_is_stored(spark):
+    """Numbering reads no stored table and needs one exchange of the rows, beside those of the counts."""
+    numbered = OR.number_rows(spark.range(100).withColumn("k", F.col("id") % 3), ["id"], ["k"], "no")
+    assert numbered.inputFiles() == []
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") <= 4 and "rangepartitioning" not in plan
+
+
 def test_empty_input(spark):
     df = spark.createDataFrame([], "k string, t long")
     assert OR.number_rows(df, ["t"], ["k"]).count() == 0
