@@ -112,26 +112,35 @@ def range_of(df: DataFrame, order: Sequence) -> tuple[Column, int]:
 
 
 class _Ranged:
-    """``df`` under names of its own: c0, c1, ... with ``key`` (one struct), ``part`` and the order columns."""
+    """``df`` under names of its own, which no column of the caller's begins with in any case of letters.
+
+    ``key`` (one struct), ``part``, and one column for each of the caller's and of the order.
+    """
 
     def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence):
-        self.names, sorts = df.columns, [_Sort(item) for item in order]
+        self.names, sorts, self.tag = df.columns, [_Sort(item) for item in order], "r"
+        while any(name.lower().startswith(self.tag) for name in self.names):
+            self.tag += "_"
+        self.on = [f"{self.tag}key", f"{self.tag}part"]
         part, _ = range_of(df, order)
         key = F.struct(*[column(k) for k in keys]) if keys else F.struct(F.lit(0))
         self.rows = df.select(
-            *[column(name).alias(f"c{i}") for i, name in enumerate(self.names)],
-            key.alias("key"), part.alias("part"), *[s.value.alias(f"o{i}") for i, s in enumerate(sorts)],
+            *[column(name).alias(f"{self.tag}c{i}") for i, name in enumerate(self.names)],
+            *[value.alias(name) for name, value in zip(self.on, (key, part))],
+            *[s.value.alias(f"{self.tag}o{i}") for i, s in enumerate(sorts)],
+        )
+        self.inside = Window.partitionBy(*self.on).orderBy(
+            *[s.sorted(F.col(f"{self.tag}o{i}")) for i, s in enumerate(sorts)]
         )
-        self.group = Window.partitionBy("key", "part")
-        self.inside = self.group.orderBy(*[s.sorted(F.col(f"o{i}")) for i, s in enumerate(sorts)])
-        self.earlier = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        self.all = Window.partitionBy(self.on[0])
+        self.earlier = self.all.orderBy(self.on[1]).rowsBetween(Window.unboundedPreceding, -1)
 
     def own(self, name: str) -> Column:
-        return F.col(f"c{self.names.index(name)}")
+        return F.col(f"{self.tag}c{self.names.index(name)}")
 
     def named(self, df: DataFrame, **more: Column) -> DataFrame:
         """The caller's columns under their names; those of ``more`` replace or follow them."""
-        kept = [F.col(f"c{i}").alias(n) for i, n in enumerate(self.names) if n not in more]
+        kept = [self.own(n).alias(n) for n in self.names if n not in more]
         return df.select(*kept, *[value.alias(name) for name, value in more.items()])
 
 
@@ -144,11 +153,11 @@ def number_rows(
 ) -> DataFrame:
     """Zero-based row number per key in ``order``; ``total`` names a column for the key's row count."""
     ranged = _Ranged(df, keys, order)
-    sizes = ranged.rows.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n")).select(
-        "key", "part", F.coalesce(F.sum("n").over(ranged.earlier), F.lit(0)).alias("before"),
-        F.sum("n").over(Window.partitionBy("key")).alias("total"),
+    sizes = ranged.rows.groupBy(*ranged.on).agg(F.count(F.lit(1)).alias("n")).select(
+        *ranged.on, F.coalesce(F.sum("n").over(ranged.earlier), F.lit(0)).alias("before"),
+        F.sum("n").over(ranged.all).alias("total"),
     )
-    numbered = ranged.rows.withColumn("no", F.row_number().over(ranged.inside).cast("long")).join(sizes, ["key", "part"])
+    numbered = ranged.rows.withColumn("no", F.row_number().over(ranged.inside).cast("long")).join(sizes, ranged.on)
     more = {name: F.col("no") - 1 + F.col("before")}
     if total:
         more[total] = F.col("total")
@@ -163,10 +172,10 @@ def carry_forward(
     filled = ranged.rows.withColumns({
         "filled": F.last(ranged.own(value), ignorenulls=True).over(ranged.inside), "no": F.row_number().over(ranged.inside),
     })
-    last = filled.groupBy("key", "part").agg(F.max_by("filled", "no").alias("last")).select(
-        "key", "part", F.last("last", ignorenulls=True).over(ranged.earlier).alias("carried")
+    last = filled.groupBy(*ranged.on).agg(F.max_by("filled", "no").alias("last")).select(
+        *ranged.on, F.last("last", ignorenulls=True).over(ranged.earlier).alias("carried")
     )
-    return ranged.named(filled.join(last, ["key", "part"]), **{name: F.coalesce("filled", "carried")})
+    return ranged.named(filled.join(last, ranged.on), **{name: F.coalesce("filled", "carried")})
 
 
 def rolling_mean(

@@ -398,9 +398,8 @@ SELECT d.doc_id, coalesce(CASE WHEN quality = 1 THEN source END, '?') AS run_id,
        coalesce(1.0 - quality, 0.0)::DOUBLE AS "proba_T0", coalesce(quality, 0)::DOUBLE AS "proba_T1"
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
     "decode_recordings": f"""WITH {_SAMPLES}, numbered AS (
-  SELECT *, row_number() OVER (PARTITION BY subject_id ORDER BY {_LINE_ORDER}) - 1 AS rn,
-         count(*) OVER (PARTITION BY subject_id) AS n FROM samples),
-cut AS (SELECT *, rn // 512 AS rec, rn % 512 AS pos FROM numbered WHERE rn // 512 < n // 512),
+  SELECT *, row_number() OVER (PARTITION BY subject_id ORDER BY {_LINE_ORDER}) - 1 AS rn FROM samples),
+cut AS (SELECT *, rn // 512 AS rec, rn % 512 AS pos FROM numbered),
 opening AS (SELECT subject_id, rec, task_label AS opening FROM cut WHERE pos = 0)
 SELECT printf('S%06d', subject_id) AS subject_id, printf('R%02d', rec) AS run_id,
        round(pos / 64.0::DOUBLE, 6) AS time, round(c3, 6) AS "C3", round(cz, 6) AS "Cz", round(c4, 6) AS "C4",
@@ -418,11 +417,10 @@ LATERAL (VALUES ('test_accuracy', accuracy), ('test_f1', f1), ('test_precision_w
     "run_log": "\nUNION ALL\n".join(_run_row(*run) for run in _RUNS),
     "stream_epochs": "SELECT event_id, user_id, epoch_us(ts) // 3600000000 AS epoch_id FROM events",
     "stream_window_epochs": """
-WITH w AS (SELECT *, epoch_us(ts) // 3600000000 AS epoch_id FROM events),
-mark AS (SELECT max(epoch_us(ts)) // 1000 * 1000 - 7200000000 AS us FROM events)
+WITH w AS (SELECT *, epoch_us(ts) // 3600000000 AS epoch_id FROM events)
 SELECT user_id, epoch_id, count(*) AS n, round(sum(value), 2) AS total,
        first(event_type ORDER BY ts, event_id) AS first_type
-FROM w WHERE (epoch_id + 1) * 3600000000 <= (SELECT us FROM mark) GROUP BY user_id, epoch_id""",
+FROM w GROUP BY user_id, epoch_id""",
     "stream_dedup": "SELECT event_id, user_id, event_type, value FROM events",
     "replay_epochs": _EPOCH_TOTALS,
     "stream_dual_sink": f"WITH {_LINE_FEATURES}" + _MAP_ROWS.format(

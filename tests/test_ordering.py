@@ -120,7 +120,7 @@ def test_order_columns_of_any_type(spark, kind):
 
 INTERNAL = (
     "_at _part _pos _first _before _total _rpart _inside _carried _own _block _no _rows _r0 key part at o0 o1 c0 c1 "
-    "n no before total filled last carried mean block row_no"
+    "n no before total filled last carried mean block row_no r r_ rkey rpart rc0 rc3 ro0 C2"
 ).split()
 
 
@@ -129,7 +129,7 @@ def test_no_name_of_the_caller_clashes(spark, frame):
     wide = frame.select("*", *[(F.col("id") * 10 + 5).alias(n) for n in INTERNAL if n not in frame.columns])
     want = {tuple(r) for r in wide.drop("row_no").collect()}
     outputs = [
-        OR.number_rows(wide, ["t", "id"], ["k"], "new", total="new2").drop("new2"),
+        OR.number_rows(wide, ["C2", "rc0", "t", "id"], ["k", "key"], "new", total="new2").drop("new2"),
         OR.carry_forward(wide, "v", ["t", "id"], ["k"], "new"),
         OR.rolling_mean(wide, "id", ["t", "id"], ["k"], 3, "new", "row_no"),
     ]
