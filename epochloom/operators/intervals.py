@@ -1,112 +1,101 @@
-"""Labelling samples by the annotation interval that covers them."""
+"""Labelling samples by the annotation interval that covers them.
+
+The time line is cut into bins that hold a bounded number of interval ends each: ranges of (keys, time), so a
+recording of a few intervals lies in one bin and a key with very many has bins of its own. An interval stands
+in the bins of its two ends; of the intervals that cover a whole bin only the one with the greatest rank
+matters, found over dyadic runs of bins. Inside a (key, bin) a heap sweep turns overlapping intervals into
+disjoint pieces, and a sample finds its piece by its (key, bin) and a binary search.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from heapq import heappop, heappush
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from epochloom.constants import REST_CLASS
 from epochloom.functions.columns import column
-from epochloom.operators.ordering import carry_forward, number_rows
-
-# Up to these sizes the pieces are broadcast and the samples do not move.
-BROADCAST_INTERVALS = 200_000
-INTERVALS_PER_KEY = 1_000
-# A tree node that covers more end points than 2**BLOCK_BITS is stored once per block of that many.
-BLOCK_BITS = 12
+from epochloom.operators.ordering import Ranges
 
+#: Intervals that a bin is planned for.
+BIN_INTERVALS = 1_000
+_INFINITY = float("inf")
+PIECES = T.ArrayType(T.StructType([T.StructField("start", T.DoubleType()), T.StructField("at", T.IntegerType())]))
 
-def _shift(value: Column, bits: Column, how: str = "shiftright") -> Column:
-    return F.call_function(how, value, bits)
 
+def sweep(onsets: Sequence[float], ends: Sequence[float]) -> tuple[list[float], list[int]]:
+    """Disjoint pieces of intervals given in ascending rank: where each begins, and which interval it shows.
 
-def _disjoint_pieces(intervals: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Break overlapping intervals into pieces ``(keys, _t, _piece)``, each valid until the next.
-
-    ``_piece`` is the struct of the covering interval with the greatest ``_rank``, with a NULL
-    label where none covers. All end points are numbered; an interval then spans a range of
-    numbers, which a binary tree covers with a few aligned nodes. Only the greatest rank is kept
-    per node, and each end point looks up its own ancestors, so overlaps are never paired and no
-    join key meets more than ``2**BLOCK_BITS`` end points.
+    A piece lasts until the next begins; -1 shows that none covers it.
     """
-    ends = intervals.select(
-        *keys, "_rank", "_label",
-        F.explode(F.array(
-            F.struct(F.col("_onset").alias("t"), F.lit(0).alias("side")),
-            F.struct(F.col("_end").alias("t"), F.lit(1).alias("side")),
-        )).alias("_e"),
-    ).select(*keys, "_rank", "_label", F.col("_e.t").alias("_t"), F.col("_e.side").alias("_side"))
-    points = number_rows(ends, [*keys, "_t", "_side", "_rank"], (), "_p")
-
-    spans = points.groupBy(*keys, "_rank").agg(
-        F.min("_p").alias("_l"), F.max("_p").alias("_r"), F.first("_label").alias("_label")
-    )
-    levels = spans.withColumn(
-        "_j", F.explode(F.sequence(F.lit(0), F.floor(F.log2(F.col("_r") - F.col("_l") + 0.5)).cast("int")))
-    )
-    size = _shift(F.lit(1).cast("long"), F.col("_j"), "shiftleft")
-    levels = levels.withColumn("_a", _shift(F.col("_l") + size - 1, F.col("_j"))).withColumn(
-        "_b", _shift(F.col("_r"), F.col("_j"))
-    )
-    odd_left = F.when(F.col("_a") % 2 == 1, F.col("_a"))
-    odd_right = F.when(F.col("_b") % 2 == 1, F.col("_b") - 1)
-    nodes = (
-        levels.where("_a < _b")
-        .select("_j", F.explode(F.array_compact(F.array(odd_left, odd_right))).alias("_node"),
-                F.struct("_rank", "_label").alias("_piece"))
-        .groupBy("_j", "_node")
-        .agg(F.max_by("_piece", "_piece._rank").alias("_piece"))
-    )
-    top = F.coalesce(nodes.agg(F.max("_j")).scalar(), F.lit(0))
-    above = F.greatest(F.col("_j") - BLOCK_BITS, F.lit(0))
-    first, last = (_shift(n, above, "shiftleft") for n in (F.col("_node"), F.col("_node") + 1))
-    blocks = nodes.select("_j", "_piece", F.explode(F.sequence(first, last - 1)).alias("_block"))
-    ancestors = points.select("_p", F.explode(F.sequence(F.lit(0), top)).alias("_j")).withColumn(
-        "_block", _shift(F.col("_p"), F.least(F.col("_j"), F.lit(BLOCK_BITS)))
-    )
-    covering = (
-        ancestors.join(blocks, ["_j", "_block"])
-        .groupBy("_p")
-        .agg(F.max_by("_piece", "_piece._rank").alias("_piece"))
-    )
-    nothing = F.struct(F.lit(None).cast(intervals.schema["_rank"].dataType).alias("_rank"),
-                       F.lit(None).cast(intervals.schema["_label"].dataType).alias("_label"))
-    return points.select(*keys, "_t", "_p").join(covering, "_p", "left").select(
-        *keys, "_t", "_p", F.coalesce("_piece", nothing).alias("_piece")
+    by_onset = sorted(range(len(onsets)), key=onsets.__getitem__)
+    starts, shown, active, at = [], [], [], 0
+    for moment in sorted({*onsets, *ends}):
+        while at < len(by_onset) and onsets[by_onset[at]] <= moment:
+            heappush(active, -by_onset[at])
+            at += 1
+        while active and ends[-active[0]] <= moment:
+            heappop(active)
+        best = -active[0] if active else -1
+        if not shown or shown[-1] != best:
+            starts.append(moment)
+            shown.append(best)
+    return starts, shown
+
+
+@F.arrow_udf(PIECES)
+def _swept(onsets: pa.Array, ends: pa.Array) -> pa.Array:
+    pieces = [sweep(a, b) for a, b in zip(onsets.to_pylist(), ends.to_pylist())]
+    flat = pa.StructArray.from_arrays(
+        [pa.array([x for s, _ in pieces for x in s], pa.float64()), pa.array([x for _, w in pieces for x in w], pa.int32())],
+        names=["start", "at"],
     )
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(s) for s, _ in pieces)]), pa.int32()), flat)
 
 
-def _is_small(intervals: DataFrame, keys: Sequence[str], total: int, per_key: int) -> bool:
-    sizes = intervals.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    row = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("all"), F.coalesce(F.max("n"), F.lit(0)).alias("most")).first()
-    return row["all"] <= total and row["most"] <= per_key
+def disjoint_pieces(items: Column) -> Column:
+    """Ascending (start, label) of an array of (rank, onset, finish, label); the label is NULL where none covers."""
+    ranked = F.sort_array(items)
+    swept = _swept(F.transform(ranked, lambda i: i["onset"]), F.transform(ranked, lambda i: i["finish"]))
+    return F.transform(
+        swept, lambda p: F.struct(p["start"].alias("start"), F.get(ranked, p["at"])["label"].alias("label"))
+    )
 
 
-def _by_broadcast(samples: DataFrame, pieces: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
-    """Attach ``_piece`` with a hash join on the keys; pieces are disjoint, so at most one matches."""
-    following = Window.partitionBy(*keys).orderBy("_p")
-    spans = pieces.withColumn("_until", F.lead("_t").over(following)).where("_t < _until").select(
-        *[F.col(key).alias(f"_k{i}") for i, key in enumerate(keys)], "_t", "_until", "_piece"
+def piece_at(pieces: Column, time: Column) -> Column:
+    """Label of the piece that began last at or before ``time``."""
+    steps = F.sequence(F.floor(F.log2(F.greatest(F.size(pieces), F.lit(1)))).cast("int"), F.lit(0), F.lit(-1))
+    reached = F.aggregate(
+        steps, F.lit(0),
+        lambda at, k: F.when(
+            F.get(pieces, at + F.call_function("shiftleft", F.lit(1), k) - 1)["start"] <= time,
+            at + F.call_function("shiftleft", F.lit(1), k),
+        ).otherwise(at),
     )
-    match = (F.col("_t") <= F.col(time)) & (F.col(time) < F.col("_until"))
-    for i, key in enumerate(keys):
-        match = match & (F.col(key) == F.col(f"_k{i}"))
-    return samples.join(F.broadcast(spans), match, "left").withColumnRenamed("_piece", "_current")
+    return F.get(pieces, reached - 1)["label"]
 
 
-def _by_sweep(samples: DataFrame, pieces: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
-    """Attach the piece that began last, by carrying it forward along each key's time line."""
-    # A piece sorts before the samples at its own instant, and later pieces after earlier ones.
-    marks = pieces.select(*keys, "_t", F.col("_p").alias("_turn"), "_piece")
-    rows = samples.withColumns({
-        "_t": F.col(time), "_turn": F.lit((1 << 63) - 1), "_sample": F.lit(True),
-        "_tie": F.xxhash64(*map(column, samples.columns)),
-    })
-    both = rows.unionByName(marks, allowMissingColumns=True)
-    merged = carry_forward(both, "_piece", ["_t", "_turn", "_tie"], keys, "_current")
-    return merged.where("_sample")
+def _covered_bins(spans: DataFrame, keys: Sequence[str], bins: int) -> DataFrame:
+    """The greatest interval that covers each whole bin: keys, ``bin``, ``item``.
+
+    Bins strictly between an interval's ends are a union of few aligned dyadic runs. Only the greatest rank
+    is kept for each run before anything is spread over its bins.
+    """
+    levels = max(1, (bins - 1).bit_length())
+    size = F.call_function("shiftleft", F.lit(1), F.col("level"))
+    inner = spans.where(F.col("last") - F.col("first") > 1).withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(levels))))
+    low, high = F.ceil((F.col("first") + 1) / size).cast("int"), F.floor(F.col("last") / size).cast("int")
+    left, right = F.when(low % 2 == 1, low), F.when(high % 2 == 1, high - 1)
+    runs = inner.where(low < high).select(*keys, "level", "item", F.explode(F.array_compact(F.array(left, right))).alias("run"))
+    best = runs.groupBy(*keys, "level", "run").agg(F.max_by("item", "item.rank").alias("item"))
+    run = F.sequence(F.col("run") * size, (F.col("run") + 1) * size - 1)
+    whole = F.col("item").withField("onset", F.lit(-_INFINITY)).withField("finish", F.lit(_INFINITY))
+    return best.select(*keys, F.explode(run).alias("bin"), whole.alias("item"))
 
 
 def label_by_interval(
@@ -120,25 +109,41 @@ def label_by_interval(
     label: str = "description",
     name: str = "task_label",
     default: str = REST_CLASS,
-    broadcast_intervals: int = BROADCAST_INTERVALS,
-    intervals_per_key: int = INTERVALS_PER_KEY,
+    bin_intervals: int = BIN_INTERVALS,
 ) -> DataFrame:
     """Label of the interval ``onset <= time < end`` of the same recording.
 
     Where intervals overlap the one with the greatest ``rank`` wins; a sample that none covers
-    gets ``default``. ``end`` defaults to ``onset + duration``; (keys, rank) must be unique.
-
-    The intervals are counted first. Few of them are broadcast, so the samples keep their
-    partitions; otherwise samples and pieces are merged along time, which needs no bound.
+    gets ``default``. ``end`` defaults to ``onset + duration``; (keys, rank) must be unique. Times are
+    compared as doubles. The intervals are read for their count and the bounds of the bins.
     """
     finish = (F.col(onset) + F.col("duration")) if end is None else end
+    own = [f"k{i}" for i in range(len(keys))]
     known = intervals.select(
-        *keys, F.col(onset).alias("_onset"), finish.alias("_end"),
-        F.col(rank).alias("_rank"), F.col(label).alias("_label"),
-    ).where("_onset < _end").dropna(subset=[*keys])
-    pieces = _disjoint_pieces(known, keys)
-    attach = _by_broadcast if _is_small(known, keys, broadcast_intervals, intervals_per_key) else _by_sweep
-    kept = [column(other) for other in samples.columns if other != name]
-    return attach(samples, pieces, keys, time).select(
-        *kept, F.coalesce(F.col("_current._label"), F.lit(default)).alias(name)
+        *[column(key).alias(k) for key, k in zip(keys, own)],
+        F.struct(
+            F.col(rank).alias("rank"), F.col(onset).cast("double").alias("onset"),
+            finish.cast("double").alias("finish"), F.col(label).alias("label"),
+        ).alias("item"),
+    ).where("item.onset < item.finish").dropna(subset=own)
+    rows = known.count()
+    ends = known.select(*own, F.explode(F.array("item.onset", "item.finish")).alias("t"))
+    bins = Ranges(ends, [*own, "t"], -(-rows // bin_intervals), 2 * rows)
+    place = lambda moment: bins.place([*map(F.col, own), moment])
+    spans = known.withColumns({"first": place(F.col("item.onset")), "last": place(F.col("item.finish"))})
+    standing = spans.select(*own, F.explode(F.array_distinct(F.array("first", "last"))).alias("bin"), "item")
+    if bins.count > 2:
+        standing = standing.unionByName(_covered_bins(spans, own, bins.count))
+    pieces = standing.groupBy(*own, "bin").agg(F.collect_list("item").alias("items")).select(
+        *own, "bin", disjoint_pieces(F.col("items")).alias("pieces")
     )
+    tag = "i"
+    while any(c.lower().startswith(tag) for c in samples.columns):
+        tag += "_"
+    moment = column(time).cast("double")
+    at = bins.place([*map(column, keys), moment])
+    found = samples.select(
+        *map(column, samples.columns), *[column(key).alias(tag + k) for key, k in zip(keys, own)], at.alias(tag + "bin")
+    ).join(pieces.toDF(*[tag + c for c in pieces.columns]), [tag + c for c in (*own, "bin")], "left")
+    kept = [column(other) for other in samples.columns if other != name]
+    return found.select(*kept, F.coalesce(piece_at(F.col(tag + "pieces"), moment), F.lit(default)).alias(name))

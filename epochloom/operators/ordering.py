@@ -73,42 +73,54 @@ class _Sort:
         return F.coalesce(a > b if self.down else a < b, a.isNull() if self.nulls_first else b.isNull())
 
 
-def range_of(df: DataFrame, order: Sequence) -> tuple[Column, int]:
-    """The range of a row of ``df`` in ``order``, and the number of ranges.
+class Ranges:
+    """Consecutive ranges of an order, by bounds that are literals of every plan that uses them.
 
-    Bounds are drawn now. Equal order values share a range; each range holds about as many rows as any other.
+    Bounds are drawn from a sorted sample when this is made. Equal values share a range; each range holds
+    about as many of the rows as any other.
     """
-    spark, sorts = df.sparkSession, [_Sort(item) for item in order]
-    ranges = min(MOST_RANGES, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    values = df.select(F.struct(*[s.value.alias(f"o{i}") for i, s in enumerate(sorts)]).alias("at"))
-    rows = values.count()
-    if not rows or ranges < 2:
-        return F.lit(0), 1
-    share = SAMPLED * ranges / rows
-    drawn = (values.sample(share, seed=1) if share < 1 else values).repartition(1).sortWithinPartitions(
-        *[s.sorted(F.col(f"at.o{i}")) for i, s in enumerate(sorts)]
-    )
-    sample = [r.at for r in drawn.select(F.to_json("at").alias("at")).collect()]  # SAMPLED rows for each range
-    picked = [sample[len(sample) * i // ranges] for i in range(1, ranges)] if sample else []
-    bounds = F.from_json(F.lit("[" + ",".join(picked) + "]"), f"array<{values.schema['at'].dataType.simpleString()}>")
-
-    def reached(bound: Column) -> Column:
-        result = F.lit(True)
-        for i, s in reversed(list(enumerate(sorts))):
-            mine = bound.getField(f"o{i}")
-            result = F.when(mine.eqNullSafe(s.value), result).otherwise(s.before(mine, s.value))
-        return result
-
-    steps = [1 << k for k in reversed(range(len(picked).bit_length()))]
-    if not steps:
-        return F.lit(0), 1
-    place = F.aggregate(
+
+    def __init__(self, df: DataFrame, order: Sequence, count: int | None = None, rows: int | None = None):
+        self.sorts, self.count = [_Sort(item) for item in order], 1
+        self._kinds, self._picked = "", []
+        ranges = min(MOST_RANGES, count or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        values = df.select(F.struct(*[s.value.alias(f"o{i}") for i, s in enumerate(self.sorts)]).alias("at"))
+        rows = (values.count() if rows is None else rows) if ranges > 1 else 0
+        if not rows:
+            return
+        share = SAMPLED * ranges / rows
+        drawn = (values.sample(share, seed=1) if share < 1 else values).repartition(1).sortWithinPartitions(
+            *[s.sorted(F.col(f"at.o{i}")) for i, s in enumerate(self.sorts)]
+        )
+        sample = [r.at for r in drawn.select(F.to_json("at").alias("at")).collect()]  # SAMPLED rows for each range
+        if sample:
+            self._kinds = values.schema["at"].dataType.simpleString()
+            self._picked, self.count = [sample[len(sample) * i // ranges] for i in range(1, ranges)], ranges
+
+    def place(self, values: Sequence[Column] | None = None) -> Column:
+        """The range of a row: how many bounds its order values, or ``values`` in their place, have reached."""
+        if not self._picked:
+            return F.lit(0)
+        mine = [s.value for s in self.sorts] if values is None else values
+        bounds = F.from_json(F.lit("[" + ",".join(self._picked) + "]"), f"array<{self._kinds}>")
+
+        def reached(bound: Column) -> Column:
+            result = F.lit(True)
+            for i, (s, value) in reversed(list(enumerate(zip(self.sorts, mine)))):
+                edge = bound.getField(f"o{i}")
+                result = F.when(edge.eqNullSafe(value), result).otherwise(s.before(edge, value))
+            return result
+
+        return _reached(bounds, len(self._picked), reached)
+
+
+def _reached(bounds: Column, count: int, reached) -> Column:
+    """How many of ``count`` ascending ``bounds`` are reached, found by halving steps."""
+    steps = [1 << k for k in reversed(range(count.bit_length()))]
+    return F.aggregate(
         F.array(*map(F.lit, steps)), F.lit(0),
-        lambda at, step: F.when(
-            (at + step <= len(picked)) & reached(F.get(bounds, at + step - 1)), at + step
-        ).otherwise(at),
+        lambda at, step: F.when((at + step <= count) & reached(F.get(bounds, at + step - 1)), at + step).otherwise(at),
     )
-    return place, ranges
 
 
 class _Ranged:
@@ -122,11 +134,10 @@ class _Ranged:
         while any(name.lower().startswith(self.tag) for name in self.names):
             self.tag += "_"
         self.on = [f"{self.tag}key", f"{self.tag}part"]
-        part, _ = range_of(df, order)
         key = F.struct(*[column(k) for k in keys]) if keys else F.struct(F.lit(0))
         self.rows = df.select(
             *[column(name).alias(f"{self.tag}c{i}") for i, name in enumerate(self.names)],
-            *[value.alias(name) for name, value in zip(self.on, (key, part))],
+            *[value.alias(name) for name, value in zip(self.on, (key, Ranges(df, order).place()))],
             *[s.value.alias(f"{self.tag}o{i}") for i, s in enumerate(sorts)],
         )
         self.inside = Window.partitionBy(*self.on).orderBy(

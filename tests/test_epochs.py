@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 import pytest
 
 from epochloom.operators import epochs as EP
-from epochloom.operators import intervals
 from epochloom.operators.intervals import label_by_interval
 
 
@@ -72,10 +71,9 @@ def test_no_annotations_at_all(spark):
     assert label_by_interval(samples, spark.createDataFrame([], NOTES)).first().task_label == "T0"
 
 
-@pytest.mark.parametrize("seed, broadcast", [(1, 0), (2, 0), (2, 1000)])
-def test_intervals_match_brute_force(spark, many_partitions, monkeypatch, seed, broadcast):
-    """Both ways of attaching the pieces, with one key that owns most samples and intervals."""
-    monkeypatch.setattr(intervals, "BLOCK_BITS", 2)
+@pytest.mark.parametrize("seed, bin_intervals", [(1, 1), (2, 3), (2, 1000), (3, 10)])
+def test_intervals_match_brute_force(spark, many_partitions, seed, bin_intervals):
+    """From one bin to about one for each interval, with one key that owns most samples and intervals."""
     rng = random.Random(seed)
     keys = ["hot"] * 5 + ["a", "b"]
     notes = [
@@ -89,10 +87,24 @@ def test_intervals_match_brute_force(spark, many_partitions, monkeypatch, seed,
     notes = [(*n[:5], rank) for n, rank in zip(notes, ranks)]
     got = label_by_interval(
         spark.createDataFrame(samples, SAMPLES + ", id int").repartition(8),
-        spark.createDataFrame(notes, NOTES).repartition(8), broadcast_intervals=broadcast,
+        spark.createDataFrame(notes, NOTES).repartition(8), bin_intervals=bin_intervals,
     ).collect()
     assert len(got) == len(samples)
     labels = {r.id: r.task_label for r in got}
     for key, run, time, i in samples:
         covering = [n for n in notes if n[0] == key and n[2] <= time < n[2] + n[3]]
         assert labels[i] == (max(covering, key=lambda n: n[5])[4] if covering else "T0")
+
+
+def test_interval_labels_keep_names_and_missing_values(spark):
+    """Columns named like the internal ones, NULL keys and times, and labels that are replaced."""
+    samples = spark.createDataFrame(
+        [("S1", "R1", 1.0, "x", 7, 8), (None, "R1", 1.0, "x", 7, 8), ("S1", "R1", None, "x", 7, 8)],
+        SAMPLES + ", task_label string, ibin int, k0 int",
+    )
+    notes = spark.createDataFrame([("S1", "R1", 0.0, 2.0, "T1", 0), (None, "R1", 0.0, 2.0, "T2", 1)], NOTES)
+    got = label_by_interval(samples, notes)
+    assert got.columns == ["subject_id", "run_id", "time", "ibin", "k0", "task_label"]
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, [
+        ("S1", "R1", 1.0, 7, 8, "T1"), (None, "R1", 1.0, 7, 8, "T0"), ("S1", "R1", None, 7, 8, "T0"),
+    ]))

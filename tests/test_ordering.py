@@ -46,9 +46,9 @@ def test_number_rows_per_key(frame, rows):
 
 
 def test_hot_key_spans_partitions(frame):
-    part, ranges = OR.range_of(frame, ["t", "id"])
-    sizes = [r["count"] for r in frame.where("k = 'hot'").groupBy(part.alias("part")).count().collect()]
-    assert len(sizes) == ranges == 8 and max(sizes) < 2 * sum(sizes) / ranges
+    ranges = OR.Ranges(frame, ["t", "id"])
+    sizes = [r["count"] for r in frame.where("k = 'hot'").groupBy(ranges.place().alias("part")).count().collect()]
+    assert len(sizes) == ranges.count == 8 and max(sizes) < 2 * sum(sizes) / ranges.count
 
 
 def test_number_rows_overall_and_descending(frame, rows):
