@@ -36,6 +36,9 @@ from epochloom.llm.word_tokens import ragged, slices
 
 CACHED_CHUNKS = 300_000
 CACHED_BYTES = 32 << 20
+#: Bytes of text that are worked on at a time, and chunks that the libraries get in one call.
+SLICE_BYTES = 1 << 20
+TOGETHER = 256
 #: B's ids lie below this; a pair of ids is ``a * ID_ROOM + b``.
 ID_ROOM = 1 << 17
 _SPACE = 32
@@ -134,6 +137,19 @@ def coalesced(a_size: np.ndarray, b_size: np.ndarray) -> Aligned:
     return Aligned(group[:n], group[n:], np.repeat(np.arange(n), many), ragged(np.arange(len(b_size)), low, many))
 
 
+class Strings:
+    """A string of bytes for each id, laid out for gathering; ids without one have none."""
+
+    def __init__(self, by_id: dict[int, bytes]):
+        self.size = np.zeros(max(by_id) + 1, dtype=np.int64)
+        self.size[list(by_id)] = [len(raw) for raw in by_id.values()]
+        self.start = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(by_id[i] for i in sorted(by_id)), dtype=np.uint8)
+
+    def joined(self, ids: np.ndarray) -> bytes:
+        return ragged(self.flat, self.start[ids], self.size[ids]).tobytes()
+
+
 class ChunkAligner:
     def __init__(self, a_file: str, b_file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one core
@@ -142,9 +158,12 @@ class ChunkAligner:
 
         self.a, self.b = Tokenizer.from_file(a_file), sentencepiece.SentencePieceProcessor(model_file=b_file)
         self.a.encode_special_tokens = True
-        self.bytes_a, self.bytes_b = byte_level_tokens(self.a), piece_tokens(self.b)
-        if any(b" " in raw.lstrip(b" ") for raw in self.bytes_b.values()):
+        pieces = piece_tokens(self.b)
+        if any(b" " in raw.lstrip(b" ") for raw in pieces.values()):
             raise ValueError("pieces that go on after a space are not supported")
+        self.bytes_a, self.bytes_b = Strings(byte_level_tokens(self.a)), Strings(pieces)
+        #: Every id in decimals, with room for the mark after it.
+        self.digits = Strings({i: b"%d," % i for i in range(max(len(self.bytes_a.size), len(self.bytes_b.size)))})
         self._forget()
 
     def _forget(self) -> None:
@@ -154,43 +173,85 @@ class ChunkAligner:
         self.counts = np.zeros((0, 4), dtype=np.int64)  # tokens of A, of B, groups; whether the bytes agree
         self.links, self.first, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def _one_by_one(self, chunks: list[str]) -> list[tuple]:
+        """(ids of A, ids of B, whether both give the chunk back) of each chunk."""
+        a = [np.array(e.ids, dtype=np.int64) for e in self.a.encode_batch_fast(chunks, add_special_tokens=False)]
+        b = [np.array(ids, dtype=np.int64) for ids in self.b.encode([c[1:] for c in chunks], num_threads=1)]
+        none, found = np.zeros(0, dtype=np.int64), []
+        for x, y, chunk in zip(a, b, chunks):
+            fits = self.bytes_a.joined(x) == chunk.encode() == self.bytes_b.joined(y)
+            found.append((x, y, True) if fits else (none, none, False))
+        return found
+
+    def _together(self, chunks: list[str]) -> tuple[np.ndarray, ...] | None:
+        """Ids of A and of B and their numbers for each chunk, from one text of all; None if they do not fit it."""
+        text = "".join(chunks)
+        raw = text.encode()
+        stops = np.cumsum([len(c) if c.isascii() else len(c.encode()) for c in chunks])
+        result = []
+        for ids, tokens in (
+            (self.a.encode(text, add_special_tokens=False).ids, self.bytes_a), (self.b.encode(text[1:]), self.bytes_b),
+        ):
+            ids = np.array(ids, dtype=np.int64)
+            ends = np.cumsum(tokens.size[ids])
+            last = np.searchsorted(ends, stops)
+            if not len(ends) or last[-1] >= len(ends) or (ends[last] != stops).any() or tokens.joined(ids) != raw:
+                return None
+            result += [ids, np.diff(last + 1, prepend=0)]
+        return tuple(result)
+
     def _learn(self, chunks: list[str]) -> None:
-        """Align chunks that are met for the first time."""
-        raw = [c.encode() for c in chunks]
-        a_ids = [e.ids for e in self.a.encode_batch_fast(chunks, add_special_tokens=False)]
-        b_ids = self.b.encode([c[1:] for c in chunks], num_threads=1)
-        a_raw = [[self.bytes_a.get(i, b"") for i in ids] for ids in a_ids]
-        b_raw = [[self.bytes_b[i] for i in ids] for ids in b_ids]
-        fits = [b"".join(x) == r == b"".join(y) for x, y, r in zip(a_raw, b_raw, raw)]
-        for i in (i for i, ok in enumerate(fits) if not ok):
-            a_ids[i], b_ids[i], a_raw[i], b_raw[i] = [], [], [], []
-        flat = [np.array([x for ids in part for x in ids], dtype=np.int64) for part in (a_ids, b_ids)]
-        sizes = [np.array([len(x) for t in part for x in t], dtype=np.int64) for part in (a_raw, b_raw)]
-        n_a, n_b = ([len(ids) for ids in part] for part in (a_ids, b_ids))
+        """Align chunks that are met for the first time, many in one call of the libraries.
+
+        A chunk that ends with a space would run into the next one, and is encoded alone.
+        """
+        plain, alone, parts = [c for c in chunks if c[-1] != " "], [c for c in chunks if c[-1] == " "], []
+        listed: list[str] = []
+        for at in range(0, len(plain), TOGETHER):
+            block = plain[at : at + TOGETHER]
+            found = self._together(block)
+            if found:
+                listed += block
+                parts.append((*found, np.ones(len(block), dtype=np.int64)))
+            else:
+                alone += block
+        for x, y, fits in self._one_by_one(alone) if alone else ():
+            parts.append((x, np.array([len(x)]), y, np.array([len(y)]), np.array([int(fits)])))
+        listed += alone
+        a_ids, n_a, b_ids, n_b, fits = (np.concatenate(p) for p in zip(*parts))
+        sizes = self.bytes_a.size[a_ids], self.bytes_b.size[b_ids]
         found = coalesced(*sizes)
         ends = [np.cumsum(s) for s in sizes]
         together = ends[0][found.a_of_pair] == ends[1][found.b_of_pair]
         a_at, b_at = found.a_of_pair[together], found.b_of_pair[together]
-        links = (flat[0][a_at] * ID_ROOM + flat[1][b_at]).astype(np.uint64)
-        owner = np.repeat(np.arange(len(chunks)), n_a)
-        n_links = np.bincount(owner[a_at], minlength=len(chunks))
-        total = int(found.a_group[-1]) + 1 if len(found.a_group) else 0
-        edges = [np.searchsorted(g, np.arange(total + 1)) for g in (found.a_group, found.b_group)]
-        written = [list(map(str, f.tolist())) for f in flat]
-        (a_text, b_text), (a_edge, b_edge) = written, (e.tolist() for e in edges)
-        texts = [
-            f"{','.join(a_text[a_edge[g] : a_edge[g + 1]])}|{','.join(b_text[b_edge[g] : b_edge[g + 1]])}" for g in range(total)
-        ]
-        n_groups = np.bincount(owner[edges[0][:-1]], minlength=len(chunks)) if total else np.zeros(len(chunks), np.int64)
-        at = 0
-        for n in n_groups.tolist():
-            self.groups.append(";".join(texts[at : at + n]))
-            at += n
+        links = (a_ids[a_at] * ID_ROOM + b_ids[b_at]).astype(np.uint64)
+        owner = np.repeat(np.arange(len(listed)), n_a)
+        n_links = np.bincount(owner[a_at], minlength=len(listed))
+        opens = np.diff(found.a_group, prepend=-1) > 0
+        n_groups = np.bincount(owner[opens], minlength=len(listed))
+        self.groups += self._written(found, a_ids, b_ids, n_a + n_b)
         self.first = np.append(self.first, len(self.links) + np.cumsum(n_links) - n_links)
         self.size, self.links = np.append(self.size, n_links), np.append(self.links, links)
         self.counts = np.vstack([self.counts, np.column_stack([n_a, n_b, n_groups, fits]).astype(np.int64)])
-        self.known.update(zip(chunks, range(len(self.known), len(self.known) + len(chunks))))
-        self.held += sum(map(len, raw))
+        self.known.update(zip(listed, range(len(self.known), len(self.known) + len(listed))))
+        self.held += sum(map(len, listed))
+
+    def _written(self, found: Aligned, a_ids: np.ndarray, b_ids: np.ndarray, n_tokens: np.ndarray) -> list[str]:
+        """``a1,a2|b1;a3|b2`` of every chunk."""
+        side = np.repeat([0, 1], [len(a_ids), len(b_ids)])
+        group = np.concatenate([found.a_group, found.b_group])
+        order = np.lexsort((side, group))
+        ids, group, side = np.concatenate([a_ids, b_ids])[order], group[order], side[order]
+        mark = np.full(len(ids), ord(";"), dtype=np.uint8)
+        same = group[1:] == group[:-1]
+        mark[:-1][same] = np.where(side[1:] == side[:-1], ord(","), ord("|"))[same]
+        size = self.digits.size[ids]
+        out = ragged(self.digits.flat, self.digits.start[ids], size)
+        ends = np.cumsum(size)
+        out[ends - 1] = mark
+        text = out.tobytes().decode("ascii")
+        edges = np.append(0, ends)[np.append(0, np.cumsum(n_tokens))].tolist()
+        return [text[low : high - 1] if high > low else "" for low, high in zip(edges, edges[1:])]
 
     def align(self, texts: pa.Array) -> list[pa.Array]:
         """n_a, n_b, n_groups, n_links, groups and links (8 bytes each) of every text."""
@@ -230,7 +291,7 @@ def aligned_tokens(docs: DataFrame, a_file: str, b_file: str, doc_id: str = "doc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, "_text"):
+            for piece in slices(batch, "_text", SLICE_BYTES):
                 found = aligner(a_file, b_file).align(piece.column("_text"))
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id"), *found], names=["doc_id", *names])
 
