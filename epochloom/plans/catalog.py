@@ -7,7 +7,9 @@ irregular samples and live predictions; ``embeddings`` for ready-made 64-sample
 
 from __future__ import annotations
 
-import pandas as pd
+import re
+
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -540,15 +542,12 @@ def manifest_missing(spark, sf):
 
 
 def ingest_outcomes(spark, sf):
-    landed = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
-        F.count_if(F.col("l_linestatus") == "F").alias("bad")
-    )
-    status = F.when(F.col("bad").isNull(), manifests.SKIPPED).when(
-        F.col("bad") > 2, manifests.FAILED
-    ).otherwise(manifests.CONVERTED)
-    orders = table(spark, sf, "orders").select("o_orderkey")
-    joined = orders.join(landed, orders["o_orderkey"] == landed["l_orderkey"], "left")
-    return manifests.outcomes(joined.select(status.alias("status")))
+    """The ingest job over files of which some are cut in the header, damaged, too short, or landed before."""
+    root, place = write_recordings(spark, sf, flawed=True), F.col("number") % 5
+    listed = manifests.recording_files(spark, root)
+    number = F.substring("subject_id", 2, 6).cast("int") + F.substring("run_id", 2, 2).cast("int")
+    landed = materialise(listed.withColumn("number", number).where(place == 4).select("subject_id", "run_id"), "landed")
+    return batch.ingest(spark, root, shared_path(spark, "landing"), landed, runs=None)
 
 
 def scoring_defaults(spark, sf):
@@ -562,34 +561,45 @@ def scoring_defaults(spark, sf):
     return joined.select("doc_id", *[value.alias(name) for name, value in filled.items()])
 
 
-def write_recordings(spark, sf, seconds: int = 8) -> str:
+def _flawed(data: bytes, number: int) -> bytes:
+    """Of five files one is cut in its header, one has a broken annotation, and one lacks its end."""
+    if number % 5 == 1:
+        return data[:300]
+    if number % 5 == 2:
+        first = re.search(rb"\+0(\.0)?\x14\x14\x00", data).end()
+        mark = data.index(b"\x14", first) + 1
+        return data[:mark] + b"\xff" + data[mark + 1 :]
+    return data[:-100] if number % 5 == 3 else data
+
+
+def write_recordings(spark, sf, seconds: int = 8, flawed: bool = False) -> str:
     """Cut samples into bounded recordings and write each as an EDF+ file from its own group.
 
     A subject's last, shorter recording is one record, so that no sample is left over.
     """
     root = shared_path(spark, "recordings")
     place, whole = F.col("_no"), FS * seconds
-    cut = OR.number_rows(line_samples(spark, sf), LINE_ORDER, ["subject_id"], "_no").withColumns(
-        {"epoch_id": F.floor(place / whole), "sample_no": (place % whole).cast("int")}
-    ).drop("_no")
+    cut = OR.number_rows(line_samples(spark, sf), LINE_ORDER, ["subject_id"], "_no").select(
+        "subject_id", "task_label", *CHANNELS, F.floor(place / whole).alias("epoch_id"), (place % whole).cast("int").alias("sample_no")
+    )
 
-    def write(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+    def write(key: tuple, group: pa.Table) -> pa.Table:
         from epochloom.sources.edf_write import encode_recording
         from epochloom.sources.files import write_bytes
 
-        group = group.sort_values("sample_no")
-        subject, run = f"S{key[0]:06d}", f"R{key[1]:02d}"
-        half = seconds // 2
-        marks = [(0, half, str(group["task_label"].iat[0])), (half - 1, 2, "T9")]
+        group = group.sort_by("sample_no")
+        number, run = (k.as_py() for k in key)
+        subject, run_id, half = f"S{number:06d}", f"R{run:02d}", seconds // 2
+        marks = [(0, half, group["task_label"][0].as_py()), (half - 1, 2, "T9")]
         data = encode_recording(
             {name: group[name].to_numpy() for name in CHANNELS}, FS,
             {"C3": (-32768, 32767), "Cz": (-327.68, 327.67), "C4": (-327.68, 327.67)}, marks,
             record_samples=None if len(group) == whole else len(group),
         )
-        write_bytes(f"{root}/{subject}/{subject}{run}.edf", data)
-        return pd.DataFrame({"n": [len(data)]})
+        write_bytes(f"{root}/{subject}/{subject}{run_id}.edf", _flawed(data, number + run) if flawed else data)
+        return pa.table({"n": pa.array([len(data)], pa.int64())})
 
-    written = cut.groupBy("subject_id", "epoch_id").applyInPandas(write, "n long")
+    written = cut.groupBy("subject_id", "epoch_id").applyInArrow(write, "n long")
     written.agg(F.sum("n")).collect()
     return root
 

@@ -386,10 +386,11 @@ WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')
 SELECT o_orderkey AS path FROM orders
 WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_linestatus = 'F')""",
     "ingest_outcomes": """
-WITH bad AS (SELECT l_orderkey, count(*) FILTER (WHERE l_linestatus = 'F') AS bad FROM lineitem GROUP BY 1),
+WITH sizes AS (SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY 1),
+files AS (SELECT l_suppkey + unnest(range((n + 511) // 512)) AS number FROM sizes),
 o AS (
-  SELECT CASE WHEN bad IS NULL THEN 'skipped' WHEN bad > 2 THEN 'errors' ELSE 'converted' END AS status
-  FROM orders LEFT JOIN bad ON l_orderkey = o_orderkey)
+  SELECT CASE number % 5 WHEN 3 THEN 'truncated' WHEN 4 THEN 'skipped' WHEN 0 THEN 'converted' ELSE 'errors' END AS status
+  FROM files)
 SELECT s.status, count(o.status) AS n FROM (VALUES ('converted'), ('skipped'), ('errors'), ('truncated')) AS s(status)
 LEFT JOIN o ON o.status = s.status GROUP BY s.status""",
     "scoring_defaults": """

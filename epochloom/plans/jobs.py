@@ -20,6 +20,7 @@ from epochloom.operators.split import split_counts
 from epochloom.plans import batch
 from epochloom.shared import materialise, read_if_landed
 from epochloom.sources import landing
+from epochloom.sources.manifests import CONVERTED, FAILED, SKIPPED, TRUNCATED
 from epochloom.sources.runs import append_runs, run_record
 from epochloom.streaming import live
 
@@ -37,7 +38,7 @@ def ingest(spark: SparkSession, recordings: str, landed: str, metrics: str | Non
     tally = materialise(batch.ingest(spark, recordings, landed, known), "tally")
     if metrics:
         wide = tally.agg(*[
-            F.max(F.when(F.col("status") == s, F.col("n"))).alias(s) for s in ("converted", "skipped", "errors")
+            F.max(F.when(F.col("status") == s, F.col("n"))).alias(s) for s in (CONVERTED, SKIPPED, FAILED, TRUNCATED)
         ])
         landing.write_metrics(wide, metrics)
     return tally

@@ -1,7 +1,9 @@
 """EDF and EDF+ recordings as Spark rows.
 
-A file is planned as ranges of data records; each range is read and decoded by its own task, so
-one large recording spreads over the cluster. Layout (Kemp 1992; Kemp and Olivan 2003): a
+A file's header is read once and planned as ranges of data records, so one large recording spreads over the
+cluster. A first pass reads the annotation blocks alone and settles, for every file, its outcome and its
+disjoint label pieces. The ranges carry these along, and each is then read and decoded by one task that
+labels its samples by binary search: samples are read once and never exchanged. Layout (Kemp 1992; Kemp and Olivan 2003): a
 256-byte header, 256 bytes per signal, then fixed-size records of little-endian 16-bit integers.
 """
 
@@ -11,16 +13,16 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from epochloom.constants import REST_CLASS
-from epochloom.operators.intervals import label_by_interval
+from epochloom.operators.intervals import disjoint_pieces
 from epochloom.shared import materialise
-from epochloom.sources.files import read_range
+from epochloom.sources.files import open_ranges
 
 ANNOTATIONS = "EDF Annotations"
 RECORDS_BYTES = 8 << 20
@@ -29,14 +31,16 @@ FILES_PER_TASK = 1_000
 # Header values are scaled to volts.
 UNIT_SCALE = {"uV": 1e-6, "µV": 1e-6, "mV": 1e-3}
 
+#: Annotation blocks closer together than this are read in one go.
+GAP_BYTES = 4096
+
 PLAN_COLUMNS = {
     "path": "string", "subject_id": "string", "run_id": "string", "status": "string",
-    "error": "string", "channels": "array<string>", "first_record": "long", "n_records": "long",
-}
-ANNOTATION_COLUMNS = {
-    "subject_id": "string", "run_id": "string", "onset": "double", "duration": "double",
-    "description": "string", "place": "long", "path": "string", "error": "string",
+    "error": "string", "channels": "array<string>", "signals": "array<string>", "samples": "array<int>",
+    "gain": "array<double>", "offset": "array<double>", "header_bytes": "long", "record_bytes": "long",
+    "rate": "double", "first_record": "long", "n_records": "long",
 }
+_NOTE = "struct<rank: bigint, onset: double, finish: double, label: string>"
 
 
 def _ddl(columns: dict[str, str]) -> str:
@@ -97,9 +101,10 @@ def parse_header(raw: bytes, file_bytes: int) -> Header:
 
 
 def read_header(path: str, file_bytes: int) -> Header:
-    fixed = read_range(path, 0, 256)
-    signals = int(fixed[252:256]) if len(fixed) == 256 else 0
-    return parse_header(read_range(path, 0, 256 * (signals + 1)), file_bytes)
+    with open_ranges(path) as read:
+        fixed = read(0, 256)
+        signals = int(fixed[252:256]) if len(fixed) == 256 else 0
+        return parse_header(fixed + read(256, 256 * signals), file_bytes)
 
 
 def annotations_of(block: bytes) -> Iterator[tuple[float, float, str]]:
@@ -123,99 +128,130 @@ def _spread(df: DataFrame, *keys: str, rows_per_task: int) -> DataFrame:
 
 
 def plan_records(files: DataFrame, range_bytes: int = RECORDS_BYTES) -> DataFrame:
-    """Record ranges of every readable file; an unreadable file yields one row with its error."""
+    """Record ranges of every readable file; an unreadable file yields one row with its error.
 
-    def plan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    A range carries what its header says, so nothing of the header is read again.
+    """
+
+    def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for path, size, subject, run in zip(
-                batch["path"], batch["length"], batch["subject_id"], batch["run_id"]
-            ):
+            for file in batch.to_pylist():
+                row = dict.fromkeys(PLAN_COLUMNS) | {k: file[k] for k in ("path", "subject_id", "run_id")}
                 try:
-                    header = read_header(path, int(size))
-                    header.rate  # noqa: B018 - raises for mixed rates
+                    header = read_header(file["path"], file["length"])
+                    row |= {
+                        "status": "converted", "channels": header.channels, "signals": header.signals,
+                        "samples": header.samples.tolist(), "gain": header.gain.tolist(), "offset": header.offset.tolist(),
+                        "header_bytes": header.header_bytes, "record_bytes": header.record_bytes, "rate": header.rate,
+                    }
                 except Exception as error:  # one bad file must not fail the job
                     status = "truncated" if isinstance(error, Truncated) else "errors"
-                    rows.append((path, subject, run, status, f"{type(error).__name__}: {error}", None, 0, 0))
+                    rows.append(row | {"status": status, "error": f"{type(error).__name__}: {error}", "first_record": 0, "n_records": 0})
                     continue
                 step = max(range_bytes // header.record_bytes, 1)
-                for first in range(0, max(header.records, 1), step):
-                    rows.append((path, subject, run, "converted", None, header.channels, first,
-                                 max(min(step, header.records - first), 0)))
-            yield pd.DataFrame(rows, columns=list(PLAN_COLUMNS))
+                rows += [
+                    row | {"first_record": first, "n_records": min(step, header.records - first)}
+                    for first in range(0, max(header.records, 1), step)
+                ]
+            yield pa.RecordBatch.from_pylist(rows, schema=plan_type)
 
     listed = files.select("path", "length", "subject_id", "run_id")
     spread = _spread(listed, "path", rows_per_task=FILES_PER_TASK)
-    return spread.mapInPandas(plan, _ddl(PLAN_COLUMNS))
-
-
-def _with_blocks(batch: pd.DataFrame):
-    for row in batch.itertuples(index=False):
-        # Only the header is needed here, so the size that the plan settled is not read again.
-        header = read_header(row.path, 1 << 62)
-        start = header.header_bytes + int(row.first_record) * header.record_bytes
-        raw = read_range(row.path, start, int(row.n_records) * header.record_bytes)
-        words = np.frombuffer(raw, dtype="<i2").reshape(int(row.n_records), -1)
-        yield row, header, words, np.concatenate(([0], np.cumsum(header.samples)))
+    ddl = _ddl(PLAN_COLUMNS)
+    plan_type = to_arrow_schema(T._parse_datatype_string(ddl))
+    return spread.mapInArrow(plan, ddl)
+
+
+def _edges(row: dict) -> list[int]:
+    """Where each signal begins in a record, in samples."""
+    return [0, *np.cumsum(row["samples"]).tolist()]
+
+
+def _annotation_blocks(row: dict) -> Iterator[tuple[int, list[bytes]]]:
+    """(record, annotation blocks) of a range; other signals between far blocks are not read."""
+    edges = _edges(row)
+    spans = [(2 * edges[i], 2 * edges[i + 1]) for i, name in enumerate(row["signals"]) if name == ANNOTATIONS]
+    if not spans or row["n_records"] < 1:
+        return
+    begin = row["header_bytes"] + row["first_record"] * row["record_bytes"]
+    low, high, size = spans[0][0], spans[-1][1], row["record_bytes"]
+    with open_ranges(row["path"]) as read:
+        if size - (high - low) < GAP_BYTES:
+            raw = read(begin, row["n_records"] * size)
+            records = (raw[r * size : (r + 1) * size] for r in range(row["n_records"]))
+        else:
+            records = (bytes(low) + read(begin + r * size + low, high - low) for r in range(row["n_records"]))
+        for r, record in enumerate(records):
+            if len(record) < high:
+                raise ValueError(f"record {row['first_record'] + r} ends early")
+            yield row["first_record"] + r, [record[a:b] for a, b in spans]
+
+
+def read_annotations(ranges: DataFrame) -> DataFrame:
+    """Per range: ``path``, and either its ``notes`` (rank, onset, finish, label) or its ``error``.
+
+    Ranks order the notes as they stand in the file.
+    """
 
+    def notes_of(row: dict) -> list[dict]:
+        return [
+            {"rank": record * 65536 + n, "onset": onset, "finish": onset + duration, "label": text}
+            for record, blocks in _annotation_blocks(row)
+            for n, (onset, duration, text) in enumerate(e for block in blocks for e in annotations_of(block))
+        ]
 
-def decode_samples(ranges: DataFrame, channels: Sequence[str]) -> DataFrame:
-    """Sample rows ``subject_id, run_id, time, <channel...>``; a channel a file lacks is NULL."""
-    schema = T.StructType(
-        [T.StructField("subject_id", T.StringType()), T.StructField("run_id", T.StringType()),
-         T.StructField("time", T.DoubleType())]
-        + [T.StructField(name, T.DoubleType()) for name in channels]
-    )
-
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, header, words, edges in _with_blocks(batch.to_pandas()):
-                per_record = int(round(header.rate * header.record_seconds))
-                total = len(words) * per_record
-                index = np.arange(total) + int(row.first_record) * per_record
-                columns = {name: pa.nulls(total, pa.float64()) for name in channels}
-                for i, name in enumerate(header.signals):
-                    if name in columns:
-                        digital = words[:, edges[i]:edges[i + 1]].reshape(-1).astype(float)
-                        columns[name] = pa.array(digital * header.gain[i] + header.offset[i])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row.subject_id] * total, pa.string()), pa.array([row.run_id] * total, pa.string()),
-                     pa.array(index / header.rate), *columns.values()],
-                    names=["subject_id", "run_id", "time", *channels],
-                )
+            rows = []
+            for row in batch.to_pylist():
+                try:
+                    rows.append({"path": row["path"], "notes": notes_of(row), "error": None})
+                except Exception as error:  # one bad file must not fail the job
+                    rows.append({"path": row["path"], "notes": [], "error": f"{type(error).__name__}: {error}"})
+            yield pa.RecordBatch.from_pylist(rows, schema=note_type)
 
-    spread = _spread(ranges, "path", "first_record", rows_per_task=RANGES_PER_TASK)
-    return spread.mapInArrow(decode, schema)
+    ddl = f"path string, notes array<{_NOTE}>, error string"
+    note_type = to_arrow_schema(T._parse_datatype_string(ddl))
+    spread = _spread(ranges.drop("channels", "gain", "offset", "status", "error"), "path", "first_record", rows_per_task=RANGES_PER_TASK)
+    return spread.mapInArrow(read, ddl)
 
 
-def decode_annotations(ranges: DataFrame) -> DataFrame:
-    """Annotation rows; ``place`` orders them as they stand in the file.
+def decode_samples(ranges: DataFrame, channels: Sequence[str], default: str = REST_CLASS) -> DataFrame:
+    """Sample rows ``subject_id, run_id, time, <channel...>, task_label`` of ranges with label ``pieces``.
 
-    A range that cannot be decoded yields one row with its ``path`` and ``error`` instead.
+    A channel that a file lacks is NULL. A sample between pieces, or of a range without any, has ``default``.
     """
+    names = ["subject_id", "run_id", "time", *channels, "task_label"]
+    fields = [(n, T.StringType() if n in ("subject_id", "run_id", "task_label") else T.DoubleType()) for n in names]
+    schema = T.StructType([T.StructField(n, kind) for n, kind in fields])
+
+    def decoded(row: dict) -> pa.RecordBatch:
+        size, edges, records = row["record_bytes"], _edges(row), row["n_records"]
+        with open_ranges(row["path"]) as read:
+            raw = read(row["header_bytes"] + row["first_record"] * size, records * size)
+        words = np.frombuffer(raw, dtype="<i2").reshape(records, -1)
+        used = [i for i, name in enumerate(row["signals"]) if name != ANNOTATIONS]
+        per_record = row["samples"][used[0]]
+        total = records * per_record
+        time = (np.arange(total) + row["first_record"] * per_record) / row["rate"]
+        columns = {name: pa.nulls(total, pa.float64()) for name in channels}
+        for i in used:
+            if row["signals"][i] in columns:
+                digital = words[:, edges[i]:edges[i + 1]].reshape(-1).astype(float)
+                columns[row["signals"][i]] = pa.array(digital * row["gain"][i] + row["offset"][i])
+        pieces = row["pieces"] or []
+        labels = pa.array([default, *(default if p["label"] is None else p["label"] for p in pieces)], pa.string())
+        place = np.searchsorted(np.array([p["start"] for p in pieces], dtype=float), time, side="right")
+        constant = [pa.array([row[k]], pa.string()).take(pa.array(np.zeros(total, np.int32))) for k in ("subject_id", "run_id")]
+        return pa.RecordBatch.from_arrays([*constant, pa.array(time), *columns.values(), labels.take(pa.array(place))], names=names)
 
-    def entries_of(row, header: Header, words: np.ndarray, edges: np.ndarray) -> list[tuple]:
-        rows = []
-        marked = [i for i, name in enumerate(header.signals) if name == ANNOTATIONS]
-        for record, line in enumerate(words):
-            entries = (e for i in marked for e in annotations_of(line[edges[i]:edges[i + 1]].tobytes()))
-            for n, (onset, duration, text) in enumerate(entries):
-                place = (int(row.first_record) + record) * 65536 + n
-                rows.append((row.subject_id, row.run_id, onset, duration, text, place, row.path, None))
-        return rows
-
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for one in range(len(batch)):
-                row = next(batch.iloc[one:one + 1].itertuples(index=False))
-                try:
-                    rows = [x for block in _with_blocks(batch.iloc[one:one + 1]) for x in entries_of(*block)]
-                except Exception as error:  # one bad file must not fail the job
-                    rows = [(row.subject_id, row.run_id, None, None, None, None, row.path, f"{type(error).__name__}: {error}")]
-                yield pd.DataFrame(rows, columns=list(ANNOTATION_COLUMNS)).astype({"place": "Int64"})
+            yield from map(decoded, batch.to_pylist())
 
     spread = _spread(ranges, "path", "first_record", rows_per_task=RANGES_PER_TASK)
-    return spread.mapInPandas(decode, _ddl(ANNOTATION_COLUMNS))
+    return spread.mapInArrow(decode, schema)
 
 
 def decode_recordings(
@@ -224,24 +260,23 @@ def decode_recordings(
 ) -> tuple[DataFrame, DataFrame]:
     """Labelled sample rows of all readable files, and the outcome of every file.
 
-    A file with a range that cannot be decoded counts as an error and lands no samples.
-    The channel set is the union over the files unless given. Labels follow the recordings' own
-    annotations; samples outside of them carry ``default``.
+    A file with a range whose annotations cannot be decoded counts as an error and lands no samples; so the
+    outcomes are known before any sample is read. The channel set is the union over the files unless given.
+    Labels follow the recordings' own annotations; samples outside of them carry ``default``.
     """
     plan = materialise(plan_records(files, range_bytes), "edf-plan")
+    merged = read_annotations(plan.where("n_records > 0")).groupBy("path").agg(
+        F.flatten(F.collect_list("notes")).alias("notes"), F.min("error").alias("damage")
+    )
+    lasting = F.filter("notes", lambda n: n["onset"] < n["finish"])
+    labels = materialise(merged.select("path", "damage", disjoint_pieces(lasting).alias("pieces")), "edf-labels")
     planned = plan.where("first_record = 0").select("path", "subject_id", "run_id", "status", "error")
-    every = plan.where("n_records > 0")
-    annotations = materialise(decode_annotations(every), "edf-annotations")
-    damaged = annotations.where("error IS NOT NULL").groupBy("path").agg(F.min("error").alias("_damage"))
-    ranges = every.join(damaged, "path", "left_anti")
-    status = planned.join(damaged, "path", "left").select(
-        "path", "subject_id", "run_id", F.when(F.col("_damage").isNull(), F.col("status")).otherwise("errors").alias("status"),
-        F.coalesce("error", "_damage").alias("error"),
+    status = planned.join(labels.select("path", "damage"), "path", "left").select(
+        "path", "subject_id", "run_id", F.when(F.col("damage").isNull(), F.col("status")).otherwise("errors").alias("status"),
+        F.coalesce("error", "damage").alias("error"),
     )
+    ranges = plan.where("n_records > 0").join(labels.where("damage IS NULL").drop("damage"), "path")
     if channels is None:
-        found = ranges.select(F.explode("channels").alias("c")).distinct()
+        found = plan.select(F.explode("channels").alias("c")).distinct()
         channels = sorted(row.c for row in found.collect())  # a file names at most 9999 signals
-    samples = decode_samples(ranges, channels)
-    labels = annotations.where("error IS NULL").drop("path", "error")
-    labelled = label_by_interval(samples, labels, rank="place", default=default)
-    return labelled, status
+    return decode_samples(ranges.drop("status", "error", "channels"), channels, default), status

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from urllib.parse import quote
 
 #: Schemes of Spark's object stores and what the Arrow library calls them.
@@ -21,10 +23,18 @@ def open_filesystem(path: str):
     return fs.FileSystem.from_uri(quote(f"{SCHEMES.get(scheme, scheme)}:{rest}", safe=":/@?=&%+,;"))
 
 
-def read_range(path: str, start: int, length: int) -> bytes:
+@contextmanager
+def open_ranges(path: str) -> Iterator[Callable[[int, int], bytes]]:
+    """A function that reads ``length`` bytes from ``start`` of the file, or what there is of them."""
     system, inner = open_filesystem(path)
     with system.open_input_file(inner) as file:
-        return file.read_at(min(length, max(file.size() - start, 0)), start)
+        size = file.size()
+        yield lambda start, length: file.read_at(min(length, max(size - start, 0)), start)
+
+
+def read_range(path: str, start: int, length: int) -> bytes:
+    with open_ranges(path) as read:
+        return read(start, length)
 
 
 def write_bytes(path: str, data: bytes) -> None:

@@ -153,3 +153,43 @@ def test_compare_runs(spark):
     df = spark.createDataFrame([(a, b, __import__("datetime").datetime.fromisoformat(c), d, e) for a, b, c, d, e in rows], schema)
     got = runs.compare_runs(df).collect()
     assert {(r.step, r.run_id) for r in got} == {(0, "b"), (1, "a")} and len(got) == 8
+
+
+def test_the_bytes_of_samples_are_read_once_and_never_exchanged(spark, root, monkeypatch):
+    """Far annotation blocks are read alone, the status needs no samples, and labels come with the ranges."""
+    path, _ = root
+    monkeypatch.setattr(edf, "GAP_BYTES", 1)
+    samples, status = edf.decode_recordings(manifests.recording_files(spark, str(path)), range_bytes=1)
+    assert {r.status for r in status.collect()} == {"converted", "errors"}
+    assert samples.where("task_label = 'T2'").count() == 4 * 2 * RATE
+    plan = samples._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("MapInArrow")]
+    assert "Exchange" not in above and "Join" not in above
+
+
+def test_a_recording_without_annotation_signal(spark, tmp_path):
+    """Every sample has the default label."""
+    (tmp_path / "S1").mkdir()
+    signals, data = encode_micro(5)
+    count, width = 4, 2 * (3 * RATE + 64)
+    fields, at = b"", 256
+    for size in (16, 80, 8, 8, 8, 8, 8, 80, 8, 32):  # the header without its last signal
+        fields, at = fields + data[at : at + size * (count - 1)], at + size * count
+    records = [data[at + r * width : at + r * width + 6 * RATE] for r in range(6)]
+    head = data[:184] + b"1024".ljust(8) + data[192:252] + b"3".ljust(4)
+    (tmp_path / "S1" / "S1R03.edf").write_bytes(head + fields + b"".join(records))
+    samples, status = edf.decode_recordings(manifests.recording_files(spark, str(tmp_path)))
+    assert [(r.status, r.error) for r in status.collect()] == [("converted", None)]
+    rows = samples.orderBy("time").collect()
+    assert {r.task_label for r in rows} == {"T0"} and np.allclose([r["Cz.."] for r in rows], signals["Cz.."], atol=4e-9)
+
+
+def test_outcomes_reach_the_metrics_file(spark, root, tmp_path):
+    from epochloom.plans import jobs
+
+    path, _ = root
+    file = path / "S001" / "S001R03.edf"
+    file.write_bytes(file.read_bytes()[:-1000])
+    jobs.ingest(spark, str(path), str(tmp_path / "landing"), str(tmp_path / "metrics"))
+    row = spark.read.json(str(tmp_path / "metrics")).first()
+    assert (row.converted, row.skipped, row.errors, row.truncated) == (2, 0, 1, 1)
