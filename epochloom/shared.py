@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -35,11 +38,55 @@ def materialise(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     """
     path = shared_path(df.sparkSession, label)
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    _registered(df.sparkSession, path)
     writer.parquet(path)
-    _remove_at_exit(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_scopes = threading.local()
+
+
+def _registered(spark: SparkSession, path: str) -> None:
+    """Note a path that goes when the innermost ``scratch`` ends, or else when the application does."""
+    open_scopes = getattr(_scopes, "open", [])
+    if open_scopes:
+        open_scopes[-1].append(path)
+    _remove_at_exit(spark, path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Remove what ``materialise`` writes inside, but for what the yielded function stores.
+
+    That function works like ``materialise``; its tables belong to the scope around this one. Frames that
+    read other tables of the scope must be stored or collected before it ends.
+    """
+    if not hasattr(_scopes, "open"):
+        _scopes.open = []
+    made: list[str] = []
+    _scopes.open.append(made)
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        _scopes.open.pop()
+        try:
+            return materialise(df, label)
+        finally:
+            _scopes.open.append(made)
+
+    try:
+        yield keep
+    finally:
+        _scopes.open.pop()
+        for path in made:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system."""
+    system, where = _file_system(spark, path)
+    system.delete(where, True)
+
+
 def _file_system(spark: SparkSession, path: str):
     context = spark.sparkContext
     where = context._jvm.org.apache.hadoop.fs.Path(path)
