@@ -8,6 +8,7 @@ Scoring is one pass over the texts, without a shuffle.
 
 Behaviour: NULL text counts as empty, and empty texts get a score like any other. Labels that are NULL or
 belong to no document are not used; repeated labels count each. Without usable labels every score is 0.5.
+A row for which ``held_out`` is NULL, as for a NULL identifier, is not held out; it belongs to no label.
 Only identifier and text of a document are read; labels, language, source and identifier are no inputs.
 """
 
@@ -199,7 +200,7 @@ def quality_scores(
     held_out: Column | None = None, threshold: float = 0.5,
 ) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted; rows with ``held_out`` teach nothing."""
-    held = F.lit(False) if held_out is None else held_out
+    held = F.lit(False) if held_out is None else F.coalesce(held_out, F.lit(False))
     model = fit_quality(docs, labels, doc_id, text, label, ~held)
     score = F.lit(0.5) if model is None else scored(model, column(text))
     return docs.select(column(doc_id).alias("doc_id"), held.alias("held_out"), score.alias("score")).withColumn(

@@ -38,7 +38,7 @@ from epochloom.functions.columns import column
 from epochloom.llm.grouped import runs
 from epochloom.llm.stages import bounded_batches, discard
 from epochloom.llm.word_tokens import slices
-from epochloom.shared import materialise, shared_path
+from epochloom.shared import materialise, remove, scratch, shared_path
 
 WINDOW, GRAM = 200, 64
 REACH = WINDOW - GRAM
@@ -377,10 +377,23 @@ def _digest(text: Column) -> Column:
 def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Documents (doc_id, digest, n_bytes, copies) and, for each digest with repeats, what to remove.
 
-    The second has digest, spans (an array of from and to in bytes), n_removed, n_spans and kept_sha256.
+    The second has digest, spans (an array of from and to in bytes), n_removed, n_spans and kept_sha256. Both
+    are stored; whatever else was, the texts included, is removed.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
+    name, folder = f"epochloom_texts_{uuid.uuid4().hex}", shared_path(spark, "bucketed-texts")
+    try:
+        with scratch(spark) as keep:
+            listed, cuts = _spans(docs, doc_id, text, name, folder)
+            return keep(listed, "documents"), keep(cuts, "cuts")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        remove(spark, folder)
+
+
+def _spans(docs: DataFrame, doc_id: str, text: str, name: str, folder: str) -> tuple[DataFrame, DataFrame]:
+    spark = docs.sparkSession
     rows = docs.select(column(doc_id).alias("doc_id"), F.coalesce(column(text), F.lit("")).alias("_text")).withColumn("digest", _digest(F.col("_text")))
     listed = materialise(rows.select("doc_id", "digest", F.octet_length("_text").cast("long").alias("n_bytes")), "digests")
     texts = listed.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("_rep"), F.first("n_bytes").alias("n_bytes"))
@@ -389,12 +402,11 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         F.xxhash64("_rep", "digest").alias("_k"), F.col("digest").alias("_digest"), F.col("copies").alias("_copies")
     )
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    name = f"epochloom_texts_{uuid.uuid4().hex}"
     found = rows.where(F.octet_length("_text") >= WINDOW).withColumn("_k", F.xxhash64("doc_id", "digest")).join(long, "_k")
     one = found.where("digest = _digest").dropDuplicates(["_k"]).select("_k", "_digest", "_copies", "_text")
     (
         one.repartition(buckets, "_k").write.format("parquet").bucketBy(buckets, "_k")
-        .option("path", shared_path(spark, "bucketed-texts")).saveAsTable(name)
+        .option("path", folder).saveAsTable(name)
     )
     stored = spark.table(name)
 
@@ -462,11 +474,9 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
             ))
         return pd.DataFrame(out, columns=["spans", "n_removed", "n_spans", "kept_sha256"])
 
-    cuts = materialise(
-        stored.where("_copies = 1").join(spans, "_k").select(F.col("_digest").alias("digest"), removed("_text", "_stretches").alias("_r"))
-        .select("digest", "_r.*"),
-        "cuts",
-    )
+    cuts = stored.where("_copies = 1").join(spans, "_k").select(
+        F.col("_digest").alias("digest"), removed("_text", "_stretches").alias("_r")
+    ).select("digest", "_r.*")
     return listed.join(texts.select("digest", "copies"), "digest"), cuts
 
 

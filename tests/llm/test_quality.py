@@ -30,6 +30,7 @@ def test_held_out_labels_are_predicted(spark):
         spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int, text string"), held_out=held
     ).collect()
     assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
+    assert [r.held_out for r in got if r.doc_id is None] == [False]
     truth = {d: q for d, q, _ in labels[:400]}
     assert np.mean([r.predicted == truth[r.doc_id] for r in got if r.held_out and r.doc_id in truth]) > 0.97
 

@@ -75,6 +75,13 @@ def test_texts_without_repeats(spark):
     assert got == {1: (1, own, "d", 1), 2: (2, "", "d", 2), 3: (3, None, None, 3), 4: (4, "kept", "d", 4), 5: (5, "", "d", 5)}
 
 
+def test_nothing_is_left_behind(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    docs = spark.createDataFrame([(i, "abc " * 100 + str(i), "d", 1) for i in range(5)], SCHEMA)
+    got = repeats_removed(docs)
+    assert {t.name for t in spark.catalog.listTables()} == before and got.count() == 5
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert repeats_removed(empty).count() == 0 and without_repeats(empty).count() == 0
