@@ -1,7 +1,8 @@
 """A corpus made ready for training: five stages over the documents table.
 
 Each stage takes (spark, docs, sf_dir), works on everything its predecessor kept, and is written as Parquet
-and read again by the next. All but the last return the columns of ``documents``.
+and read again by the next. All but the last return the columns of ``documents``. What a stage stores besides
+its decisions is removed before it returns.
 """
 
 from __future__ import annotations
@@ -16,23 +17,28 @@ from epochloom.llm.quality import fit_quality, scored
 from epochloom.llm.queries import WORD_BPE
 from epochloom.llm.stages import kept_documents
 from epochloom.llm.suffix_dedup import without_repeats
-from epochloom.shared import materialise
+from epochloom.shared import materialise, scratch
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, taught by all labels, does not reject."""
-    model = fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    with scratch(spark):
+        model = fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return docs if model is None else docs.where(scored(model, F.col("text")) >= 0.5)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    return kept_documents(docs, exact_groups(docs))
+    with scratch(spark) as keep:
+        decisions = keep(exact_groups(docs).select("row_key", "kept"), "decisions")
+    return kept_documents(docs, decisions)
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: five-word shingles, similarity 0.8 or more."""
-    return kept_documents(docs, near_documents(docs, words_each=5, percent=80))
+    with scratch(spark) as keep:
+        decisions = keep(near_documents(docs, words_each=5, percent=80).select("row_key", "kept"), "decisions")
+    return kept_documents(docs, decisions)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
