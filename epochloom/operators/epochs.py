@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from epochloom.constants import EPOCH_SECONDS, SAMPLES_PER_EPOCH
-from epochloom.operators.ordering import number_rows, split_by_size
+from epochloom.operators.ordering import number_rows
 
 RECORDING = ("subject_id", "run_id")
 EPOCH = (*RECORDING, "epoch_id")
-MAX_SAMPLES = 65_536
+#: Rows of an epoch that are held together.
+SLICE_SAMPLES = 65_536
 
 
 def seconds_of(timestamp: Column) -> Column:
@@ -47,17 +48,6 @@ def epochs_by_count(
     )
 
 
-def split_long(
-    df: DataFrame, keys: Sequence[str] = EPOCH, max_samples: int | None = MAX_SAMPLES
-) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of epochs of up to ``max_samples`` rows, and the rows of longer epochs if there are any.
-
-    Epochs hold ``rate * seconds`` samples, so long ones are the exception. Pass ``None`` where
-    epochs are bounded by construction.
-    """
-    return (df, None) if max_samples is None else split_by_size(df, keys, max_samples)
-
-
 def collect_samples(channels: Sequence[str], order: Sequence[str]) -> Column:
     """Aggregate: samples in time order as one array of structs, shared by all channels."""
     sample = F.struct(F.struct(*order).alias("at"), F.struct(*channels).alias("v"))
@@ -69,21 +59,16 @@ def epoch_signals(
     channels: Sequence[str],
     order: Sequence[str] = ("time",),
     keys: Sequence[str] = EPOCH,
-    max_samples: int | None = MAX_SAMPLES,
+    max_samples: int = SLICE_SAMPLES,
 ) -> DataFrame:
-    """Ordered samples of each epoch as an array. NULL samples stay in place.
+    """Ordered samples of each (epoch, ``segment``) as an array. NULL samples stay in place.
 
-    An epoch beyond ``max_samples`` comes as several rows, numbered by ``segment``, so that no
-    row grows without bound.
+    A segment holds ``max_samples`` rows, and the last one of an epoch what is left, so that no row grows
+    without bound; an epoch of up to that many rows is segment 0.
     """
-    short, long = split_long(df, keys, max_samples)
-    rows = short.withColumn("segment", F.lit(0).cast("long"))
-    if long is not None:
-        numbered = number_rows(long, order, keys, "_no")
-        rows = rows.unionByName(
-            numbered.withColumn("segment", F.floor(F.col("_no") / max_samples)).drop("_no")
-        )
-    return rows.groupBy(*keys, "segment").agg(
+    numbered = number_rows(df, order, keys, "_no")
+    segment = F.floor(F.col("_no") / max_samples).alias("segment")
+    return numbered.groupBy(*keys, segment).agg(
         collect_samples(channels, order).alias("samples"), F.count(F.lit(1)).alias("n_samples")
     )
 

@@ -4,18 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from epochloom.constants import (
     BANDS, FEATURE_META, MOTOR_CHANNELS, REST_CLASS, REST_WEIGHT, SAMPLING_HZ,
 )
 from epochloom.functions.columns import feature_columns, rest_weight
-from epochloom.functions.spectrum import band_powers, channel_arrays, channel_powers
-from epochloom.operators.epochs import (
-    EPOCH, MAX_SAMPLES, collect_samples, first_label, majority_label, split_long,
-)
-from epochloom.operators.long_spectrum import long_band_powers
+from epochloom.functions.spectrum import band_powers, channel_arrays, channel_powers, slice_entries
+from epochloom.operators.epochs import EPOCH, SLICE_SAMPLES, collect_samples, first_label, majority_label
+from epochloom.operators.ordering import Ranges
 
 
 def _label(how: str, label: str, order: Sequence[str]) -> Column:
@@ -40,13 +38,15 @@ def epoch_features(
     label: str = "task_label",
     label_rule: str = "first",
     min_samples: int = 2,
-    max_samples: int | None = MAX_SAMPLES,
+    max_samples: int | None = SLICE_SAMPLES,
     quality: bool = False,
     extra: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """One row per epoch: label, then ``<channel>_<band>`` for every channel and band.
 
-    One shuffle collects all channels once; one Arrow function returns all powers. ``quality``
+    One shuffle collects all channels once; one Arrow function returns all powers. An epoch is held in slices
+    of about ``max_samples`` rows, however many rows it has; pass None where epochs are bounded by
+    construction, which saves the count. ``quality``
     adds ``n_bad``, the number of instants with a NULL or NaN sample. ``extra`` holds further
     aggregates by name.
     """
@@ -55,26 +55,66 @@ def epoch_features(
         details["n_bad"] = _bad_samples(channels)
     described = [value.alias(name) for name, value in details.items()]
     names = [f"{channel}_{band}" for channel in channels for band in bands]
-    short, long = split_long(df, keys, max_samples)
-
-    signals = short.groupBy(*keys).agg(
-        *described, collect_samples(channels, order).alias("_samples")
-    )
+    slices = _slices(df, order, max_samples)
+    if slices.count > 1:
+        return _joined(
+            df.groupBy(*keys).agg(*described),
+            sliced_band_powers(df, slices, channels, order, keys, fs, bands, min_samples), keys,
+        ).select(*keys, *details, *names)
+    signals = df.groupBy(*keys).agg(*described, collect_samples(channels, order).alias("_samples"))
     powers = band_powers(channel_arrays(channels, F.col("_samples")), fs, bands, min_samples)
-    features = signals.withColumn("_powers", powers).select(
+    return signals.withColumn("_powers", powers).select(
         *keys, *details, *[F.col("_powers")[name].alias(name) for name in names]
     )
-    if long is None:
-        return features
-    measured = long_band_powers(long, channels, order, keys, fs, bands)
-    labelled = long.groupBy(*keys).agg(*described)
-    joined = labelled.alias("l").join(
-        measured.alias("m"),
-        [F.col(f"l.{key}").eqNullSafe(F.col(f"m.{key}")) for key in keys],
+
+
+def _slices(df: DataFrame, order: Sequence[str], max_samples: int | None) -> Ranges:
+    """Ranges of the order that hold about ``max_samples`` rows each; one range where epochs are bounded anyway."""
+    rows = df.count() if max_samples else 0
+    return Ranges(df, order, max(1, -(-rows // max_samples)) if max_samples else 1, rows)
+
+
+def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of equal keys, NULL included; ``right`` brings its other columns."""
+    renamed = right.withColumnsRenamed({key: f"_j{i}" for i, key in enumerate(keys)})
+    match = [F.col(key).eqNullSafe(F.col(f"_j{i}")) for i, key in enumerate(keys)]
+    return left.join(renamed, match).drop(*[f"_j{i}" for i in range(len(keys))])
+
+
+def sliced_band_powers(
+    df: DataFrame, slices: Ranges, channels: Sequence[str], order: Sequence[str], keys: Sequence[str],
+    fs: float, bands: Mapping[str, tuple[float, float]], min_samples: int = 2,
+) -> DataFrame:
+    """``keys`` plus ``<channel>_<band>`` of epochs of any length, from slices of their signals.
+
+    Only rows of one epoch and one range of the order are held together. A slice that is a whole epoch gives
+    its powers; other slices give what they add to each bin of the epoch's transform, and these sums add up
+    like any aggregate. The samples are exchanged once.
+    """
+    rows = df.select(
+        F.struct(*keys).alias("key"), slices.place().alias("part"), *[F.col(c).alias(f"v{i}") for i, c in enumerate(channels)],
+        *[F.col(c).alias(f"o{i}") for i, c in enumerate(order)],
     )
-    return features.unionByName(
-        joined.select(*[F.col(f"l.{name}") for name in (*keys, *details)], *names)
+    values, places = [f"v{i}" for i in range(len(channels))], [f"o{i}" for i in range(len(order))]
+    of_key = Window.partitionBy("key")
+    earlier = of_key.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n")).select(
+        "key", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"), F.sum("n").over(of_key).alias("total")
     )
+    held = rows.groupBy("key", "part").agg(collect_samples(values, places).alias("samples")).join(sizes, ["key", "part"])
+    entry = slice_entries([F.col("samples")[v] for v in values], F.col("before"), F.col("total"), fs, bands, min_samples)
+    sums = held.select("key", "total", F.explode_outer(entry).alias("e")).groupBy(
+        "key", "total", "e.channel", "e.whole", "e.bin"
+    ).agg(F.sum("e.re").alias("re"), F.sum("e.im").alias("im"))
+    value = F.when(F.col("whole"), F.col("re")).otherwise(F.col("re") ** 2 + F.col("im") ** 2)
+    frequency = F.col("bin") * (F.lit(1.0) / (F.col("total") * F.lit(1.0 / fs)))
+    powers = []
+    for c, channel in enumerate(channels):
+        for b, (band, (low, high)) in enumerate(bands.items()):
+            inside = F.when(F.col("whole"), F.col("bin") == b).otherwise((frequency >= float(low)) & (frequency < float(high)))
+            mean = F.avg(F.when((F.col("channel") == c) & inside, value))
+            powers.append(F.coalesce(mean, F.lit(0.0)).alias(f"{channel}_{band}"))
+    return sums.groupBy("key").agg(*powers).select("key.*", *[f"{c}_{b}" for c in channels for b in bands])
 
 
 def alpha_by_channel(
@@ -85,19 +125,19 @@ def alpha_by_channel(
     order: Sequence[str] = ("time",),
     keys: Sequence[str] = EPOCH,
     min_samples: int = 4,
-    max_samples: int | None = MAX_SAMPLES,
+    max_samples: int | None = SLICE_SAMPLES,
 ) -> DataFrame:
     """Long form ``(keys, channel, alpha_power)`` for every channel of every epoch."""
-    short, long = split_long(df, keys, max_samples)
-    signals = short.groupBy(*keys).agg(collect_samples(channels, order).alias("_samples"))
-    arrays = channel_arrays(channels, F.col("_samples"))
-    powers = signals.select(*keys, channel_powers(arrays, fs, band, min_samples).alias("_powers"))
-    if long is not None:
-        wide = long_band_powers(long, channels, order, keys, fs, {"power": band})
-        powers = powers.unionByName(wide.select(*keys, F.array(*[
-            F.struct(F.lit(name).alias("channel"), F.col(f"{name}_power").alias("power"))
-            for name in channels
-        ]).alias("_powers")))
+    slices = _slices(df, order, max_samples)
+    if slices.count > 1:
+        wide = sliced_band_powers(df, slices, channels, order, keys, fs, {"power": band}, min_samples)
+        powers = wide.select(*keys, F.array(*[
+            F.struct(F.lit(name).alias("channel"), F.col(f"{name}_power").alias("power")) for name in channels
+        ]).alias("_powers"))
+    else:
+        signals = df.groupBy(*keys).agg(collect_samples(channels, order).alias("_samples"))
+        arrays = channel_arrays(channels, F.col("_samples"))
+        powers = signals.select(*keys, channel_powers(arrays, fs, band, min_samples).alias("_powers"))
     return explode_channels(powers, keys)
 
 

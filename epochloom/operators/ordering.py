@@ -24,31 +24,6 @@ MOST_RANGES = 4096
 SAMPLED = 32
 
 
-def match_keys(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Semi or anti join on keys that may be NULL."""
-    right = other.select(*[column(key).alias(f"_m{i}") for i, key in enumerate(keys)])
-    condition = F.lit(True)
-    for i, key in enumerate(keys):
-        condition = condition & column(key).eqNullSafe(F.col(f"_m{i}"))
-    return df.join(right, condition, how)
-
-
-def split_by_size(
-    df: DataFrame, keys: Sequence[str], limit: int
-) -> tuple[DataFrame | None, DataFrame | None]:
-    """Rows of keys with up to ``limit`` rows, and the rows of larger keys; None where there are none.
-
-    The count reads the key columns alone and combines before its shuffle.
-    """
-    if not keys:
-        return (df, None) if df.count() <= limit else (None, df)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    large = sizes.where(F.col("_n") > limit).drop("_n")
-    if large.isEmpty():
-        return df, None
-    return match_keys(df, large, keys, "left_anti"), match_keys(df, large, keys, "left_semi")
-
-
 class _Sort:
     """One item of an order: its value, direction and place of NULLs."""
 

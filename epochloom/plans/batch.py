@@ -12,7 +12,7 @@ from epochloom.constants import (
     BANDS, CLASSES, MOTOR_CHANNELS, MOTOR_RUNS, REST_CLASS, REST_WEIGHT, SAMPLING_HZ, SEED, TRAIN_RATIO,
 )
 from epochloom.functions.columns import feature_columns, lateralization, without_dots
-from epochloom.operators.epochs import MAX_SAMPLES, epochs_by_time
+from epochloom.operators.epochs import SLICE_SAMPLES, epochs_by_time
 from epochloom.operators.features import epoch_features, with_rest_weight, zscore_by_subject
 from epochloom.operators.model import evaluate, forest_pipeline, tune_forest
 from epochloom.operators.split import train_test
@@ -57,7 +57,7 @@ def normalised_features(
     rest=REST_CLASS,
     weight: float = REST_WEIGHT,
     label_rule: str = "first",
-    max_samples: int | None = MAX_SAMPLES,
+    max_samples: int | None = SLICE_SAMPLES,
 ) -> DataFrame:
     """Epoch rows to z-scored band features with a class weight.
 

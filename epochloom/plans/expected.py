@@ -186,9 +186,13 @@ SELECT vec_id, {", ".join(f"round(log10(greatest({p}_{b}, 1e-12)), 6) AS {p}_{b}
 FROM features""",
     "epochs_by_time": "SELECT event_id, user_id, epoch_us(ts) // 3600000000 AS epoch_id FROM events",
     "epoch_signals": """
-SELECT user_id, epoch_us(ts) // 3600000000 AS epoch_id, 0::BIGINT AS segment, count(*) AS n_samples,
+WITH numbered AS (
+  SELECT *, epoch_us(ts) // 3600000000 AS epoch_id,
+         row_number() OVER (PARTITION BY user_id, epoch_us(ts) // 3600000000 ORDER BY ts, event_id) - 1 AS no
+  FROM events)
+SELECT user_id, epoch_id, no // 65536 AS segment, count(*) AS n_samples,
        string_agg(round(value * 100)::BIGINT::VARCHAR, ',' ORDER BY ts, event_id) AS signal
-FROM events GROUP BY 1, 2""",
+FROM numbered GROUP BY 1, 2, 3""",
     "epoch_first_label": f"""
 SELECT user_id, epoch_us(ts) // {_WEEK_US} AS epoch_id, first(event_type ORDER BY ts, event_id) AS epoch_label
 FROM events GROUP BY 1, 2""",

@@ -15,7 +15,7 @@ from epochloom.constants import (
 )
 from epochloom.functions.columns import as_double, column, lateralization
 from epochloom.operators.epochs import (
-    EPOCH, MAX_SAMPLES, RECORDING, epochs_by_count, event_times, loop_replay, majority_label,
+    EPOCH, SLICE_SAMPLES, RECORDING, epochs_by_count, event_times, loop_replay, majority_label,
 )
 from epochloom.operators.features import epoch_features
 from epochloom.operators.model import score
@@ -119,7 +119,7 @@ def scored_epochs(
     order: Sequence[str] = ("time",),
     classes: Sequence[str] = CLASSES,
     map_band: str = "alpha",
-    max_samples: int | None = MAX_SAMPLES,
+    max_samples: int | None = SLICE_SAMPLES,
     scorer: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """One row per epoch with ``prediction`` (struct) and ``topomaps`` (array of structs).
