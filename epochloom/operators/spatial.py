@@ -1,20 +1,24 @@
 """Scalp maps: electrode lookup, projection and Gaussian interpolation.
 
-Electrodes and grid cells are dimension data. Measurements are aggregated per channel first, and
+Electrodes are dimension data of any number. Measurements are aggregated per channel first, and
 only then weighted, so the work on the measurements is one aggregation whatever the map size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from epochloom.constants import GRID_SIGMA, GRID_SIZE, HEAD_FRACTION, SCALP_ELECTRODES, SCALP_SIGMA
+from epochloom.functions.columns import column
 
-# Bounds every electrode array and, with the grid size, the broadcast weight table.
-MAX_MAP_ELECTRODES = 400
+#: Maps that are multiplied at a time, and weights that a task holds.
+MAPS_TOGETHER, WEIGHT_CELLS = 16, 1 << 21
 
 
 def scalp_sites(montage: DataFrame, names: Sequence[str] = SCALP_ELECTRODES) -> DataFrame:
@@ -62,15 +66,9 @@ def map_radius(flat: DataFrame) -> Column:
     return F.greatest(outermost * 1.05, F.lit(0.6))
 
 
-def _as_array(rows: DataFrame, columns: Sequence[str], limit: int = MAX_MAP_ELECTRODES) -> Column:
-    """A dimension table of at most ``limit`` rows as one array value; more is an error."""
-    kept = rows.select(*columns).limit(limit + 1).agg(
-        F.array_sort(F.collect_list(F.struct(*columns))).alias("a")
-    )
-    checked = F.when(F.size("a") <= limit, F.col("a")).otherwise(
-        F.raise_error(F.lit(f"a map takes at most {limit} electrodes"))
-    )
-    return kept.select(checked).scalar()
+def _as_array(rows: DataFrame, columns: Sequence[str]) -> Column:
+    """A dimension table as one array value, in a fixed order."""
+    return rows.agg(F.array_sort(F.collect_list(F.struct(*columns)))).scalar()
 
 
 def scalp_interpolate(
@@ -101,31 +99,61 @@ def scalp_interpolate(
     )
 
 
-def grid_cells(flat: DataFrame, size: int = GRID_SIZE) -> DataFrame:
-    """The square map grid ``gx, gy, cx, cy`` that covers all electrodes."""
-    radius = map_radius(flat)
-    step = 2.0 * F.col("r") / (size - 1)
-    return (
-        flat.sparkSession.range(size * size)
-        .select(F.floor(F.col("id") / size).alias("gy"), (F.col("id") % size).alias("gx"), radius.alias("r"))
-        .select("gx", "gy", (F.col("gx") * step - F.col("r")).alias("cx"),
-                (F.col("gy") * step - F.col("r")).alias("cy"), "r")
-    )
-
+def grid_weights(
+    px: np.ndarray, py: np.ndarray, cells: np.ndarray, radius: float, size: int = GRID_SIZE, sigma: float = GRID_SIGMA,
+) -> np.ndarray:
+    """Weight of every electrode (column) in the cells given by number (row); 0.0 outside the head.
 
-def grid_weights(flat: DataFrame, size: int = GRID_SIZE, sigma: float = GRID_SIGMA) -> DataFrame:
-    """Weight table ``(name, gx, gy, w)`` of every grid cell; ``w`` is 0.0 outside the head.
-
-    It depends on the montage alone and has ``size * size`` rows per electrode.
+    The square grid has ``size`` times ``size`` cells, ``gy * size + gx``, and covers all electrodes.
     """
-    cells = grid_cells(flat, size)
-    inside = F.col("cx") ** 2 + F.col("cy") ** 2 <= (F.col("r") * HEAD_FRACTION) ** 2
-    d2 = (F.col("cx") - F.col("_e.px")) ** 2 + (F.col("cy") - F.col("_e.py")) ** 2
-    weight = F.when(inside, F.exp(-d2 / (2.0 * sigma * sigma))).otherwise(F.lit(0.0))
-    sites = _as_array(flat, ["name", "px", "py"])
-    return cells.withColumn("_e", F.explode(sites)).select(
-        F.col("_e.name").alias("name"), "gx", "gy", weight.alias("w")
-    )
+    step = 2.0 * radius / (size - 1)
+    cx, cy = cells % size * step - radius, cells // size * step - radius
+    d2 = (cx[:, None] - px) ** 2 + (cy[:, None] - py) ** 2
+    return np.exp(-d2 / (2.0 * sigma * sigma)) * (cx**2 + cy**2 <= (radius * HEAD_FRACTION) ** 2)[:, None]
+
+
+def _painted(own: Sequence[str], size: int, sigma: float) -> Callable:
+    """Grids of maps that come with their electrodes; maps of one montage are one matrix product."""
+
+    def blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, float, np.ndarray]]:
+        """(first row, next row, positions, radius, sums and counts) of neighbours with one montage."""
+        sites, radius = batch.column("sites"), batch.column("radius").to_numpy()
+        edges, flat = sites.offsets.to_numpy(), sites.values
+        x, y, s, n = (flat.field(f).to_numpy(zero_copy_only=False).astype(float) for f in ("px", "py", "s", "n"))
+        at = 0
+        while at < batch.num_rows:
+            low, high, to = edges[at], edges[at + 1], at + 1
+            width = high - low
+            while to < min(batch.num_rows, at + MAPS_TOGETHER) and edges[to + 1] - edges[to] == width and (
+                np.array_equal(x[low:high], x[edges[to] : edges[to + 1]]) and np.array_equal(y[low:high], y[edges[to] : edges[to + 1]])
+            ):
+                to += 1
+            span = slice(low, edges[to])
+            yield at, to, np.array([x[low:high], y[low:high]]), radius[at], np.stack([s[span], n[span]]).reshape(2, to - at, width)
+            at = to
+
+    def paint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        montage, weights = None, None
+        for batch in batches:
+            for low, high, places, radius, known in blocks(batch):
+                step = max(1, WEIGHT_CELLS // max(1, places.shape[1]))
+                for first in range(0, size * size, step):
+                    cells = np.arange(first, min(first + step, size * size))
+                    name = (places.tobytes(), radius, first)
+                    if name != montage:
+                        montage, weights = name, grid_weights(*places, cells, radius, size, sigma)
+                    mass, total = (weights @ part.T for part in known)
+                    empty = total <= 1e-9
+                    mean = np.divide(mass, total, out=np.zeros_like(mass), where=~empty).T.ravel()
+                    row = pa.array(np.repeat(np.arange(low, high), len(cells)))
+                    cell = np.tile(cells, high - low)
+                    yield pa.RecordBatch.from_arrays(
+                        [*(batch.column(k).take(row) for k in own), pa.array(cell % size), pa.array(cell // size),
+                         pa.array(mean, mask=empty.T.ravel())],
+                        names=[*own, "gx", "gy", "value"],
+                    )
+
+    return paint
 
 
 def topomap_grid(
@@ -139,17 +167,24 @@ def topomap_grid(
     """Interpolated value of every grid cell, per key: ``(keys, gx, gy, value)``.
 
     ``values`` holds one row per (keys, name). A NULL or NaN channel is skipped; cells outside the
-    head, or too far from every electrode, are NULL. The values move once, by key; the weight
-    table is broadcast (its size is bounded) and each map is summed where its values are.
+    head, or too far from every electrode, are NULL. The montage is joined as a dimension and the values move
+    once, by key; a map travels as one row with its electrodes, and the static weights (cells by electrodes)
+    times a block of maps give their cells where they are.
     """
-    usable = F.col(value).isNotNull() & ~F.isnan(value)
+    own = [f"k{i}" for i in range(len(keys))]
+    usable = F.col("v").isNotNull() & ~F.isnan("v")
+    known = values.select(
+        *[column(k).alias(o) for k, o in zip(keys, own)], F.col("name").alias("site"), column(value).cast("double").alias("v")
+    )
     # Small rows stand for whole grids here: a fixed number of partitions is not merged back.
     tasks = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = values.repartition(tasks, *keys) if keys else values
-    sums = placed.join(F.broadcast(grid_weights(flat, size, sigma)), "name").groupBy(*keys, "gx", "gy").agg(
-        F.sum(F.when(usable, F.col("w") * F.col(value))).alias("_mass"),
-        F.sum(F.when(usable, F.col("w"))).alias("_w"),
+    placed = known.repartition(tasks, *own) if keys else known
+    heard = placed.join(flat.select(F.col("name").alias("site"), "px", "py"), "site").groupBy(*own, "site", "px", "py").agg(
+        F.coalesce(F.sum(F.when(usable, F.col("v"))), F.lit(0.0)).alias("s"), F.count_if(usable).alias("n")
     )
-    return sums.select(
-        *keys, "gx", "gy", F.when(F.col("_w") > 1e-9, F.col("_mass") / F.col("_w")).alias(value)
+    maps = heard.groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("site", "px", "py", "s", "n"))).alias("sites"))
+    painted = maps.withColumn("radius", map_radius(flat)).mapInArrow(
+        _painted(own, size, sigma),
+        T.StructType([*maps.schema.fields[: len(own)], *T.StructType.fromDDL("gx long, gy long, value double").fields]),
     )
+    return painted.toDF(*keys, "gx", "gy", value)

@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -208,8 +209,33 @@ def test_grid(spark, sphere):
     assert {(c.gx, c.gy): c.value for c in cells}[(0, 0)] is None
 
 
-def test_too_many_electrodes_is_an_error(spark):
-    many = spark.range(SP.MAX_MAP_ELECTRODES + 1).select(
-        F.concat(F.lit("E"), "id").alias("name"), F.lit(0.1).alias("px"), F.lit(0.1).alias("py"))
-    with pytest.raises(Exception, match="at most"):
-        SP.grid_weights(many, 3).count()
+def brute_map(flat, values, size, sigma=0.25, head=0.92):
+    """Every cell of one map by the definition."""
+    radius = max(1.05 * max(math.hypot(x, y) for x, y in flat.values()), 0.6)
+    out = {}
+    for gx in range(size):
+        for gy in range(size):
+            cx, cy = (2 * radius * g / (size - 1) - radius for g in (gx, gy))
+            known = [(math.exp(-((cx - flat[n][0]) ** 2 + (cy - flat[n][1]) ** 2) / (2 * sigma**2)), v) for n, v in values if n in flat and v is not None]
+            total = sum(w for w, _ in known)
+            inside = cx**2 + cy**2 <= (head * radius) ** 2
+            out[gx, gy] = sum(w * v for w, v in known) / total if inside and total > 1e-9 else None
+    return out
+
+
+@pytest.mark.parametrize("electrodes, weights", [(500, 1 << 21), (30, 100)])
+def test_maps_of_any_number_of_electrodes_equal_brute_force(spark, monkeypatch, electrodes, weights):
+    """Many electrodes, maps with different channels missing, repeated rows, and grids in several blocks."""
+    monkeypatch.setattr(SP, "WEIGHT_CELLS", weights)
+    rng = np.random.default_rng(electrodes)
+    flat = {f"E{i}": tuple(map(float, rng.uniform(-0.8, 0.8, 2))) for i in range(electrodes)}
+    maps = {k: [(n, None if rng.random() < 0.2 else float(rng.normal())) for n in flat if k % 3 or rng.random() < 0.5] for k in range(7)}
+    maps[1].append(maps[1][0])
+    maps[2].append(("unknown", 5.0))
+    sites = spark.createDataFrame([(n, x, y) for n, (x, y) in flat.items()], "name string, px double, py double")
+    rows = spark.createDataFrame([(k, n, v) for k, vs in maps.items() for n, v in vs], "k int, name string, value double")
+    got = SP.topomap_grid(sites, rows, ["k"], size=11).collect()
+    assert len(got) == 7 * 121
+    for r in got:
+        want = brute_map(flat, maps[r.k], 11)[r.gx, r.gy] if (r.gx, r.gy) in {(0, 0), (5, 5), (3, 7), (8, 2), (5, 1)} else r.value
+        assert (r.value is None) == (want is None) and (want is None or r.value == pytest.approx(want, rel=1e-9))
