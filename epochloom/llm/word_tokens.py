@@ -4,7 +4,8 @@ The vocabulary lower-cases, drops white space and never joins across it, so the
 of its blank-separated words in turn. Arrow splits and numbers the words of a batch; a word ending in an
 ASCII letter and marks (``the.``) is looked up as letters and marks, as the vocabulary splits there too.
 The words seen so far are kept per Python worker up to ``CACHED_WORDS``; the cache only saves time.
-Strings of special tokens in a text are ordinary text.
+Strings of special tokens in a text are special tokens, as the library reads them by default. Words with
+characters beyond ASCII, or with the beginning of a special token, go to the library as they are.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ import pyarrow.compute as pc
 
 CACHED_WORDS = 400_000
 SLICE_BYTES = 4 << 20
+#: Every special token begins with it.
+SPECIAL_OPENING = "<|"
 _MARKS = ".,!?;:#$%&*|)\"-"
 _encoders: dict = {}
 
@@ -92,7 +95,9 @@ class WordEncoder(WordCache):
 
         super().__init__()
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        if not all(content.startswith(SPECIAL_OPENING) for content in special):
+            raise ValueError(f"special tokens other than {SPECIAL_OPENING}... are not supported: {special}")
         vocab = self.library.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
@@ -119,11 +124,13 @@ class WordEncoder(WordCache):
         """Ids of all texts in a row, and the number of ids of each; ``end_id`` closes every text."""
         if len(self.known) > CACHED_WORDS:
             self._forget()
-        lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         offsets = lists.offsets.to_numpy().astype(np.int64)
         words = lists.values.slice(int(offsets[0]), int(offsets[-1] - offsets[0])).dictionary_encode()
         offsets -= offsets[0]
         distinct = words.dictionary
+        as_is = pc.or_(pc.invert(pc.string_is_ascii(distinct)), pc.match_substring(distinct, SPECIAL_OPENING))
+        distinct = pc.if_else(as_is, distinct, pc.ascii_lower(distinct))
         cores = pc.utf8_rtrim(distinct, characters=_MARKS)
         cores = pc.if_else(pc.match_substring_regex(cores, "[a-z]$"), cores, distinct)
         core_bytes = pc.binary_length(cores).to_numpy()

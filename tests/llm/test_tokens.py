@@ -16,15 +16,15 @@ TEXTS = [
     "á. É. don't DON'T's. <|endoftext|> <|ENDOFTEXT|>x", "", None, "  \x0b\x0c ", " a b\x1cc", "x." * 50,
     "é. é.., 'S. ''s' 5.5 12.a. ﬁ İstanbul. ΣΑΣ. 日本語。x.", '-a- (b) "c"', "the The THE the. the, Theé é. é",
     "word " * 20_000, "y" * 30_000, "| a | b", "a" + "́" * 5,
+    "a <|endoftext|> b", "a<|endoftext|>b. x<|startoftext|><|endoftext|>.", "<|ENDOFTEXT|>x <|EndOfText|>", "<|endoftext <|endoftext|>a.",
+    "J\u030c H\u0331 T\u0308 W\u030a Y\u030a j\u030c", "ÉCOLE. E\u0301COLE, ÀB.", "\u0301a e<|endoftext|>\u0301",
 ]
 SCHEMA = "doc_id long, text string, key int, length string"
 
 
 @pytest.fixture(scope="module")
 def library():
-    found = Tokenizer.from_file(PATH)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(PATH)
 
 
 def ids_of(library, text):
@@ -72,6 +72,18 @@ def test_word_encoder_is_the_library(library):
     assert counts.tolist() == [len(w) for w in want] and ids.tolist() == np.concatenate(want).tolist()
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_random_texts_are_encoded_as_by_the_library(library, seed):
+    import pyarrow as pa
+
+    rng = random.Random(seed)
+    pieces = ["a", "The", "É", "e\u0301", "J\u030c", "\u0331", " ", " ", "\n", "\xa0", ".", ",", "'s", "<|", "|>", "<|endoftext|>", "<|STARTOFTEXT|>", "<|startoftext|>", "日", "9", "İ", "ß"]
+    texts = ["".join(rng.choices(pieces, k=rng.randint(0, 30))) for _ in range(500)]
+    ids, counts = encoder(PATH).encode(pa.array(texts), 1)
+    want = [ids_of(library, t) for t in texts]
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == np.concatenate(want).tolist()
+
+
 def test_token_files_round_trip(spark, library):
     path = shared_path(spark, "files")
     simple8b.write_token_files(spark.createDataFrame(rows(), SCHEMA).repartition(5), path, PATH)
