@@ -28,7 +28,8 @@ def ingest(
 ) -> DataFrame:
     """Convert the recordings that have not landed yet; returns the tally of outcomes.
 
-    ``landed`` is the landing zone, if it holds anything yet. What counts is committed data, so a recording that
+    ``landed`` holds a row for each landed recording or more, such as the files of the landing zone, if there
+    are any yet. What counts is committed data, so a recording that
     failed before is tried again.
     """
     listed = recording_files(spark, recordings)

@@ -810,9 +810,8 @@ def rule_scorer(wide: DataFrame) -> DataFrame:
     })
 
 
-def _score_stream(spark, sf, model=None, scorer=None) -> str:
-    stream, channels = _sample_stream(spark, _landed_epochs(spark, sf))
-    path, checkpoint = shared_path(spark, "live-output"), shared_path(spark, "live-checkpoint")
+def _score_sink(spark, source: str, path: str, model=None, scorer=None):
+    stream, channels = _sample_stream(spark, source)
 
     def process(samples: DataFrame) -> DataFrame:
         return live.scored_epochs(
@@ -820,16 +819,33 @@ def _score_stream(spark, sf, model=None, scorer=None) -> str:
         )
 
     outputs = {"predictions": live.predictions_of, "topomap": live.topomap_of}
-    live.run_available(live.batch_sink(stream, process, outputs, path, checkpoint))
+    return live.batch_sink(live.observed(stream), process, outputs, path, shared_path(spark, "live-checkpoint"))
+
+
+def _score_stream(spark, sf, model=None, scorer=None) -> str:
+    path = shared_path(spark, "live-output")
+    live.run_available(_score_sink(spark, _landed_epochs(spark, sf), path, model, scorer))
     return path
 
 
+def live_run_statistics(spark, sf):
+    """Counts of a bounded run with a processing-time trigger, next to what its sink holds."""
+    source, path = _landed_epochs(spark, sf), shared_path(spark, "live-output")
+    files = len(spark.read.parquet(source).inputFiles())  # one a trigger
+    stats = live.run_live(_score_sink(spark, source, path, scorer=rule_scorer), 600, "live-statistics", until=files)
+    written = live.committed(spark, path, "predictions").agg(F.count(F.lit(1)).alias("predictions"))
+    timed = F.lit(stats["milliseconds_per_epoch"] > 0) & F.lit(stats["milliseconds_per_trigger"] > 0)
+    return written.select(
+        *[F.lit(stats[name]).cast("long").alias(name) for name in ("rows_read", "rows", "epochs")], "predictions", timed.alias("timed")
+    )
+
+
 def stream_dual_sink(spark, sf):
     """Both outputs, read back and joined: each map row next to its epoch's prediction."""
     path = _score_stream(spark, sf, scorer=rule_scorer)
     keys = ["subject_id", "run_id", "epoch_id"]
-    predictions = spark.read.parquet(f"{path}/predictions").select(*keys, "correct", "run_seq")
-    topomap = spark.read.parquet(f"{path}/topomap")
+    predictions = live.committed(spark, path, "predictions").select(*keys, "correct", "run_seq")
+    topomap = live.committed(spark, path, "topomap")
     return rounded(topomap.join(predictions, keys).select(
         F.col("subject_id").cast("long").alias("subject_id"), "run_id", "epoch_id", "channel",
         "alpha_power", "true_label", "pred_label", "correct", "run_seq",
@@ -842,7 +858,7 @@ def stream_score(spark, sf):
     model: PipelineModel = MO.fit_live(features, C.feature_columns(features), trees=10, depth=5)
     path = _score_stream(spark, sf, model)
     keys, chances = ["subject_id", "run_id", "epoch_id"], [f"proba_{c}" for c in CLASSES]
-    streamed = spark.read.parquet(f"{path}/predictions").select(*keys, "true_label", "pred_label", *chances)
+    streamed = live.committed(spark, path, "predictions").select(*keys, "true_label", "pred_label", *chances)
     samples = spark.read.parquet(_landed_epochs(spark, sf))
     batched = live.predictions_of(live.scored_epochs(
         samples, model, CHANNELS, CHANNELS, fs=FS, classes=CLASSES, max_samples=None,
@@ -882,6 +898,6 @@ QUERIES = {
         manifest_missing, ingest_outcomes, scoring_defaults, decode_recordings, compare_runs,
         run_log, rf_predictions, rf_metrics, cv_grid, feature_importance, live_rf, separable_labels,
         model_roundtrip, stream_epochs, stream_window_epochs, stream_dedup, replay_epochs,
-        stream_dual_sink, stream_score, topomap_explode,
+        stream_dual_sink, live_run_statistics, stream_score, topomap_explode,
     )
 }

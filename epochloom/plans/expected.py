@@ -431,6 +431,9 @@ FROM w GROUP BY user_id, epoch_id""",
     "stream_dual_sink": f"WITH {_LINE_FEATURES}" + _MAP_ROWS.format(
         more=", (task_label = pred_label)::BIGINT AS correct, -1::BIGINT AS run_seq"
     ),
+    "live_run_statistics": f"""WITH {_EPOCHS}
+SELECT count(*) AS rows_read, count(*) AS rows, count(DISTINCT (subject_id, run_id, epoch_id)) AS epochs,
+       count(DISTINCT (subject_id, run_id, epoch_id)) AS predictions, true AS timed FROM epochs""",
     "topomap_explode": f"WITH {_LINE_FEATURES}" + _MAP_ROWS.format(more=""),
     "rf_predictions": f"""WITH {_LINE_FEATURES}, subjects AS (SELECT DISTINCT subject_id FROM features), placed AS (
   SELECT subject_id, row_number() OVER (ORDER BY subject_id) - 1 < floor(count(*) OVER () * {TRAIN_RATIO}) AS is_train FROM subjects)

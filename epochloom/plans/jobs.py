@@ -18,7 +18,7 @@ from epochloom.operators.metrics import with_importance_tier
 from epochloom.operators.model import feature_importances, fit_live, load_or_fit
 from epochloom.operators.split import split_counts
 from epochloom.plans import batch
-from epochloom.shared import materialise, read_if_landed
+from epochloom.shared import materialise, path_exists
 from epochloom.sources import landing
 from epochloom.sources.manifests import CONVERTED, FAILED, SKIPPED, TRUNCATED
 from epochloom.sources.runs import append_runs, run_record
@@ -34,7 +34,7 @@ def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def ingest(spark: SparkSession, recordings: str, landed: str, metrics: str | None = None) -> DataFrame:
-    known = read_if_landed(spark, landed)
+    known = landing.landed_files(spark, landed, *RECORDING) if path_exists(spark, landed) else None
     tally = materialise(batch.ingest(spark, recordings, landed, known), "tally")
     if metrics:
         wide = tally.agg(*[

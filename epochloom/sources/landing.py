@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,29 +57,40 @@ def signal_sample(
     )
 
 
+def landed_files(spark: SparkSession, path: str, *keys: str) -> DataFrame:
+    """``path, length, written`` of the Parquet files below a folder, and the partition values ``keys`` as strings.
+
+    Spark lists the folders, many of them in tasks; no file is opened.
+    """
+    listed = (
+        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
+        .select("path", "length", F.col("modificationTime").alias("written"))
+    )
+    values = [
+        F.try_url_decode(F.replace(F.regexp_extract("path", f"/{re.escape(key)}=([^/]*)/", 1), F.lit("+"), F.lit("%2B"))).alias(key)
+        for key in keys
+    ]
+    return listed.select("path", "length", "written", *values)
+
+
 def latest_batches(spark: SparkSession, path: str, count: int, batch: str = "batch_id") -> DataFrame:
     """Rows of the newest ``count`` batches of a sink laid out as ``batch_id=<n>`` folders.
 
-    The batch list comes from the partition column alone; the data scan is pruned to it.
+    The batches come from the names of folders; the scan is pruned to them.
     """
     table = spark.read.parquet(path)
-    newest = table.select(batch).distinct().orderBy(F.col(batch).desc()).limit(count)
-    return table.join(F.broadcast(newest), batch, "left_semi")  # at most ``count`` rows
+    number = F.col(batch).cast(table.schema[batch].dataType)
+    newest = landed_files(spark, path, batch).select(number.alias("n")).distinct().orderBy(F.desc("n")).limit(count)
+    return table.where(F.col(batch).isin([r.n for r in newest.collect()]))  # at most ``count`` numbers
 
 
 def latest_files(spark: SparkSession, path: str, count: int) -> DataFrame:
-    """Rows of the ``count`` most recently written files of a folder."""
-    table = spark.read.parquet(path)
-    tagged = table.select(
-        *[F.col(f"`{name}`") for name in table.columns],
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_modification_time").alias("_written"),
-    )
-    newest = (
-        tagged.select("_file", "_written").distinct()
-        .orderBy(F.col("_written").desc(), F.col("_file").desc()).limit(count).select("_file")
-    )
-    return tagged.join(F.broadcast(newest), "_file", "left_semi").drop("_file", "_written")
+    """Rows of the ``count`` most recently written files of a folder, from a listing of it."""
+    newest = landed_files(spark, path).orderBy(F.desc("written"), F.desc("path")).limit(count).collect()
+    if not newest:
+        return spark.read.parquet(path).limit(0)
+    schema = spark.read.parquet(path).schema
+    return spark.read.schema(schema).option("basePath", path).parquet(*[r.path for r in newest])
 
 
 def union_batches(*frames: DataFrame) -> DataFrame:

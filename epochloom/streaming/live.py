@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import threading
+import time
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
@@ -165,26 +166,40 @@ def batch_sink(
     """Write several outputs of each micro-batch, each to ``<path>/<name>/query_id=<id>/batch_id=<n>``.
 
     The query's identifier lives in its checkpoint: a repeated batch overwrites its own folders, so a
-    retry leaves no duplicates, and a query with a new checkpoint adds to what earlier ones wrote. The
-    batch and its result are kept while the outputs are written. Empty batches are
-    skipped.
+    retry leaves no duplicates, and a query with a new checkpoint adds to what earlier ones wrote. A record of
+    the batch under ``<path>/commits`` follows when all outputs are written: read them with ``committed``,
+    which shows all of a batch or nothing. The batch and its result are kept while the outputs are written.
+    Empty batches are skipped. Processed rows are counted while they are kept, for ``run_statistics``.
     """
+    counted = {"epochs": 0}
 
     def write(batch: DataFrame, batch_id: int) -> None:
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        place, seen = f"query_id={query_id}/batch_id={batch_id}", Observation()
         rows = batch.persist()
-        done = process(rows).persist()
+        done = process(rows).observe(seen, F.count(F.lit(1)).alias("epochs")).persist()
         try:
             if not rows.count():  # fills the cache, so the source is read once
                 return
             for name, project in outputs.items():
-                target = f"{path}/{name}/query_id={query_id}/batch_id={batch_id}"
-                project(done).write.mode("overwrite").parquet(target)
+                project(done).write.mode("overwrite").parquet(f"{path}/{name}/{place}")
+            counted["epochs"] += seen.get["epochs"]
+            record = batch.sparkSession.range(1).select(F.lit(seen.get["epochs"]).alias("epochs"), F.current_timestamp().alias("written"))
+            record.write.mode("overwrite").parquet(f"{path}/commits/{place}")
         finally:
             done.unpersist()
             rows.unpersist()
 
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer.counted = counted
+    return writer
+
+
+def committed(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """One output of a ``batch_sink``: the rows of batches of which every output is written."""
+    batch = ["query_id", "batch_id"]
+    done = spark.read.parquet(f"{path}/commits").select(*batch)
+    return spark.read.parquet(f"{path}/{name}").join(done, batch, "left_semi")
 
 
 def table_sink(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
@@ -195,11 +210,19 @@ def table_sink(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWrite
     )
 
 
+ROWS = "rows_seen"
+
+
+def observed(stream: DataFrame) -> DataFrame:
+    """``stream`` with its rows counted in every progress event."""
+    return stream.observe(ROWS, F.count(F.lit(1)).alias("rows"))
+
+
 class Tally(StreamingQueryListener):
     """Counts of one query over all its triggers; the query itself remembers the last hundred only."""
 
     def __init__(self) -> None:
-        self.batches, self.rows_read, self.milliseconds = 0, 0, 0
+        self.batches, self.rows_read, self.milliseconds, self.rows = 0, 0, 0, None
         self.ended, self._last = threading.Event(), None
 
     def onQueryStarted(self, event) -> None:
@@ -211,6 +234,9 @@ class Tally(StreamingQueryListener):
             self.batches += 1
             self.milliseconds += progress.batchDuration
             self.rows_read += progress.numInputRows
+            seen = progress.observedMetrics.get(ROWS)
+            if seen is not None:
+                self.rows = (self.rows or 0) + seen.rows
         self._last = progress.batchId
 
     def onQueryTerminated(self, event) -> None:
@@ -229,14 +255,27 @@ def _tallied(writer: DataStreamWriter, wait: Callable[[StreamingQuery], None]) -
         tally.ended.wait(30)  # its last progress comes before
     finally:
         spark.streams.removeListener(tally)
-    query.tally = tally
+    query.tally, query.counted = tally, getattr(writer, "counted", {})
     return query
 
 
-def run_live(writer: DataStreamWriter, timeout: float, name: str, interval: str = TRIGGER) -> dict:
-    """Trigger every ``interval`` until ``timeout`` seconds have passed, then stop this query."""
-    timed = writer.queryName(name).trigger(processingTime=interval)
-    query = _tallied(timed, lambda started: started.awaitTermination(timeout))
+def run_live(
+    writer: DataStreamWriter, timeout: float, name: str, interval: str = TRIGGER, until: int | None = None,
+) -> dict:
+    """Trigger every ``interval`` until ``timeout`` seconds have passed, then stop this query.
+
+    With ``until`` it stops earlier, once that many batches are done.
+    """
+    def wait(started: StreamingQuery) -> None:
+        deadline = time.monotonic() + timeout
+        while time.monotonic() < deadline:
+            if started.awaitTermination(min(1.0, max(deadline - time.monotonic(), 0.01))):
+                return
+            last = started.lastProgress
+            if until is not None and last and last.batchId + 1 >= until and not started.status["isTriggerActive"]:
+                return
+
+    query = _tallied(writer.queryName(name).trigger(processingTime=interval), wait)
     return run_statistics(query) | {"timeout_seconds": timeout}
 
 
@@ -246,9 +285,22 @@ def run_available(writer: DataStreamWriter) -> StreamingQuery:
 
 
 def run_statistics(query: StreamingQuery) -> dict:
-    """Batches with rows, rows read and milliseconds in triggers, over the whole run of a finished query."""
+    """What a finished query did over its whole run.
+
+    Batches with rows, rows read, rows observed (where the stream is ``observed``), milliseconds in triggers
+    and per trigger; for a ``batch_sink`` also the epochs it wrote and milliseconds per epoch.
+    """
     tally = query.tally
-    return {"batches": tally.batches, "rows_read": tally.rows_read, "milliseconds": tally.milliseconds}
+    stats = {"batches": tally.batches, "rows_read": tally.rows_read, "milliseconds": tally.milliseconds}
+    if tally.rows is not None:
+        stats["rows"] = tally.rows
+    if tally.batches:
+        stats["milliseconds_per_trigger"] = tally.milliseconds / tally.batches
+    if "epochs" in query.counted:
+        stats["epochs"] = query.counted["epochs"]
+        if stats["epochs"]:
+            stats["milliseconds_per_epoch"] = tally.milliseconds / stats["epochs"]
+    return stats
 
 
 def window_epochs(

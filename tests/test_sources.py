@@ -145,6 +145,20 @@ def test_latest_files_and_batches(spark):
     assert {r.id for r in landing.latest_files(spark, flat, 2).collect()} == {2, 3}
 
 
+def test_lists_open_no_data_file(spark):
+    """Batches and newest files come from names and times; only what is chosen is scanned."""
+    path = shared_path(spark, "listed")
+    spark.range(60).select("id", (F.col("id") % 12).alias("batch_id"), F.lit("a b/c+é%").alias("run_id")).write.partitionBy(
+        "batch_id", "run_id").parquet(path)
+    files = landing.landed_files(spark, path, "batch_id", "run_id")
+    assert {r.run_id for r in files.collect()} == {"a b/c+é%"} and files.where("length > 0").count() >= 12
+    assert "FileScan parquet" not in files._jdf.queryExecution().executedPlan().toString()
+    newest = landing.latest_batches(spark, path, 3)
+    assert {r.batch_id for r in newest.select("batch_id").distinct().collect()} == {9, 10, 11} and newest.count() == 15
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan and "PartitionFilters: [batch_id" in plan
+
+
 def test_compare_runs(spark):
     schema = "run_id string, parent_run_id string, start_time timestamp, params map<string,string>, metrics map<string,double>"
     full = {name: 0.5 for name in runs.RUN_METRICS}

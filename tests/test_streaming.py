@@ -66,6 +66,40 @@ def test_a_repeated_batch_leaves_no_duplicates(spark, landed, tmp_path):
     assert spark.read.parquet(f"{out}/predictions").count() == 6
 
 
+def test_a_batch_is_read_whole_or_not_at_all(spark, landed):
+    """The sink dies between its two writes: the reader shows nothing of that batch until it has run again."""
+    out, check = shared_path(spark, "out"), shared_path(spark, "check")
+    calls = {"topomap": 0}
+
+    def failing(scored):
+        calls["topomap"] += 1
+        if calls["topomap"] == 2:
+            raise OSError("the sink dies")
+        return live.topomap_of(scored)
+
+    def start(outputs):
+        stream = live.sample_stream(spark, landed, live_schema(CHANNELS), 1)
+        return live.run_available(live.batch_sink(stream, process, outputs, out, check))
+
+    with pytest.raises(Exception, match="the sink dies"):
+        start(OUTPUTS | {"topomap": failing})
+    assert spark.read.parquet(f"{out}/predictions").select("batch_id").distinct().count() == 2
+    assert [r.batch_id for r in live.committed(spark, out, "predictions").select("batch_id").distinct().collect()] == [0]
+    assert {r.batch_id for r in live.committed(spark, out, "topomap").select("batch_id").collect()} == {0}
+    start(OUTPUTS)
+    assert live.committed(spark, out, "predictions").count() == 6 and live.committed(spark, out, "topomap").count() == 18
+
+
+def test_statistics_of_a_bounded_run(spark, landed):
+    """Rows observed in the stream, epochs written, and time per trigger and epoch, with a processing-time trigger."""
+    out, check = shared_path(spark, "out"), shared_path(spark, "check")
+    stream = live.observed(live.sample_stream(spark, landed, live_schema(CHANNELS), 1))
+    stats = live.run_live(live.batch_sink(stream, process, OUTPUTS, out, check), 120, "counted", "100 milliseconds", until=3)
+    assert (stats["batches"], stats["rows"], stats["rows_read"], stats["epochs"]) == (3, 192, 192, 6)
+    assert stats["milliseconds_per_epoch"] == pytest.approx(stats["milliseconds"] / 6)
+    assert stats["milliseconds_per_trigger"] == pytest.approx(stats["milliseconds"] / 3)
+
+
 def test_a_new_checkpoint_adds_to_earlier_output(spark, landed):
     out = shared_path(spark, "out")
     for _ in range(2):
