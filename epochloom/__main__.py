@@ -40,7 +40,8 @@ def parser() -> argparse.ArgumentParser:
     job("replay", "land a recording as live epochs", "landed", "out", subject=(str, "S001"), run=(str, "R04"),
         start=(str, None), rate=(float, 0.5), duration=(float, 300.0), files=(int, None), loop=(bool, False))
     job("stream", "score live epochs", "source", "out", "checkpoint", "landed", "model",
-        timeout=(float, 3600.0), files_per_trigger=(int, 1), once=(bool, False))
+        timeout=(float, 3600.0), files_per_trigger=(int, 1), once=(bool, False), trees=(int, 300), depth=(int, 18),
+        training_recordings=(int, jobs.LIVE_TRAINING_RECORDINGS))
     return top
 
 

@@ -156,15 +156,16 @@ def kpi_summary(
     predictions: DataFrame, features: DataFrame, truth: str, predicted: str, subject: str = "subject_id",
     chance: float = CHANCE_LEVEL,
 ) -> DataFrame:
-    """Accuracy of the predictions with its gain over chance in percentage points; epochs, subjects and
-    feature columns of the feature table."""
-    accuracy = predictions.agg(F.avg(agrees(F.col(predicted), F.col(truth)).cast("double")).alias("accuracy"))
-    table = features.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(subject).alias("n_subjects"))
+    """Accuracy of the predictions with its gain over chance in percentage points, and their subjects;
+    epochs and feature columns of the feature table."""
+    scored = predictions.agg(
+        F.avg(agrees(F.col(predicted), F.col(truth)).cast("double")).alias("accuracy"), F.countDistinct(subject).alias("n_subjects")
+    )
+    n_rows = features.agg(F.count(F.lit(1))).scalar()
     n_features = len(feature_columns(features))
-    return table.select(
-        accuracy.scalar().alias("accuracy"), "n_rows", "n_subjects", F.lit(n_features).cast("long").alias("n_features")
-    ).select(
-        "accuracy", ((F.col("accuracy") - chance) * 100.0).alias("gain_points"), "n_rows", "n_subjects", "n_features"
+    return scored.select(
+        "accuracy", ((F.col("accuracy") - chance) * 100.0).alias("gain_points"), n_rows.alias("n_rows"), "n_subjects",
+        F.lit(n_features).cast("long").alias("n_features"),
     )
 
 

@@ -10,15 +10,16 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from epochloom.constants import CLASSES, LOG_FLOOR, SEED
 from epochloom.functions.columns import agrees, decoded, scoring_defaults
 from epochloom.operators.features import balanced_weights
 from epochloom.operators.metrics import weighted_metrics
 from epochloom.operators.ordering import number_rows
-from epochloom.shared import path_exists
+from epochloom.shared import materialise, path_exists
 
 FOLD = "_fold"
 
@@ -43,6 +44,19 @@ def forest_pipeline(
     return Pipeline(stages=[_indexer(label), assembler, forest])
 
 
+def _complete(df: DataFrame, needed: Sequence[str]) -> tuple[DataFrame, Observation]:
+    """Rows that can be learned from, and a count of the ``rows`` seen and those ``left_out`` when they are read."""
+    seen, whole = Observation(), F.lit(True)
+    for field in (df.schema[name] for name in needed):
+        whole = whole & F.col(f"`{field.name}`").isNotNull()
+        if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+            whole = whole & ~F.isnan(F.col(f"`{field.name}`"))
+    counted = df.withColumn("_whole", whole).observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("_whole")).alias("left_out")
+    )
+    return counted.where("_whole").drop("_whole"), seen
+
+
 def tune_forest(
     pipeline: Pipeline, train: DataFrame, trees: Sequence[int] = (50, 100),
     depths: Sequence[int] = (5, 10), folds: int = 3, seed: int = SEED,
@@ -50,28 +64,30 @@ def tune_forest(
 ) -> CrossValidatorModel:
     """Grid search on accuracy; a subject's epochs stay in one fold. The best model is refitted.
 
-    The training rows are kept in executor storage for the ``folds * grid`` fits.
+    Label index and feature vector are fitted and stored once, with the fold as a column; the ``folds * grid``
+    fits are of the forest alone. The best model is the whole pipeline again. Rows with a NULL or NaN feature or
+    without a label are not learned from; ``left_out`` of the result says how many.
     """
-    forest = pipeline.getStages()[-1]
-    grid = ParamGridBuilder().addGrid(forest.numTrees, list(trees)).addGrid(forest.maxDepth, list(depths))
-    inputs = pipeline.getStages()[1].getInputCols()
-    usable = train.dropna(subset=[*inputs, pipeline.getStages()[0].getInputCol()])
+    *prepare, forest = pipeline.getStages()
+    usable, seen = _complete(train, [*prepare[1].getInputCols(), prepare[0].getInputCol()])
     # subjects in a fixed random order take the folds in turn, so no fold is empty
     numbered = number_rows(
         usable.select(F.col(subject).alias("_subject")).distinct().withColumn("_turn", F.xxhash64("_subject")),
         ["_turn", "_subject"], (), "_no",
     ).select("_subject", (F.col("_no") % folds).cast("int").alias(FOLD))
-    folded = usable.join(numbered, usable[subject].eqNullSafe(F.col("_subject"))).drop("_subject")
+    fitted = Pipeline(stages=prepare).fit(usable)
+    folded = usable.join(numbered, usable[subject].eqNullSafe(F.col("_subject")))
+    vectors = materialise(fitted.transform(folded).select("label", "features", forest.getWeightCol(), FOLD), "training-vectors")
+    grid = ParamGridBuilder().addGrid(forest.numTrees, list(trees)).addGrid(forest.maxDepth, list(depths))
     search = CrossValidator(
-        estimator=pipeline, estimatorParamMaps=grid.build(), numFolds=folds, foldCol=FOLD, seed=seed,
+        estimator=forest, estimatorParamMaps=grid.build(), numFolds=folds, foldCol=FOLD, seed=seed,
         evaluator=MulticlassClassificationEvaluator(metricName="accuracy"),
         parallelism=parallelism, collectSubModels=False,
     )
-    kept = folded.persist()
-    try:
-        return search.fit(kept)
-    finally:
-        kept.unpersist()
+    model = search.fit(vectors)
+    model.bestModel = PipelineModel([*fitted.stages, model.bestModel])
+    model.left_out = seen.get["left_out"]
+    return model
 
 
 def grid_scores(spark: SparkSession, model: CrossValidatorModel) -> DataFrame:
@@ -110,8 +126,11 @@ def live_pipeline(
 def fit_live(
     train: DataFrame, features: Sequence[str], label: str = "task_label", **forest
 ) -> PipelineModel:
-    usable = train.dropna(subset=[label, *features])  # NULL and NaN features cannot be learned from
-    return live_pipeline(features, label, **forest).fit(balanced_weights(usable, label))
+    """Rows with a NULL or NaN feature or without a label cannot be learned from; ``left_out`` says how many."""
+    usable, seen = _complete(train, [label, *features])
+    model = live_pipeline(features, label, **forest).fit(balanced_weights(usable, label))
+    model.left_out = seen.get["left_out"]
+    return model
 
 
 def load_or_fit(spark: SparkSession, path: str, fit) -> PipelineModel:

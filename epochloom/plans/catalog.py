@@ -331,8 +331,10 @@ def score_flags(spark, sf):
 
 
 def kpi_summary(spark, sf):
-    features = C.lateralization(line_features(spark, sf))
-    return rounded(ME.kpi_summary(line_predictions(spark, sf), features, "task_label", "pred_label"))
+    """Predictions of the held-out subjects next to the feature table of all."""
+    features, predictions = C.lateralization(line_features(spark, sf)), line_predictions(spark, sf)
+    held_out = SL.rows_of(predictions, SL.subject_split(predictions), False)
+    return rounded(ME.kpi_summary(held_out, features, "task_label", "pred_label"))
 
 
 def prediction_columns(spark, sf):
@@ -648,7 +650,7 @@ def _tuned(spark, sf):
     features = materialise(line_normalised(spark, sf), "normalised")
     training, test = SL.train_test(features)
     names = C.feature_columns(features)
-    model = MO.tune_forest(MO.forest_pipeline(names), training, [5, 10], [3, 5], folds=3)
+    model = MO.tune_forest(MO.forest_pipeline(names), training, folds=3)
     return model, test, names
 
 
@@ -674,7 +676,7 @@ def rf_metrics(spark, sf):
     """Metrics of a stored model against MLlib's evaluator on the same predictions; gaps are 0."""
     features = materialise(line_normalised(spark, sf), "normalised")
     path = shared_path(spark, "cv-model")
-    model, _ = batch.train(features, path, [5, 10], [3, 5], classes=CLASSES)
+    model, _ = batch.train(features, path, classes=CLASSES)
     metrics = batch.evaluate_stored(features, path, classes=CLASSES)[1]
     held_out = model.transform(SL.train_test(features)[1])
     gaps = [

@@ -289,10 +289,12 @@ SELECT user_id, round(sum(tp)::DOUBLE / sum(tp + fn), 6) AS accuracy,
        round(sum((tp + fn) * r) / sum(tp + fn), 6) AS recall_weighted
 FROM rates GROUP BY user_id""",
     "latest_files": "SELECT event_id, user_id FROM events WHERE user_id % 4 >= 2",
-    "kpi_summary": f"""WITH {_predictions()}, {_EPOCHS}, a AS (
-  SELECT avg((task_label = pred_label)::INT) AS accuracy FROM predictions),
-e AS (SELECT DISTINCT subject_id, run_id, epoch_id FROM epochs),
-t AS (SELECT count(*) AS n_rows, count(DISTINCT subject_id) AS n_subjects FROM e)
+    "kpi_summary": f"""WITH {_predictions()}, {_EPOCHS}, subjects AS (SELECT DISTINCT subject_id FROM predictions), placed AS (
+  SELECT subject_id, row_number() OVER (ORDER BY subject_id) - 1 < floor(count(*) OVER () * {TRAIN_RATIO}) AS is_train FROM subjects),
+a AS (
+  SELECT avg((task_label = pred_label)::INT) AS accuracy, count(DISTINCT subject_id) AS n_subjects FROM predictions
+  WHERE subject_id IN (SELECT subject_id FROM placed WHERE NOT is_train)),
+t AS (SELECT count(*) AS n_rows FROM (SELECT DISTINCT subject_id, run_id, epoch_id FROM epochs))
 SELECT round(accuracy, 6) AS accuracy, round((accuracy - 0.333) * 100, 6) AS gain_points, n_rows, n_subjects,
        {(len(_CHANNELS) + 1) * len(BANDS)}::BIGINT AS n_features FROM a, t""",
     "prediction_columns": f"WITH {_predictions()} SELECT subject_id, task_label, prediction FROM predictions",
@@ -448,7 +450,7 @@ SELECT subject_id, run_id, epoch_id, task_label AS true_label, true AS same_labe
 SELECT 0.0::DOUBLE AS accuracy_gap, 0.0::DOUBLE AS f1_gap, 0.0::DOUBLE AS precision_weighted_gap,
        0.0::DOUBLE AS recall_weighted_gap, true AS in_range""",
     "cv_grid": """
-SELECT t.n AS num_trees, d.n AS max_depth, true AS in_range FROM (VALUES (5), (10)) AS t(n), (VALUES (3), (5)) AS d(n)""",
+SELECT t.n AS num_trees, d.n AS max_depth, true AS in_range FROM (VALUES (50), (100)) AS t(n), (VALUES (5), (10)) AS d(n)""",
     "feature_importance": f"""
 SELECT c || '_' || b AS feature, true AS in_range, true AS shares, true AS tiered
 FROM (VALUES ('C3'), ('Cz'), ('C4'), ('diff')) AS c(c), (VALUES {", ".join(f"('{b}')" for b in BANDS)}) AS b(b)""",

@@ -24,6 +24,7 @@ from epochloom.sources.manifests import CONVERTED, FAILED, SKIPPED, TRUNCATED
 from epochloom.sources.runs import append_runs, run_record
 from epochloom.streaming import live
 
+#: Recordings that the live model learns from unless told otherwise.
 LIVE_TRAINING_RECORDINGS = 60
 
 
@@ -71,7 +72,7 @@ def train(
         ])
         params = {
             "num_trees_grid": F.lit(json.dumps(list(trees))), "max_depth_grid": F.lit(json.dumps(list(depths))),
-            "cv_folds": F.lit(folds), "n_features": F.lit(len(names)),
+            "cv_folds": F.lit(folds), "n_features": F.lit(len(names)), "rows_left_out": F.lit(model.left_out),
             "train_subjects": subjects.select("train_subjects").scalar(),
             "test_subjects": subjects.select("test_subjects").scalar(),
         }
@@ -122,7 +123,10 @@ def first_recordings(samples: DataFrame, count: int) -> DataFrame:
 
 
 def live_training(samples: DataFrame, recordings: int = LIVE_TRAINING_RECORDINGS) -> DataFrame:
-    """Features of the live model: counted epochs, majority label, no per-subject scaling."""
+    """Features of the live model: counted epochs, majority label, no per-subject scaling.
+
+    ``recordings`` bounds the training set: the first so many by subject and run.
+    """
     chosen = first_recordings(samples.select(*RECORDING, "time", "task_label", *MOTOR_CHANNELS), recordings)
     cut = epochs_by_count(chosen, ["time"], RECORDING, SAMPLES_PER_EPOCH)
     raw = epoch_features(
@@ -134,13 +138,15 @@ def live_training(samples: DataFrame, recordings: int = LIVE_TRAINING_RECORDINGS
 def stream(
     spark: SparkSession, source: str, out: str, checkpoint: str, landed: str, model_path: str,
     timeout: float = 3600, files_per_trigger: int = 1, once: bool = False, trees: int = 300, depth: int = 18,
+    training_recordings: int = LIVE_TRAINING_RECORDINGS,
 ) -> dict:
     """Score live epochs into ``predictions`` and ``topomap`` tables until ``timeout`` seconds pass.
 
-    ``once`` ends when everything that has landed is scored.
+    ``once`` ends when everything that has landed is scored. Where no model is stored yet, one is fitted to the
+    first ``training_recordings`` landed recordings.
     """
     def fit():
-        training = live_training(without_dots(landing.read_merged(spark, landed)))
+        training = live_training(without_dots(landing.read_merged(spark, landed)), training_recordings)
         return fit_live(training, feature_columns(training), trees=trees, depth=depth)
 
     model = load_or_fit(spark, model_path, fit)

@@ -83,3 +83,15 @@ def test_live_model_roundtrip(spark, features):
     b = MO.score(second, features.drop("weight")).select("epoch_id", "pred_label").orderBy("epoch_id").collect()
     assert a == b
     assert feature_columns(features) == ["good", "noise"]
+
+
+def test_rows_that_cannot_be_learned_from_are_counted(spark, features, tmp_path):
+    broken = features.withColumn("good", F.when(F.col("epoch_id") == 7, float("nan")).when(F.col("epoch_id") != 9, F.col("good")))
+    broken = broken.withColumn("task_label", F.when(F.col("epoch_id") != 11, F.col("task_label")))
+    model = MO.tune_forest(MO.forest_pipeline(["good", "noise"]), broken, [3], [2, 3], folds=3)
+    assert model.left_out == 3 and MO.fit_live(broken.drop("weight"), ["good", "noise"], trees=3, depth=2).left_out == 3
+    model.write().overwrite().save(str(tmp_path / "model"))
+    again = MO.CrossValidatorModel.load(str(tmp_path / "model"))
+    assert again.avgMetrics == model.avgMetrics and MO.model_labels(again) == ["T0", "T1", "T2"]
+    same = [m.transform(features).select("epoch_id", "prediction").collect() for m in (model, again)]
+    assert sorted(same[0]) == sorted(same[1])
