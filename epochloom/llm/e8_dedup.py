@@ -34,7 +34,12 @@ from epochloom.llm.components import components
 from epochloom.llm.grouped import runs
 from epochloom.shared import materialise
 
-TABLES, BLOCKS, PROBES, SCALE = 9, 2, 3, 3.5
+TABLES, BLOCKS, PROBES = 9, 2, 3
+#: Scale of the projections of vectors of SCALE_WIDTH components; it grows with the root of the width, so that
+#: pairs of one cosine lie equally far apart on the lattice at every width.
+SCALE, SCALE_WIDTH = 3.5, 64
+#: The least cosine for which the stated miss probability holds.
+LEAST_COSINE = 0.95
 CELL_ROWS = 2048
 SEED = 11
 
@@ -87,7 +92,7 @@ def cell_codes(unit: np.ndarray) -> np.ndarray:
     out = np.empty((len(unit), TABLES, PROBES), dtype=np.int64)
     rows = np.arange(len(unit))[:, None]
     for t, directions in enumerate(_directions(unit.shape[1])):
-        y = unit @ directions * SCALE
+        y = unit @ directions * (SCALE * np.sqrt(unit.shape[1] / SCALE_WIDTH))
         code, cost = np.zeros((len(unit), 1), dtype=np.int64), np.zeros((len(unit), 1))
         for b in range(BLOCKS):
             points, gain = _probed(y[:, 8 * b : 8 * b + 8])
@@ -190,7 +195,12 @@ def _compared(dtype: str, threshold: float) -> Callable:
 def near_vectors(
     vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", threshold: float = 0.95
 ) -> DataFrame:
-    """Per vector: vec_id, n_links, component_id, kept. Identifiers are integers."""
+    """Per vector: vec_id, n_links, component_id, kept. Identifiers are integers.
+
+    Thresholds below ``LEAST_COSINE`` are refused: the tables would miss more pairs than stated.
+    """
+    if threshold < LEAST_COSINE:
+        raise ValueError(f"thresholds below {LEAST_COSINE} need more tables")
     rows = vectors.select(column(vec_id).cast("long").alias("_id"), column(vector).alias("_vector"))
     dtype = "float32" if rows.schema["_vector"].dataType.elementType.simpleString() == "float" else "float64"
     coded = materialise(

@@ -46,6 +46,8 @@ PIVOT_ROWS = 1000
 #: Members of a bucket, and of a cluster, that are compared with one another in a task.
 BLOCK_ROWS, CLUSTER_ROWS = 2048, 512
 HOPEFUL = 0.63
+#: The least similarity for which the bands and HOPEFUL are made.
+LEAST_PERCENT = 80
 _UNSET = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -305,7 +307,10 @@ def near_documents(
     """Per document: doc_id, n_shingles, component_id, kept, row_key. Identifiers are integers.
 
     Linked are documents whose sets of ``words_each``-word shingles share ``percent`` per cent of their union.
+    Less than ``LEAST_PERCENT`` is refused: the bands would miss more pairs than stated.
     """
+    if percent < LEAST_PERCENT:
+        raise ValueError(f"less than {LEAST_PERCENT} per cent needs more bands")
     bounded_batches(docs.sparkSession)
     rows = docs.select(column(doc_id).cast("long").alias("_id"), column(text).alias("_text"))
     named = rows.withColumn("_row", row_key(F.col("_id"), F.col("_text")))

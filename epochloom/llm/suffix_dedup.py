@@ -45,6 +45,8 @@ REACH = WINDOW - GRAM
 HOT_ROWS = 50_000
 #: Suffixes in a run, and about as many as a merging task takes.
 RUN_ROWS, RANGE_ROWS = 1 << 14, 16_000
+#: Bytes of text in a bucket, and anchors in a range, for which their numbers are chosen.
+BUCKET_BYTES, RANGE_ANCHORS = 16 << 20, 250_000
 _PLACE = np.uint64((1 << 28) - 1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = np.random.default_rng(5).integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -401,7 +403,9 @@ def _spans(docs: DataFrame, doc_id: str, text: str, name: str, folder: str) -> t
     long = texts.where(F.col("n_bytes") >= WINDOW).select(
         F.xxhash64("_rep", "digest").alias("_k"), F.col("digest").alias("_digest"), F.col("copies").alias("_copies")
     )
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = texts.where(F.col("n_bytes") >= WINDOW).agg(F.sum("n_bytes").alias("n")).first().n or 0
+    buckets = max(least, -(-size // BUCKET_BYTES))
     found = rows.where(F.octet_length("_text") >= WINDOW).withColumn("_k", F.xxhash64("doc_id", "digest")).join(long, "_k")
     one = found.where("digest = _digest").dropDuplicates(["_k"]).select("_k", "_digest", "_copies", "_text")
     (
@@ -413,7 +417,7 @@ def _spans(docs: DataFrame, doc_id: str, text: str, name: str, folder: str) -> t
     marked = materialise(stored.select("_k", "_text", "_copies").mapInArrow(_anchored, _MARKS.format("byte")), "anchors")
     order = ("h", "context", "_k")
     ranged = materialise(
-        marked.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
+        marked.repartitionByRange(max(least, -(-marked.count() // RANGE_ANCHORS)), *order).sortWithinPartitions(*order).mapInArrow(
             _classed, _MARKS.format("long") + ", several boolean, leader boolean, edge boolean, rim boolean, part int"
         ),
         "repeated-anchors",

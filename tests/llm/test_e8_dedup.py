@@ -55,6 +55,25 @@ def test_links_and_components_match_brute_force(spark, monkeypatch, cell_rows):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
 
 
+@pytest.mark.parametrize("dims", [16, 24, 32, 128, 300])
+def test_recall_at_other_widths(dims):
+    """Pairs of cosine 0.95 meet in some cell about as often as at 64 components."""
+    rng = np.random.default_rng(dims)
+    a = rng.normal(size=(4000, dims))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = rng.normal(size=a.shape)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b = 0.95 * a + np.sqrt(1 - 0.95**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    x, y = e8_dedup.cell_codes(a), e8_dedup.cell_codes(b)
+    per_table = (x[:, :, :, None] == y[:, :, None, :]).any(axis=(2, 3))
+    assert per_table.mean() > 0.6 and per_table.any(axis=1).mean() > 0.999
+
+
+def test_lower_thresholds_are_refused(spark):
+    with pytest.raises(ValueError, match="more tables"):
+        near_vectors(spark.createDataFrame([], SCHEMA), threshold=0.9)
+
+
 def test_unusable_vectors_link_with_nothing(spark):
     one = [1.0] * 64
     rows = [

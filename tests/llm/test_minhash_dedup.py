@@ -109,3 +109,8 @@ def test_estimates_are_close():
 def test_sets_of_sliced_arrays():
     found, counts = shingle_sets(pa.array(["x", "a b c", None, " a  B c d "]).slice(1), 3)
     assert counts.tolist() == [1, 0, 2] and found[0] in found[1:].tolist()
+
+
+def test_lower_similarities_are_refused(spark):
+    with pytest.raises(ValueError, match="more bands"):
+        near_documents(spark.createDataFrame([], "doc_id long, text string"), percent=60)
