@@ -388,12 +388,14 @@ def loop_replay(spark, sf):
 
 
 def latest_files(spark, sf):
-    """Rows of the two files written last, of four that hold a quarter of the users each."""
-    path = shared_path(spark, "newest")
+    """Rows of the files that the last two of four appends wrote, each of a quarter of the users."""
+    path, before = shared_path(spark, "newest"), 0
     events = table(spark, sf, "events").select("event_id", "user_id")
     for quarter in range(4):
-        events.where(F.col("user_id") % 4 == quarter).coalesce(1).write.mode("append").parquet(path)
-    return landing.latest_files(spark, path, 2)
+        if quarter == 2:
+            before = landing.landed_files(spark, path).count()
+        events.where(F.col("user_id") % 4 == quarter).repartition("user_id").write.mode("append").parquet(path)
+    return landing.latest_files(spark, path, landing.landed_files(spark, path).count() - before)
 
 
 def latest_batches(spark, sf):
@@ -714,7 +716,10 @@ def live_rf(spark, sf):
 
 
 def separable_labels(spark, sf):
-    """A live model of quantities that one threshold separates tells them apart without error."""
+    """A live model of quantities that one threshold separates tells them apart without error.
+
+    Lines with a quantity from 21 to 30 are left out: they are the gap that separates the two labels.
+    """
     lines = table(spark, sf, "lineitem").where("l_quantity <= 20 OR l_quantity >= 31").select(
         *LINE_KEYS, F.col("l_quantity").cast("double").alias("quantity"), F.col("l_tax").cast("double").alias("tax"),
         F.when(F.col("l_quantity") <= 20, "A").otherwise("N").alias("task_label"),
@@ -783,22 +788,23 @@ def stream_dedup(spark, sf):
 
 
 def _landed_epochs(spark, sf) -> str:
-    """Epochs in the layout of a live input folder, with whole epochs per file."""
+    """Epochs in the layout of a live input folder, with whole epochs per file; as many files as Spark has partitions."""
     start = F.lit("2026-01-01 00:00:00").cast("timestamp")
     rows = live.live_epochs(line_samples(spark, sf), CHANNELS, start, LINE_ORDER, FS, clock_hz=FS)
     path = shared_path(spark, "live-input")
-    live.replay(rows, CHANNELS, path, files=4)
+    live.replay(rows, CHANNELS, path)
     return path
 
 
-def _sample_stream(spark, path: str) -> tuple[DataFrame, list[str]]:
-    channels = C.landed_channels(spark, path)
-    stream = live.sample_stream(spark, path, C.live_schema(channels), files_per_trigger=1)
-    return stream, channels
+def _sample_stream(spark, path: str, triggers: int = 4) -> tuple[DataFrame, list[str], int]:
+    """The stream of a live input in up to ``triggers`` micro-batches, its channels, and how many these are."""
+    channels, files = C.landed_channels(spark, path), landing.landed_files(spark, path).count()
+    each = max(1, -(-files // triggers))
+    return live.sample_stream(spark, path, C.live_schema(channels), each), channels, -(-files // each)
 
 
 def replay_epochs(spark, sf):
-    stream, _ = _sample_stream(spark, _landed_epochs(spark, sf))
+    stream, _, _ = _sample_stream(spark, _landed_epochs(spark, sf))
     landed = _stored(spark, stream, "replayed")
     return _epoch_totals(landed.withColumn("subject_id", F.col("subject_id").cast("long")))
 
@@ -813,7 +819,8 @@ def rule_scorer(wide: DataFrame) -> DataFrame:
 
 
 def _score_sink(spark, source: str, path: str, model=None, scorer=None):
-    stream, channels = _sample_stream(spark, source)
+    """The dual sink over a live input, and the number of its micro-batches."""
+    stream, channels, batches = _sample_stream(spark, source)
 
     def process(samples: DataFrame) -> DataFrame:
         return live.scored_epochs(
@@ -821,20 +828,21 @@ def _score_sink(spark, source: str, path: str, model=None, scorer=None):
         )
 
     outputs = {"predictions": live.predictions_of, "topomap": live.topomap_of}
-    return live.batch_sink(live.observed(stream), process, outputs, path, shared_path(spark, "live-checkpoint"))
+    writer = live.batch_sink(live.observed(stream), process, outputs, path, shared_path(spark, "live-checkpoint"))
+    return writer, batches
 
 
 def _score_stream(spark, sf, model=None, scorer=None) -> str:
     path = shared_path(spark, "live-output")
-    live.run_available(_score_sink(spark, _landed_epochs(spark, sf), path, model, scorer))
+    live.run_available(_score_sink(spark, _landed_epochs(spark, sf), path, model, scorer)[0])
     return path
 
 
 def live_run_statistics(spark, sf):
     """Counts of a bounded run with a processing-time trigger, next to what its sink holds."""
-    source, path = _landed_epochs(spark, sf), shared_path(spark, "live-output")
-    files = len(spark.read.parquet(source).inputFiles())  # one a trigger
-    stats = live.run_live(_score_sink(spark, source, path, scorer=rule_scorer), 600, "live-statistics", until=files)
+    path = shared_path(spark, "live-output")
+    writer, batches = _score_sink(spark, _landed_epochs(spark, sf), path, scorer=rule_scorer)
+    stats = live.run_live(writer, 600, "live-statistics", until=batches)
     written = live.committed(spark, path, "predictions").agg(F.count(F.lit(1)).alias("predictions"))
     timed = F.lit(stats["milliseconds_per_epoch"] > 0) & F.lit(stats["milliseconds_per_trigger"] > 0)
     return written.select(
