@@ -11,10 +11,12 @@ their own, so none can clash with the names used here.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from epochloom.functions.columns import column
 
@@ -22,6 +24,8 @@ BLOCK_ROWS = 100_000
 #: Ranges are as many as the session's shuffle partitions, up to this; the sample has ``SAMPLED`` rows for each.
 MOST_RANGES = 4096
 SAMPLED = 32
+#: So many bounds are compared one after another in generated code; more are searched.
+FEW_BOUNDS = 32
 
 
 class _Sort:
@@ -68,15 +72,21 @@ class Ranges:
             *[s.sorted(F.col(f"at.o{i}")) for i, s in enumerate(self.sorts)]
         )
         sample = [r.at for r in drawn.select(F.to_json("at").alias("at")).collect()]  # SAMPLED rows for each range
-        if sample:
-            self._kinds = values.schema["at"].dataType.simpleString()
-            self._picked, self.count = [sample[len(sample) * i // ranges] for i in range(1, ranges)], ranges
+        if not sample:
+            return
+        picked, names = [json.loads(sample[len(sample) * i // ranges]) for i in range(1, ranges)], values.schema["at"].dataType.names
+        # as few order columns as tell the bounds apart
+        tuples = [tuple(str(bound.get(name)) for name in names) for bound in picked]
+        self._width = next(w for w in range(1, len(names) + 1) if len({t[:w] for t in tuples}) == len(set(tuples)))
+        kept = T.StructType(values.schema["at"].dataType.fields[: self._width])
+        self._kinds, self.count = kept.simpleString(), ranges
+        self._picked = [json.dumps({n: bound[n] for n in kept.names if n in bound}) for bound in picked]
 
     def place(self, values: Sequence[Column] | None = None) -> Column:
         """The range of a row: how many bounds its order values, or ``values`` in their place, have reached."""
         if not self._picked:
             return F.lit(0)
-        mine = [s.value for s in self.sorts] if values is None else values
+        mine = ([s.value for s in self.sorts] if values is None else values)[: self._width]
         bounds = F.from_json(F.lit("[" + ",".join(self._picked) + "]"), f"array<{self._kinds}>")
 
         def reached(bound: Column) -> Column:
@@ -86,6 +96,8 @@ class Ranges:
                 result = F.when(edge.eqNullSafe(value), result).otherwise(s.before(edge, value))
             return result
 
+        if len(self._picked) <= FEW_BOUNDS:
+            return sum((reached(F.get(bounds, F.lit(i))).cast("int") for i in range(len(self._picked))), F.lit(0))
         return _reached(bounds, len(self._picked), reached)
 
 

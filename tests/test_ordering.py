@@ -106,7 +106,10 @@ def test_number_rows_follows_any_order(frame, sorts):
 
 
 @pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "decimal(12,3)", "double", "string", "binary"])
-def test_order_columns_of_any_type(spark, kind):
+@pytest.mark.parametrize("few", [0, 32])
+def test_order_columns_of_any_type(spark, monkeypatch, kind, few):
+    """Bounds that are searched, and bounds that are compared one after another."""
+    monkeypatch.setattr(OR, "FEW_BOUNDS", few)
     raw = spark.range(700).select(((F.col("id") * 7919) % 701).alias("n"))
     value = {
         "timestamp": F.timestamp_micros(F.col("n") * 777_777_777), "date": F.date_add(F.lit("2020-01-01"), F.col("n").cast("int")),
@@ -118,6 +121,15 @@ def test_order_columns_of_any_type(spark, kind):
     assert got == [r.n for r in df.orderBy("o").collect()]
 
 
+def test_bounds_that_only_a_later_column_tells_apart(spark):
+    """The first order columns are the same in every row."""
+    df = spark.range(4000).select(F.lit(1).alias("a"), F.lit(None).cast("string").alias("b"), "id")
+    ranges = OR.Ranges(df, ["a", "b", "id"])
+    sizes = [r["count"] for r in df.groupBy(ranges.place().alias("p")).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1000
+    assert [r.no for r in OR.number_rows(df, ["a", "b", "id"], (), "no").orderBy("id").collect()] == list(range(4000))
+
+
 INTERNAL = (
     "_at _part _pos _first _before _total _rpart _inside _carried _own _block _no _rows _r0 key part at o0 o1 c0 c1 "
     "n no before total filled last carried mean block row_no r r_ rkey rpart rc0 rc3 ro0 C2"
