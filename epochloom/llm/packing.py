@@ -30,6 +30,8 @@ from epochloom.llm.word_tokens import encoder, slices
 from epochloom.shared import materialise
 
 CAPACITY = 4096
+#: Bytes of text that are encoded at a time.
+SLICE_BYTES = 1 << 20
 
 
 def best_fit(counts: Mapping[int, int], capacity: int = CAPACITY) -> tuple[np.ndarray, int]:
@@ -80,7 +82,7 @@ def _pieces(vocabulary: str, end_id: int | None, capacity: int) -> Callable:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:
-            for piece in slices(batch, "_text"):
+            for piece in slices(batch, "_text", SLICE_BYTES):
                 ids, counts = encoder(vocabulary).encode(piece.column("_text"), end_id)
                 parts = -(-counts // capacity)
                 owner = np.repeat(np.arange(len(counts)), parts)
