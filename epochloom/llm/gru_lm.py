@@ -49,11 +49,15 @@ CHUNK_BYTES = 8 << 20
 FREQUENT, BANDS = 64, 32
 CLASSES = FREQUENT + BANDS
 HIDDEN, STEPS, STREAMS, ROUNDS = 16, 16, 256, 3
+#: Streams and tokens of a window in scoring, which do not change a score.
+SCORED_STREAMS, SCORED_TOKENS = 1024, 8192
 #: Parts of a count band: words of one part have equal counts, or counts within an eighth of the band.
 PARTS = 8
 #: Rows of input weights for words and of output weights for the nodes of the trees.
 WORD_ROWS, NODE_ROWS = 1024, 4096
 BLOCK = 4096
+#: Log-odds whose probability is one in single precision.
+CERTAIN = 1e4
 RATE = 0.01
 _END = np.uint64(0)
 
@@ -66,6 +70,16 @@ def _word_hashes(words: pa.Array) -> np.ndarray:
     return np.where(found == _END, np.uint64(1), found)
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers as planes of their first bytes, second bytes and so on; the planes of zeros compress well."""
+    return np.ascontiguousarray(numbers.view(np.uint8).reshape(len(numbers), numbers.itemsize).T).tobytes()
+
+
+def _unpacked(planes: bytes, kind: type = np.int32) -> np.ndarray:
+    planes = np.frombuffer(planes, dtype=np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
 def _chunks(bits: int) -> Callable:
     """A row for each chunk, and one for each (chunk, hash bucket)."""
 
@@ -78,30 +92,38 @@ def _chunks(bits: int) -> Callable:
                 named = lists.values.slice(int(edges[0]), int(edges[-1] - edges[0])).dictionary_encode()
                 edges -= edges[0]
                 hashes = np.where(pc.binary_length(named.dictionary).to_numpy() > 0, _word_hashes(named.dictionary), _END)
-                flat = hashes[named.indices.to_numpy()] if len(named) else np.zeros(0, np.uint64)
-                real = flat != _END
+                # equal hashes are one word; the end is a word of its own; the most frequent word has code 0
+                listed, place = np.unique(np.append(hashes, _END), return_inverse=True)
+                flat = place[named.indices.to_numpy()] if len(named) else np.zeros(0, np.int64)
+                real = flat != place[-1]
                 ends = np.concatenate([[0], np.cumsum(real)])[edges[1:]]
-                flat = np.insert(flat[real], ends, _END)
+                flat = np.insert(flat[real], ends, place[-1])
                 lengths = np.diff(ends, prepend=0) + 1
                 held = piece.column("_held").to_numpy(zero_copy_only=False).astype(bool)
-                listed, codes = np.unique(flat, return_inverse=True)
+                order = np.argsort(-np.bincount(flat, minlength=len(listed)), kind="stable")
+                number = np.empty(len(order), dtype=np.int32)
+                number[order] = np.arange(len(order))
+                codes, listed = number[flat], listed[order]
                 learned = np.bincount(codes, weights=np.repeat(~held, lengths), minlength=len(listed)).astype(np.int32)
-                bucket = (listed >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(listed), np.int64)
-                cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(listed)]
+                bucket = (listed >> np.uint64(64 - bits)).astype(np.int32) if bits else np.zeros(len(listed), np.int32)
+                together = np.argsort(bucket, kind="stable")
+                listed, learned, sorted_ = listed[together], learned[together], bucket[together].astype(np.int64)
+                cuts = [0, *(np.flatnonzero(np.diff(sorted_)) + 1).tolist(), len(listed)]
                 n = len(cuts) - 1
                 ids = piece.column("_id")
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([chunk] * (n + 1), pa.int64()),
-                        pa.array([-1, *bucket[cuts[:-1]].tolist()], pa.int64()),
+                        pa.array([-1, *sorted_[cuts[:-1]].tolist()], pa.int64()),
                         pa.array([None, *[listed[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]], pa.binary()),
-                        pa.array([None, *[learned[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]], pa.binary()),
+                        pa.array([None, *[_packed(learned[a:b]) for a, b in zip(cuts, cuts[1:])]], pa.binary()),
                         pa.ListArray.from_arrays([0, len(ids)] + [len(ids)] * n, ids),
                         pa.array([held.tobytes(), *[None] * n], pa.binary()),
                         pa.array([lengths.astype(np.int64).tobytes(), *[None] * n], pa.binary()),
-                        pa.array([codes.astype(np.int32).tobytes(), *[None] * n], pa.binary()),
+                        pa.array([_packed(codes), *[None] * n], pa.binary()),
+                        pa.array([_packed(bucket), *[None] * n], pa.binary()),
                     ],
-                    names=["chunk", "bucket", "hashes", "learned", "ids", "held", "lengths", "codes"],
+                    names=["chunk", "bucket", "hashes", "learned", "ids", "held", "lengths", "codes", "buckets"],
                 )
                 chunk += 1
 
@@ -132,7 +154,7 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of each bucket's words, back to the chunks; and the bucket's sums in a row of chunk -1."""
     for group in runs(batches, ("bucket",)):
         hashes = [np.frombuffer(h, dtype=np.uint64) for h in group.column("hashes").to_pylist()]
-        learned = np.concatenate([np.frombuffer(c, dtype=np.int32) for c in group.column("learned").to_pylist()])
+        learned = np.concatenate([_unpacked(c) for c in group.column("learned").to_pylist()])
         listed, place = np.unique(np.concatenate(hashes), return_inverse=True)
         counts = np.bincount(place, weights=learned, minlength=len(listed)).astype(np.int64)
         parts = np.split(counts[place], np.cumsum([len(h) for h in hashes])[:-1])
@@ -148,13 +170,13 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [
                 pa.array([*group.column("chunk").to_pylist(), -1], pa.int64()),
                 pa.array([group.column("bucket")[0].as_py()] * (n + 1), pa.int64()),
-                pa.array([*[p.tobytes() for p in parts], None], pa.binary()),
+                pa.array([*[_packed(p) for p in parts], None], pa.binary()),
                 pa.array([None] * n + [np.bincount(band, weights=counts[known], minlength=BANDS).astype(np.int64).tolist()], pa.list_(pa.int64())),
                 pa.array([None] * n + [np.bincount(band, minlength=BANDS).tolist()], pa.list_(pa.int64())),
                 pa.array([None] * n + [listed[top].view(np.int64).tolist()], pa.list_(pa.int64())),
                 pa.array([None] * n + [counts[top].tolist()], pa.list_(pa.int64())),
                 pa.array([None] * n + [ranks[top].tolist()], pa.list_(pa.int64())),
-                pa.array([*[p.tobytes() for p in placed], None], pa.binary()),
+                pa.array([*[_packed(p) for p in placed], None], pa.binary()),
                 pa.array([None] * n + [np.bincount(part, weights=counts[known], minlength=BANDS * PARTS).astype(np.int64).tobytes()], pa.binary()),
                 pa.array([None] * n + [np.bincount(part, minlength=BANDS * PARTS).astype(np.int64).tobytes()], pa.binary()),
             ],
@@ -195,9 +217,8 @@ class Vocabulary:
 
 @dataclass(frozen=True)
 class Decisions:
-    """Branches on the way to each word of a chunk: those of word i are at start[i] and size[i] after it."""
+    """Branches on the way to each word of a chunk, a row for each word, filled up with branches that are certain."""
 
-    start: np.ndarray
     size: np.ndarray
     row: np.ndarray
     right: np.ndarray
@@ -205,10 +226,10 @@ class Decisions:
 
     def of(self, words: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, ...]:
         """Token, row, side and prior of every branch of a window's tokens, token by token."""
-        size = np.where(real, self.size[words], 0)
-        token = np.repeat(np.arange(len(words)), size)
-        at = np.repeat(self.start[words] - (np.cumsum(size) - size), size) + np.arange(len(token))
-        return token, self.row[at], self.right[at], self.prior[at]
+        token = np.flatnonzero(real & (self.size.take(words) > 0))
+        chosen = words.take(token)
+        found = (of_word.take(chosen, axis=0).ravel() for of_word in (self.row, self.right, self.prior))
+        return np.repeat(token, self.row.shape[1]), *found
 
 
 @dataclass(frozen=True)
@@ -233,17 +254,20 @@ class Trees:
         depth = np.array([max(0, int(n) - 1).bit_length() for n in self.words])[part]
         deep = int(depth[size > 0].max()) if (size > 0).any() else 0
         wide = 1 + (PARTS - 1).bit_length() + deep
-        valid = np.zeros((len(part), wide), dtype=bool)
-        right, row, prior = valid.copy(), np.zeros(valid.shape, np.int16), np.zeros(valid.shape, np.float32)
+        size_of = np.zeros(len(part), dtype=np.int32)
+        right, row = np.ones((wide, len(part)), dtype=bool), np.zeros((wide, len(part)), dtype=np.int16)
+        prior = np.full((wide, len(part)), CERTAIN, dtype=np.float32)
         band, piece = part // PARTS, part % PARTS
 
         def put(at, able, side, low, high, tree, prefix):
-            valid[:, at] = able & (low > 0) & (high > 0)
-            right[:, at] = side
-            prior[:, at] = np.log(np.maximum(high, 1e-9) / np.maximum(low, 1e-9))
-            key = ((tree.astype(np.uint64) * np.uint64(64) + np.uint64(at)) << np.uint64(36)) + prefix.astype(np.uint64)
-            key = (key ^ (key >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-            row[:, at] = (key >> np.uint64(52)).astype(np.int64) % NODE_ROWS
+            valid = able & (low > 0) & (high > 0)
+            low, high = (np.where(valid, x, 1).astype(np.float32) for x in (low, high))
+            key = ((tree * 64 + at) << 36) + prefix
+            key = (key ^ (key >> 31)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            row[at] = (key >> np.uint64(52)).astype(np.uint16) % NODE_ROWS
+            right[at] = ~valid | (side != 0)
+            np.copyto(prior[at], np.log(high / low), where=valid)
+            np.add(size_of, valid, out=size_of)
 
         ones = np.ones(len(part))
         put(0, ~own & (band == 0), seen, ones * (1 - self.once_share), ones * self.once_share, band, band * 0)
@@ -259,8 +283,7 @@ class Trees:
             prefix = place >> (shift + 1)
             low, mid, high = (np.minimum((2 * prefix + i) << shift, size) for i in range(3))
             put(wide - deep + level, able, (place >> shift) & 1, mid - low, high - mid, BANDS + part, prefix)
-        count = valid.sum(axis=1)
-        return Decisions(np.cumsum(count) - count, count, row[valid].astype(np.int32), right[valid], prior[valid])
+        return Decisions(size_of, *(np.ascontiguousarray(x.T) for x in (row, right, prior)))
 
 
 def _trees(summed: DataFrame, vocabulary: Vocabulary, bits: int) -> Trees:
@@ -315,42 +338,48 @@ def _vocabulary(summed: DataFrame) -> Vocabulary:
 
 
 def _classed(vocabulary: Vocabulary, trees: Trees) -> Callable:
+    """A row for each chunk, from its own row, its lists of words and their counts, which lie together."""
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         floor = np.log10(vocabulary.tokens + 0.5 * (vocabulary.words + 1))
-        for batch in batches:
-            for row in range(batch.num_rows):
-                cell = {n: batch.column(n)[row] for n in batch.schema.names}
-                parts = sorted((p["bucket"], p["counts"], p["hashes"], p["ranks"]) for p in cell["parts"].as_py())
-                counts = np.concatenate([np.frombuffer(p[1], dtype=np.int64) for p in parts])
-                hashes = np.concatenate([np.frombuffer(p[2], dtype=np.uint64) for p in parts])
-                ranks = np.concatenate([np.frombuffer(p[3], dtype=np.int32) for p in parts]).astype(np.int64)
-                bucket = np.repeat([p[0] for p in parts], [len(p[2]) // 8 for p in parts])
-                kind, _ = vocabulary.classes(hashes, counts)
-                part = np.where(kind < BANDS, _part(counts), 0)
-                inside = (kind < BANDS) & (counts > 0)
-                place = np.zeros(len(part), dtype=np.int64)
-                place[inside] = trees.places(bucket[inside], part[inside], ranks[inside])
-                codes = np.frombuffer(cell["codes"].as_py(), dtype=np.int32)
-                lengths = np.frombuffer(cell["lengths"].as_py(), dtype=np.int64)
-                starts = np.cumsum(lengths) - lengths
-                base = np.log10(counts + 0.5) - floor
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([cell["chunk"].as_py()]), batch.column("ids").slice(row, 1), batch.column("held").slice(row, 1),
-                        batch.column("lengths").slice(row, 1), batch.column("codes").slice(row, 1),
-                        *[
-                            pa.array([values.tobytes()], pa.binary())
-                            for values in (
-                                kind.astype(np.uint8), counts > 0, part.astype(np.int16), place, _rows_of_words(hashes, inside),
-                            )
-                        ],
-                        *[
-                            pa.array([np.add.reduceat(values[codes], starts).astype(np.float64).tobytes()], pa.binary())
-                            for values in (base, (counts > 0).astype(np.float64))
-                        ],
+        for group in runs(batches, ("chunk",)):
+            cell = {n: [v for v in group.column(n).to_pylist() if v is not None] for n in ("codes", "lengths", "buckets")}
+            codes, bucket = _unpacked(cell["codes"][0]), _unpacked(cell["buckets"][0])
+            lengths = np.frombuffer(cell["lengths"][0], dtype=np.int64)
+            # the lists hold the words bucket by bucket, each in the order of the codes
+            together = np.argsort(bucket, kind="stable")
+            counts, hashes, ranks = (np.empty(len(bucket), dtype=t) for t in (np.int64, np.uint64, np.int64))
+            for values, name, read_as in (
+                (counts, "counts", lambda v: _unpacked(v, np.int64)), (ranks, "ranks", _unpacked),
+                (hashes, "hashes", lambda v: np.frombuffer(v, dtype=np.uint64)),
+            ):
+                parts = sorted((b, v) for b, v in zip(group.column("bucket").to_pylist(), group.column(name).to_pylist()) if v is not None)
+                values[together] = np.concatenate([read_as(v) for _, v in parts])
+            own = group.filter(pc.less(group.column("bucket"), 0)).combine_chunks()
+            kind, _ = vocabulary.classes(hashes, counts)
+            part = np.where(kind < BANDS, _part(counts), 0)
+            inside = (kind < BANDS) & (counts > 0)
+            place = np.zeros(len(part), dtype=np.int64)
+            place[inside] = trees.places(bucket[inside], part[inside], ranks[inside])
+            starts = np.cumsum(lengths) - lengths
+            base = np.log10(counts + 0.5) - floor
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[own.column(n).combine_chunks() if isinstance(own.column(n), pa.ChunkedArray) else own.column(n) for n in ("chunk", "ids", "held", "lengths", "codes")],
+                    *[
+                        pa.array([values], pa.binary())
+                        for values in (
+                            kind.astype(np.uint8).tobytes(), (counts > 0).tobytes(), part.astype(np.int16).tobytes(), _packed(place),
+                            _rows_of_words(hashes, inside).tobytes(),
+                        )
                     ],
-                    names=["chunk", "ids", "held", "lengths", "codes", "kinds", "seen", "parts", "places", "rows", "base", "known"],
-                )
+                    *[
+                        pa.array([np.add.reduceat(values[codes], starts).astype(np.float64).tobytes()], pa.binary())
+                        for values in (base, (counts > 0).astype(np.float64))
+                    ],
+                ],
+                names=["chunk", "ids", "held", "lengths", "codes", "kinds", "seen", "parts", "places", "rows", "base", "known"],
+            )
 
     return read
 
@@ -373,63 +402,65 @@ def fresh_weights(seed: int = 1) -> dict[str, np.ndarray]:
 class Streams:
     """Documents laid one after another in parallel streams, longest stream first.
 
-    With ``words``, the chunk's word of each token, ``rows`` and ``decisions`` are those of these words.
+    Tokens lie step by step, those of a step in the order of the streams that still have some. With ``words``,
+    the chunk's word of each token, ``rows`` and ``decisions`` are those of these words.
     """
 
     def __init__(
         self, classes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, words: np.ndarray | None = None,
-        rows: np.ndarray | None = None, decisions: Decisions | None = None,
+        rows: np.ndarray | None = None, decisions: Decisions | None = None, streams: int = STREAMS,
     ):
-        n = max(1, min(STREAMS, len(lengths)))
+        n = max(1, min(streams, len(lengths)))
         load = [(0, s) for s in range(n)]
         docs: list[list[int]] = [[] for _ in range(n)]
         for d in np.argsort(-lengths, kind="stable").tolist():
             taken, s = heapq.heappop(load)
             docs[s].append(d)
             heapq.heappush(load, (taken + int(lengths[d]), s))
-        total = [int(lengths[np.array(d, dtype=np.int64)].sum()) for d in docs]
-        order = sorted(range(n), key=lambda s: -total[s])
-        self.size = np.array([total[s] for s in order])
-        steps = int(self.size.max())
-        self.target = np.zeros((steps, n), dtype=np.int16)
-        self.given = np.full((steps, n), CLASSES, dtype=np.int16)
-        self.doc = np.zeros((steps, n), dtype=np.int32)
-        self.word = None if words is None else np.zeros((steps, n), dtype=np.int32)
-        self.last = None if words is None else np.full((steps, n), -1, dtype=np.int32)
+        docs = sorted(docs, key=lambda d: -int(lengths[np.array(d, dtype=np.int64)].sum()))
+        chosen = np.array([d for some in docs for d in some], dtype=np.int64)
+        size = lengths[chosen]
+        ahead = np.cumsum(size) - size
+        held = np.array([len(d) for d in docs])
+        self.size = np.bincount(np.repeat(np.arange(n), held), weights=size, minlength=n).astype(np.int64)
+        self.live = n - np.cumsum(np.bincount(self.size))[:-1]
+        self.first = np.cumsum(self.live) - self.live
+        total = int(size.sum())
+        step = np.arange(total) - np.repeat(np.cumsum(self.size) - self.size, self.size)
+        place = self.first[step] + np.repeat(np.arange(n), self.size)
+        at, self.doc, begins = np.empty(total, dtype=np.int64), np.empty(total, dtype=np.int32), np.zeros(total, dtype=bool)
+        at[place] = np.repeat(starts[chosen] - ahead, size) + np.arange(total)
+        self.doc[place] = np.repeat(chosen, size)
+        begins[place[ahead[size > 0]]] = True
+        self.target = classes.take(at).astype(np.int16)
+        self.given = np.where(begins, np.int16(CLASSES), classes.take(at - 1, mode="wrap"))
+        self.word = None if words is None else words.take(at)
+        self.last = None if words is None else np.where(begins, -1, words.take(at - 1, mode="wrap"))
         self.rows = None if rows is None else np.concatenate([rows, np.full((1, 2), WORD_ROWS, rows.dtype)])
         self.decisions = decisions
-        for column_, s in enumerate(order):
-            chosen = np.array(docs[s], dtype=np.int64)
-            if not len(chosen):
-                continue
-            size = lengths[chosen]
-            ahead = np.cumsum(size) - size
-            at = np.repeat(starts[chosen] - ahead, size) + np.arange(int(size.sum()))
-            self.target[: len(at), column_] = classes[at]
-            self.given[1 : len(at), column_] = classes[at[:-1]]
-            self.given[ahead, column_] = CLASSES
-            self.doc[: len(at), column_] = np.repeat(chosen, size)
-            if words is not None:
-                self.word[: len(at), column_] = words[at]
-                self.last[1 : len(at), column_] = words[at[:-1]]
-                self.last[ahead, column_] = -1
 
     def windows(self, steps: int) -> Iterator[tuple]:
         """given, target, document and whether there is a token, for the streams that still have some; then
         the input rows of the words given and the decisions of the target words, if there are words."""
-        for at in range(0, len(self.target), steps):
-            live = int((self.size > at).sum())
-            stop = min(at + steps, len(self.target))
-            some = (slice(at, stop), slice(0, live))
-            real = np.arange(at, stop)[:, None] < self.size[None, :live]
+        for at in range(0, len(self.live), steps):
+            stream = np.arange(self.live[at])
+            real = stream < self.live[at : at + steps, None]
+            some = np.where(real, self.first[at : at + steps, None] + stream, 0)
             words = (None, None) if self.word is None else (
-                self.rows[self.last[some]], self.decisions.of(self.word[some].ravel(), real.ravel())
+                self.rows.take(self.last.take(some), axis=0, mode="wrap"), self.decisions.of(self.word.take(some.ravel()), real.ravel())
             )
-            yield self.given[some], self.target[some], self.doc[some], real, *words
+            yield self.given.take(some), self.target.take(some), self.doc.take(some), real, *words
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    out = np.negative(x)
+    np.exp(out, out=out)
+    out += 1
+    return np.reciprocal(out, out=out)
+
+
+def _softplus(x: np.ndarray) -> np.ndarray:
+    return np.maximum(x, 0) + np.log1p(np.exp(-np.abs(x)))
 
 
 def forward(
@@ -437,33 +468,52 @@ def forward(
 ) -> tuple[np.ndarray, np.ndarray]:
     """States after each step (steps, streams, HIDDEN) and the last one; ``kept`` gathers what training needs."""
     out = np.empty((*given.shape, HIDDEN), dtype=np.float32)
-    for t, tokens in enumerate(given):
-        state = np.where((tokens == CLASSES)[:, None], np.float32(0), state)
-        x, u = w["input"][tokens], state @ w["state"]
-        if rows is not None:
-            x = x + w["words"][rows[t, :, 0]] + w["words"][rows[t, :, 1]]
+    fed = w["input"].take(given, axis=0)
+    if rows is not None:
+        fed += w["words"].take(rows[..., 0], axis=0)
+        fed += w["words"].take(rows[..., 1], axis=0)
+    goes_on = (given != CLASSES)[..., None]
+    for t, x in enumerate(fed):
+        state = state * goes_on[t]
+        u = state @ w["state"]
         gates = _sigmoid(x[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
         z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
         inner = u[:, 2 * HIDDEN :]
-        fresh = np.tanh(x[:, 2 * HIDDEN :] + r * inner)
+        fresh = r * inner
+        fresh += x[:, 2 * HIDDEN :]
+        np.tanh(fresh, out=fresh)
         if kept is not None:
             kept.append((state, z, r, inner, fresh))
-        state = fresh + z * (state - fresh)
+        state = state - fresh
+        state *= z
+        state += fresh
         out[t] = state
     return out, state
 
 
-def log_softmax(w: dict, states: np.ndarray) -> np.ndarray:
-    logits = states @ w["output"] + w["bias"]
-    logits -= logits.max(axis=-1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(axis=-1, keepdims=True))
+def class_logits(w: dict, states: np.ndarray) -> np.ndarray:
+    """Scores of the classes (CLASSES, tokens), the highest of each token 0."""
+    logits = w["output"].T @ states.T
+    logits += w["bias"][:, None]
+    logits -= logits.max(axis=0)
+    return logits
 
 
 def branches(w: dict, states: np.ndarray, decisions: tuple) -> tuple[np.ndarray, ...]:
-    """Log-odds of going right at each branch, and its state and weights."""
+    """Log-odds of going right at each branch; tokens with branches, their states and one, and the weights of each."""
     token, row, _, prior = decisions
-    at, weights = states[token], w["nodes"][row]
-    return prior + np.einsum("ij,ij->i", at, weights[:, :HIDDEN]) + weights[:, HIDDEN], at, weights[:, :HIDDEN]
+    wide = 1 + int(np.argmax(token != token[0])) if token[-1] != token[0] else len(token)
+    wide -= token[-1] != token[0]
+    token = token[::wide]
+    at = np.ones((len(token), HIDDEN + 1), dtype=states.dtype)
+    at[:, :HIDDEN] = states.take(token, axis=0)
+    weights = w["nodes"].take(row, axis=0).reshape(len(token), wide, HIDDEN + 1)
+    return (weights @ at[:, :, None]).ravel() + prior, token, at, weights
+
+
+def _summed(places: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the columns of ``values`` over the rows of each place."""
+    return np.stack([np.bincount(places, weights=c, minlength=n) for c in np.ascontiguousarray(values.T, dtype=np.float64)], axis=1)
 
 
 def gradients(
@@ -474,60 +524,76 @@ def gradients(
     kept: list = []
     states, last = forward(w, given, state, kept, rows)
     flat = states.reshape(-1, HIDDEN)
-    logs = log_softmax(w, flat)
     each, wanted, mask = np.arange(len(flat)), target.ravel(), real.ravel()
-    loss = -float(logs[each, wanted][mask].sum())
-    slope = np.exp(logs)
-    slope[each, wanted] -= 1
-    slope *= (mask / max(1, mask.sum()))[:, None].astype(np.float32)
-    g = {"output": flat.T @ slope, "bias": slope.sum(axis=0), "state": np.zeros_like(w["state"])}
-    from_output = slope @ w["output"].T
+    slope = class_logits(w, flat)
+    loss = -float(slope[wanted, each][mask].sum())
+    np.exp(slope, out=slope)
+    sums = slope.sum(axis=0)
+    loss += float(np.log(sums[mask]).sum())
+    slope *= mask / (sums * max(1, mask.sum())).astype(slope.dtype)
+    slope[wanted, each] -= mask / np.float32(max(1, mask.sum()))
+    g = {"output": flat.T @ slope.T, "bias": slope.sum(axis=1)}
+    from_output = slope.T @ w["output"].T
     g |= {"words": np.zeros_like(w["words"]), "nodes": np.zeros_like(w["nodes"])}
     if decisions is not None and len(decisions[0]):
-        token, row, right, _ = decisions
-        odds, at, weights = branches(w, flat, decisions)
-        loss += float(np.logaddexp(0, np.where(right, -odds, odds)).sum())
-        pull = ((_sigmoid(odds) - right) / max(1, mask.sum())).astype(odds.dtype)
-        for k, c in enumerate((*at.T, np.ones(1, dtype=at.dtype))):
-            g["nodes"][:, k] = np.bincount(row, weights=pull * c, minlength=NODE_ROWS)
-        first = np.flatnonzero(np.diff(token, prepend=-1))
-        from_output[token[first]] += np.add.reduceat(pull[:, None] * weights, first, axis=0)
+        right = decisions[2]
+        odds, token, at, weights = branches(w, flat, decisions)
+        loss += float(_softplus(np.where(right, -odds, odds)).sum())
+        pull = ((_sigmoid(odds) - right) / max(1, mask.sum())).astype(odds.dtype).reshape(len(token), -1)
+        from_output[token] += (pull[:, None, :] @ weights)[:, 0, :HIDDEN]
+        row = decisions[1].reshape(pull.shape).T.astype(np.intp).ravel()
+        across = np.ascontiguousarray(pull.T, dtype=np.float64)
+        for k, c in enumerate(np.ascontiguousarray(at.T, dtype=np.float64)):
+            g["nodes"][:, k] = np.bincount(row, weights=(across * c).ravel(), minlength=NODE_ROWS)
     from_output = from_output.reshape(states.shape)
+    before, z, r, inner, fresh = (np.stack(x) for x in zip(*kept))
+    of_fresh, of_z, of_r = (1 - z) * (1 - fresh * fresh), (before - fresh) * z * (1 - z), inner * r * (1 - r)
+    goes_on = (given != CLASSES)[..., None]
     inputs = np.empty((*given.shape, 3 * HIDDEN), dtype=np.float32)
+    moved = np.empty_like(inputs)
     later = np.zeros_like(last)
     for t in range(len(given) - 1, -1, -1):
-        before, z, r, inner, fresh = kept[t]
         d = from_output[t] + later
-        d_fresh = d * (1 - z) * (1 - fresh * fresh)
-        d_z = d * (before - fresh) * z * (1 - z)
-        d_r = d_fresh * inner * r * (1 - r)
-        inputs[t] = np.hstack([d_z, d_r, d_fresh])
-        d_state = np.hstack([d_z, d_r, d_fresh * r])
-        g["state"] += before.T @ d_state
-        later = np.where((given[t] == CLASSES)[:, None], np.float32(0), d * z + d_state @ w["state"].T)
-    places, spread = given.ravel(), inputs.reshape(-1, 3 * HIDDEN)
-    g["input"] = np.stack([np.bincount(places, weights=c, minlength=CLASSES + 1) for c in spread.T], axis=1).astype(np.float32)
+        d_fresh = np.multiply(d, of_fresh[t], out=inputs[t, :, 2 * HIDDEN :])
+        np.multiply(d, of_z[t], out=inputs[t, :, :HIDDEN])
+        np.multiply(d_fresh, of_r[t], out=inputs[t, :, HIDDEN : 2 * HIDDEN])
+        moved[t, :, : 2 * HIDDEN] = inputs[t, :, : 2 * HIDDEN]
+        np.multiply(d_fresh, r[t], out=moved[t, :, 2 * HIDDEN :])
+        later = (d * z[t] + moved[t] @ w["state"].T) * goes_on[t]
+    spread = inputs.reshape(-1, 3 * HIDDEN)
+    g["state"] = before.reshape(-1, HIDDEN).T @ moved.reshape(-1, 3 * HIDDEN)
+    g["input"] = _summed(given.ravel(), spread, CLASSES + 1).astype(np.float32)
     if rows is not None:
         both = rows.reshape(-1, 2)
         used = np.flatnonzero(both[:, 0] < WORD_ROWS)
-        places, spread = both[used].T.ravel(), spread[used]
-        for k, c in enumerate(spread.T):
-            g["words"][:, k] = np.bincount(places, weights=np.concatenate([c, c]), minlength=WORD_ROWS + 1)
+        g["words"] += _summed(both.take(used, axis=0).T.ravel(), np.tile(spread.take(used, axis=0), (2, 1)), WORD_ROWS + 1)
     return g, last, loss
 
 
 def learn(w: dict, streams: Streams, rate: float = RATE) -> dict:
     """One pass of Adam over all windows."""
-    w = {k: v.copy() for k, v in w.items()}
-    mean, square = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
+    names, edges = list(w), np.cumsum([0, *(v.size for v in w.values())])
+    flat = np.concatenate([v.ravel() for v in w.values()])
+    w = {k: flat[low:high].reshape(w[k].shape) for k, low, high in zip(names, edges, edges[1:])}
+    mean, square, slope, step = (np.zeros_like(flat) for _ in range(4))
     state = np.zeros((len(streams.size), HIDDEN), dtype=np.float32)
     for n, (given, target, _, real, rows, decisions) in enumerate(streams.windows(STEPS), 1):
         g, state, _ = gradients(w, given, target, real, state[: given.shape[1]], rows, decisions)
+        for k, low, high in zip(names, edges, edges[1:]):
+            slope[low:high] = g[k].ravel()
         share = min(1.0, real.sum() / (STREAMS * STEPS / 4))  # windows of a few long documents weigh less
-        for k in w:
-            mean[k] += 0.1 * (g[k] - mean[k])
-            square[k] += 0.01 * (g[k] * g[k] - square[k])
-            w[k] -= rate * share * (mean[k] / (1 - 0.9**n)) / (np.sqrt(square[k] / (1 - 0.99**n)) + 1e-6)
+        np.multiply(slope, slope, out=step)
+        for held, new, part in ((mean, slope, 0.1), (square, step, 0.01)):
+            new *= part
+            held *= 1 - part
+            held += new
+        # (mean / a) / (sqrt(square / b) + 1e-6), with b's root taken out
+        a, root = 1 - 0.9**n, (1 - 0.99**n) ** 0.5
+        np.sqrt(square, out=step)
+        step += 1e-6 * root
+        np.divide(mean, step, out=step)
+        step *= rate * share * root / a
+        flat -= step
     return w
 
 
@@ -535,45 +601,58 @@ def log10_likelihoods(w: dict, streams: Streams, n: int) -> np.ndarray:
     """log10 P(classes) of each whole document, or log10 P(words) if the streams have words."""
     out = np.zeros(n)
     state = np.zeros((len(streams.size), HIDDEN), dtype=np.float32)
-    for given, target, doc, real, rows, decisions in streams.windows(2 * STEPS):
+    for given, target, doc, real, rows, decisions in streams.windows(max(1, SCORED_TOKENS // len(streams.size))):
         states, state = forward(w, given, state[: given.shape[1]], None, rows)
-        logs = log_softmax(w, states.reshape(-1, HIDDEN))
-        values = logs[np.arange(len(logs)), target.ravel()]
+        flat = states.reshape(-1, HIDDEN)
+        logits = class_logits(w, flat)
+        values = logits[target.ravel(), np.arange(len(flat))]
+        values -= np.log(np.exp(logits, out=logits).sum(axis=0))
         out += np.bincount(doc.ravel(), weights=values * real.ravel(), minlength=n)
-        if decisions is not None:
-            odds = branches(w, states.reshape(-1, HIDDEN), decisions)[0]
-            out -= np.bincount(doc.ravel()[decisions[0]], weights=np.logaddexp(0, np.where(decisions[2], -odds, odds)), minlength=n)
+        if decisions is not None and len(decisions[0]):
+            odds, token, *_ = branches(w, flat, decisions)
+            lost = _softplus(np.where(decisions[2], -odds, odds)).reshape(len(token), -1).sum(axis=1)
+            out -= np.bincount(doc.ravel()[token], weights=lost, minlength=n)
     return out / np.log(10)
 
 
 def _streams(batch: pa.RecordBatch, row: int, trees: Trees, held: bool) -> tuple[Streams | None, np.ndarray, np.ndarray]:
     """Streams of a chunk's documents, with or without those held out; their lengths and which are held out."""
-    types = {"codes": np.int32, "kinds": np.uint8, "seen": bool, "parts": np.int16, "places": np.int64, "rows": np.int16, "lengths": np.int64, "held": bool}
+    types = {"kinds": np.uint8, "seen": bool, "parts": np.int16, "rows": np.int16, "lengths": np.int64, "held": bool}
     cell = {n: np.frombuffer(batch.column(n)[row].as_py(), dtype=t) for n, t in types.items()}
     lengths, out = cell["lengths"], cell["held"]
     chosen = np.ones(len(lengths), dtype=bool) if held else ~out
     if not chosen.any():
         return None, lengths, out
-    decisions = trees.decisions(cell["kinds"] >= BANDS, cell["seen"], cell["parts"].astype(np.int64), cell["places"])
+    decisions = trees.decisions(cell["kinds"] >= BANDS, cell["seen"], cell["parts"].astype(np.int64), _unpacked(batch.column("places")[row].as_py(), np.int64))
     starts = np.cumsum(lengths) - lengths
-    classes = cell["kinds"][cell["codes"]]
-    return Streams(classes, starts[chosen], lengths[chosen], cell["codes"], cell["rows"].reshape(-1, 2), decisions), lengths, out
+    codes = _unpacked(batch.column("codes")[row].as_py())
+    classes = cell["kinds"][codes]
+    streams = Streams(
+        classes, starts[chosen], lengths[chosen], codes, cell["rows"].reshape(-1, 2), decisions, SCORED_STREAMS if held else STREAMS
+    )
+    return streams, lengths, out
 
 
 def _trained(w: dict, trees: Trees) -> Callable:
+    """Each chunk learned from the same weights; the means of a task's chunks by tokens."""
+
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, tokens = 0.0, 0.0
         for batch in batches:
             for row in range(batch.num_rows):
                 streams, lengths, held = _streams(batch, row, trees, held=False)
                 if streams is None:
                     continue
-                new = learn(w, streams)
-                flat = np.concatenate([new[k].ravel() for k in sorted(new)]).astype(np.float32)
-                blocks = [flat[at : at + BLOCK].tobytes() for at in range(0, len(flat), BLOCK)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(range(len(blocks)), pa.int64()), pa.array(blocks, pa.binary()), pa.array([float(lengths[~held].sum())] * len(blocks))],
-                    names=["block", "values", "tokens"],
-                )
+                new, n = learn(w, streams), float(lengths[~held].sum())
+                total = total + n * np.concatenate([new[k].ravel() for k in sorted(new)]).astype(np.float64)
+                tokens += n
+        if tokens:
+            flat = (total / tokens).astype(np.float32)
+            blocks = [flat[at : at + BLOCK].tobytes() for at in range(0, len(flat), BLOCK)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(len(blocks)), pa.int64()), pa.array(blocks, pa.binary()), pa.array([tokens] * len(blocks))],
+                names=["block", "values", "tokens"],
+            )
 
     return train
 
@@ -619,7 +698,7 @@ def document_scores(
     rows = docs.select(column(doc_id).alias("_id"), column(text).alias("_text"), held.alias("_held"))
     kind = rows.schema["_id"].dataType
     ids = T.StructField("ids", T.ArrayType(kind))
-    binary = [T.StructField(n, T.BinaryType()) for n in ("held", "lengths", "codes")]
+    binary = [T.StructField(n, T.BinaryType()) for n in ("held", "lengths", "codes", "buckets")]
     bits = max(0, (rows.rdd.getNumPartitions() - 1).bit_length())
     coded = materialise(
         rows.mapInArrow(_chunks(bits), T.StructType([
@@ -636,24 +715,23 @@ def document_scores(
     )
     vocabulary = _vocabulary(summed)
     trees = _trees(summed, vocabulary, bits)
-    parts = summed.where("chunk >= 0").select("chunk", "bucket", "counts", "ranks").join(
-        lists.select("chunk", "bucket", "hashes"), ["chunk", "bucket"]
-    ).groupBy("chunk").agg(F.collect_list(F.struct("bucket", "counts", "hashes", "ranks")).alias("parts"))
-    chunks = coded.where("bucket < 0").select("chunk", "ids", "held", "lengths", "codes").join(parts, "chunk")
+    # a row for each chunk, in as many files as chunks or fewer: the rounds and the scores read them without an exchange
+    n_chunks = max(1, coded.where("bucket < 0").count())
+    joined = coded.drop("learned").unionByName(
+        summed.where("chunk >= 0").select("chunk", "bucket", "counts", "ranks"), allowMissingColumns=True
+    ).repartition(n_chunks, "chunk").sortWithinPartitions("chunk", "bucket")
     classed = materialise(
-        chunks.mapInArrow(_classed(vocabulary, trees), T.StructType([
+        joined.mapInArrow(_classed(vocabulary, trees), T.StructType([
             T.StructField("chunk", T.LongType()), ids,
             *[T.StructField(n, T.BinaryType()) for n in ("held", "lengths", "codes", "kinds", "seen", "parts", "places", "rows", "base", "known")],
-        ])), "class-chunks",
+        ])).withColumn("turn", F.pmod(F.xxhash64("chunk"), F.lit(ROUNDS)).cast("int")), "class-chunks", "turn",
     )
     discard(coded)
     discard(summed)
-    # a task for each chunk: they stand for much work, so none are put together
-    n_chunks = max(1, classed.count())
     weights = fresh_weights() | {"bias": vocabulary.log_shares()}
     shapes = {k: weights[k].shape for k in sorted(weights)}
     for turn in range(ROUNDS):
-        mine = classed.where(F.pmod(F.xxhash64("chunk"), F.lit(ROUNDS)) == turn).repartition(n_chunks, "chunk")
+        mine = classed.where(F.col("turn") == turn)
         # as many values as the network has weights
         means = mine.mapInArrow(_trained(weights, trees), "block long, values binary, tokens double").repartition(
             "block").sortWithinPartitions("block").mapInArrow(_averaged, "block long, values binary").orderBy("block").collect()
@@ -668,6 +746,6 @@ def document_scores(
         T.StructField("doc_id", kind), T.StructField("held_out", T.BooleanType()), T.StructField("n_tokens", T.LongType()),
         T.StructField("n_known", T.LongType()), T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType()),
     ])
-    return classed.repartition(n_chunks, "chunk").mapInArrow(_scored(weights, trees, names), schema).select(
+    return classed.mapInArrow(_scored(weights, trees, names), schema).select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(vocabulary.tokens).cast("long").alias("train_tokens"), "base_score", "score"
     )

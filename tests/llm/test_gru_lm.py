@@ -1,5 +1,7 @@
 import math
+import os
 import random
+import urllib.parse
 from collections import Counter
 
 import numpy as np
@@ -195,3 +197,33 @@ def test_scores_depend_on_which_words_of_a_class_follow(spark):
     got = {r.doc_id: r.score for r in document_scores(
         spark.createDataFrame(rows, SCHEMA).coalesce(2), held_out=F.col("doc_id") < 2).collect()}
     assert abs(got[0] - got[1]) > 1e-3
+
+
+def test_chunks_are_read_where_they_lie(spark):
+    """Scoring moves no chunk again: what is stored once is what the rounds and the scores read."""
+    got = document_scores(spark.createDataFrame([(d, t, "", 0) for d, t in corpus(40)], SCHEMA).repartition(3))
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tokens_are_stored_in_less_than_their_text(spark):
+    rng = random.Random(6)
+    texts = [" ".join(f"word{int(rng.paretovariate(1))}" for _ in range(2000)) for _ in range(30)]
+    got = document_scores(spark.createDataFrame([(d, t, "", 0) for d, t in enumerate(texts)], SCHEMA).coalesce(1))
+    stored = sum(os.path.getsize(urllib.parse.urlparse(f).path) for f in got.inputFiles())
+    assert got.count() == 30 and stored < sum(map(len, texts)) / 2
+
+
+def test_streams_hold_each_token_once():
+    lengths = np.array([50_000, 1, 7, 30, 2, 2])
+    streams = Streams(np.arange(lengths.sum()) % CLASSES, np.cumsum(lengths) - lengths, lengths)
+    assert streams.target.size == lengths.sum()
+    seen = np.concatenate([doc[real] for _, _, doc, real, *_ in streams.windows(16)])
+    assert np.bincount(seen).tolist() == lengths.tolist()
+
+
+def test_scores_do_not_depend_on_the_number_of_streams():
+    rng = np.random.default_rng(7)
+    lengths = rng.integers(1, 60, 40)
+    classes, starts, w = rng.integers(0, CLASSES, lengths.sum()), np.cumsum(lengths) - lengths, fresh_weights(5)
+    one, many = (log10_likelihoods(w, Streams(classes, starts, lengths, streams=n), 40) for n in (1, 40))
+    assert np.allclose(one, many, rtol=1e-5)
