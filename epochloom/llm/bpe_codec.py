@@ -6,7 +6,7 @@ become rows (word, position, token). A recursive query joins neighbouring tokens
 contracts the pair of least rank in each word until no pair merges. A step takes all its occurrences, from the
 left, that do not overlap. That equals one at a time in a vocabulary whose tokens' own bytes encode to them,
 as a merge then never makes a pair of lower rank; a vocabulary without this property is refused. A query runs ``_steps`` rounds at most, which bounds its rows; unfinished
-words go into the next. Decoding joins ids to token bytes and aggregates them in order of position.
+words go into the next. Decoding aggregates ids in order of position and takes the bytes of each.
 
 Behaviour: NULL text counts as empty and has no ids; NULL ids decode to NULL; an id outside the vocabulary
 is an error. Repeated rows give repeated results. Other columns are not read. No special tokens.
@@ -37,23 +37,26 @@ CACHED_WORDS = 600_000
 SPACES = "\t-\r \x85\xa0  -     　"
 
 #: One step for every live word: the first pair of each run of equal tokens, and every other pair, of least rank.
+#: A key is word and token, so that one sort by place and one key a neighbour serve all words.
 _CONTRACT = """
 WITH RECURSIVE state AS (
-    SELECT word, pos, tok, 0 AS step, true AS live FROM input
+    SELECT pos, word::BIGINT << 32 | tok AS key, 0 AS step, true AS live FROM input
   UNION ALL
     (WITH pairs AS MATERIALIZED (
         SELECT s.*, m.rank, p.rank AS before
         FROM (
-            SELECT *, lead(tok) OVER w AS next, lag(tok) OVER w AS prev, lag(tok, 2) OVER w AS prev2
-            FROM state WHERE live AND step < {steps} WINDOW w AS (PARTITION BY word ORDER BY pos)
-        ) s LEFT JOIN merges m ON m.l = tok AND m.r = next LEFT JOIN merges p ON p.l = prev AND p.r = tok
-    ), best AS (SELECT word, min(rank) AS low FROM pairs GROUP BY word)
-    SELECT word, pos, CASE WHEN rank = low AND (tok <> next OR tok IS DISTINCT FROM prev) THEN rank ELSE tok END,
+            SELECT *, lead(key) OVER w AS next, lag(key) OVER w AS prev, lag(key, 2) OVER w AS prev2
+            FROM state WHERE live AND step < {steps} WINDOW w AS (ORDER BY pos)
+        ) s LEFT JOIN merges m ON m.pair = CASE WHEN key >> 32 = next >> 32 THEN (key & 4294967295) << 32 | (next & 4294967295) END
+            LEFT JOIN merges p ON p.pair = CASE WHEN key >> 32 = prev >> 32 THEN (prev & 4294967295) << 32 | (key & 4294967295) END
+    ), best AS (SELECT key >> 32 AS word, min(rank) AS low FROM pairs GROUP BY 1)
+    SELECT pos, CASE WHEN rank = low AND (key <> next OR key IS DISTINCT FROM prev) THEN word << 32 | rank ELSE key END,
            step + 1, low IS NOT NULL
-    FROM pairs JOIN best USING (word)
-    WHERE low IS NULL OR before IS DISTINCT FROM low OR (prev = tok AND prev2 IS NOT DISTINCT FROM prev))
+    FROM pairs JOIN best ON word = key >> 32
+    WHERE low IS NULL OR before IS DISTINCT FROM low OR (prev = key AND prev2 IS NOT DISTINCT FROM prev))
 )
-SELECT word, pos, tok, live FROM state WHERE NOT live OR step = {steps} ORDER BY word, pos
+SELECT (key >> 32)::INT AS word, pos, (key & 4294967295)::INT AS tok, live
+FROM state WHERE NOT live OR step = {steps} ORDER BY pos
 """
 #: The same with every second pair of a run, for long words, whose runs may be long.
 _CONTRACT_RUNS = """
@@ -75,11 +78,11 @@ WITH RECURSIVE state AS (
     )
     WHERE low IS NULL OR before IS DISTINCT FROM low OR (prev = tok AND (place - run) % 2 = 0)
 )
-SELECT word, pos, tok, live FROM state WHERE NOT live OR step = {steps} ORDER BY word, pos
+SELECT word, pos, tok, live FROM state WHERE NOT live OR step = {steps} ORDER BY pos
 """
 LONG_WORD = 64
 
-_DECODE = "SELECT doc, list(piece ORDER BY pos) AS pieces FROM ids JOIN vocab USING (tok) GROUP BY doc ORDER BY doc"
+_DECODE = "SELECT doc, list(tok ORDER BY pos) AS toks FROM ids GROUP BY doc ORDER BY doc"
 
 _coders: dict = {}
 
@@ -133,10 +136,12 @@ class Coder(WordCache):
             [(ranks[t[:i]], ranks[t[i:]], rank) for t, rank in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks],
             dtype=np.int32,
         ).reshape(-1, 3)
-        self._load("merges", l=merges[:, 0], r=merges[:, 1], rank=merges[:, 2])
-        self._load("vocab", tok=pa.array(ranks.values(), pa.int32()), piece=pa.array(ranks.keys(), pa.binary()))
+        pair = merges[:, 0].astype(np.int64) << 32 | merges[:, 1]
+        self._load("merges", l=merges[:, 0], r=merges[:, 1], rank=merges[:, 2], pair=pair)
         self.valid = np.zeros(max(ranks.values()) + 1, dtype=bool)
         self.valid[list(ranks.values())] = True
+        of_rank = {rank: token for token, rank in ranks.items()}
+        self.pieces = pa.array([of_rank.get(i) for i in range(len(self.valid))], pa.large_binary())
         if (self._contracted(list(ranks), _CONTRACT_RUNS)[1] != 1).any():
             raise ValueError(f"{path}: some tokens cannot be reached from their own bytes")
 
@@ -149,7 +154,7 @@ class Coder(WordCache):
         """Ids of all words in a row, and the number of ids of each."""
         lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         word = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
-        pos = (np.arange(len(word)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
+        pos = np.arange(len(word), dtype=np.int32)
         tok = self.bytes[np.frombuffer(b"".join(words), dtype=np.uint8)]
         done = [(np.zeros(0, np.int32), np.zeros(0, np.int32))]
         while len(word):
@@ -202,10 +207,13 @@ class Coder(WordCache):
         self.sql.register("ids", pa.table({"doc": doc, "pos": np.arange(len(ids)), "tok": ids.astype(np.int32)}))
         rows = self.sql.sql(_DECODE).to_arrow_table()
         out = [b""] * len(counts)
-        for doc, pieces in zip(rows.column("doc").to_pylist(), rows.column("pieces")):
-            values = pieces.values
-            low, high = np.frombuffer(values.buffers()[1], dtype=np.int32)[[values.offset, values.offset + len(values)]]
-            out[doc] = values.buffers()[2][low : high].to_pybytes()
+        for chunk_docs, toks in zip(rows.column("doc").chunks, rows.column("toks").chunks):
+            pieces = self.pieces.take(toks.flatten())
+            edges = np.frombuffer(pieces.buffers()[1], dtype=np.int64)[pieces.offset : pieces.offset + len(pieces) + 1]
+            ends = np.cumsum(pc.list_value_length(toks).to_numpy())
+            data = pieces.buffers()[2]
+            for doc, low, high in zip(chunk_docs.to_pylist(), edges[np.append(0, ends[:-1])].tolist(), edges[ends].tolist()):
+                out[doc] = data[low:high].to_pybytes()
         return out
 
 

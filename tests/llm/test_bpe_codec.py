@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 import tiktoken
 
-from epochloom.llm.bpe_codec import _CONTRACT, _CONTRACT_RUNS, bpe_decoded, bpe_encoded, coder
+from epochloom.llm.bpe_codec import _CONTRACT, _CONTRACT_RUNS, _DECODE, bpe_decoded, bpe_encoded, coder
 
 PATH, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 SPACES = " \n\t\r\x0b\x0c\x1c\x1f\x85\xa0 　"
@@ -81,3 +81,25 @@ def test_sliced_arrays():
     texts = pa.array(["drop", "a b", None, "c  d"]).slice(1)
     ids, counts = coder(PATH, PATTERN).encode(texts)
     assert counts.tolist()[1] == 0 and b"".join(coder(PATH, PATTERN).decode(ids, counts)) == b"a bc  d"
+
+
+def test_words_of_a_query_share_one_sort():
+    """A step sorts integer places once, whatever the number of words, and decoding sorts no byte strings."""
+    found = coder(PATH, PATTERN)
+    found.sql.register("input", pa.table({c: pa.array([0], pa.int32()) for c in ("word", "pos", "tok")}))
+    found.sql.register("ids", pa.table({c: pa.array([0], pa.int32()) for c in ("doc", "pos", "tok")}))
+    step, back = (found.sql.sql("EXPLAIN " + q).fetchall()[0][1] for q in (_CONTRACT.format(steps=2), _DECODE))
+    assert "PARTITION BY" not in step and "JOIN" not in back and "list" in back
+
+
+def test_neighbouring_words_do_not_merge():
+    words = [b"t", b"h", b"e", b"aa", b"aaa", b"a", b"a", b"in", b"g"]
+    ids, counts = coder(PATH, PATTERN)._contracted(words, _CONTRACT)
+    alone = [coder(PATH, PATTERN)._contracted([w], _CONTRACT)[0].tolist() for w in words]
+    assert ids.tolist() == sum(alone, []) and counts.tolist() == list(map(len, alone))
+
+
+def test_decoded_documents_keep_their_bounds():
+    texts = pa.array(["", "a b", None, "日本 x", "", "long " * 70_000, "z"])
+    ids, counts = coder(PATH, PATTERN).encode(texts)
+    assert coder(PATH, PATTERN).decode(ids, counts) == [(t or "").encode() for t in texts.to_pylist()]
