@@ -56,6 +56,8 @@ PARTS = 8
 #: Rows of input weights for words and of output weights for the nodes of the trees.
 WORD_ROWS, NODE_ROWS = 1024, 4096
 BLOCK = 4096
+#: Groups of a window's tokens by their branches, and the least tokens of one.
+GROUPS, LEAST_GROUP = 4, 128
 #: Log-odds whose probability is one in single precision.
 CERTAIN = 1e4
 RATE = 0.01
@@ -66,7 +68,11 @@ _END = np.uint64(0)
 
 
 def _word_hashes(words: pa.Array) -> np.ndarray:
-    found = np.fromiter((xxhash.xxh64_intdigest(w) for w in words.to_pylist()), dtype=np.uint64, count=len(words))
+    words = words.cast(pa.large_binary())
+    _, edges, held = words.buffers()
+    edges = np.frombuffer(edges, dtype=np.int64)[words.offset : words.offset + len(words) + 1].tolist() if len(words) else []
+    text = memoryview(held or b"")
+    found = np.fromiter((xxhash.xxh64_intdigest(text[a:b]) for a, b in zip(edges, edges[1:])), dtype=np.uint64, count=len(words))
     return np.where(found == _END, np.uint64(1), found)
 
 
@@ -80,12 +86,26 @@ def _unpacked(planes: bytes, kind: type = np.int32) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Neighbouring batches as one, of ``CHUNK_BYTES`` of text at most where they have several."""
+    held, size = [], 0
+    for batch in batches:
+        more = batch.column("_text").nbytes
+        if held and size + more > CHUNK_BYTES:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += more
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _chunks(bits: int) -> Callable:
     """A row for each chunk, and one for each (chunk, hash bucket)."""
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 32
-        for batch in batches:
+        for batch in _joined(batches):
             for piece in slices(batch, "_text", CHUNK_BYTES):
                 lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(piece.column("_text"), "")))
                 edges = lists.offsets.to_numpy().astype(np.int64)
@@ -220,16 +240,26 @@ class Decisions:
     """Branches on the way to each word of a chunk, a row for each word, filled up with branches that are certain."""
 
     size: np.ndarray
-    row: np.ndarray
-    right: np.ndarray
+    #: Row of the node, twice, and one for a way to the right.
+    way: np.ndarray
     prior: np.ndarray
 
-    def of(self, words: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Token, row, side and prior of every branch of a window's tokens, token by token."""
-        token = np.flatnonzero(real & (self.size.take(words) > 0))
-        chosen = words.take(token)
-        found = (of_word.take(chosen, axis=0).ravel() for of_word in (self.row, self.right, self.prior))
-        return np.repeat(token, self.row.shape[1]), *found
+    def of(self, words: np.ndarray, real: np.ndarray) -> tuple:
+        """Token, row, side and prior of every branch of a window's tokens; then the tokens that have branches,
+        those with most first, and the ends of groups of them. A token's branches lie together, and those of a
+        group are filled up to its most."""
+        size = np.where(real, self.size.take(words), np.int8(0))
+        token = np.argsort(-size, kind="stable")[: np.count_nonzero(size)]
+        n = GROUPS if len(token) >= GROUPS * LEAST_GROUP else 1
+        ends = [len(token) * g // n for g in range(n + 1)] if len(token) else []
+        chosen, wide = words.take(token), [int(size[token[a]]) for a in ends[:-1]]
+        groups = list(zip(ends, ends[1:], wide))
+        way, prior = (
+            np.concatenate([of_word.take(chosen[a:b], axis=0)[:, :w].ravel() for a, b, w in groups] or [of_word[:0].ravel()])
+            for of_word in (self.way, self.prior)
+        )
+        each = np.concatenate([np.repeat(token[a:b], w) for a, b, w in groups] or [token])
+        return each, way >> 1, (way & 1).astype(bool), prior, token, groups
 
 
 @dataclass(frozen=True)
@@ -252,38 +282,42 @@ class Trees:
         """Seen or not, the part of the band, then the bits of the place; one-sided nodes decide nothing."""
         size = np.where(own | ~seen, 0, self.words[part])
         depth = np.array([max(0, int(n) - 1).bit_length() for n in self.words])[part]
-        deep = int(depth[size > 0].max()) if (size > 0).any() else 0
-        wide = 1 + (PARTS - 1).bit_length() + deep
-        size_of = np.zeros(len(part), dtype=np.int32)
-        right, row = np.ones((wide, len(part)), dtype=bool), np.zeros((wide, len(part)), dtype=np.int16)
-        prior = np.full((wide, len(part)), CERTAIN, dtype=np.float32)
-        band, piece = part // PARTS, part % PARTS
-
-        def put(at, able, side, low, high, tree, prefix):
-            valid = able & (low > 0) & (high > 0)
-            low, high = (np.where(valid, x, 1).astype(np.float32) for x in (low, high))
-            key = ((tree * 64 + at) << 36) + prefix
+        inside = np.flatnonzero(size > 0)
+        deep, levels = int(depth[inside].max(initial=0)), (PARTS - 1).bit_length()
+        size_of = np.zeros(len(part), dtype=np.int8)
+        way = np.ones((1 + levels + deep, len(part)), dtype=np.int16)
+        prior = np.full(way.shape, CERTAIN, dtype=np.float32)
+
+        def put(at, words, side, low, high, tree, prefix):
+            """The next branch of those of ``words`` whose node is not one-sided."""
+            valid = np.flatnonzero((low > 0) & (high > 0))
+            words, low, high = words[valid], low[valid].astype(np.float32), high[valid].astype(np.float32)
+            key = ((tree[valid] * 64 + at) << 36) + prefix[valid]
             key = (key ^ (key >> 31)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            row[at] = (key >> np.uint64(52)).astype(np.uint16) % NODE_ROWS
-            right[at] = ~valid | (side != 0)
-            np.copyto(prior[at], np.log(high / low), where=valid)
-            np.add(size_of, valid, out=size_of)
+            place = size_of[words].astype(np.int64) * len(part) + words
+            way.reshape(-1)[place] = (key >> np.uint64(52)).astype(np.int16) % NODE_ROWS * 2 + (side[valid] != 0)
+            prior.reshape(-1)[place] = np.log(high / low)
+            size_of[words] += 1
 
-        ones = np.ones(len(part))
-        put(0, ~own & (band == 0), seen, ones * (1 - self.once_share), ones * self.once_share, band, band * 0)
+        band, piece = part // PARTS, part % PARTS
+        rare = np.flatnonzero(~own & (band == 0))
+        ones = np.ones(len(rare))
+        put(0, rare, seen[rare], ones * (1 - self.once_share), ones * self.once_share, band[rare], band[rare] * 0)
         sums = np.concatenate([np.zeros((BANDS, 1)), np.cumsum(self.tokens.reshape(BANDS, PARTS), axis=1)], axis=1)
-        for level in range((PARTS - 1).bit_length()):
-            shift = (PARTS - 1).bit_length() - level - 1
-            prefix = piece >> (shift + 1)
-            low, mid, high = (sums[band, (2 * prefix + i) << shift] for i in range(3))
-            put(1 + level, size > 0, (piece >> shift) & 1, mid - low, high - mid, band, prefix)
+        of_band, of_piece = band[inside], piece[inside]
+        for level in range(levels):
+            shift = levels - level - 1
+            prefix = of_piece >> (shift + 1)
+            low, mid, high = (sums[of_band, (2 * prefix + i) << shift] for i in range(3))
+            put(1 + level, inside, (of_piece >> shift) & 1, mid - low, high - mid, of_band, prefix)
         for level in range(deep):
-            shift = depth - level - 1
-            able, shift = (size > 0) & (shift >= 0), np.maximum(shift, 0)
-            prefix = place >> (shift + 1)
-            low, mid, high = (np.minimum((2 * prefix + i) << shift, size) for i in range(3))
-            put(wide - deep + level, able, (place >> shift) & 1, mid - low, high - mid, BANDS + part, prefix)
-        return Decisions(size_of, *(np.ascontiguousarray(x.T) for x in (row, right, prior)))
+            inside = inside[depth[inside] > level]
+            shift = depth[inside] - level - 1
+            prefix, most = place[inside] >> (shift + 1), size[inside]
+            low, mid, high = (np.minimum((2 * prefix + i) << shift, most) for i in range(3))
+            put(1 + levels + level, inside, (place[inside] >> shift) & 1, mid - low, high - mid, BANDS + part[inside], prefix)
+        most = int(size_of.max(initial=0))
+        return Decisions(size_of, *(np.ascontiguousarray(x[:most].T) for x in (way, prior)))
 
 
 def _trees(summed: DataFrame, vocabulary: Vocabulary, bits: int) -> Trees:
@@ -426,12 +460,16 @@ class Streams:
         self.live = n - np.cumsum(np.bincount(self.size))[:-1]
         self.first = np.cumsum(self.live) - self.live
         total = int(size.sum())
-        step = np.arange(total) - np.repeat(np.cumsum(self.size) - self.size, self.size)
-        place = self.first[step] + np.repeat(np.arange(n), self.size)
-        at, self.doc, begins = np.empty(total, dtype=np.int64), np.empty(total, dtype=np.int32), np.zeros(total, dtype=bool)
-        at[place] = np.repeat(starts[chosen] - ahead, size) + np.arange(total)
-        self.doc[place] = np.repeat(chosen, size)
+        short = np.int32 if len(classes) < 1 << 31 else np.int64
+        each = np.arange(total, dtype=short)
+        place = self.first.astype(short).take(each - np.repeat((np.cumsum(self.size) - self.size).astype(short), self.size))
+        place += np.repeat(np.arange(n, dtype=short), self.size)
+        at, self.doc, begins = np.empty(total, dtype=short), np.empty(total, dtype=np.int32), np.zeros(total, dtype=bool)
+        each += np.repeat((starts[chosen] - ahead).astype(short), size)
+        at[place] = each
+        self.doc[place] = np.repeat(chosen.astype(np.int32), size)
         begins[place[ahead[size > 0]]] = True
+        del place, each
         self.target = classes.take(at).astype(np.int16)
         self.given = np.where(begins, np.int16(CLASSES), classes.take(at - 1, mode="wrap"))
         self.word = None if words is None else words.take(at)
@@ -439,13 +477,16 @@ class Streams:
         self.rows = None if rows is None else np.concatenate([rows, np.full((1, 2), WORD_ROWS, rows.dtype)])
         self.decisions = decisions
 
-    def windows(self, steps: int) -> Iterator[tuple]:
+    def windows(self, steps: int, tokens: int = 0) -> Iterator[tuple]:
         """given, target, document and whether there is a token, for the streams that still have some; then
-        the input rows of the words given and the decisions of the target words, if there are words."""
-        for at in range(0, len(self.live), steps):
+        the input rows of the words given and the decisions of the target words, if there are words. Windows are
+        longer than ``steps`` where that gives no more than ``tokens``."""
+        end = 0
+        while end < len(self.live):
+            at, end = end, end + max(steps, tokens // int(self.live[end]))
             stream = np.arange(self.live[at])
-            real = stream < self.live[at : at + steps, None]
-            some = np.where(real, self.first[at : at + steps, None] + stream, 0)
+            real = stream < self.live[at:end, None]
+            some = np.where(real, self.first[at:end, None] + stream, 0)
             words = (None, None) if self.word is None else (
                 self.rows.take(self.last.take(some), axis=0, mode="wrap"), self.decisions.of(self.word.take(some.ravel()), real.ravel())
             )
@@ -460,158 +501,236 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def _softplus(x: np.ndarray) -> np.ndarray:
-    return np.maximum(x, 0) + np.log1p(np.exp(-np.abs(x)))
+    out = np.negative(np.abs(x))
+    np.exp(out, out=out)
+    out += 1
+    np.log(out, out=out)
+    out += np.maximum(x, 0)
+    return out
 
 
 def forward(
-    w: dict, given: np.ndarray, state: np.ndarray, kept: list | None = None, rows: np.ndarray | None = None
-) -> tuple[np.ndarray, np.ndarray]:
-    """States after each step (steps, streams, HIDDEN) and the last one; ``kept`` gathers what training needs."""
-    out = np.empty((*given.shape, HIDDEN), dtype=np.float32)
+    w: dict, given: np.ndarray, state: np.ndarray, rows: np.ndarray | None = None
+) -> tuple[np.ndarray, ...]:
+    """States (HIDDEN, streams) after each step; what training needs: the states each step starts from, its
+    gates and fresh states (update, reset, fresh), and what the state gave them."""
     fed = w["input"].take(given, axis=0)
     if rows is not None:
         fed += w["words"].take(rows[..., 0], axis=0)
         fed += w["words"].take(rows[..., 1], axis=0)
-    goes_on = (given != CLASSES)[..., None]
-    for t, x in enumerate(fed):
-        state = state * goes_on[t]
-        u = state @ w["state"]
-        gates = _sigmoid(x[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
-        z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        inner = u[:, 2 * HIDDEN :]
-        fresh = r * inner
-        fresh += x[:, 2 * HIDDEN :]
+    fed = np.ascontiguousarray(fed.transpose(0, 2, 1))
+    turned = np.ascontiguousarray(w["state"].T)
+    # gates are 1 / (1 + exp(-x)): the sign is changed once
+    for x in (fed[:, : 2 * HIDDEN], turned[: 2 * HIDDEN]):
+        np.negative(x, out=x)
+    goes_on = given != CLASSES
+    breaks = (~goes_on.all(axis=1)).tolist()
+    states = np.empty((len(given), *state.shape), dtype=fed.dtype)
+    before, moved, change = np.empty_like(states), np.empty_like(fed), np.empty_like(states[:1])[0]
+    for masked, x, u, out, there, some in zip(before, fed, moved, states, goes_on, breaks):
+        if some:
+            np.multiply(state, there, out=masked)
+        else:
+            masked[...] = state
+        np.matmul(turned, masked, out=u)
+        gates, fresh = x[: 2 * HIDDEN], x[2 * HIDDEN :]
+        gates += u[: 2 * HIDDEN]
+        np.exp(gates, out=gates)
+        gates += 1
+        np.reciprocal(gates, out=gates)
+        np.multiply(gates[HIDDEN:], u[2 * HIDDEN :], out=change)
+        fresh += change
         np.tanh(fresh, out=fresh)
-        if kept is not None:
-            kept.append((state, z, r, inner, fresh))
-        state = state - fresh
-        state *= z
-        state += fresh
-        out[t] = state
-    return out, state
+        np.subtract(masked, fresh, out=out)
+        out *= gates[:HIDDEN]
+        out += fresh
+        state = out
+    return states, before, fed, moved
+
+
+def _rows_of_states(states: np.ndarray) -> np.ndarray:
+    """States (steps, HIDDEN, streams) and a one as rows of tokens, step by step."""
+    out = np.ones((len(states), states.shape[2], HIDDEN + 1), dtype=states.dtype)
+    out[:, :, :HIDDEN] = states.transpose(0, 2, 1)
+    return out.reshape(-1, HIDDEN + 1)
 
 
 def class_logits(w: dict, states: np.ndarray) -> np.ndarray:
-    """Scores of the classes (CLASSES, tokens), the highest of each token 0."""
-    logits = w["output"].T @ states.T
-    logits += w["bias"][:, None]
-    logits -= logits.max(axis=0)
+    """Scores of the classes (CLASSES, tokens), small enough for their exponentials, from states and ones."""
+    weights = np.concatenate([w["output"], w["bias"][None]])
+    logits = weights.T @ states.T
+    if not np.abs(weights).sum(axis=0).max() * max(1.0, np.abs(states).max()) < 60:
+        logits -= logits.max(axis=0)
     return logits
 
 
-def branches(w: dict, states: np.ndarray, decisions: tuple) -> tuple[np.ndarray, ...]:
-    """Log-odds of going right at each branch; tokens with branches, their states and one, and the weights of each."""
-    token, row, _, prior = decisions
-    wide = 1 + int(np.argmax(token != token[0])) if token[-1] != token[0] else len(token)
-    wide -= token[-1] != token[0]
-    token = token[::wide]
+def branches(w: dict, states: np.ndarray, decisions: tuple) -> tuple:
+    """Log-odds of going right at each branch; states and one of the tokens that have some, the weights of each group."""
+    _, row, _, prior, token, groups = decisions
     at = np.ones((len(token), HIDDEN + 1), dtype=states.dtype)
-    at[:, :HIDDEN] = states.take(token, axis=0)
-    weights = w["nodes"].take(row, axis=0).reshape(len(token), wide, HIDDEN + 1)
-    return (weights @ at[:, :, None]).ravel() + prior, token, at, weights
-
-
-def _summed(places: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    """Sums of the columns of ``values`` over the rows of each place."""
-    return np.stack([np.bincount(places, weights=c, minlength=n) for c in np.ascontiguousarray(values.T, dtype=np.float64)], axis=1)
+    at[:, :HIDDEN] = states[:, :HIDDEN].take(token, axis=0)
+    odds, weights, end = np.empty(len(row), dtype=states.dtype), [], 0
+    for a, b, wide in groups:
+        begin, end = end, end + (b - a) * wide
+        weights.append(w["nodes"].take(row[begin:end], axis=0).reshape(b - a, wide, HIDDEN + 1))
+        np.matmul(weights[-1], at[a:b, :, None], out=odds[begin:end].reshape(b - a, wide, 1))
+    odds += prior
+    return odds, at, weights
+
+
+def _node_slopes(decisions: tuple, pull: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Sums over the branches of each row of nodes of pull times state and one."""
+    filled = np.zeros((len(at), HIDDEN + 2), dtype=at.dtype)
+    filled[:, : HIDDEN + 1] = at
+    # two columns as one of complex numbers, which are added up in one go
+    columns, end = np.ascontiguousarray(filled.view(np.result_type(at, np.complex64)).T), 0
+    row, across, drawn = np.empty(len(pull), dtype=np.intp), np.empty(len(pull), dtype=at.dtype), np.empty(len(pull), dtype=columns.dtype)
+    parts = []
+    for a, b, wide in decisions[5]:
+        begin, end = end, end + (b - a) * wide
+        for kept, x in ((row, decisions[1]), (across, pull)):
+            kept[begin:end].reshape(wide, b - a)[...] = x[begin:end].reshape(b - a, wide).T
+        parts.append((a, b, *(x[begin:end].reshape(wide, b - a) for x in (across, drawn))))
+    out = np.zeros((len(columns), NODE_ROWS), dtype=columns.dtype)
+    for to, c in zip(out, columns):
+        for a, b, left, product in parts:
+            np.multiply(left, c[a:b], out=product)
+        np.add.at(to, row, drawn)
+    return np.ascontiguousarray(out.T).view(at.dtype)[:, : HIDDEN + 1]
 
 
 def gradients(
     w: dict, given: np.ndarray, target: np.ndarray, real: np.ndarray, state: np.ndarray,
-    rows: np.ndarray | None = None, decisions: tuple | None = None,
+    rows: np.ndarray | None = None, decisions: tuple | None = None, measured: bool = True, g: dict | None = None,
 ) -> tuple[dict, np.ndarray, float]:
-    """Gradient of the mean log loss over one window, the state after it, and the summed loss."""
-    kept: list = []
-    states, last = forward(w, given, state, kept, rows)
-    flat = states.reshape(-1, HIDDEN)
+    """Gradient of the mean log loss over one window, the state after it, and the summed loss if ``measured``.
+
+    The gradient is written into ``g``, if that is given.
+    """
+    g = {k: np.empty_like(v) for k, v in w.items()} if g is None else g
+    states, before, fed, moved = forward(w, given, state.T, rows)
+    flat = _rows_of_states(states)
     each, wanted, mask = np.arange(len(flat)), target.ravel(), real.ravel()
-    slope = class_logits(w, flat)
-    loss = -float(slope[wanted, each][mask].sum())
+    n = max(1, np.count_nonzero(mask))
+    slope, loss = class_logits(w, flat), 0.0
+    if measured:
+        loss -= float(slope[wanted, each][mask].sum())
     np.exp(slope, out=slope)
     sums = slope.sum(axis=0)
-    loss += float(np.log(sums[mask]).sum())
-    slope *= mask / (sums * max(1, mask.sum())).astype(slope.dtype)
-    slope[wanted, each] -= mask / np.float32(max(1, mask.sum()))
-    g = {"output": flat.T @ slope.T, "bias": slope.sum(axis=1)}
+    if measured:
+        loss += float(np.log(sums[mask]).sum())
+    slope *= (mask / (sums * n)).astype(slope.dtype)
+    slope[wanted, each] -= mask / np.float32(n)
+    both = flat.T @ slope.T
+    g["output"][...], g["bias"][...] = both[:HIDDEN], both[HIDDEN]
     from_output = slope.T @ w["output"].T
-    g |= {"words": np.zeros_like(w["words"]), "nodes": np.zeros_like(w["nodes"])}
     if decisions is not None and len(decisions[0]):
-        right = decisions[2]
-        odds, token, at, weights = branches(w, flat, decisions)
-        loss += float(_softplus(np.where(right, -odds, odds)).sum())
-        pull = ((_sigmoid(odds) - right) / max(1, mask.sum())).astype(odds.dtype).reshape(len(token), -1)
-        from_output[token] += (pull[:, None, :] @ weights)[:, 0, :HIDDEN]
-        row = decisions[1].reshape(pull.shape).T.astype(np.intp).ravel()
-        across = np.ascontiguousarray(pull.T, dtype=np.float64)
-        for k, c in enumerate(np.ascontiguousarray(at.T, dtype=np.float64)):
-            g["nodes"][:, k] = np.bincount(row, weights=(across * c).ravel(), minlength=NODE_ROWS)
-    from_output = from_output.reshape(states.shape)
-    before, z, r, inner, fresh = (np.stack(x) for x in zip(*kept))
-    of_fresh, of_z, of_r = (1 - z) * (1 - fresh * fresh), (before - fresh) * z * (1 - z), inner * r * (1 - r)
-    goes_on = (given != CLASSES)[..., None]
-    inputs = np.empty((*given.shape, 3 * HIDDEN), dtype=np.float32)
-    moved = np.empty_like(inputs)
-    later = np.zeros_like(last)
+        right, token, groups = decisions[2], decisions[4], decisions[5]
+        odds, at, weights = branches(w, flat, decisions)
+        if measured:
+            loss += float(_softplus(np.where(right, -odds, odds)).sum())
+        pull = _sigmoid(odds)
+        pull -= right
+        pull /= n
+        drawn, end = np.empty((len(token), HIDDEN + 1), dtype=pull.dtype), 0
+        for (a, b, wide), of_group in zip(groups, weights):
+            begin, end = end, end + (b - a) * wide
+            np.matmul(pull[begin:end].reshape(b - a, 1, wide), of_group, out=drawn[a:b, None])
+        from_output[token] += drawn[:, :HIDDEN]
+        g["nodes"][...] = _node_slopes(decisions, pull, at)
+    else:
+        g["nodes"][...] = 0
+    from_output = np.ascontiguousarray(from_output.reshape(*given.shape, HIDDEN).transpose(0, 2, 1))
+    z, r, fresh, inner = fed[:, :HIDDEN], fed[:, HIDDEN : 2 * HIDDEN], fed[:, 2 * HIDDEN :], moved[:, 2 * HIDDEN :]
+    # slopes by a state: of the fresh state's, update's and reset's inputs, and of what the state gave the fresh one
+    slopes = np.empty((len(given), 4, *state.T.shape), dtype=fed.dtype)
+    of_fresh, rest = slopes[:, 0], 1 - z
+    np.multiply(rest, 1 - fresh * fresh, out=of_fresh)
+    np.multiply(before - fresh, rest * z, out=slopes[:, 1])
+    np.multiply(of_fresh, r, out=slopes[:, 3])
+    np.multiply(slopes[:, 3], (1 - r) * inner, out=slopes[:, 2])
+    goes_on = given != CLASSES
+    breaks = (~goes_on.all(axis=1)).tolist()
+    later, back = np.zeros_like(states[0]), np.empty_like(states[0])
     for t in range(len(given) - 1, -1, -1):
-        d = from_output[t] + later
-        d_fresh = np.multiply(d, of_fresh[t], out=inputs[t, :, 2 * HIDDEN :])
-        np.multiply(d, of_z[t], out=inputs[t, :, :HIDDEN])
-        np.multiply(d_fresh, of_r[t], out=inputs[t, :, HIDDEN : 2 * HIDDEN])
-        moved[t, :, : 2 * HIDDEN] = inputs[t, :, : 2 * HIDDEN]
-        np.multiply(d_fresh, r[t], out=moved[t, :, 2 * HIDDEN :])
-        later = (d * z[t] + moved[t] @ w["state"].T) * goes_on[t]
-    spread = inputs.reshape(-1, 3 * HIDDEN)
-    g["state"] = before.reshape(-1, HIDDEN).T @ moved.reshape(-1, 3 * HIDDEN)
-    g["input"] = _summed(given.ravel(), spread, CLASSES + 1).astype(np.float32)
+        d, all_four = from_output[t], slopes[t]
+        d += later
+        all_four *= d
+        np.matmul(w["state"], all_four[1:].reshape(3 * HIDDEN, -1), out=later)
+        np.multiply(d, z[t], out=back)
+        later += back
+        if breaks[t]:
+            later *= goes_on[t]
+    slopes = slopes.reshape(len(given), 4 * HIDDEN, -1)
+    np.sum(before @ slopes[:, HIDDEN:].transpose(0, 2, 1), axis=0, out=g["state"])
+    places, used = given.ravel().astype(np.intp), None
     if rows is not None:
         both = rows.reshape(-1, 2)
         used = np.flatnonzero(both[:, 0] < WORD_ROWS)
-        g["words"] += _summed(both.take(used, axis=0).T.ravel(), np.tile(spread.take(used, axis=0), (2, 1)), WORD_ROWS + 1)
-    return g, last, loss
+        first, second = both.take(used, axis=0).T + np.intp(CLASSES + 1)
+    # fresh state, update and reset, two columns as one of complex numbers, which are added up in one go
+    columns = np.empty((3 * HIDDEN // 2, *given.shape), dtype=np.result_type(slopes, np.complex64))
+    columns.real, columns.imag = (slopes[:, k : 3 * HIDDEN : 2].transpose(1, 0, 2) for k in range(2))
+    columns = columns.reshape(len(columns), -1)
+    out = np.zeros((len(columns), CLASSES + 1 + len(w["words"])), dtype=columns.dtype)
+    for to, c in zip(out, columns):
+        np.add.at(to, places, c)
+        if used is not None:
+            some = c.take(used)
+            np.add.at(to, first, some)
+            np.add.at(to, second, some)
+    summed = np.ascontiguousarray(out.T).view(slopes.dtype)
+    for k, part in (("input", summed[: CLASSES + 1]), ("words", summed[CLASSES + 1 :])):
+        g[k][:, : 2 * HIDDEN], g[k][:, 2 * HIDDEN :] = part[:, HIDDEN:], part[:, :HIDDEN]
+    return g, states[-1].T, loss
 
 
 def learn(w: dict, streams: Streams, rate: float = RATE) -> dict:
     """One pass of Adam over all windows."""
     names, edges = list(w), np.cumsum([0, *(v.size for v in w.values())])
     flat = np.concatenate([v.ravel() for v in w.values()])
-    w = {k: flat[low:high].reshape(w[k].shape) for k, low, high in zip(names, edges, edges[1:])}
     mean, square, slope, step = (np.zeros_like(flat) for _ in range(4))
+    w, g = ({k: x[low:high].reshape(w[k].shape) for k, low, high in zip(names, edges, edges[1:])} for x in (flat, slope))
+    # a part of all weights at a time stays in the cache
+    parts = [[x[at : at + 4 * BLOCK] for x in (flat, mean, square, slope, step)] for at in range(0, len(flat), 4 * BLOCK)]
     state = np.zeros((len(streams.size), HIDDEN), dtype=np.float32)
     for n, (given, target, _, real, rows, decisions) in enumerate(streams.windows(STEPS), 1):
-        g, state, _ = gradients(w, given, target, real, state[: given.shape[1]], rows, decisions)
-        for k, low, high in zip(names, edges, edges[1:]):
-            slope[low:high] = g[k].ravel()
-        share = min(1.0, real.sum() / (STREAMS * STEPS / 4))  # windows of a few long documents weigh less
-        np.multiply(slope, slope, out=step)
-        for held, new, part in ((mean, slope, 0.1), (square, step, 0.01)):
-            new *= part
-            held *= 1 - part
-            held += new
+        _, state, _ = gradients(w, given, target, real, state[: given.shape[1]], rows, decisions, measured=False, g=g)
+        share = min(1.0, np.count_nonzero(real) / (STREAMS * STEPS / 4))  # windows of a few long documents weigh less
         # (mean / a) / (sqrt(square / b) + 1e-6), with b's root taken out
         a, root = 1 - 0.9**n, (1 - 0.99**n) ** 0.5
-        np.sqrt(square, out=step)
-        step += 1e-6 * root
-        np.divide(mean, step, out=step)
-        step *= rate * share * root / a
-        flat -= step
+        for weights, means, squares, slopes, steps in parts:
+            np.multiply(slopes, slopes, out=steps)
+            for held, new, part in ((means, slopes, 0.1), (squares, steps, 0.01)):
+                new *= part
+                held *= 1 - part
+                held += new
+            np.sqrt(squares, out=steps)
+            steps += 1e-6 * root
+            np.divide(means, steps, out=steps)
+            steps *= rate * share * root / a
+            weights -= steps
     return w
 
 
 def log10_likelihoods(w: dict, streams: Streams, n: int) -> np.ndarray:
     """log10 P(classes) of each whole document, or log10 P(words) if the streams have words."""
     out = np.zeros(n)
-    state = np.zeros((len(streams.size), HIDDEN), dtype=np.float32)
-    for given, target, doc, real, rows, decisions in streams.windows(max(1, SCORED_TOKENS // len(streams.size))):
-        states, state = forward(w, given, state[: given.shape[1]], None, rows)
-        flat = states.reshape(-1, HIDDEN)
+    state = np.zeros((HIDDEN, len(streams.size)), dtype=np.float32)
+    for given, target, doc, real, rows, decisions in streams.windows(1, SCORED_TOKENS):
+        states = forward(w, given, state[:, : given.shape[1]], rows)[0]
+        flat, state = _rows_of_states(states), states[-1]
         logits = class_logits(w, flat)
-        values = logits[target.ravel(), np.arange(len(flat))]
+        values = logits[target.ravel(), np.arange(len(logits[0]))]
         values -= np.log(np.exp(logits, out=logits).sum(axis=0))
-        out += np.bincount(doc.ravel(), weights=values * real.ravel(), minlength=n)
+        values *= real.ravel()
         if decisions is not None and len(decisions[0]):
-            odds, token, *_ = branches(w, flat, decisions)
-            lost = _softplus(np.where(decisions[2], -odds, odds)).reshape(len(token), -1).sum(axis=1)
-            out -= np.bincount(doc.ravel()[token], weights=lost, minlength=n)
+            odds = branches(w, flat, decisions)[0]
+            lost, end = _softplus(np.where(decisions[2], -odds, odds)), 0
+            for a, b, wide in decisions[5]:
+                begin, end = end, end + (b - a) * wide
+                values[decisions[4][a:b]] -= lost[begin:end].reshape(b - a, wide).sum(axis=1)
+        out += np.bincount(doc.ravel(), weights=values, minlength=n)
     return out / np.log(10)
 
 

@@ -5,7 +5,9 @@ import urllib.parse
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from epochloom.llm import gru_lm
@@ -227,3 +229,43 @@ def test_scores_do_not_depend_on_the_number_of_streams():
     classes, starts, w = rng.integers(0, CLASSES, lengths.sum()), np.cumsum(lengths) - lengths, fresh_weights(5)
     one, many = (log10_likelihoods(w, Streams(classes, starts, lengths, streams=n), 40) for n in (1, 40))
     assert np.allclose(one, many, rtol=1e-5)
+
+
+def test_word_hashes_are_those_of_their_bytes():
+    words = ["", "a", "Wörter", "the" * 9000, "b"]
+    for some in (pa.array(words), pa.array(["x", *words, "y"]).slice(1, 5), pa.array(words, pa.large_string()), pa.array([], pa.string())):
+        want = [xxhash.xxh64_intdigest(w) for w in words[: len(some)]]
+        assert gru_lm._word_hashes(some).tolist() == want
+
+
+def test_neighbouring_batches_share_a_chunk(monkeypatch):
+    """Documents stay whole and in order; batches make one chunk while they fit its bytes."""
+    monkeypatch.setattr(gru_lm, "CHUNK_BYTES", 10_000)
+    texts = ["w " * n for n in (1, 900, 20, 1500, 2000, 300, 9000, 40, 0)]
+    batches = [pa.RecordBatch.from_pydict({"_text": [t]}) for t in texts]
+    joined = list(gru_lm._joined(iter(batches)))
+    assert [t for b in joined for t in b.column("_text").to_pylist()] == texts
+    assert [b.num_rows for b in joined] == [6, 1, 2]
+    assert list(gru_lm._joined(iter([]))) == []
+
+
+def test_windows_hold_few_branches_beyond_those_of_their_words():
+    rng = np.random.default_rng(8)
+    size = np.minimum(rng.integers(1, 25, 5000), rng.integers(1, 25, 5000)).astype(np.int8)
+    size[:500] = 0
+    wide = np.arange(24) < size[:, None]
+    decisions = gru_lm.Decisions(size, np.where(wide, 2 * rng.integers(0, gru_lm.NODE_ROWS, wide.shape), 1).astype(np.int16),
+                                 np.where(wide, 0, gru_lm.CERTAIN).astype(np.float32))
+    words, real = rng.integers(0, 5000, 4096), rng.random(4096) < 0.9
+    token, row, right, prior, *_ = decisions.of(words, real)
+    own = prior < gru_lm.CERTAIN
+    assert np.bincount(token[own], minlength=4096).tolist() == np.where(real, size[words], 0).tolist()
+    assert right[~own].all() and len(token) < 1.5 * own.sum()
+
+
+def test_scoring_takes_few_windows_for_a_long_document():
+    lengths = np.array([60_000, *[5] * 2000])
+    streams = Streams(np.zeros(lengths.sum(), np.int64), np.cumsum(lengths) - lengths, lengths, streams=gru_lm.SCORED_STREAMS)
+    windows = list(streams.windows(1, gru_lm.SCORED_TOKENS))
+    assert len(windows) < 20 and max(real.size for _, _, _, real, *_ in windows) <= gru_lm.SCORED_TOKENS
+    assert np.bincount(np.concatenate([doc[real] for _, _, doc, real, *_ in windows])).tolist() == lengths.tolist()
