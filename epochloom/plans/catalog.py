@@ -506,9 +506,9 @@ def clean_columns(spark, sf):
 
 
 def partitioned_roundtrip(spark, sf):
-    path = shared_path(spark, "landing")
-    landing.write_partitioned(line_samples(spark, sf), path)
-    return spark.read.parquet(path).select(
+    path, samples = shared_path(spark, "landing"), line_samples(spark, sf)
+    landing.write_partitioned(samples, path)
+    return landing.read_partitioned(spark, path, samples.schema).select(
         F.col("subject_id").cast("long").alias("subject_id"), "run_id", *LINE_KEYS, "C3", "Cz", "C4"
     )
 

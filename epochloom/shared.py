@@ -99,6 +99,18 @@ def _remove_at_exit(spark: SparkSession, path: str) -> None:
     system.deleteOnExit(where)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its scheme, as the session's default file system completes it."""
+    system, where = _file_system(spark, path)
+    return system.makeQualified(where).toString()
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file on the shared file system."""
+    system, where = _file_system(spark, path)
+    system.create(where, True).close()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     system, where = _file_system(spark, path)
     return system.exists(where)

@@ -22,7 +22,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from epochloom.constants import REST_CLASS
 from epochloom.operators.intervals import disjoint_pieces
 from epochloom.shared import materialise
-from epochloom.sources.files import open_ranges
+from epochloom.sources.files import open_ranges, spread
 
 ANNOTATIONS = "EDF Annotations"
 RECORDS_BYTES = 8 << 20
@@ -119,14 +119,6 @@ def annotations_of(block: bytes) -> Iterator[tuple[float, float, str]]:
                 yield float(onset), float(duration or 0), text.decode("utf-8")
 
 
-def _spread(df: DataFrame, *keys: str, rows_per_task: int) -> DataFrame:
-    """Spread rows that are small but stand for much work; a fixed count is not merged back."""
-    rows = df.count()
-    parallel = df.sparkSession.sparkContext.defaultParallelism
-    tasks = max(min(rows, 2 * parallel), -(-rows // rows_per_task), 1)
-    return df.repartition(tasks, *keys)
-
-
 def plan_records(files: DataFrame, range_bytes: int = RECORDS_BYTES) -> DataFrame:
     """Record ranges of every readable file; an unreadable file yields one row with its error.
 
@@ -157,10 +149,9 @@ def plan_records(files: DataFrame, range_bytes: int = RECORDS_BYTES) -> DataFram
             yield pa.RecordBatch.from_pylist(rows, schema=plan_type)
 
     listed = files.select("path", "length", "subject_id", "run_id")
-    spread = _spread(listed, "path", rows_per_task=FILES_PER_TASK)
     ddl = _ddl(PLAN_COLUMNS)
     plan_type = to_arrow_schema(T._parse_datatype_string(ddl))
-    return spread.mapInArrow(plan, ddl)
+    return spread(listed, "path", rows_per_task=FILES_PER_TASK).mapInArrow(plan, ddl)
 
 
 def _edges(row: dict) -> list[int]:
@@ -213,8 +204,8 @@ def read_annotations(ranges: DataFrame) -> DataFrame:
 
     ddl = f"path string, notes array<{_NOTE}>, error string"
     note_type = to_arrow_schema(T._parse_datatype_string(ddl))
-    spread = _spread(ranges.drop("channels", "gain", "offset", "status", "error"), "path", "first_record", rows_per_task=RANGES_PER_TASK)
-    return spread.mapInArrow(read, ddl)
+    needed = ranges.drop("channels", "gain", "offset", "status", "error")
+    return spread(needed, "path", "first_record", rows_per_task=RANGES_PER_TASK).mapInArrow(read, ddl)
 
 
 def decode_samples(ranges: DataFrame, channels: Sequence[str], default: str = REST_CLASS) -> DataFrame:
@@ -250,8 +241,7 @@ def decode_samples(ranges: DataFrame, channels: Sequence[str], default: str = RE
         for batch in batches:
             yield from map(decoded, batch.to_pylist())
 
-    spread = _spread(ranges, "path", "first_record", rows_per_task=RANGES_PER_TASK)
-    return spread.mapInArrow(decode, schema)
+    return spread(ranges, "path", "first_record", rows_per_task=RANGES_PER_TASK).mapInArrow(decode, schema)
 
 
 def decode_recordings(

@@ -6,6 +6,15 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from urllib.parse import quote
 
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from epochloom.shared import materialise, qualified
+
+#: Folders that one task lists.
+FOLDERS_PER_TASK = 1_000
+
 #: Schemes of Spark's object stores and what the Arrow library calls them.
 SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss", "abfs": "abfs", "abfss": "abfss"}
 
@@ -42,3 +51,46 @@ def write_bytes(path: str, data: bytes) -> None:
     system.create_dir(inner.rsplit("/", 1)[0], recursive=True)
     with system.open_output_stream(inner) as file:
         file.write(data)
+
+
+def spread(df: DataFrame, *keys: str, rows_per_task: int, rows: int | None = None) -> DataFrame:
+    """Spread rows that are small but stand for much work; a fixed count is not merged back."""
+    rows = df.count() if rows is None else rows
+    parallel = df.sparkSession.sparkContext.defaultParallelism
+    tasks = max(min(rows, 2 * parallel), -(-rows // rows_per_task), 1)
+    return df.repartition(tasks, *keys)
+
+
+def _hidden(name: str) -> bool:
+    """Names that Spark's readers pass over."""
+    return name.startswith(".") or name.endswith("._COPYING_") or (name.startswith("_") and "=" not in name)
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from pyarrow import fs
+
+    for batch in batches:
+        for folder in batch["path"].to_pylist():
+            system, inner = open_filesystem(folder)
+            seen = [e for e in system.get_file_info(fs.FileSelector(inner)) if not _hidden(e.base_name)]
+            yield pa.record_batch({
+                "path": pa.array([f"{folder}/{e.base_name}" for e in seen], pa.string()),
+                "length": pa.array([e.size for e in seen], pa.int64()),
+                "folder": pa.array([e.type == fs.FileType.Directory for e in seen], pa.bool_()),
+            })
+
+
+def list_files(spark: SparkSession, root: str, suffix: str = "") -> DataFrame:
+    """``path, length`` of the files below a folder whose names end with ``suffix``.
+
+    The folders of a level are listed in tasks and what they hold is stored, so the driver keeps no entry.
+    """
+    files, level = None, spark.range(1).select(F.lit(qualified(spark, root).rstrip("/")).alias("path"))
+    while True:
+        entries = materialise(level.mapInArrow(_listed, "path string, length long, folder boolean"), "listing")
+        found = entries.where(~F.col("folder") & F.col("path").endswith(suffix)).select("path", "length")
+        files = found if files is None else files.unionAll(found)
+        folders = entries.where("folder").select("path")
+        if not (count := folders.count()):
+            return files
+        level = spread(folders, "path", rows_per_task=FOLDERS_PER_TASK, rows=count)

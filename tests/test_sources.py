@@ -207,3 +207,61 @@ def test_outcomes_reach_the_metrics_file(spark, root, tmp_path):
     jobs.ingest(spark, str(path), str(tmp_path / "landing"), str(tmp_path / "metrics"))
     row = spark.read.json(str(tmp_path / "metrics")).first()
     assert (row.converted, row.skipped, row.errors, row.truncated) == (2, 0, 1, 1)
+
+
+def test_an_ordinary_key_lands_in_one_file(spark):
+    """Spark splits a partition that is larger than it wants one to be; keys must not be split with it."""
+    name, path = "spark.sql.adaptive.advisoryPartitionSizeInBytes", shared_path(spark, "many")
+    spark.conf.set(name, "64k")
+    try:
+        df = spark.range(200_000, numPartitions=8).select((F.col("id") % 500).alias("subject_id"), F.lit("R1").alias("run_id"), F.xxhash64("id").alias("v"))
+        landing.write_partitioned(df, path)
+    finally:
+        spark.conf.unset(name)
+    assert landing.landed_files(spark, path).count() == 500
+    back = landing.read_partitioned(spark, path, df.schema)
+    assert back.selectExpr("count(*)", "sum(v % 1000)").first() == df.selectExpr("count(*)", "sum(v % 1000)").first()
+
+
+def test_landed_rows_read_alike_in_tasks_and_by_spark(spark):
+    """Names of folders as Spark writes them, and every type; a table of no rows is one, too."""
+    path, twin = shared_path(spark, "odd"), shared_path(spark, "twin")
+    odd = ["a b/c+é%", "x=1:2", None, "", "{[^]}", "back\\slash", "it's \"#*?", "tab\tnew\nline"]
+    df = spark.createDataFrame([(n % len(odd), odd[n % len(odd)], n) for n in range(40)], "k int, run_id string, n long").select(
+        F.when(F.col("k") < 6, F.col("k")).alias("subject_id"), "run_id", F.col("n").alias("c..1"), F.array("n", F.lit(None)).alias("items"),
+        F.timestamp_micros("n").alias("at"), F.date_from_unix_date(F.col("n").cast("int")).alias("day"), (F.col("n") / 10).cast("decimal(9,2)").alias("d"),
+        F.map_from_arrays(F.array(F.lit("a")), F.array("n")).alias("m"), F.when(F.col("n") % 2 == 0, F.col("n").cast("float")).alias("f"),
+        F.struct(F.col("n").cast("byte").alias("b"), F.lit("z").alias("z")).alias("s"), F.encode(F.col("n").cast("string"), "utf-8").alias("raw"),
+    )
+    df.write.partitionBy("subject_id", "run_id").parquet(twin)
+    landing.write_partitioned(df, path)
+    text = lambda d: sorted(r.j for r in d.select(F.to_json(F.struct(*[f"`{c}`" for c in sorted(d.columns)])).alias("j")).collect())
+    theirs, mine = spark.read.parquet(twin), spark.read.parquet(path)
+    assert mine.schema == theirs.schema and text(mine) == text(theirs)
+    typed = landing.read_partitioned(spark, path, df.schema).withColumn("subject_id", F.col("subject_id").cast("int"))
+    assert text(typed) == text(theirs)
+    names = lambda p: {r.f for r in landing.landed_files(spark, p).select(F.regexp_extract("path", "(subject_id=.*)/", 1).alias("f")).collect()}
+    assert names(path) == names(twin) and landing.landed_files(spark, path).count() == len(names(twin))
+    landing.write_partitioned(df.limit(0), path)
+    assert landing.read_partitioned(spark, path, df.schema).count() == 0
+
+
+def test_a_failed_landing_shows_nothing(spark):
+    path = shared_path(spark, "failing")
+    df = spark.range(100).select(F.col("id").alias("subject_id"), F.lit("R1").alias("run_id"), "id")
+    landing.write_partitioned(df, path)
+    broken = df.withColumn("id", F.when(F.col("id") == 77, F.raise_error(F.lit("broken"))).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="broken"):
+        landing.write_partitioned(broken, path, mode="append")
+    landing.write_partitioned(df.withColumn("id", F.col("id") + 100), path, mode="append")
+    assert landing.landed_files(spark, path).count() == 200
+    assert sorted(r.id for r in landing.read_partitioned(spark, path, df.schema).collect()) == list(range(200))
+
+
+def test_a_column_that_a_landed_file_lacks_is_null(spark):
+    path = shared_path(spark, "lacking")
+    df = spark.range(10).select(F.col("id").alias("subject_id"), F.lit("R1").alias("run_id"), F.col("id").alias("C3"))
+    landing.write_partitioned(df, path, rows_per_file=3)
+    landing.write_partitioned(df.withColumnRenamed("C3", "C4"), path, mode="append")
+    both = df.withColumn("C4", F.lit(None).cast("long")).schema
+    assert landing.read_partitioned(spark, path, both).selectExpr("count(*)", "count(C3)", "count(C4)", "sum(C3)").first() == (20, 10, 10, 45)
