@@ -26,7 +26,8 @@ from epochloom.sources.files import open_ranges, spread
 
 ANNOTATIONS = "EDF Annotations"
 RECORDS_BYTES = 8 << 20
-RANGES_PER_TASK = 16
+#: A task gets 16 whole ranges, or up to a thousand of short recordings.
+BYTES_PER_TASK = 16 * RECORDS_BYTES
 FILES_PER_TASK = 1_000
 # Header values are scaled to volts.
 UNIT_SCALE = {"uV": 1e-6, "µV": 1e-6, "mV": 1e-3}
@@ -154,6 +155,11 @@ def plan_records(files: DataFrame, range_bytes: int = RECORDS_BYTES) -> DataFram
     return spread(listed, "path", rows_per_task=FILES_PER_TASK).mapInArrow(plan, ddl)
 
 
+def _spread_ranges(ranges: DataFrame) -> DataFrame:
+    size = F.col("n_records") * F.col("record_bytes")
+    return spread(ranges, "path", "first_record", rows_per_task=FILES_PER_TASK, size=size, size_per_task=BYTES_PER_TASK)
+
+
 def _edges(row: dict) -> list[int]:
     """Where each signal begins in a record, in samples."""
     return [0, *np.cumsum(row["samples"]).tolist()]
@@ -204,8 +210,7 @@ def read_annotations(ranges: DataFrame) -> DataFrame:
 
     ddl = f"path string, notes array<{_NOTE}>, error string"
     note_type = to_arrow_schema(T._parse_datatype_string(ddl))
-    needed = ranges.drop("channels", "gain", "offset", "status", "error")
-    return spread(needed, "path", "first_record", rows_per_task=RANGES_PER_TASK).mapInArrow(read, ddl)
+    return _spread_ranges(ranges.drop("channels", "gain", "offset", "status", "error")).mapInArrow(read, ddl)
 
 
 def decode_samples(ranges: DataFrame, channels: Sequence[str], default: str = REST_CLASS) -> DataFrame:
@@ -241,7 +246,7 @@ def decode_samples(ranges: DataFrame, channels: Sequence[str], default: str = RE
         for batch in batches:
             yield from map(decoded, batch.to_pylist())
 
-    return spread(ranges, "path", "first_record", rows_per_task=RANGES_PER_TASK).mapInArrow(decode, schema)
+    return _spread_ranges(ranges).mapInArrow(decode, schema)
 
 
 def decode_recordings(

@@ -7,7 +7,7 @@ from contextlib import contextmanager
 from urllib.parse import quote
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from epochloom.shared import materialise, qualified
@@ -53,11 +53,20 @@ def write_bytes(path: str, data: bytes) -> None:
         file.write(data)
 
 
-def spread(df: DataFrame, *keys: str, rows_per_task: int, rows: int | None = None) -> DataFrame:
-    """Spread rows that are small but stand for much work; a fixed count is not merged back."""
-    rows = df.count() if rows is None else rows
+def spread(
+    df: DataFrame, *keys: str, rows_per_task: int, rows: int | None = None, size: Column | None = None,
+    size_per_task: int = 1,
+) -> DataFrame:
+    """Spread rows that are small but stand for much work; a fixed count is not merged back.
+
+    A task gets about ``rows_per_task`` rows, or fewer if their ``size`` comes to ``size_per_task`` before.
+    """
+    if rows is None or size is not None:
+        rows, total = df.agg(F.count(F.lit(1)), F.sum(F.lit(0) if size is None else size)).first()
     parallel = df.sparkSession.sparkContext.defaultParallelism
     tasks = max(min(rows, 2 * parallel), -(-rows // rows_per_task), 1)
+    if size is not None:
+        tasks = max(tasks, min(rows, -(-(total or 0) // size_per_task)))
     return df.repartition(tasks, *keys)
 
 

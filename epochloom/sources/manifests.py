@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from epochloom.constants import MOTOR_RUNS
+from epochloom.sources.files import list_files
 
 CONVERTED, SKIPPED, FAILED, TRUNCATED = "converted", "skipped", "errors", "truncated"
 
@@ -15,15 +16,9 @@ CONVERTED, SKIPPED, FAILED, TRUNCATED = "converted", "skipped", "errors", "trunc
 def recording_files(spark: SparkSession, root: str) -> DataFrame:
     """``path, length, subject_id, run_id`` of ``<root>/<subject>/<subject><run>.edf`` files.
 
-    Only file metadata is read. Files whose name does not repeat their folder are left out.
+    Folders are listed in tasks; no file is opened. Files whose name does not repeat their folder are left out.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.edf")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .select("path", "length")
-    )
+    files = list_files(spark, root, ".edf")
     parts = F.split("path", "/")
     named = files.select(
         "path", "length",

@@ -265,3 +265,31 @@ def test_a_column_that_a_landed_file_lacks_is_null(spark):
     landing.write_partitioned(df.withColumnRenamed("C3", "C4"), path, mode="append")
     both = df.withColumn("C4", F.lit(None).cast("long")).schema
     assert landing.read_partitioned(spark, path, both).selectExpr("count(*)", "count(C3)", "count(C4)", "sum(C3)").first() == (20, 10, 10, 45)
+
+
+def test_recordings_are_listed_in_tasks(spark, tmp_path):
+    """At any depth, without hidden names; Spark's own listing would keep an entry for each file in the driver."""
+    for name in ("S1/S1R1.edf", "deep/er/S2/S2R1.edf", "S1/notes.txt", "_S3/_S3R1.edf", ".S4/.S4R1.edf", "a=b c%20/S5/S5R1.edf", "S1/x_S1R2.edf"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"12345")
+    files = manifests.recording_files(spark, str(tmp_path))
+    theirs = spark.read.format("binaryFile").option("pathGlobFilter", "*.edf").option("recursiveFileLookup", "true").load(str(tmp_path)).select("path", "length")
+    assert {(r.subject_id, r.run_id) for r in files.collect()} == {("S1", "R1"), ("S2", "R1"), ("S5", "R1")}
+    assert {(r.path, r.length) for r in files.collect()} == {(r.path, r.length) for r in theirs.collect() if "x_S1" not in r.path}
+    plan = files._jdf.queryExecution().executedPlan().toString()
+    assert "binaryFile" not in plan and "FileScan parquet" in plan
+    (tmp_path / "empty").mkdir()
+    assert manifests.recording_files(spark, str(tmp_path / "empty")).count() == 0
+
+
+def test_tasks_of_recordings_follow_their_bytes(spark):
+    """Each task costs the driver memory: short recordings share one, whole ranges go by sixteen."""
+    def tasks(rows, record_bytes, rows_per_range):
+        ranges = spark.range(rows).select(
+            F.concat(F.lit("p"), F.col("id") % 50).alias("path"), F.col("id").alias("first_record"),
+            F.lit(rows_per_range).cast("long").alias("n_records"), F.lit(record_bytes).cast("long").alias("record_bytes"),
+        )
+        return edf._spread_ranges(ranges).rdd.getNumPartitions()
+    cores = spark.sparkContext.defaultParallelism
+    assert tasks(1000, 600, 8) == 2 * cores and tasks(0, 600, 8) == 1
+    assert tasks(1000, 1 << 20, 8) == 63 and tasks(40_000, 600, 1) == 40
