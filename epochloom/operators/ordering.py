@@ -3,8 +3,8 @@
 A plain window sorts all rows of a key in one task. Here the order is cut into ranges first, by bounds from a
 sorted sample that become literals of the plan, so every use and every retry sees the same ranges. Rows are
 numbered inside (key, range) groups, however hot a key is; counts per group combine before their shuffle, and
-their running sums are added. Nothing is stored: the input is read for its count, the sample, the counts and
-the rows, so store one that is dear to compute. It must be deterministic, and the order total over
+their running sums are added. There are as many ranges as the largest key needs. Nothing is stored: the input is
+read for its count, the sample, the counts and the rows, so store one that is dear to compute. It must be deterministic, and the order total over
 ``keys + order``; rows that tie on it keep an arbitrary order. The caller's columns travel under names of
 their own, so none can clash with the names used here.
 """
@@ -19,8 +19,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from epochloom.functions.columns import column
+from epochloom.shared import shuffles_released
 
 BLOCK_ROWS = 100_000
+#: Rows of a key that need no more than one range.
+KEY_ROWS = 10_000
 #: Ranges are as many as the session's shuffle partitions, up to this; the sample has ``SAMPLED`` rows for each.
 MOST_RANGES = 4096
 SAMPLED = 32
@@ -113,7 +116,9 @@ def _reached(bounds: Column, count: int, reached) -> Column:
 class _Ranged:
     """``df`` under names of its own, which no column of the caller's begins with in any case of letters.
 
-    ``key`` (one struct), ``part``, and one column for each of the caller's and of the order.
+    ``key`` (one struct), ``part``, and one column for each other of the caller's and of the order. What a row
+    carries goes through a shuffle, so nothing is in it twice: keys are read from the struct, and an item of the
+    order that is one of the caller's columns from there.
     """
 
     def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence):
@@ -121,20 +126,29 @@ class _Ranged:
         while any(name.lower().startswith(self.tag) for name in self.names):
             self.tag += "_"
         self.on = [f"{self.tag}key", f"{self.tag}part"]
-        key = F.struct(*[column(k) for k in keys]) if keys else F.struct(F.lit(0))
+        ranges = Ranges(df, order, *_sizes(df, keys))
+        key = F.struct(*[column(k).alias(f"k{i}") for i, k in enumerate(keys)]) if keys else F.struct(F.lit(0))
+        self.columns = {k: F.col(self.on[0])[f"k{i}"] for i, k in enumerate(keys) if k in self.names}
+        carried = {n: f"{self.tag}c{i}" for i, n in enumerate(self.names) if n not in self.columns}
+        self.columns |= {n: F.col(c) for n, c in carried.items()}
+        computed = {
+            f"{self.tag}o{i}": s.value for i, (s, item) in enumerate(zip(sorts, order))
+            if not (isinstance(item, str) and item in self.columns)
+        }
         self.rows = df.select(
-            *[column(name).alias(f"{self.tag}c{i}") for i, name in enumerate(self.names)],
-            *[value.alias(name) for name, value in zip(self.on, (key, Ranges(df, order).place()))],
-            *[s.value.alias(f"{self.tag}o{i}") for i, s in enumerate(sorts)],
-        )
-        self.inside = Window.partitionBy(*self.on).orderBy(
-            *[s.sorted(F.col(f"{self.tag}o{i}")) for i, s in enumerate(sorts)]
+            *[column(name).alias(c) for name, c in carried.items()],
+            *[value.alias(name) for name, value in zip(self.on, (key, ranges.place()))],
+            *[value.alias(name) for name, value in computed.items()],
         )
+        self.inside = Window.partitionBy(*self.on).orderBy(*[
+            s.sorted(F.col(o) if (o := f"{self.tag}o{i}") in computed else self.columns[item])
+            for i, (s, item) in enumerate(zip(sorts, order))
+        ])
         self.all = Window.partitionBy(self.on[0])
         self.earlier = self.all.orderBy(self.on[1]).rowsBetween(Window.unboundedPreceding, -1)
 
     def own(self, name: str) -> Column:
-        return F.col(f"{self.tag}c{self.names.index(name)}")
+        return self.columns[name]
 
     def named(self, df: DataFrame, **more: Column) -> DataFrame:
         """The caller's columns under their names; those of ``more`` replace or follow them."""
@@ -142,6 +156,19 @@ class _Ranged:
         return df.select(*kept, *[value.alias(name) for name, value in more.items()])
 
 
+def _sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int | None, int | None]:
+    """How many ranges the order needs for the largest key, and the rows of all; nothing without keys.
+
+    Ranges cut every key, so that of more than the largest one needs, small keys would make a count for each row.
+    """
+    if not keys:
+        return None, None
+    with shuffles_released(df.sparkSession):
+        most, rows = df.groupBy(*map(column, keys)).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.sum("n")).first()
+    most_ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(most_ranges, -(-(most or 0) // KEY_ROWS))), rows or 0
+
+
 def number_rows(
     df: DataFrame,
     order: Sequence,

@@ -832,9 +832,9 @@ def _score_sink(spark, source: str, path: str, model=None, scorer=None):
     return writer, batches
 
 
-def _score_stream(spark, sf, model=None, scorer=None) -> str:
+def _score_stream(spark, source: str, model=None, scorer=None) -> str:
     path = shared_path(spark, "live-output")
-    live.run_available(_score_sink(spark, _landed_epochs(spark, sf), path, model, scorer)[0])
+    live.run_available(_score_sink(spark, source, path, model, scorer)[0])
     return path
 
 
@@ -852,7 +852,7 @@ def live_run_statistics(spark, sf):
 
 def stream_dual_sink(spark, sf):
     """Both outputs, read back and joined: each map row next to its epoch's prediction."""
-    path = _score_stream(spark, sf, scorer=rule_scorer)
+    path = _score_stream(spark, _landed_epochs(spark, sf), scorer=rule_scorer)
     keys = ["subject_id", "run_id", "epoch_id"]
     predictions = live.committed(spark, path, "predictions").select(*keys, "correct", "run_seq")
     topomap = live.committed(spark, path, "topomap")
@@ -866,10 +866,11 @@ def stream_score(spark, sf):
     """Every epoch scored in the stream and in one batch by the same model: label and chances agree."""
     features = _live_training(spark, sf)
     model: PipelineModel = MO.fit_live(features, C.feature_columns(features), trees=10, depth=5)
-    path = _score_stream(spark, sf, model)
+    source = _landed_epochs(spark, sf)
+    path = _score_stream(spark, source, model)
     keys, chances = ["subject_id", "run_id", "epoch_id"], [f"proba_{c}" for c in CLASSES]
     streamed = live.committed(spark, path, "predictions").select(*keys, "true_label", "pred_label", *chances)
-    samples = spark.read.parquet(_landed_epochs(spark, sf))
+    samples = spark.read.parquet(source)
     batched = live.predictions_of(live.scored_epochs(
         samples, model, CHANNELS, CHANNELS, fs=FS, classes=CLASSES, max_samples=None,
     )).select(*keys, F.col("pred_label").alias("label"), *[F.col(c).alias(f"b_{c}") for c in chances])

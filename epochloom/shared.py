@@ -11,6 +11,8 @@ from contextlib import contextmanager
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_root(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir``; a temporary folder only where driver and tasks are one process."""
@@ -34,15 +36,27 @@ def materialise(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     """Write ``df`` once and scan the result, which cuts lineage and survives lost executors.
 
     Columnar storage lets each consumer read only the columns it needs. The table lives as long as
-    the application.
+    the application; the shuffles behind it go once it is written.
     """
     path = shared_path(df.sparkSession, label)
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     _registered(df.sparkSession, path)
-    writer.parquet(path)
+    with shuffles_released(df.sparkSession):
+        writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+        writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a write inside go when it ends, rather than when the driver's collector comes by."""
+    before = spark.conf.get(RELEASE, None)
+    spark.conf.set(RELEASE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(RELEASE) if before is None else spark.conf.set(RELEASE, before)
+
+
 _scopes = threading.local()
 
 

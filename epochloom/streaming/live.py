@@ -20,6 +20,7 @@ from epochloom.operators.epochs import (
 )
 from epochloom.operators.features import epoch_features
 from epochloom.operators.model import score
+from epochloom.shared import materialise, shuffles_released
 
 TRIGGER = "1 seconds"
 
@@ -38,6 +39,8 @@ def live_epochs(
     cut = epochs_by_count(samples, order, RECORDING, size)
     if clock_hz:
         cut = cut.withColumn("time", (F.col("epoch_id") * size + F.col("sample_no")) / clock_hz)
+    # Read twice, by the labels and by the rows; numbering twice would hold all rows on disk twice.
+    cut = materialise(cut.select(*EPOCH, "time", "task_label", *map(column, channels)), "cut")
     epochs = cut.groupBy(*EPOCH).agg(majority_label("task_label").alias("epoch_label"))
     if rate and duration:
         epochs = loop_replay(epochs, ["epoch_id"], RECORDING, rate, duration)
@@ -61,7 +64,8 @@ def replay(samples: DataFrame, channels: Sequence[str], path: str, keys: Sequenc
     """
     rows = as_double(samples, ["time", *channels])
     spread = rows.repartition(*keys) if files is None else rows.repartition(files, *keys)
-    spread.write.mode("append").parquet(path)
+    with shuffles_released(samples.sparkSession):
+        spread.write.mode("append").parquet(path)
 
 
 def land_in_order(

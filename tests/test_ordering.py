@@ -163,3 +163,27 @@ def test_empty_input(spark):
     df = spark.createDataFrame([], "k string, t long")
     assert OR.number_rows(df, ["t"], ["k"]).count() == 0
     assert OR.rolling_mean(df, "t", ["t"], ["k"]).count() == 0
+
+
+def test_small_keys_are_numbered_in_one_range_each(spark):
+    """More ranges than the largest key needs would make a count for about each row, and exchange them."""
+    df = spark.range(4000).select((F.col("id") % 40).alias("k"), F.xxhash64("id").alias("t"), "id")
+    assert OR._Ranged(df, ["k"], ["t", "id"]).rows.select("rkey", "rpart").distinct().count() == 40
+
+
+def test_large_keys_are_numbered_over_ranges(spark, frame, rows, monkeypatch, many_partitions):
+    """As with one range: numbers, values carried forward and rolling means follow the order over all of them."""
+    monkeypatch.setattr(OR, "KEY_ROWS", 10)
+    ranged = OR._Ranged(frame, ["k"], ["t", "id"])
+    assert ranged.rows.select("rpart").distinct().count() > 1
+    test_number_rows_per_key(frame, rows)
+    test_carry_forward(frame, rows)
+    test_rolling_mean_is_independent_of_block_size(frame, rows, 16)
+
+
+def test_a_numbered_row_carries_each_column_once(spark):
+    df = spark.range(10).select((F.col("id") % 2).alias("k"), "id", F.lit(1.5).alias("v"))
+    assert len(OR._Ranged(df, ["k"], ["id", "v"]).rows.columns) == 4  # key, part, id, v
+    assert len(OR._Ranged(df, ["k"], [F.col("id").desc(), "k"]).rows.columns) == 5  # an expression travels besides
+    got = {r.id: r.no for r in OR.number_rows(df, [F.col("k"), F.col("id").desc()], ["k"], "no").collect()}
+    assert got == {i: 4 - i // 2 for i in range(10)}

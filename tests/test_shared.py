@@ -1,9 +1,10 @@
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from epochloom.shared import materialise, scratch
+from epochloom.shared import RELEASE, materialise, scratch
 
 
 def folder(df):
@@ -32,3 +33,17 @@ def test_scratch_removes_after_an_error(spark):
             made = folder(materialise(spark.range(5), "inner"))
             raise ValueError
     assert not os.path.exists(made)
+
+
+def test_shuffles_go_when_a_table_is_written(spark):
+    """Without that they stay on disk until the driver happens to collect what refers to them."""
+    local = [d.getPath() for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    shuffles = lambda: {f for d in local for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_")}
+    released, before = spark.conf.get(RELEASE), shuffles()
+    stored = materialise(spark.range(1000).repartition(5).groupBy((F.col("id") % 7).alias("k")).count(), "shuffled")
+    for _ in range(50):
+        if not (left := shuffles() - before):
+            break
+        time.sleep(0.2)
+    assert not left and stored.agg(F.sum("count")).first()[0] == 1000
+    assert spark.conf.get(RELEASE) == released

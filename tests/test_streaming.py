@@ -154,3 +154,16 @@ def test_deduplication(spark, events):
     stream = live.deduplicated(live.sample_stream(spark, path, events.schema, 1), ["id"], "ts", "1 hour")
     live.run_available(live.table_sink(stream, out, check))
     assert spark.read.parquet(out).count() == 600
+
+
+def test_live_epochs_number_their_samples_once(spark):
+    """Labels and rows both read the cut, which is stored; numbering it twice would hold all rows on disk twice."""
+    df = spark.range(700).select(
+        F.lit("S1").alias("subject_id"), F.lit("R1").alias("run_id"), (F.col("id") / 160).alias("time"),
+        F.when(F.col("id") < 500, "T1").otherwise("T2").alias("task_label"), F.col("id").cast("double").alias("C3"),
+    )
+    epochs = live.live_epochs(df, ["C3"], F.lit("2026-01-01 00:00:00").cast("timestamp"))
+    assert "Window" not in epochs._jdf.queryExecution().executedPlan().toString()
+    got = epochs.groupBy("epoch_id", "epoch_label", "event_time").agg(F.count(F.lit(1)).alias("n"), F.sum("C3").alias("s")).orderBy("epoch_id").collect()
+    assert [tuple(r) for r in got] == [
+        (0, "T1", "2026-01-01T00:00:00.000000", 320, 51040.0), (1, "T1", "2026-01-01T00:00:02.000000", 320, 153440.0)]
