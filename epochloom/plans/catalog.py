@@ -75,9 +75,9 @@ def line_epochs(spark, sf) -> DataFrame:
     return EP.epochs_by_count(line_samples(spark, sf), LINE_ORDER, samples=FS)
 
 
-def line_features(spark, sf, quality: bool = False) -> DataFrame:
+def line_features(spark, sf, quality: bool = False, epochs: DataFrame | None = None) -> DataFrame:
     return FE.epoch_features(
-        line_epochs(spark, sf), CHANNELS, BANDS, FS, PLACE, label_rule="majority",
+        line_epochs(spark, sf) if epochs is None else epochs, CHANNELS, BANDS, FS, PLACE, label_rule="majority",
         max_samples=None, quality=quality,
     )
 
@@ -706,7 +706,9 @@ def feature_importance(spark, sf):
 
 
 def _live_training(spark, sf):
-    return materialise(C.lateralization(line_features(spark, sf)), "live-features")
+    # Stored, so that the shuffle which numbers the samples goes before the one which collects them.
+    epochs = materialise(line_epochs(spark, sf).select(*EP.EPOCH, *PLACE, "task_label", *CHANNELS), "line-epochs")
+    return materialise(C.lateralization(line_features(spark, sf, epochs=epochs)), "live-features")
 
 
 def live_rf(spark, sf):
